@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators.blocks import explode_lines
 from corpusprep.operators.spans import SpanKind
+from corpusprep.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, spread for pattern-heavy work."""
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 # -- marked blocks on events ------------------------------------------------
 
 def marked_blocks(events: DataFrame) -> DataFrame:
@@ -65,7 +71,7 @@ EV = """ev AS (
 
 
 def ln(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     if not extra:
         return explode_lines(docs)
     return docs.select("doc_id", *extra, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
@@ -79,8 +85,8 @@ LN = """ln AS (
 # -- protected spans on documents --------------------------------------------
 
 SP = (
-    SpanKind("licence", "LICBLK", r"(?:This work is licensed|Licensed|Released) under [^\n]*", True),
-    SpanKind("email", "EMLINL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
+    SpanKind("licence", "LICBLK", r"(?:This work is licensed|Licensed|Released) under [^\n]*", True, " under "),
+    SpanKind("email", "EMLINL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", hint="@"),
     SpanKind("secret", "HEXINL", r"[0-9a-f]{40}"),
     SpanKind("address", "ADRINL", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
     SpanKind("number", "NUMINL", r"[0-9]{16}"),

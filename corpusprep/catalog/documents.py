@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.catalog.base import LN, SP, ev, kind, lit, ln, query, sql_mask, sql_unmask, table, EV
+from corpusprep.catalog.base import EV, LN, SP, documents, ev, kind, ln, query, sql_mask, sql_unmask, table
 from corpusprep.functions import text as tx
 from corpusprep.operators import blocks as bl
 from corpusprep.operators.concat import concat_ordered
@@ -123,7 +123,7 @@ FROM counted""")
 def block_routing(spark: SparkSession, sf: str) -> DataFrame:
     # Lines stay in their document's row: counting them needs no shuffle.
     filled = F.filter(tx.lines("text"), lambda x: F.length(tx.strip(x)) > 0)
-    counted = table(spark, sf, "documents").select("doc_id", filled.alias("ls")).select(
+    counted = documents(spark, sf).select("doc_id", filled.alias("ls")).select(
         "doc_id", F.size(F.filter("ls", symbol_rule)).alias("n_hits"), F.size("ls").alias("n_lines"))
     return counted.withColumn("route", bl.route(F.col("n_hits"), F.col("n_lines")))
 
@@ -158,7 +158,7 @@ def malformed_audit(spark: SparkSession, sf: str) -> DataFrame:
         "odd_quotes": n('"') % 2 == 1,
         "symbol_storm": n(r"[$%#&*]{3}") > 20,
     }
-    return bl.flag_counts(table(spark, sf, "documents"), flags)
+    return bl.flag_counts(documents(spark, sf), flags)
 
 
 RISKY, GLUED = r"\$\$\$|%%%", r"\p{L}&&&"
@@ -176,7 +176,7 @@ def unsafe_lines(spark: SparkSession, sf: str) -> DataFrame:
         return bl.unsafe_line(line, RISKY, GLUED, exempt=r"^(?:#|>)", symbol=F.lit(False))
 
     hits = F.size(F.filter(tx.lines("text"), unsafe))
-    return table(spark, sf, "documents").select("doc_id", hits.alias("n_unsafe")).filter("n_unsafe > 0")
+    return documents(spark, sf).select("doc_id", hits.alias("n_unsafe")).filter("n_unsafe > 0")
 
 
 @query("split_join", f"""
@@ -188,7 +188,7 @@ SELECT doc_id, CAST(count(*) AS INT) AS n_blocks,
 FROM b WHERE s <> '' GROUP BY doc_id""")
 def split_join(spark: SparkSession, sf: str) -> DataFrame:
     parts = F.split("text", r"\.\s*\n\s*", -1)
-    split = table(spark, sf, "documents").select("doc_id", parts.alias("parts"))
+    split = documents(spark, sf).select("doc_id", parts.alias("parts"))
     filled = F.filter("parts", lambda s: F.length(tx.strip(s)) > 0)
     return split.select("doc_id", F.size(filled).alias("n_blocks"), bl.joined(F.col("parts")).alias("text"))
 
@@ -199,7 +199,7 @@ MASKED = sql_mask("m", "documents", ["doc_id", "lang", "source", "text"])
 
 
 def masked(spark: SparkSession, sf: str) -> DataFrame:
-    return mask_spans(table(spark, sf, "documents"), SP)
+    return mask_spans(documents(spark, sf), SP)
 
 
 @query("mask_spans", f"WITH {MASKED}\n" + "\nUNION ALL\n".join(
@@ -232,7 +232,7 @@ def mask_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     back = unmask(masked(spark, sf), SP)
 
     def bare(c):
-        return F.regexp_replace(c, r"\s", "")
+        return F.replace(F.replace(c, F.lit(" ")), F.lit("\n"))
 
     return back.select("doc_id", F.length("masked").alias("n_masked"), "restored",
                        (bare("restored") == bare("text")).cast("int").alias("same_text"))
@@ -246,10 +246,7 @@ WITH {MASKED}, {sql_unmask('u', 'm')}
     f"count(*) FILTER (WHERE regexp_matches({stage}, '{k.token}')) AS n_docs FROM u"
     for stage in ("masked", "restored") for k in SP))
 def placeholder_leaks(spark: SparkSession, sf: str) -> DataFrame:
-    back = unmask(masked(spark, sf), SP)
-    before, after = (
-        leak_scan(back, SP, stage).select(F.lit(stage).alias("stage"), "*") for stage in ("masked", "restored"))
-    return before.unionByName(after)
+    return leak_scan(unmask(masked(spark, sf), SP), SP, ("masked", "restored"))
 
 
 @query("restore_unresolved", f"""
@@ -285,7 +282,7 @@ WITH RECURSIVE cuts AS (
 ends AS (SELECT doc_id, text, chunk_no, s, coalesce(lead(s) OVER (PARTITION BY doc_id ORDER BY chunk_no), length(text)) AS e FROM cuts)
 SELECT doc_id, CAST(chunk_no AS INT) AS chunk_no, text[s + 1:e] AS chunk FROM ends""")
 def chunk_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return chunk_text(table(spark, sf, "documents"), limit=CUT)
+    return chunk_text(documents(spark, sf), limit=CUT)
 
 
 @query("pack_batches", f"""

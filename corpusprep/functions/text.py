@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the characters Unicode counts as white space.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 ESCAPED = set(r"\.^$|?*+()[]{}#&-~")
 
 
@@ -31,7 +36,12 @@ def whole_words(words: Iterable[str]) -> str:
 
 def strip(c: Column | str) -> Column:
     """Drop all surrounding white space, not only blanks."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE_SPACE))
+
+
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once, also inside a lambda."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
 
 
 def collapse_newlines(c: Column | str) -> Column:
@@ -71,3 +81,14 @@ def preserve_case(found: Column, replacement: Column) -> Column:
         .when(has_case & (found == F.initcap(found)), capitalise(replacement))
         .otherwise(replacement)
     )
+
+
+def evaluated(df: DataFrame, keep: Iterable[str], values: dict[str, Column]) -> DataFrame:
+    """``keep`` plus ``values``, each computed exactly once per row.
+
+    The values leave through a generator of one row. Later filters and joins on
+    them cannot be pushed below it, which would repeat long chains of regular
+    expressions once per use.
+    """
+    row = F.struct(*[c.alias(n) for n, c in values.items()])
+    return df.select(*keep, F.inline(F.array(row)))

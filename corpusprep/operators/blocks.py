@@ -59,14 +59,16 @@ def symbol_line(
     prose: str = r"(?U)\p{IsCyrillic}{2,}",
 ) -> Column:
     """Does a line read as a formula: not exempt, no prose outside ``ignore``, some symbol."""
-    body = tx.strip(line)
-    outside = body
-    for pattern in ignore:
-        outside = F.regexp_replace(outside, pattern, "")
-    refused = F.length(body) == 0
-    for pattern in exempt:
-        refused = refused | body.rlike(pattern)
-    return ~refused & ~outside.rlike(prose) & body.rlike(symbol)
+    def judge(body: Column) -> Column:
+        outside = body
+        for pattern in ignore:
+            outside = F.regexp_replace(outside, pattern, "")
+        reads = body.rlike(symbol)
+        for pattern in exempt:
+            reads = reads & ~body.rlike(pattern)
+        return (F.length(body) > 0) & reads & ~outside.rlike(prose)
+
+    return tx.let(tx.strip(line), judge)
 
 
 def route(n_hits: Column, n_lines: Column) -> Column:
@@ -82,11 +84,17 @@ def unsafe_line(
     symbol: Column | None = None,
 ) -> Column:
     """Lines that still carry commands: outside images, headings, tables, fences and quotes."""
-    body = tx.strip(F.regexp_replace(tx.strip(line), r"^(?:[-*+]|\d+\.)\s+", ""))
-    quoted = body.rlike(r"^`[\s\S]*`$")
-    formula = symbol_line(body) if symbol is None else symbol
-    danger = body.rlike(risky) | body.rlike(glued) | (formula & body.rlike(r"(?U)\\\p{L}+"))
-    return (F.length(body) > 0) & ~tx.strip(line).rlike(exempt) & ~quoted & danger
+    def judge(body: Column) -> Column:
+        formula = symbol_line(body) if symbol is None else symbol
+        danger = body.rlike(risky) | body.rlike(glued) | (formula & body.rlike(r"(?U)\\\p{L}+"))
+        quoted = body.startswith("`") & body.endswith("`")
+        return (F.length(body) > 0) & ~quoted & danger
+
+    def open_line(whole: Column) -> Column:
+        item = tx.strip(F.regexp_replace(whole, r"^(?:[-*+]|\d+\.)\s+", ""))
+        return ~whole.rlike(exempt) & tx.let(item, judge)
+
+    return tx.let(tx.strip(line), open_line)
 
 
 def flag_counts(df: DataFrame, flags: Mapping[str, Column]) -> DataFrame:

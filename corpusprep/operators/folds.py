@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.operators.scan import BITS, STRETCH, stretch
+from corpusprep.session import settled
 
 Transfer = Callable[[np.ndarray], list[tuple[int, int, int, int, int]]]
 Apply = Callable[[np.ndarray, int, int], np.ndarray]
@@ -61,6 +62,7 @@ def stateful_fold(
     """
     keys = list(keys)
     whole = [*keys, STRETCH]
+    rows = settled(rows)
     slim = rows.select(*keys, pos, value, stretch(pos, bits))
     placed = slim.repartition(*whole).sortWithinPartitions(*whole, pos)
     key_fields = [rows.schema[k] for k in keys]

@@ -117,7 +117,7 @@ def glossary_rewrite(
         res = res.withColumn(out, glossary_column(out, by_length[length], (r"(?<!\w)", r"(?!\w)")))
     if words:
         res = res.withColumn(out, glossary_column(out, closed_over(words)))
-    return res
+    return tx.evaluated(res, [c for c in docs.columns if c != out], {out: F.col(out)})
 
 
 def large_glossary_rewrite(
@@ -218,7 +218,7 @@ def rule_hits(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> Dat
     counted = docs.agg(*[
         c for i, r in enumerate(rules) for c in (
             F.coalesce(F.sum(tx.count_matches(text, r.java)), F.lit(0)).alias(f"h{i}"),
-            F.count_if(F.col(text).rlike(r.java)).alias(f"d{i}"),
+            F.count_if(tx.count_matches(text, r.java) > 0).alias(f"d{i}"),
         )
     ])
     rows = F.array(*[F.struct(

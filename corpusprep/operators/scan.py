@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusprep.session import settled
+
 BITS = 18
 STRETCH = "__stretch"
 
@@ -73,6 +75,7 @@ def running(
     """Add one column per entry of ``runs``."""
     keys = list(keys)
     names = list(runs)
+    df = settled(df)
     given = df.columns
     valued = df.select(
         "*", stretch(pos, bits), *[runs[n].value.alias(f"__v_{n}") for n in names]
@@ -115,6 +118,7 @@ def with_extremes(
 ) -> DataFrame:
     """Attach whole-key extremes, ``{name: ("max" | "min", value)}``, to every row."""
     keys = list(keys)
+    df = settled(df)
     given = df.columns
     cut = df.select("*", stretch(pos, bits))
     per_stretch = cut.groupBy(*keys, STRETCH).agg(

@@ -322,22 +322,16 @@ def fence_state(
     )
 
 
-def section_numbers(
-    blocks: DataFrame, keys: Sequence[str], heading: Column, pos: str = "pos", bits: int = BITS
-) -> DataFrame:
-    """Running section number, 0 before the first heading."""
-    one = F.when(heading, 1).otherwise(0).cast("bigint")
-    return running(blocks, keys, pos, {"section": Run("sum", one)}, bits)
-
-
 def section_starts(
     blocks: DataFrame, keys: Sequence[str], heading: Column, pos: str = "pos", page: str = "page",
     bits: int = BITS,
 ) -> DataFrame:
     """First page of each section, carried over where its heading has no marker."""
     keys = list(keys)
-    paged = inherit_page(blocks, keys, pos, page, bits=bits)
-    placed = section_numbers(paged, keys, heading, pos, bits)
+    one = F.when(heading, 1).otherwise(0).cast("bigint")
+    placed = running(
+        blocks, keys, pos, {"section": Run("sum", one), "__page": Run("last", F.col(page))}, bits
+    ).withColumn("eff_page", F.coalesce("__page", F.lit(0)))
     return placed.groupBy(*keys, "section").agg(
         F.min_by("eff_page", pos).alias("start_page"), F.count("*").alias("n_blocks")
     )

@@ -17,12 +17,17 @@ from corpusprep.functions import text as tx
 
 @dataclass(frozen=True)
 class SpanKind:
-    """A kind of span. Its placeholders read ``<prefix>0000X``, numbered per document."""
+    """A kind of span. Its placeholders read ``<prefix>0000X``, numbered per document.
+
+    ``hint`` is a literal every span of the kind contains; texts without it skip
+    the pattern.
+    """
 
     name: str
     prefix: str
     pattern: str
     block: bool = False
+    hint: str | None = None
 
     @property
     def pad(self) -> str:
@@ -72,10 +77,17 @@ def mask_spans(
     """
     out = docs.withColumn(masked, F.col(text))
     for k in kinds:
-        out = out.withColumn(f"__{k.name}", tx.find_all(masked, k.pattern))
-        out = out.withColumn(masked, weave(masked, k.pattern, _padded_tokens(k, f"__{k.name}")))
+        found = tx.find_all(masked, k.pattern)
+        if k.hint:
+            found = F.when(F.contains(F.col(masked), F.lit(k.hint)), found).otherwise(
+                F.array().cast("array<string>"))
+        out = out.withColumn(f"__{k.name}", found)
+        woven = weave(masked, k.pattern, _padded_tokens(k, f"__{k.name}"))
+        out = out.withColumn(
+            masked, F.when(F.size(f"__{k.name}") > 0, woven).otherwise(F.col(masked)))
     struct = F.struct(*[F.col(f"__{k.name}").alias(k.name) for k in kinds])
-    return out.withColumn(spans, struct).drop(*[f"__{k.name}" for k in kinds])
+    given = [c for c in docs.columns if c not in (masked, spans)]
+    return tx.evaluated(out, given, {masked: F.col(masked), spans: struct})
 
 
 def span_table(masked: DataFrame, kinds: Sequence[SpanKind], keys: Sequence[str],
@@ -102,11 +114,12 @@ def _original(token: Column, kinds: Sequence[SpanKind], spans: str) -> Column:
 def _put_back(kind: SpanKind, originals: Column) -> Callable[[Column, Column], Column]:
     pad = F.lit(kind.pad)
 
-    def put(match: Column, i: Column) -> Column:
+    def put(hit: Column, i: Column) -> Column:
+        match = hit["match"]
         at = F.regexp_extract(match, r"(\d+)X", 1).cast("int")
         body = F.concat(F.get(originals, at), pad)
         # Two neighbours share one padding.
-        touching = (i > 0) & (F.get("__gaps", i) == "")
+        touching = (i > 0) & (hit["gap"] == "")
         return F.coalesce(F.when(touching, body).otherwise(F.concat(pad, body)), match)
 
     return put
@@ -123,23 +136,37 @@ def unmask(docs: DataFrame, kinds: Sequence[SpanKind], text: str = "masked",
     res = docs.withColumn(out, F.col(text))
     for k in kinds:
         pattern = rf"(?U)\s*{k.token}\s*"
-        res = res.withColumn("__gaps", F.split(out, pattern, -1))
-        back = F.transform(tx.find_all(out, pattern), _put_back(k, F.col(spans)[k.name]))
-        woven = F.zip_with("__gaps", back, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit(""))))
-        res = res.withColumn(out, F.array_join(woven, "")).drop("__gaps")
-    return nested(res, kinds, out, spans).withColumn(out, tx.collapse_newlines(out))
+        # Padding is settled on the gaps: an empty gap joins two neighbours.
+        gaps = F.split(out, pattern, -1)
+        found = F.zip_with(tx.find_all(out, pattern), gaps, lambda m, gap: F.struct(m.alias("match"), gap.alias("gap")))
+        back = F.transform(found, _put_back(k, F.col(spans)[k.name]))
+        woven = F.zip_with(gaps, back, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit(""))))
+        res = res.withColumn(out, F.when(
+            F.size(F.col(spans)[k.name]) > 0, F.array_join(woven, "")).otherwise(F.col(out)))
+    whole = nested(res, kinds, out, spans)
+    given = [c for c in docs.columns if c != out]
+    return tx.evaluated(whole, given, {out: tx.collapse_newlines(out)})
 
 
 def nested(docs: DataFrame, kinds: Sequence[SpanKind], text: str, spans: str = "spans",
            rounds: int = 3) -> DataFrame:
     """Restore tokens left in ``text``, as often as originals bring up new ones."""
     pattern = token_pattern(kinds)
+    res = docs.withColumn("__open", may_leak(text, kinds))
     for _ in range(rounds):
         shown = F.transform(
             tx.find_all(text, pattern), lambda t: F.coalesce(_original(t, kinds, spans), t))
-        again = weave(text, pattern, shown)
-        docs = docs.withColumn(text, F.when(F.col(text).rlike(pattern), again).otherwise(F.col(text)))
-    return docs
+        again = F.when(F.col("__open"), weave(text, pattern, shown)).otherwise(F.col(text))
+        res = res.withColumn(text, again)
+    return res.drop("__open")
+
+
+def may_leak(text: Column | str, kinds: Sequence[SpanKind]) -> Column:
+    """A cheap test by literal search that holds for every text with a token."""
+    out = F.lit(False)
+    for k in kinds:
+        out = out | tx.col(text).contains(k.prefix)
+    return out
 
 
 def leaks(text: Column | str, kinds: Sequence[SpanKind]) -> Column:
@@ -147,18 +174,26 @@ def leaks(text: Column | str, kinds: Sequence[SpanKind]) -> Column:
     return F.array_sort(F.array_distinct(tx.find_all(text, token_pattern(kinds))))
 
 
-def leak_scan(docs: DataFrame, kinds: Sequence[SpanKind], text: str) -> DataFrame:
-    """Tokens left per kind: ``(kind, n_tokens, n_docs)``; kinds without any have 0."""
-    counted = docs.agg(*[
-        c for k in kinds for c in (
-            F.coalesce(F.sum(tx.count_matches(text, k.token)), F.lit(0)).alias(f"{k.name}_n"),
-            F.count_if(F.col(text).rlike(k.token)).alias(f"{k.name}_d"),
-        )
+def leak_scan(docs: DataFrame, kinds: Sequence[SpanKind], texts: Sequence[str]) -> DataFrame:
+    """Tokens left per text column and kind: ``(stage, kind, n_tokens, n_docs)``, one pass.
+
+    Kinds without any are listed with 0.
+    """
+    def tokens(text: str, k: SpanKind) -> Column:
+        return F.when(F.col(text).contains(k.prefix), tx.count_matches(text, k.token)).otherwise(0)
+
+    cases = [(t, k) for t in texts for k in kinds]
+    counts = docs.select(*[tokens(t, k).alias(f"c{i}") for i, (t, k) in enumerate(cases)])
+    sums = counts.agg(*[
+        c for i in range(len(cases)) for c in (
+            F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"n{i}"),
+            F.count_if(F.col(f"c{i}") > 0).alias(f"d{i}"))
     ])
     rows = F.array(*[F.struct(
-        F.lit(k.name).alias("kind"), F.col(f"{k.name}_n").alias("n_tokens"),
-        F.col(f"{k.name}_d").alias("n_docs")) for k in kinds])
-    return counted.select(F.inline(rows))
+        F.lit(t).alias("stage"), F.lit(k.name).alias("kind"),
+        F.col(f"n{i}").alias("n_tokens"), F.col(f"d{i}").alias("n_docs"))
+        for i, (t, k) in enumerate(cases)])
+    return sums.select(F.inline(rows))
 
 
 def restore_unresolved(

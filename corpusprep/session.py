@@ -50,3 +50,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+SETTLE_LEAVES = 12
+
+
+def settled(df: DataFrame, name: str = "settled", leaves: int = SETTLE_LEAVES) -> DataFrame:
+    """Write the result so far once its plan reads more than ``leaves`` inputs.
+
+    Operators that fold summaries back into their rows use their input twice, so
+    a chain of them would double its plan at every step. Cutting the chain keeps
+    the work linear; short chains stay lazy.
+    """
+    if df.isStreaming or df._jdf.queryExecution().analyzed().collectLeaves().size() <= leaves:
+        return df
+    return materialise(df, name)

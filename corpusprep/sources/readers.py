@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.operators.lookup import estimated_bytes
+
 # Suffixes of supported illustrations.
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".webp", ".tif", ".tiff")
 
@@ -27,3 +29,17 @@ def read_assets(spark: SparkSession, path: str, suffixes: Sequence[str] = IMAGE_
 def with_suffix(rows: DataFrame, name: str, suffixes: Sequence[str]) -> DataFrame:
     suffix = F.lower(F.regexp_extract(name, r"(\.[^./]*)$", 1))
     return rows.filter(suffix.isin(*suffixes))
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash a table over all cores if it is too small to fill them by its file splits.
+
+    Large tables come back as they are: their splits already outnumber the cores,
+    and a shuffle would only cost.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if estimated_bytes(rows) >= cores * split:
+        return rows
+    return rows.repartition(cores, *keys)
