@@ -143,7 +143,7 @@ WITH r AS (SELECT l_suppkey AS doc, date_diff('day', DATE '1992-01-01', CAST(l_s
                   l_returnflag AS label FROM lineitem),
 o AS (SELECT *, max(e) OVER (PARTITION BY doc ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM r),
 g AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe THEN 1 ELSE 0 END) OVER (
-        PARTITION BY doc ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM o),
+        PARTITION BY doc ORDER BY s, e RANGE UNBOUNDED PRECEDING) AS island FROM o),
 l AS (SELECT doc, island, label, min(s) AS s, max(e) AS e, count(*) AS n FROM g GROUP BY ALL)
 SELECT doc, CAST(min(s) AS BIGINT) AS s, CAST(max(e) AS BIGINT) AS e, CAST(sum(n) AS BIGINT) AS n_ranges,
        string_agg(label || ':' || n, ',' ORDER BY s, label) AS labels

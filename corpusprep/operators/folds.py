@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.operators.scan import BITS, STRETCH, stretch
+from corpusprep.operators.scan import STRETCH, fits_whole, stretch
 from corpusprep.session import settled
 
 Transfer = Callable[[np.ndarray], list[tuple[int, int, int, int, int]]]
@@ -53,7 +53,7 @@ def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[st
 
 def stateful_fold(
     rows: DataFrame, keys: Sequence[str], pos: str, value: str, initial: int,
-    transfer: Transfer, apply: Apply, result: str, bits: int = BITS,
+    transfer: Transfer, apply: Apply, result: str, bits: int | None = None,
 ) -> DataFrame:
     """Fold ``value`` along ``pos``: ``(*keys, pos, result)``.
 
@@ -62,6 +62,8 @@ def stateful_fold(
     """
     keys = list(keys)
     whole = [*keys, STRETCH]
+    if fits_whole(rows, bits):
+        return _folded_whole(rows, keys, pos, value, initial, apply, result)
     rows = settled(rows)
     slim = rows.select(*keys, pos, value, stretch(pos, bits))
     placed = slim.repartition(*whole).sortWithinPartitions(*whole, pos)
@@ -132,5 +134,22 @@ def stateful_fold(
     return joined.sortWithinPartitions(*whole, pos).mapInPandas(results, result_type)
 
 
+def _folded_whole(
+    rows: DataFrame, keys: list[str], pos: str, value: str, initial: int, apply: Apply, result: str
+) -> DataFrame:
+    """The fold of a table known to be small: each key in one piece."""
+    schema = T.StructType([
+        *[rows.schema[k] for k in keys], rows.schema[pos], T.StructField(result, T.LongType())])
+
+    def results(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [[*(g[k] for k in keys), g[pos], apply(g[value], initial, 0)]
+                for g in groups(batches, keys)]
+        if held:
+            yield _packed(held, schema.names)
+
+    slim = rows.select(*keys, pos, value).repartition(*keys).sortWithinPartitions(*keys, pos)
+    return slim.mapInPandas(results, schema)
+
+
 def _packed(held: list[list[np.ndarray]], names: list[str]) -> pd.DataFrame:
     return pd.DataFrame({n: np.concatenate([h[i] for h in held]) for i, n in enumerate(names)})

@@ -7,6 +7,10 @@ Windows run inside a stretch, one summary row per stretch is folded along the
 key, and the carried value is joined back on ``(key, stretch)``. Only the
 summaries, never the rows, of a key meet in one task.
 
+A key cannot be larger than its table. So where the size estimate of the input
+is below ``WHOLE_BYTES`` and ``bits`` is not given, the plain window is taken:
+it needs one shuffle, which later windows on the same keys share.
+
 Keys must not be NULL.
 """
 
@@ -19,9 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusprep.operators.lookup import estimated_bytes
 from corpusprep.session import settled
 
 BITS = 18
+WHOLE_BYTES = 64 << 20
 STRETCH = "__stretch"
 
 
@@ -38,7 +44,13 @@ class Run:
 _FOLD = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
-def stretch(pos: str, bits: int) -> Column:
+def fits_whole(df: DataFrame, bits: int | None) -> bool:
+    """May a key be handled in one piece: the whole table is known to be small."""
+    return bits is None and estimated_bytes(df) <= WHOLE_BYTES
+
+
+def stretch(pos: str, bits: int | None) -> Column:
+    bits = BITS if bits is None else bits
     return F.shiftright(F.col(pos), bits).alias(STRETCH)
 
 
@@ -59,6 +71,10 @@ def _summary(run: Run, value: str, pos: str) -> Column:
     return _FOLD[run.kind](value)
 
 
+def _filled(run: Run, value: Column) -> Column:
+    return F.coalesce(value, F.lit(0)) if run.kind == "sum" else value
+
+
 def _merge(run: Run, near: Column, far: Column) -> Column:
     if run.kind == "max":
         return F.greatest(near, far)
@@ -70,13 +86,19 @@ def _merge(run: Run, near: Column, far: Column) -> Column:
 
 
 def running(
-    df: DataFrame, keys: Sequence[str], pos: str, runs: Mapping[str, Run], bits: int = BITS
+    df: DataFrame, keys: Sequence[str], pos: str, runs: Mapping[str, Run], bits: int | None = None
 ) -> DataFrame:
     """Add one column per entry of ``runs``."""
     keys = list(keys)
     names = list(runs)
-    df = settled(df)
     given = df.columns
+    if fits_whole(df, bits):
+        return df.select("*", *[
+            _filled(run, _over(run, run.value, _ordered(keys, pos, run.backward).rowsBetween(
+                Window.unboundedPreceding, 0 if run.inclusive else -1))).alias(n)
+            for n, run in runs.items()
+        ])
+    df = settled(df)
     valued = df.select(
         "*", stretch(pos, bits), *[runs[n].value.alias(f"__v_{n}") for n in names]
     )
@@ -114,12 +136,16 @@ def with_extremes(
     keys: Sequence[str],
     pos: str,
     extremes: Mapping[str, tuple[str, Column]],
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Attach whole-key extremes, ``{name: ("max" | "min", value)}``, to every row."""
     keys = list(keys)
-    df = settled(df)
     given = df.columns
+    if fits_whole(df, bits):
+        whole = Window.partitionBy(*keys)
+        return df.select("*", *[
+            _FOLD[kind](value).over(whole).alias(n) for n, (kind, value) in extremes.items()])
+    df = settled(df)
     cut = df.select("*", stretch(pos, bits))
     per_stretch = cut.groupBy(*keys, STRETCH).agg(
         *[_FOLD[kind](value).alias(n) for n, (kind, value) in extremes.items()]
@@ -132,7 +158,7 @@ def with_extremes(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], pos: str, name: str, start: int = 0, bits: int = BITS
+    df: DataFrame, keys: Sequence[str], pos: str, name: str, start: int = 0, bits: int | None = None
 ) -> DataFrame:
     """Dense row number within a key, in ``pos`` order."""
     counted = running(df, keys, pos, {name: Run("sum", F.lit(1).cast("bigint"))}, bits)
@@ -141,17 +167,22 @@ def numbered(
 
 def looking_ahead(
     df: DataFrame, keys: Sequence[str], pos: str, value: Column, depth: int, name: str,
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Array of ``value`` on the next ``depth`` rows of the key (shorter at the end).
 
     The first rows of a stretch are also sent to the stretch before, so each
     window still sees at most ``2**bits + depth`` rows.
     """
-    if depth >= 1 << bits:
-        raise ValueError("depth must be smaller than a stretch")
     keys = list(keys)
     given = df.columns
+    if fits_whole(df, bits):
+        frame = Window.partitionBy(*keys).orderBy(pos).rowsBetween(1, depth)
+        seen = df.withColumn(name, F.collect_list(F.struct(value.alias("v"))).over(frame))
+        return seen.withColumn(name, F.transform(name, lambda x: x["v"]))
+    bits = BITS if bits is None else bits
+    if depth >= 1 << bits:
+        raise ValueError("depth must be smaller than a stretch")
     dense = numbered(df, keys, pos, "__rn", bits=bits)
     here = F.shiftright(F.col("__rn"), bits)
     in_head = (F.col("__rn").bitwiseAND(F.lit((1 << bits) - 1)) < depth) & (here > 0)

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.concat import PART_CHARS, concat_ordered
-from corpusprep.operators.scan import BITS, Run, looking_ahead, running, with_extremes
+from corpusprep.operators.scan import Run, looking_ahead, running, with_extremes
 
 
 def inherit_page(blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
-                 name: str = "eff_page", bits: int = BITS) -> DataFrame:
+                 name: str = "eff_page", bits: int | None = None) -> DataFrame:
     """The page of the last marked block at or before each block, else 0."""
     out = running(blocks, keys, pos, {name: Run("last", F.col(page))}, bits)
     return out.withColumn(name, F.coalesce(name, F.lit(0)))
@@ -24,7 +24,7 @@ def inherit_page(blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page:
 
 def page_buckets(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", pages: str = "pages",
-    width: int = 50, bits: int = BITS,
+    width: int = 50, bits: int | None = None,
 ) -> DataFrame:
     """One row per block and bucket it belongs to, with ``start_page``.
 
@@ -43,7 +43,7 @@ def page_buckets(
 
 def page_chunks(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", pages: str = "pages",
-    text: str = "text", width: int = 50, part_chars: int = PART_CHARS, bits: int = BITS,
+    text: str = "text", width: int = 50, part_chars: int = PART_CHARS, bits: int | None = None,
 ) -> DataFrame:
     """Bucket texts in order: ``(*keys, start_page, end_page, part, n_blocks, text)``."""
     keys = list(keys)
@@ -61,7 +61,7 @@ def page_chunks(
 
 def monotone_filter(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
-    jump: int = 10, bits: int = BITS,
+    jump: int = 10, bits: int | None = None,
 ) -> DataFrame:
     """Drop marked blocks that fall more than ``jump`` pages behind, and what follows them.
 
@@ -75,7 +75,7 @@ def monotone_filter(
 
 def monotone_flags(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
-    jump: int = 10, bits: int = BITS,
+    jump: int = 10, bits: int | None = None,
 ) -> DataFrame:
     """The same with the decision kept: ``__keep`` is 1, 0, or NULL before any marker."""
     highest = running(
@@ -90,7 +90,7 @@ def monotone_flags(
 
 def window_filter(
     blocks: DataFrame, keys: Sequence[str], low: Column, high: Column, pos: str = "pos",
-    pages: str = "pages", tolerance: int = 8, bits: int = BITS,
+    pages: str = "pages", tolerance: int = 8, bits: int | None = None,
 ) -> DataFrame:
     """Keep blocks of an expected page window.
 
@@ -113,7 +113,7 @@ def window_filter(
 
 def drop_sections(
     blocks: DataFrame, keys: Sequence[str], opens: Column, heading: Column, pos: str = "pos",
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Drop each section whose heading matches ``opens``, up to the next other heading."""
     given = blocks.columns
@@ -124,7 +124,7 @@ def drop_sections(
 
 def page_asof(
     points: DataFrame, markers: DataFrame, keys: Sequence[str], off: str = "off",
-    page: str = "page", bits: int = BITS,
+    page: str = "page", bits: int | None = None,
 ) -> DataFrame:
     """Points with the largest page marked at or before their offset, 0 if none.
 
@@ -139,7 +139,7 @@ def page_asof(
 
 
 def next_marker(
-    points: DataFrame, markers: DataFrame, keys: Sequence[str], off: str = "off", bits: int = BITS
+    points: DataFrame, markers: DataFrame, keys: Sequence[str], off: str = "off", bits: int | None = None
 ) -> DataFrame:
     """Points with the offset of the first marker after theirs, NULL if none."""
     keys = list(keys)
@@ -168,7 +168,7 @@ def _interleaved(
 
 def tail_ranges(
     blocks: DataFrame, keys: Sequence[str], section: Column, heading: Column, appendix: Column,
-    end_matter: Column, pos: str = "pos", page: str = "page", margin: int = 60, bits: int = BITS,
+    end_matter: Column, pos: str = "pos", page: str = "page", margin: int = 60, bits: int | None = None,
 ) -> DataFrame:
     """Ranges to remove near the end of a document: ``(*keys, s, e, label)``, ``e`` excluded.
 
@@ -206,7 +206,7 @@ def tail_ranges(
     return hits.filter("label <> 'tail'").select(*keys, "s", "e", "label").unionByName(tail)
 
 
-def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFrame:
+def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
     """Merge overlapping or touching ranges: ``(*keys, s, e, n_ranges, labels)``.
 
     ``labels`` lists each label once with its count and first start, in order of
@@ -214,14 +214,14 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int = BITS) -> Da
     """
     keys = list(keys)
     counted = ranges.groupBy(*keys, "s", "label").agg(F.max("e").alias("e"), F.count("*").alias("n"))
-    starts = counted.groupBy(*keys, "s").agg(F.max("e").alias("e"))
+    starts = counted.groupBy(*keys, "s").agg(
+        F.max("e").alias("e"), F.collect_list(F.struct("label", "n")).alias("here"))
     reach = running(starts, keys, "s", {"__e": Run("max", F.col("e"), inclusive=False)}, bits)
     opens = F.when(F.col("__e").isNull() | (F.col("s") > F.col("__e")), F.col("s"))
     placed = running(reach, keys, "s", {"island": Run("last", opens)}, bits)
-    tagged = counted.join(placed.select(*keys, "s", "island"), [*keys, "s"])
-    per_label = tagged.groupBy(*keys, "island", "label").agg(
-        F.max("e").alias("e"), F.sum("n").alias("n"), F.min("s").alias("first_s")
-    )
+    per_label = placed.select(*keys, "island", "s", "e", F.inline("here")).groupBy(
+        *keys, "island", "label"
+    ).agg(F.max("e").alias("e"), F.sum("n").alias("n"), F.min("s").alias("first_s"))
     entry = F.struct("first_s", "label", "n")
     return per_label.groupBy(*keys, "island").agg(
         F.max("e").alias("e"),
@@ -231,7 +231,7 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int = BITS) -> Da
 
 
 def remove_ranges(
-    blocks: DataFrame, ranges: DataFrame, keys: Sequence[str], pos: str = "pos", bits: int = BITS
+    blocks: DataFrame, ranges: DataFrame, keys: Sequence[str], pos: str = "pos", bits: int | None = None
 ) -> DataFrame:
     """Drop the blocks inside any range ``[s, e)``.
 
@@ -272,7 +272,7 @@ def dedupe_refs(
 
 def caption_lookahead(
     lines: DataFrame, keys: Sequence[str], anchor: Column, name: Column, text: Column,
-    structural: Column, pos: str = "pos", depth: int = 4, bits: int = BITS,
+    structural: Column, pos: str = "pos", depth: int = 4, bits: int | None = None,
 ) -> DataFrame:
     """Captions of anchors: ``(*keys, name, caption)``.
 
@@ -293,7 +293,7 @@ def caption_lookahead(
 
 def fence_state(
     lines: DataFrame, keys: Sequence[str], code: Column, toggle: Column, opens: Column,
-    closes: Column, pos: str = "pos", bits: int = BITS,
+    closes: Column, pos: str = "pos", bits: int | None = None,
 ) -> DataFrame:
     """State before each line: ``in_code`` and ``in_display``.
 
@@ -324,7 +324,7 @@ def fence_state(
 
 def section_starts(
     blocks: DataFrame, keys: Sequence[str], heading: Column, pos: str = "pos", page: str = "page",
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """First page of each section, carried over where its heading has no marker."""
     keys = list(keys)
@@ -339,7 +339,7 @@ def section_starts(
 
 def edit_section(
     blocks: DataFrame, keys: Sequence[str], starts: Column, ends: Column, replacement: Column,
-    pos: str = "pos", text: str = "text", bits: int = BITS,
+    pos: str = "pos", text: str = "text", bits: int | None = None,
 ) -> DataFrame:
     """Replace everything from the first start up to the first end after it.
 
@@ -355,7 +355,7 @@ def edit_section(
 
 def edit_nearest(
     blocks: DataFrame, keys: Sequence[str], starts: Column, ends: Column, replacement: Column,
-    max_distance: int, pos: str = "pos", text: str = "text", bits: int = BITS,
+    max_distance: int, pos: str = "pos", text: str = "text", bits: int | None = None,
 ) -> DataFrame:
     """Replace from the last start before the first end up to it, unless too far apart."""
     at = F.col(pos)
