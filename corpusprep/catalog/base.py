@@ -100,10 +100,8 @@ def lit(s: str) -> str:
 
 
 def sql_weave(text: str, pattern: str, shown: str) -> str:
-    return (
-        f"array_to_string(list_transform(string_split_regex({text}, {lit(pattern)}), "
-        f"lambda g, i: g || coalesce(({shown})[i], '')), '')"
-    )
+    pairs = f"list_zip(string_split_regex({text}, {lit(pattern)}), {shown})"
+    return f"array_to_string(list_transform({pairs}, lambda z: z[1] || coalesce(z[2], '')), '')"
 
 
 def sql_mask(name: str, source: str, columns: Sequence[str], text: str = "text",
