@@ -14,6 +14,7 @@ from corpusprep.operators import audit as au
 from corpusprep.operators import cache as ca
 from corpusprep.operators.rules import Rule, glossary_rewrite, rewrite
 from corpusprep.operators.spans import mask_spans
+from corpusprep.session import materialise
 
 ASSET_KINDS = (("figure", r"page="), ("picture", r"#top$"))
 PAGE = r"[?&]page=(\d+)"
@@ -170,8 +171,9 @@ def seed_cache(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents have been translated before; toxic ones left a poisoned entry."""
     labelled = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     value = F.when(F.col("toxic") == 1, "MATHBLK0000X").otherwise(F.concat(F.lit("done:"), F.upper("lang")))
-    return labelled.select(tx.digest("text").alias("md5"), value.alias("translated")).groupBy("md5").agg(
-        F.max("translated").alias("translated"))
+    entries = labelled.select(tx.digest("text").alias("md5"), value.alias("translated"))
+    # A cache is a stored table, whose size the lookups can check.
+    return materialise(entries.groupBy("md5").agg(F.max("translated").alias("translated")), "cache")
 
 
 CACHE = """cache AS (

@@ -29,9 +29,16 @@ def any_of(words: Iterable[str]) -> str:
     return "|".join(quote(w) for w in sorted(words, key=lambda w: (-len(w), w)))
 
 
+def first_of(words: Iterable[str]) -> str:
+    """A look-ahead on the first letters, in either case; it rejects most places at once."""
+    letters = {c for w in words for c in (w[0].lower(), w[0].upper()) if len(c) == 1}
+    return "(?=[" + "".join(quote(c) for c in sorted(letters)) + "])"
+
+
 def whole_words(words: Iterable[str]) -> str:
     """A Unicode-aware whole-word pattern."""
-    return rf"(?U)\b(?:{any_of(words)})\b"
+    words = list(words)
+    return rf"(?U){first_of(words)}\b(?:{any_of(words)})\b"
 
 
 def strip(c: Column | str) -> Column:

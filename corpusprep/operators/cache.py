@@ -83,18 +83,19 @@ def translate(
 ) -> tuple[DataFrame, DataFrame]:
     """Serve hits from the cache and the rest through ``service``.
 
-    ``service`` maps ``(md5, text)`` to ``(md5, translated)``; each distinct text
-    is sent once. Returns the chunks with ``translated`` and ``from_cache``, and
-    the fresh cache entries.
+    ``service`` maps ``(md5, text)`` to ``(md5, translated)``. Texts are made
+    distinct first, by a partial aggregate, so copies cost nothing: the cache is
+    probed and the service asked once per text, key against key. Only handing
+    the answers back to the chunks meets hot keys. Returns the chunks with
+    ``md5``, ``translated`` and ``from_cache``, and the fresh cache entries.
     """
-    looked = cache_lookup(chunks, cache, row_id, text, mode, **skew)
-    wanted = (
-        looked.filter("status <> 'hit'").groupBy("md5").agg(F.max(text).alias("text"))
-    )
-    fresh = service(wanted)
-    hits = looked.filter("status = 'hit'").select(
-        *chunks.columns, "md5", "translated", F.lit(1).alias("from_cache"))
-    rest = looked.filter("status <> 'hit'").select(*chunks.columns, "md5")
-    done = lookup(rest, fresh.select("md5", "translated"), ["md5"], row_id, **skew).select(
-        *chunks.columns, "md5", "translated", F.lit(0).alias("from_cache"))
-    return hits.unionByName(done), fresh
+    keyed = chunks.withColumn("md5", tx.digest(text))
+    distinct = keyed.groupBy("md5").agg(F.max(text).alias("text"))
+    looked = distinct.join(cache.select("md5", "translated"), "md5", "left")
+    bad = poisoned("translated", "text" if mode == "foreign" else None)
+    usable = F.col("translated").isNotNull() & ~bad
+    hits = looked.filter(usable).select("md5", "translated", F.lit(1).alias("from_cache"))
+    fresh = service(looked.filter(~usable).select("md5", "text")).select("md5", "translated")
+    answers = hits.unionByName(fresh.withColumn("from_cache", F.lit(0)))
+    done = lookup(keyed, answers, ["md5"], row_id, **skew)
+    return done.select(*chunks.columns, "md5", "translated", "from_cache"), fresh

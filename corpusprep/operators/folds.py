@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.operators.scan import STRETCH, fits_whole, stretch
+from corpusprep.operators.scan import STRETCH, chosen, stretch
 from corpusprep.session import settled
 
 Transfer = Callable[[np.ndarray], list[tuple[int, int, int, int, int]]]
@@ -62,7 +62,8 @@ def stateful_fold(
     """
     keys = list(keys)
     whole = [*keys, STRETCH]
-    if fits_whole(rows, bits):
+    bits = chosen(rows, bits)
+    if not bits:
         return _folded_whole(rows, keys, pos, value, initial, apply, result)
     rows = settled(rows)
     slim = rows.select(*keys, pos, value, stretch(pos, bits))

@@ -19,9 +19,9 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def bounded(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only where the size estimate is below ``limit``."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+def bounded(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only where the size estimate is small."""
+    return F.broadcast(df) if estimated_bytes(df) <= BROADCAST_BYTES else df
 
 
 def lookup(
@@ -30,9 +30,9 @@ def lookup(
     on: Sequence[str],
     row_id: Sequence[str],
     how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    broadcast_bytes: int | None = None,
+    hot_rows: int | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per key.
 
@@ -43,6 +43,9 @@ def lookup(
     replication. All other keys join as they are; no row is left out.
     """
     on, row_id = list(on), list(row_id)
+    broadcast_bytes = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    salts = SALTS if salts is None else salts
     if estimated_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), on, how)
 

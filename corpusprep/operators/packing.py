@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.folds import UNBOUNDED, stateful_fold
-from corpusprep.operators.scan import numbered
+from corpusprep.operators.scan import chosen, numbered
 
 # Service limits the defaults derive from.
 CHUNK_CHARS = 9000
@@ -177,6 +177,7 @@ def split_in_order(
     line, never leaving fewer than ``min_lines`` behind.
     """
     keys = list(keys)
+    bits = chosen(lines, bits)
     dense = numbered(lines, keys, pos, "__i", bits=bits).select(
         *keys, "__i", F.col(pages).alias("__page"),
         F.coalesce(heading, F.lit(False)).alias("__h"), F.coalesce(blank, F.lit(False)).alias("__b"),

@@ -86,17 +86,17 @@ def closed_over(words: Mapping[str, str]) -> dict[str, str]:
     return out
 
 
-def glossary_column(text: Column | str, words: Mapping[str, str], guard: tuple[str, str] = (r"\b", r"\b")) -> Column:
-    """Replace whole words in one pass, keeping the case of what was found."""
+def _words_replaced(
+    docs: DataFrame, text: str, words: Mapping[str, str], left: str = r"\b", right: str = r"\b"
+) -> DataFrame:
+    """Replace whole words of ``text`` in one pass, keeping the case of what was found."""
     table = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
-    pattern = rf"(?iU){guard[0]}(?:{tx.any_of(words)}){guard[1]}"
-    put = F.transform(
-        tx.find_all(text, pattern), lambda m: tx.preserve_case(m, F.element_at(table, F.lower(m)))
-    )
-    gaps = F.split(tx.col(text), pattern, -1)
-    return F.array_join(
-        F.zip_with(gaps, put, lambda gap, p: F.concat(gap, F.coalesce(p, F.lit("")))), ""
-    )
+    pattern = rf"{tx.first_of(words)}(?iU){left}(?:{tx.any_of(words)}){right}"
+    found = docs.withColumn("__found", tx.find_all(text, pattern))
+    put = F.transform("__found", lambda m: tx.let(
+        F.element_at(table, F.lower(m)), lambda r: tx.preserve_case(m, r)))
+    woven = F.when(F.size("__found") > 0, weave(text, pattern, put)).otherwise(F.col(text))
+    return found.withColumn(text, woven).drop("__found")
 
 
 def glossary_rewrite(
@@ -114,9 +114,9 @@ def glossary_rewrite(
     for source, put in (phrases or {}).items():
         by_length.setdefault(len(source), {})[source.lower()] = put
     for length in sorted(by_length, reverse=True):
-        res = res.withColumn(out, glossary_column(out, by_length[length], (r"(?<!\w)", r"(?!\w)")))
+        res = _words_replaced(res, out, by_length[length], r"(?<!\w)", r"(?!\w)")
     if words:
-        res = res.withColumn(out, glossary_column(out, closed_over(words)))
+        res = _words_replaced(res, out, closed_over(words))
     return tx.evaluated(res, [c for c in docs.columns if c != out], {out: F.col(out)})
 
 

@@ -44,13 +44,15 @@ class Run:
 _FOLD = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
-def fits_whole(df: DataFrame, bits: int | None) -> bool:
-    """May a key be handled in one piece: the whole table is known to be small."""
-    return bits is None and estimated_bytes(df) <= WHOLE_BYTES
+def chosen(df: DataFrame, bits: int | None) -> int:
+    """The stretch size for a chain of scans over ``df``: as given, else 0 (keys in one
+    piece) where the whole table is known to be small, else ``BITS``."""
+    if bits is not None:
+        return bits
+    return 0 if estimated_bytes(df) <= WHOLE_BYTES else BITS
 
 
-def stretch(pos: str, bits: int | None) -> Column:
-    bits = BITS if bits is None else bits
+def stretch(pos: str, bits: int) -> Column:
     return F.shiftright(F.col(pos), bits).alias(STRETCH)
 
 
@@ -92,7 +94,8 @@ def running(
     keys = list(keys)
     names = list(runs)
     given = df.columns
-    if fits_whole(df, bits):
+    bits = chosen(df, bits)
+    if not bits:
         return df.select("*", *[
             _filled(run, _over(run, run.value, _ordered(keys, pos, run.backward).rowsBetween(
                 Window.unboundedPreceding, 0 if run.inclusive else -1))).alias(n)
@@ -141,7 +144,8 @@ def with_extremes(
     """Attach whole-key extremes, ``{name: ("max" | "min", value)}``, to every row."""
     keys = list(keys)
     given = df.columns
-    if fits_whole(df, bits):
+    bits = chosen(df, bits)
+    if not bits:
         whole = Window.partitionBy(*keys)
         return df.select("*", *[
             _FOLD[kind](value).over(whole).alias(n) for n, (kind, value) in extremes.items()])
@@ -176,11 +180,11 @@ def looking_ahead(
     """
     keys = list(keys)
     given = df.columns
-    if fits_whole(df, bits):
+    bits = chosen(df, bits)
+    if not bits:
         frame = Window.partitionBy(*keys).orderBy(pos).rowsBetween(1, depth)
         seen = df.withColumn(name, F.collect_list(F.struct(value.alias("v"))).over(frame))
         return seen.withColumn(name, F.transform(name, lambda x: x["v"]))
-    bits = BITS if bits is None else bits
     if depth >= 1 << bits:
         raise ValueError("depth must be smaller than a stretch")
     dense = numbered(df, keys, pos, "__rn", bits=bits)

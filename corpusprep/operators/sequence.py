@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.concat import PART_CHARS, concat_ordered
-from corpusprep.operators.scan import Run, looking_ahead, running, with_extremes
+from corpusprep.operators.scan import Run, chosen, looking_ahead, running, with_extremes
 
 
 def inherit_page(blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
@@ -47,6 +47,7 @@ def page_chunks(
 ) -> DataFrame:
     """Bucket texts in order: ``(*keys, start_page, end_page, part, n_blocks, text)``."""
     keys = list(keys)
+    bits = chosen(blocks, bits)
     bucketed = page_buckets(blocks, keys, pos, pages, width, bits)
     ends = blocks.groupBy(*keys).agg(
         F.coalesce(F.max(F.array_max(pages)), F.lit(0)).alias("__max")
@@ -78,6 +79,7 @@ def monotone_flags(
     jump: int = 10, bits: int | None = None,
 ) -> DataFrame:
     """The same with the decision kept: ``__keep`` is 1, 0, or NULL before any marker."""
+    bits = chosen(blocks, bits)
     highest = running(
         blocks, keys, pos, {"__mx": Run("max", F.col(page), inclusive=False)}, bits
     )
@@ -199,11 +201,12 @@ def tail_ranges(
         F.when(end_matter, F.struct(F.lit("tail").alias("label"), stop.alias("e"))),
     )
     hits = late.select(*keys, at.alias("s"), F.inline(F.array_compact(kinds)))
-    # The earliest end matter alone cuts the tail; a minimum keeps this a partial aggregate.
-    tail = hits.filter("label = 'tail'").groupBy(*keys).agg(
+    # The earliest end matter alone cuts the tail: its headings share one group, in
+    # which a partial minimum is left; every other hit is a group of its own.
+    own = F.when(F.col("label") != "tail", F.col("s"))
+    return hits.groupBy(*keys, "label", own.alias("__own")).agg(
         F.min("s").alias("s"), F.max("e").alias("e")
-    ).select(*keys, "s", "e", F.lit("tail").alias("label"))
-    return hits.filter("label <> 'tail'").select(*keys, "s", "e", "label").unionByName(tail)
+    ).select(*keys, "s", "e", "label")
 
 
 def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
@@ -214,6 +217,7 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int | None = None
     """
     keys = list(keys)
     counted = ranges.groupBy(*keys, "s", "label").agg(F.max("e").alias("e"), F.count("*").alias("n"))
+    bits = chosen(ranges, bits)
     starts = counted.groupBy(*keys, "s").agg(
         F.max("e").alias("e"), F.collect_list(F.struct("label", "n")).alias("here"))
     reach = running(starts, keys, "s", {"__e": Run("max", F.col("e"), inclusive=False)}, bits)
@@ -300,6 +304,7 @@ def fence_state(
     Code fences toggle; a display fence toggles, and explicit openers and
     closers set the display state whatever it was.
     """
+    bits = chosen(lines, bits)
     hit = F.when(code, F.lit(None)).when(toggle, 1)
     one = F.when(code, 1).otherwise(0)
     counted = running(
@@ -346,6 +351,7 @@ def edit_section(
     Nothing happens when either is missing, or the first end falls on the start itself.
     """
     at = F.col(pos)
+    bits = chosen(blocks, bits)
     began = with_extremes(blocks, keys, pos, {"__s": ("min", F.when(starts, at))}, bits)
     closed = with_extremes(
         began, keys, pos, {"__e": ("min", F.when(ends & (at >= F.col("__s")), at))}, bits
@@ -359,6 +365,7 @@ def edit_nearest(
 ) -> DataFrame:
     """Replace from the last start before the first end up to it, unless too far apart."""
     at = F.col(pos)
+    bits = chosen(blocks, bits)
     closed = with_extremes(blocks, keys, pos, {"__e": ("min", F.when(ends, at))}, bits)
     began = with_extremes(
         closed, keys, pos, {"__s": ("max", F.when(starts & (at < F.col("__e")), at))}, bits

@@ -11,7 +11,7 @@ from corpusprep.operators import sequence as sq
 from corpusprep.operators.blocks import drop_contaminated
 from corpusprep.operators.concat import PART_CHARS, concat_ordered
 from corpusprep.operators.packing import PAGES_PER_CHUNK
-from corpusprep.operators.scan import with_extremes
+from corpusprep.operators.scan import chosen, with_extremes
 from corpusprep.session import settled
 
 
@@ -25,13 +25,15 @@ def export_chunks(
 
     Per bucket: blocks outside its page window go, then blocks far behind, then
     contamination, then repeated references. The result has one row per chunk
-    part, with the page range that names it. The filters run on slim rows; texts
-    join what is left, by position.
+    part, with the page range that names it. Large inputs are filtered as slim
+    rows, and the texts join what is left, by position.
     """
     keys = list(keys)
     chunk = [*keys, "start_page"]
+    bits = chosen(blocks, bits)
     slim = blocks.select(
-        *keys, pos, page, pages, contaminated.alias("__contaminated"), ref.alias("__reference"))
+        *keys, pos, page, pages, contaminated.alias("__contaminated"), ref.alias("__reference"),
+        *([] if bits else [text]))
     bounded = with_extremes(slim, keys, pos, {"__max": ("max", F.array_max(pages))}, bits)
     grouped = sq.page_buckets(bounded, keys, pos, pages, width, bits).withColumn(
         "end_page", F.least(F.col("start_page") + width - 1, F.coalesce("__max", F.lit(0))))
@@ -40,8 +42,10 @@ def export_chunks(
     rising = sq.monotone_filter(near, chunk, pos, page, jump, bits)
     clean = drop_contaminated(
         rising, F.col("start_page"), F.col("__contaminated"), contaminated_from)
-    single = sq.dedupe_refs(settled(clean), chunk, F.col("__reference"), pos)
-    kept = single.select(*chunk, "end_page", pos)
-    styled = kept.join(blocks.select(*keys, pos, style(F.col(text)).alias(text)), [*keys, pos])
+    single = sq.dedupe_refs(settled(clean) if bits else clean, chunk, F.col("__reference"), pos)
+    if bits:
+        kept = single.select(*chunk, "end_page", pos)
+        single = kept.join(blocks.select(*keys, pos, text), [*keys, pos])
+    styled = single.withColumn(text, style(F.col(text)))
     joined = concat_ordered(styled, [*chunk, "end_page"], pos, text, part_chars=part_chars, bits=bits)
     return joined.withColumn("page_range", F.format_string("%03d-%03d", "start_page", "end_page"))
