@@ -76,7 +76,7 @@ def test_chunks_lose_nothing(text):
 
 
 def test_chunks_strand_no_heading():
-    assert cut_points("aaaa\n# head\n" + "b" * 30, 15, re.compile(r"#+\s"))[0] == len("aaaa\n")
+    assert cut_points("aaaa\nbb\n# head\n" + "b" * 30, 18, re.compile(r"#+\s"))[0] == len("aaaa\n")
 
 
 def test_wrap_unfenced(spark):
