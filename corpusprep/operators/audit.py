@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from corpusprep.functions import text as tx
 from corpusprep.operators.lookup import bounded
-from corpusprep.operators.scan import Run, running, with_extremes
+from corpusprep.operators.scan import Cutting, Run, running, with_extremes
 
 GAP_BLOCK = 1 << 16
 
@@ -27,7 +27,7 @@ def sequence_audit(rows: DataFrame, keys: Sequence[str], number: str) -> DataFra
     )
 
 
-def missing_numbers(rows: DataFrame, keys: Sequence[str], number: str, bits: int | None = None) -> DataFrame:
+def missing_numbers(rows: DataFrame, keys: Sequence[str], number: str, bits: Cutting = None) -> DataFrame:
     """The numbers from 1 to the largest that do not occur.
 
     Gaps lie between neighbours, so only they are generated, block by block: a
@@ -79,7 +79,7 @@ def ranked(counts: DataFrame, n: str, name: str = "rnk") -> DataFrame:
 
 def error_summary(
     lines: DataFrame, keys: Sequence[str], is_error: Column, pos: str = "pos", k: int = 15,
-    tail: int = 20, bits: int | None = None,
+    tail: int = 20, bits: Cutting = None,
 ) -> DataFrame:
     """The last ``k`` error lines of a job; of a job without any, its last ``tail`` lines.
 

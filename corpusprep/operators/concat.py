@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.scan import Run, running
+from corpusprep.operators.scan import Cutting, Run, running
 
 PART_CHARS = 4 << 20
 
@@ -19,7 +19,7 @@ def concat_ordered(
     text: str = "text",
     sep: str = "\n\n",
     part_chars: int = PART_CHARS,
-    bits: int | None = None,
+    bits: Cutting = None,
 ) -> DataFrame:
     """Join the texts of a key in ``pos`` order: rows ``(*keys, part, n_blocks, text)``.
 

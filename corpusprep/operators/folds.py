@@ -9,6 +9,9 @@ stretches are folded independently.
 
 Rows reach Python sorted by ``(keys, stretch, pos)`` within partitions hashed on
 ``(keys, stretch)``, so a partition holds whole stretches and is read as a stream.
+``mapInPandas`` demands no partitioning of its own: a plain ``repartition(keys)``
+over a join on the same keys is dropped as redundant, and the adaptive join may then
+scatter the keys. So rows are hashed on a hash of the keys, which is never redundant.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.operators.scan import STRETCH, chosen, stretch
+from corpusprep.operators.scan import IS_CUT, STRETCH, Cutting, chosen, in_stretches
 from corpusprep.session import settled
 
 Transfer = Callable[[np.ndarray], list[tuple[int, int, int, int, int]]]
@@ -53,7 +56,7 @@ def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[st
 
 def stateful_fold(
     rows: DataFrame, keys: Sequence[str], pos: str, value: str, initial: int,
-    transfer: Transfer, apply: Apply, result: str, bits: int | None = None,
+    transfer: Transfer, apply: Apply, result: str, bits: Cutting = None,
 ) -> DataFrame:
     """Fold ``value`` along ``pos``: ``(*keys, pos, result)``.
 
@@ -62,12 +65,13 @@ def stateful_fold(
     """
     keys = list(keys)
     whole = [*keys, STRETCH]
-    bits = chosen(rows, bits)
+    bits = chosen(rows, keys, bits)
     if not bits:
         return _folded_whole(rows, keys, pos, value, initial, apply, result)
     rows = settled(rows)
-    slim = rows.select(*keys, pos, value, stretch(pos, bits))
-    placed = slim.repartition(*whole).sortWithinPartitions(*whole, pos)
+    slim = in_stretches(rows.select(*keys, pos, value), pos, bits)
+    cut = slim.filter(IS_CUT).drop(IS_CUT)
+    placed = together(cut, whole, pos)
     key_fields = [rows.schema[k] for k in keys]
     long = T.LongType()
 
@@ -109,11 +113,7 @@ def stateful_fold(
             yield pd.DataFrame(out, columns=entry_type.names)
 
     summaries = placed.mapInPandas(tables, table_type)
-    entered = (
-        summaries.repartition(*keys)
-        .sortWithinPartitions(*keys, STRETCH, "lo")
-        .mapInPandas(entries, entry_type)
-    )
+    entered = together(summaries, keys, STRETCH, "lo").mapInPandas(entries, entry_type)
     result_type = T.StructType([
         *key_fields, rows.schema[pos], T.StructField(result, long),
     ])
@@ -121,8 +121,11 @@ def stateful_fold(
     def results(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for g in groups(batches, whole):
-            got = apply(g[value], int(g["__state"][0]), int(g["__emitted"][0]))
-            held.append([*(g[k] for k in keys), g[pos], got])
+            skip, state, emitted = 0, initial, 0
+            if g["__entry"][0]:
+                skip, state, emitted = 1, int(g[value][0]), int(g["__emitted"][0])
+            got = apply(g[value][skip:], state, emitted)
+            held.append([*(g[k][skip:] for k in keys), g[pos][skip:], got])
             size += len(got)
             if size > 50_000:
                 yield _packed(held, result_type.names)
@@ -130,9 +133,20 @@ def stateful_fold(
         if held:
             yield _packed(held, result_type.names)
 
-    # A broadcast join keeps the partitioning of ``slim``; so hash after the join.
-    joined = slim.join(entered, whole).repartition(*whole)
-    return joined.sortWithinPartitions(*whole, pos).mapInPandas(results, result_type)
+    # The entering state travels as a row in front of its stretch, so no join is needed.
+    first = entered.select(
+        *whole, F.lit(0).cast(rows.schema[pos].dataType).alias(pos), F.col("__state").alias(value),
+        "__emitted", F.lit(True).alias("__entry"))
+    body = slim.drop(IS_CUT).select(
+        *whole, pos, F.col(value).cast("bigint").alias(value), F.lit(0).cast("bigint").alias("__emitted"),
+        F.lit(False).alias("__entry"))
+    stream = together(body.unionByName(first), whole, F.desc("__entry"), pos)
+    return stream.mapInPandas(results, result_type)
+
+
+def together(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFrame:
+    """Rows of a key in one partition, one after the other, in ``order``."""
+    return df.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
 
 
 def _folded_whole(
@@ -148,8 +162,7 @@ def _folded_whole(
         if held:
             yield _packed(held, schema.names)
 
-    slim = rows.select(*keys, pos, value).repartition(*keys).sortWithinPartitions(*keys, pos)
-    return slim.mapInPandas(results, schema)
+    return together(rows.select(*keys, pos, value), keys, pos).mapInPandas(results, schema)
 
 
 def _packed(held: list[list[np.ndarray]], names: list[str]) -> pd.DataFrame:

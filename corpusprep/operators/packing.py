@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.folds import UNBOUNDED, stateful_fold
-from corpusprep.operators.scan import chosen, numbered
+from corpusprep.operators.scan import Cutting, chosen, numbered
 
 # Service limits the defaults derive from.
 CHUNK_CHARS = 9000
@@ -73,7 +73,7 @@ def chunk_text(
 
 
 def fixed_chunks(
-    rows: DataFrame, keys: Sequence[str], pos: str, size: int = PAGES_PER_CHUNK, bits: int | None = None
+    rows: DataFrame, keys: Sequence[str], pos: str, size: int = PAGES_PER_CHUNK, bits: Cutting = None
 ) -> DataFrame:
     """Chunk number by position: ``size`` rows each, from 1."""
     dense = numbered(rows, keys, pos, "__rn", bits=bits)
@@ -131,7 +131,7 @@ def _pack_apply(limit: int):
 
 def pack_batches(
     segments: DataFrame, keys: Sequence[str], size: Column, pos: str = "pos",
-    limit: int = BATCH_CHARS, overhead: int = SEGMENT_OVERHEAD, bits: int | None = None,
+    limit: int = BATCH_CHARS, overhead: int = SEGMENT_OVERHEAD, bits: Cutting = None,
 ) -> DataFrame:
     """Greedy batches in order: ``(*keys, pos, batch)``, batches from 0.
 
@@ -168,7 +168,7 @@ def _cross_apply(level: np.ndarray, state: int, emitted: int) -> np.ndarray:
 def split_in_order(
     lines: DataFrame, keys: Sequence[str], heading: Column, blank: Column, pos: str = "pos",
     pages: str = "page", width: int = PAGES_PER_CHUNK, back: int = 120, min_lines: int = 3,
-    bits: int | None = None,
+    bits: Cutting = None,
 ) -> DataFrame:
     """Sequential page split: ``(*keys, start_page, end_page, first_line, n_lines)``.
 
@@ -177,7 +177,7 @@ def split_in_order(
     line, never leaving fewer than ``min_lines`` behind.
     """
     keys = list(keys)
-    bits = chosen(lines, bits)
+    bits = chosen(lines, keys, bits)
     dense = numbered(lines, keys, pos, "__i", bits=bits).select(
         *keys, "__i", F.col(pages).alias("__page"),
         F.coalesce(heading, F.lit(False)).alias("__h"), F.coalesce(blank, F.lit(False)).alias("__b"),

@@ -1,15 +1,19 @@
 """Running computations over ordered rows that survive a giant key.
 
 A plain ``PARTITION BY key ORDER BY pos`` window puts every row of a key in one
-task. Here each key is cut into stretches of ``2**bits`` consecutive positions
-(``pos`` is unique within a key, so a stretch is bounded by that many rows).
-Windows run inside a stretch, one summary row per stretch is folded along the
-key, and the carried value is joined back on ``(key, stretch)``. Only the
-summaries, never the rows, of a key meet in one task.
+task. That is the best plan as long as no key is giant, so it is taken where
 
-A key cannot be larger than its table. So where the size estimate of the input
-is below ``WHOLE_BYTES`` and ``bits`` is not given, the plain window is taken:
-it needs one shuffle, which later windows on the same keys share.
+* the input is known to be small (its size estimate is below ``WHOLE_BYTES``: a
+  key cannot be larger than its table), or
+* a count per key, a partial aggregate over the key columns alone, finds no key
+  with ``2**BITS`` rows.
+
+Otherwise the rows of the giant keys are cut into stretches of ``2**BITS``
+consecutive positions (``pos`` is unique within a key, so a stretch is bounded by
+that many rows). Windows run inside a stretch, one summary row per stretch is
+folded along the key, and the carried value is joined back on ``(key,
+stretch)``. Only the summaries, never the rows, of a giant key meet in one task;
+all other keys are handled whole, and take no part in the summaries.
 
 Keys must not be NULL.
 """
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusprep.operators.lookup import estimated_bytes
-from corpusprep.session import settled
+from corpusprep.session import materialise, settled
 
 BITS = 18
+HOT_KEYS = 100_000
 WHOLE_BYTES = 64 << 20
 STRETCH = "__stretch"
+IS_CUT = "__is_cut"
 
 
 @dataclass(frozen=True)
@@ -44,16 +50,51 @@ class Run:
 _FOLD = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
-def chosen(df: DataFrame, bits: int | None) -> int:
-    """The stretch size for a chain of scans over ``df``: as given, else 0 (keys in one
-    piece) where the whole table is known to be small, else ``BITS``."""
+@dataclass(frozen=True)
+class Cut:
+    """Cut the keys in ``hot`` into stretches and leave the others whole.
+
+    ``hot`` is a written table of at most ``HOT_KEYS`` keys, so it can be broadcast.
+    """
+
+    bits: int
+    hot: DataFrame
+    keys: tuple[str, ...]
+
+
+Cutting = int | Cut | None
+"""How to cut keys: an integer cuts all of them into ``2**bits`` positions (0: none),
+``None`` decides by the input."""
+
+
+def chosen(df: DataFrame, keys: Sequence[str], bits: Cutting) -> int | Cut:
+    """The cutting for a chain of scans over ``df``; it also holds for longer keys."""
     if bits is not None:
         return bits
-    return 0 if estimated_bytes(df) <= WHOLE_BYTES else BITS
+    if estimated_bytes(df) <= WHOLE_BYTES:
+        return 0
+    keys = list(keys)
+    counts = df.groupBy(*keys).count().filter(F.col("count") >= 1 << BITS)
+    largest = counts.orderBy(F.desc("count"), *keys).limit(HOT_KEYS).select(*keys)
+    hot = materialise(largest, "hot-keys")
+    return 0 if hot.isEmpty() else Cut(BITS, hot, tuple(keys))
+
+
+def width(cutting: int | Cut) -> int:
+    return cutting.bits if isinstance(cutting, Cut) else cutting
 
 
-def stretch(pos: str, bits: int) -> Column:
-    return F.shiftright(F.col(pos), bits).alias(STRETCH)
+def in_stretches(df: DataFrame, pos: str, cutting: int | Cut) -> DataFrame:
+    """Add the stretch of each row, and whether its key is cut at all."""
+    at = F.shiftright(F.col(pos).cast("bigint"), width(cutting))
+    if not isinstance(cutting, Cut):
+        return df.select("*", at.alias(STRETCH), F.lit(True).alias(IS_CUT))
+    hot = F.broadcast(cutting.hot.withColumn("__hot", F.lit(True)))
+    tagged = df.join(hot, list(cutting.keys), "left")
+    is_cut = F.coalesce("__hot", F.lit(False))
+    return tagged.select(
+        *df.columns, F.when(is_cut, at).otherwise(F.lit(0).cast("bigint")).alias(STRETCH),
+        is_cut.alias(IS_CUT))
 
 
 def _ordered(keys: Sequence[str], by: str, backward: bool):
@@ -88,13 +129,13 @@ def _merge(run: Run, near: Column, far: Column) -> Column:
 
 
 def running(
-    df: DataFrame, keys: Sequence[str], pos: str, runs: Mapping[str, Run], bits: int | None = None
+    df: DataFrame, keys: Sequence[str], pos: str, runs: Mapping[str, Run], bits: Cutting = None
 ) -> DataFrame:
     """Add one column per entry of ``runs``."""
     keys = list(keys)
     names = list(runs)
     given = df.columns
-    bits = chosen(df, bits)
+    bits = chosen(df, keys, bits)
     if not bits:
         return df.select("*", *[
             _filled(run, _over(run, run.value, _ordered(keys, pos, run.backward).rowsBetween(
@@ -102,9 +143,8 @@ def running(
             for n, run in runs.items()
         ])
     df = settled(df)
-    valued = df.select(
-        "*", stretch(pos, bits), *[runs[n].value.alias(f"__v_{n}") for n in names]
-    )
+    valued = in_stretches(
+        df.select("*", *[runs[n].value.alias(f"__v_{n}") for n in names]), pos, bits)
 
     local = []
     for n in names:
@@ -115,7 +155,7 @@ def running(
         local.append(_over(run, f"__v_{n}", frame).alias(f"__l_{n}"))
     near = valued.select(*given, STRETCH, *local)
 
-    summary = valued.groupBy(*keys, STRETCH).agg(
+    summary = valued.filter(IS_CUT).groupBy(*keys, STRETCH).agg(
         *[_summary(runs[n], f"__v_{n}", pos).alias(f"__s_{n}") for n in names]
     )
     carried = [
@@ -139,30 +179,32 @@ def with_extremes(
     keys: Sequence[str],
     pos: str,
     extremes: Mapping[str, tuple[str, Column]],
-    bits: int | None = None,
+    bits: Cutting = None,
 ) -> DataFrame:
     """Attach whole-key extremes, ``{name: ("max" | "min", value)}``, to every row."""
     keys = list(keys)
     given = df.columns
-    bits = chosen(df, bits)
+    bits = chosen(df, keys, bits)
     if not bits:
         whole = Window.partitionBy(*keys)
         return df.select("*", *[
             _FOLD[kind](value).over(whole).alias(n) for n, (kind, value) in extremes.items()])
     df = settled(df)
-    cut = df.select("*", stretch(pos, bits))
-    per_stretch = cut.groupBy(*keys, STRETCH).agg(
-        *[_FOLD[kind](value).alias(n) for n, (kind, value) in extremes.items()]
-    )
+    cut = in_stretches(df, pos, bits)
+    here = Window.partitionBy(*keys, STRETCH)
+    near = cut.select(
+        *given, STRETCH, *[_FOLD[kind](value).over(here).alias(n) for n, (kind, value) in extremes.items()])
+    per_stretch = cut.filter(IS_CUT).groupBy(*keys, STRETCH).agg(
+        *[_FOLD[kind](value).alias(n) for n, (kind, value) in extremes.items()])
     whole = Window.partitionBy(*keys)
-    per_key = per_stretch.select(
-        *keys, STRETCH, *[_FOLD[kind](n).over(whole).alias(n) for n, (kind, _) in extremes.items()]
-    )
-    return cut.join(per_key, [*keys, STRETCH], "left").select(*given, *extremes)
+    far = per_stretch.select(*keys, STRETCH, *[
+        _FOLD[kind](n).over(whole).alias(f"__f_{n}") for n, (kind, _) in extremes.items()])
+    return near.join(far, [*keys, STRETCH], "left").select(
+        *given, *[F.coalesce(f"__f_{n}", n).alias(n) for n in extremes])
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], pos: str, name: str, start: int = 0, bits: int | None = None
+    df: DataFrame, keys: Sequence[str], pos: str, name: str, start: int = 0, bits: Cutting = None
 ) -> DataFrame:
     """Dense row number within a key, in ``pos`` order."""
     counted = running(df, keys, pos, {name: Run("sum", F.lit(1).cast("bigint"))}, bits)
@@ -171,7 +213,7 @@ def numbered(
 
 def looking_ahead(
     df: DataFrame, keys: Sequence[str], pos: str, value: Column, depth: int, name: str,
-    bits: int | None = None,
+    bits: Cutting = None,
 ) -> DataFrame:
     """Array of ``value`` on the next ``depth`` rows of the key (shorter at the end).
 
@@ -180,16 +222,17 @@ def looking_ahead(
     """
     keys = list(keys)
     given = df.columns
-    bits = chosen(df, bits)
+    bits = chosen(df, keys, bits)
     if not bits:
         frame = Window.partitionBy(*keys).orderBy(pos).rowsBetween(1, depth)
         seen = df.withColumn(name, F.collect_list(F.struct(value.alias("v"))).over(frame))
         return seen.withColumn(name, F.transform(name, lambda x: x["v"]))
-    if depth >= 1 << bits:
+    size = width(bits)
+    if depth >= 1 << size:
         raise ValueError("depth must be smaller than a stretch")
     dense = numbered(df, keys, pos, "__rn", bits=bits)
-    here = F.shiftright(F.col("__rn"), bits)
-    in_head = (F.col("__rn").bitwiseAND(F.lit((1 << bits) - 1)) < depth) & (here > 0)
+    here = F.shiftright(F.col("__rn"), size)
+    in_head = (F.col("__rn").bitwiseAND(F.lit((1 << size) - 1)) < depth) & (here > 0)
     copies = dense.withColumn("__v", F.struct(value.alias("v"))).withColumn(
         STRETCH, F.explode(F.when(in_head, F.array(here, here - 1)).otherwise(F.array(here)))
     )

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.concat import PART_CHARS, concat_ordered
-from corpusprep.operators.scan import Run, chosen, looking_ahead, running, with_extremes
+from corpusprep.operators.scan import Cutting, Run, chosen, looking_ahead, running, with_extremes
 
 
 def inherit_page(blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
-                 name: str = "eff_page", bits: int | None = None) -> DataFrame:
+                 name: str = "eff_page", bits: Cutting = None) -> DataFrame:
     """The page of the last marked block at or before each block, else 0."""
     out = running(blocks, keys, pos, {name: Run("last", F.col(page))}, bits)
     return out.withColumn(name, F.coalesce(name, F.lit(0)))
@@ -24,7 +24,7 @@ def inherit_page(blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page:
 
 def page_buckets(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", pages: str = "pages",
-    width: int = 50, bits: int | None = None,
+    width: int = 50, bits: Cutting = None,
 ) -> DataFrame:
     """One row per block and bucket it belongs to, with ``start_page``.
 
@@ -43,11 +43,11 @@ def page_buckets(
 
 def page_chunks(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", pages: str = "pages",
-    text: str = "text", width: int = 50, part_chars: int = PART_CHARS, bits: int | None = None,
+    text: str = "text", width: int = 50, part_chars: int = PART_CHARS, bits: Cutting = None,
 ) -> DataFrame:
     """Bucket texts in order: ``(*keys, start_page, end_page, part, n_blocks, text)``."""
     keys = list(keys)
-    bits = chosen(blocks, bits)
+    bits = chosen(blocks, keys, bits)
     bucketed = page_buckets(blocks, keys, pos, pages, width, bits)
     ends = blocks.groupBy(*keys).agg(
         F.coalesce(F.max(F.array_max(pages)), F.lit(0)).alias("__max")
@@ -62,7 +62,7 @@ def page_chunks(
 
 def monotone_filter(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
-    jump: int = 10, bits: int | None = None,
+    jump: int = 10, bits: Cutting = None,
 ) -> DataFrame:
     """Drop marked blocks that fall more than ``jump`` pages behind, and what follows them.
 
@@ -76,10 +76,10 @@ def monotone_filter(
 
 def monotone_flags(
     blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
-    jump: int = 10, bits: int | None = None,
+    jump: int = 10, bits: Cutting = None,
 ) -> DataFrame:
     """The same with the decision kept: ``__keep`` is 1, 0, or NULL before any marker."""
-    bits = chosen(blocks, bits)
+    bits = chosen(blocks, keys, bits)
     highest = running(
         blocks, keys, pos, {"__mx": Run("max", F.col(page), inclusive=False)}, bits
     )
@@ -92,7 +92,7 @@ def monotone_flags(
 
 def window_filter(
     blocks: DataFrame, keys: Sequence[str], low: Column, high: Column, pos: str = "pos",
-    pages: str = "pages", tolerance: int = 8, bits: int | None = None,
+    pages: str = "pages", tolerance: int = 8, bits: Cutting = None,
 ) -> DataFrame:
     """Keep blocks of an expected page window.
 
@@ -115,7 +115,7 @@ def window_filter(
 
 def drop_sections(
     blocks: DataFrame, keys: Sequence[str], opens: Column, heading: Column, pos: str = "pos",
-    bits: int | None = None,
+    bits: Cutting = None,
 ) -> DataFrame:
     """Drop each section whose heading matches ``opens``, up to the next other heading."""
     given = blocks.columns
@@ -126,7 +126,7 @@ def drop_sections(
 
 def page_asof(
     points: DataFrame, markers: DataFrame, keys: Sequence[str], off: str = "off",
-    page: str = "page", bits: int | None = None,
+    page: str = "page", bits: Cutting = None,
 ) -> DataFrame:
     """Points with the largest page marked at or before their offset, 0 if none.
 
@@ -141,7 +141,7 @@ def page_asof(
 
 
 def next_marker(
-    points: DataFrame, markers: DataFrame, keys: Sequence[str], off: str = "off", bits: int | None = None
+    points: DataFrame, markers: DataFrame, keys: Sequence[str], off: str = "off", bits: Cutting = None
 ) -> DataFrame:
     """Points with the offset of the first marker after theirs, NULL if none."""
     keys = list(keys)
@@ -170,7 +170,7 @@ def _interleaved(
 
 def tail_ranges(
     blocks: DataFrame, keys: Sequence[str], section: Column, heading: Column, appendix: Column,
-    end_matter: Column, pos: str = "pos", page: str = "page", margin: int = 60, bits: int | None = None,
+    end_matter: Column, pos: str = "pos", page: str = "page", margin: int = 60, bits: Cutting = None,
 ) -> DataFrame:
     """Ranges to remove near the end of a document: ``(*keys, s, e, label)``, ``e`` excluded.
 
@@ -209,7 +209,7 @@ def tail_ranges(
     ).select(*keys, "s", "e", "label")
 
 
-def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
+def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: Cutting = None) -> DataFrame:
     """Merge overlapping or touching ranges: ``(*keys, s, e, n_ranges, labels)``.
 
     ``labels`` lists each label once with its count and first start, in order of
@@ -217,7 +217,7 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int | None = None
     """
     keys = list(keys)
     counted = ranges.groupBy(*keys, "s", "label").agg(F.max("e").alias("e"), F.count("*").alias("n"))
-    bits = chosen(ranges, bits)
+    bits = chosen(ranges, keys, bits)
     starts = counted.groupBy(*keys, "s").agg(
         F.max("e").alias("e"), F.collect_list(F.struct("label", "n")).alias("here"))
     reach = running(starts, keys, "s", {"__e": Run("max", F.col("e"), inclusive=False)}, bits)
@@ -235,7 +235,7 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: int | None = None
 
 
 def remove_ranges(
-    blocks: DataFrame, ranges: DataFrame, keys: Sequence[str], pos: str = "pos", bits: int | None = None
+    blocks: DataFrame, ranges: DataFrame, keys: Sequence[str], pos: str = "pos", bits: Cutting = None
 ) -> DataFrame:
     """Drop the blocks inside any range ``[s, e)``.
 
@@ -276,7 +276,7 @@ def dedupe_refs(
 
 def caption_lookahead(
     lines: DataFrame, keys: Sequence[str], anchor: Column, name: Column, text: Column,
-    structural: Column, pos: str = "pos", depth: int = 4, bits: int | None = None,
+    structural: Column, pos: str = "pos", depth: int = 4, bits: Cutting = None,
 ) -> DataFrame:
     """Captions of anchors: ``(*keys, name, caption)``.
 
@@ -297,14 +297,14 @@ def caption_lookahead(
 
 def fence_state(
     lines: DataFrame, keys: Sequence[str], code: Column, toggle: Column, opens: Column,
-    closes: Column, pos: str = "pos", bits: int | None = None,
+    closes: Column, pos: str = "pos", bits: Cutting = None,
 ) -> DataFrame:
     """State before each line: ``in_code`` and ``in_display``.
 
     Code fences toggle; a display fence toggles, and explicit openers and
     closers set the display state whatever it was.
     """
-    bits = chosen(lines, bits)
+    bits = chosen(lines, keys, bits)
     hit = F.when(code, F.lit(None)).when(toggle, 1)
     one = F.when(code, 1).otherwise(0)
     counted = running(
@@ -329,7 +329,7 @@ def fence_state(
 
 def section_starts(
     blocks: DataFrame, keys: Sequence[str], heading: Column, pos: str = "pos", page: str = "page",
-    bits: int | None = None,
+    bits: Cutting = None,
 ) -> DataFrame:
     """First page of each section, carried over where its heading has no marker."""
     keys = list(keys)
@@ -344,14 +344,14 @@ def section_starts(
 
 def edit_section(
     blocks: DataFrame, keys: Sequence[str], starts: Column, ends: Column, replacement: Column,
-    pos: str = "pos", text: str = "text", bits: int | None = None,
+    pos: str = "pos", text: str = "text", bits: Cutting = None,
 ) -> DataFrame:
     """Replace everything from the first start up to the first end after it.
 
     Nothing happens when either is missing, or the first end falls on the start itself.
     """
     at = F.col(pos)
-    bits = chosen(blocks, bits)
+    bits = chosen(blocks, keys, bits)
     began = with_extremes(blocks, keys, pos, {"__s": ("min", F.when(starts, at))}, bits)
     closed = with_extremes(
         began, keys, pos, {"__e": ("min", F.when(ends & (at >= F.col("__s")), at))}, bits
@@ -361,11 +361,11 @@ def edit_section(
 
 def edit_nearest(
     blocks: DataFrame, keys: Sequence[str], starts: Column, ends: Column, replacement: Column,
-    max_distance: int, pos: str = "pos", text: str = "text", bits: int | None = None,
+    max_distance: int, pos: str = "pos", text: str = "text", bits: Cutting = None,
 ) -> DataFrame:
     """Replace from the last start before the first end up to it, unless too far apart."""
     at = F.col(pos)
-    bits = chosen(blocks, bits)
+    bits = chosen(blocks, keys, bits)
     closed = with_extremes(blocks, keys, pos, {"__e": ("min", F.when(ends, at))}, bits)
     began = with_extremes(
         closed, keys, pos, {"__s": ("max", F.when(starts & (at < F.col("__e")), at))}, bits

@@ -11,7 +11,7 @@ from corpusprep.operators import sequence as sq
 from corpusprep.operators.blocks import drop_contaminated
 from corpusprep.operators.concat import PART_CHARS, concat_ordered
 from corpusprep.operators.packing import PAGES_PER_CHUNK
-from corpusprep.operators.scan import chosen, with_extremes
+from corpusprep.operators.scan import Cutting, chosen, with_extremes
 from corpusprep.session import settled
 
 
@@ -19,7 +19,7 @@ def export_chunks(
     blocks: DataFrame, keys: Sequence[str], contaminated: Column, ref: Column,
     style: Callable[[Column], Column], pos: str = "pos", page: str = "page", pages: str = "pages",
     text: str = "text", width: int = PAGES_PER_CHUNK, tolerance: int = 2, jump: int = 10,
-    contaminated_from: int = 150, part_chars: int = PART_CHARS, bits: int | None = None,
+    contaminated_from: int = 150, part_chars: int = PART_CHARS, bits: Cutting = None,
 ) -> DataFrame:
     """Group by page bucket, filter each bucket, restyle, and join the texts.
 
@@ -30,7 +30,7 @@ def export_chunks(
     """
     keys = list(keys)
     chunk = [*keys, "start_page"]
-    bits = chosen(blocks, bits)
+    bits = chosen(blocks, keys, bits)
     slim = blocks.select(
         *keys, pos, page, pages, contaminated.alias("__contaminated"), ref.alias("__reference"),
         *([] if bits else [text]))

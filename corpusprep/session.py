@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +26,24 @@ def build_session(app: str = "corpusprep", master: str | None = None, **conf: st
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable by the Python workers of a session."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="corpusprep-zip-")) / "corpusprep.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
+    return spark
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.scan import numbered
+from corpusprep.operators.scan import Cutting, numbered
 
 
 def write_manifest(assets: DataFrame, folder: str) -> None:
@@ -16,7 +16,7 @@ def write_manifest(assets: DataFrame, folder: str) -> None:
     assets.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/csv")
 
 
-def chunk_manifest(chunks: DataFrame, keys: Sequence[str], stem: str = "doc", bits: int | None = None) -> DataFrame:
+def chunk_manifest(chunks: DataFrame, keys: Sequence[str], stem: str = "doc", bits: Cutting = None) -> DataFrame:
     """Index, page range, status and file name of each chunk, numbered per document from 1."""
     span = F.format_string("%03d-%03d", "start_page", "end_page")
     name = F.concat(F.lit(f"{stem}"), F.concat_ws("_", *keys), F.lit("_p"), span, F.lit(".md"))

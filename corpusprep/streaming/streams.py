@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions import text as tx
-from corpusprep.operators.scan import Run, running
+from corpusprep.operators.scan import Cutting, Run, running
 
 
 def _before(spark: SparkSession, path: str, schema: T.StructType, batch: int) -> DataFrame:
@@ -58,7 +58,7 @@ def stream_cache_misses(
 
 def stream_monotone_filter(
     blocks: DataFrame, folder: str, keys: Sequence[str], pos: str = "pos", page: str = "page",
-    jump: int = 10, bits: int | None = None,
+    jump: int = 10, bits: Cutting = None,
 ) -> DataFrame:
     """The monotone page filter over blocks that keep arriving.
 

@@ -245,3 +245,24 @@ def test_a_hot_key_is_spread(spark):
     flags = sq.inherit_page(rows, ["doc"], bits=10).withColumn("task", F.spark_partition_id())
     per_task = [r["count"] for r in flags.filter("doc = 0").groupBy("task").count().collect()]
     assert sum(per_task) == 20_000 and max(per_task) < 15_000
+
+
+@pytest.mark.parametrize("bits", [0, 6, None])
+def test_folds_survive_adaptive_joins(spark, monkeypatch, bits):
+    """A join before the fold, turned into a broadcast at run time, must not scatter keys."""
+    from corpusprep.operators import scan
+
+    monkeypatch.setattr(scan, "WHOLE_BYTES", -1)
+    monkeypatch.setattr(scan, "BITS", 9)
+    monkeypatch.setattr(scan, "HOT_KEYS", 3)
+    base = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("doc"), F.col("id").alias("pos"))
+    names = spark.range(40).select(F.col("id").alias("doc"), (F.col("id") % 7 + 1).cast("int").alias("n"))
+    rows = base.join(names.groupBy("doc").agg(F.max("n").alias("n")).hint("merge"), "doc")
+    got = packing.pack_batches(rows, ["doc"], F.col("n"), limit=50, overhead=1, bits=bits)
+    sizes = {r["doc"]: (r["m"], r["n"]) for r in got.groupBy("doc").agg(
+        F.max("batch").alias("m"), F.count("*").alias("n")).collect()}
+    for doc, (top, n) in sizes.items():
+        per_batch = 50 // (doc % 7 + 2)
+        assert top == (n - 1) // per_batch
+    assert sum(n for _, n in sizes.values()) == 40_000
