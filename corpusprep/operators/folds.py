@@ -24,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.operators.scan import IS_CUT, STRETCH, Cutting, chosen, in_stretches
+from corpusprep.operators.scan import STRETCH, Cutting, chosen, in_stretches
 from corpusprep.session import settled
 
 Transfer = Callable[[np.ndarray], list[tuple[int, int, int, int, int]]]
 Apply = Callable[[np.ndarray, int, int], np.ndarray]
 UNBOUNDED = 1 << 40
+WHOLE_KEY = -(1 << 62)
 
 
 def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
@@ -70,8 +71,7 @@ def stateful_fold(
         return _folded_whole(rows, keys, pos, value, initial, apply, result)
     rows = settled(rows)
     slim = in_stretches(rows.select(*keys, pos, value), pos, bits)
-    cut = slim.filter(IS_CUT).drop(IS_CUT)
-    placed = together(cut, whole, pos)
+    placed = together(slim.filter(F.col(STRETCH).isNotNull()), whole, pos)
     key_fields = [rows.schema[k] for k in keys]
     long = T.LongType()
 
@@ -137,8 +137,8 @@ def stateful_fold(
     first = entered.select(
         *whole, F.lit(0).cast(rows.schema[pos].dataType).alias(pos), F.col("__state").alias(value),
         "__emitted", F.lit(True).alias("__entry"))
-    body = slim.drop(IS_CUT).select(
-        *whole, pos, F.col(value).cast("bigint").alias(value), F.lit(0).cast("bigint").alias("__emitted"),
+    body = slim.select(
+        *keys, F.coalesce(STRETCH, F.lit(WHOLE_KEY)).alias(STRETCH), pos, F.col(value).cast("bigint").alias(value), F.lit(0).cast("bigint").alias("__emitted"),
         F.lit(False).alias("__entry"))
     stream = together(body.unionByName(first), whole, F.desc("__entry"), pos)
     return stream.mapInPandas(results, result_type)

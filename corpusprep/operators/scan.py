@@ -34,7 +34,6 @@ BITS = 18
 HOT_KEYS = 100_000
 WHOLE_BYTES = 64 << 20
 STRETCH = "__stretch"
-IS_CUT = "__is_cut"
 
 
 @dataclass(frozen=True)
@@ -85,16 +84,20 @@ def width(cutting: int | Cut) -> int:
 
 
 def in_stretches(df: DataFrame, pos: str, cutting: int | Cut) -> DataFrame:
-    """Add the stretch of each row, and whether its key is cut at all."""
+    """Add the stretch of each row, NULL where its key is handled whole.
+
+    A chain of scans adds it once: as long as the column is kept, later windows
+    find their rows partitioned and sorted already. Filters on it are filters on a
+    partition column, so summaries never touch the rows of other keys.
+    """
+    if not cutting or STRETCH in df.columns:
+        return df
     at = F.shiftright(F.col(pos).cast("bigint"), width(cutting))
     if not isinstance(cutting, Cut):
-        return df.select("*", at.alias(STRETCH), F.lit(True).alias(IS_CUT))
+        return df.select("*", at.alias(STRETCH))
     hot = F.broadcast(cutting.hot.withColumn("__hot", F.lit(True)))
     tagged = df.join(hot, list(cutting.keys), "left")
-    is_cut = F.coalesce("__hot", F.lit(False))
-    return tagged.select(
-        *df.columns, F.when(is_cut, at).otherwise(F.lit(0).cast("bigint")).alias(STRETCH),
-        is_cut.alias(IS_CUT))
+    return tagged.select(*df.columns, F.when(F.col("__hot"), at).alias(STRETCH))
 
 
 def _ordered(keys: Sequence[str], by: str, backward: bool):
@@ -153,9 +156,10 @@ def running(
             Window.unboundedPreceding, 0 if run.inclusive else -1
         )
         local.append(_over(run, f"__v_{n}", frame).alias(f"__l_{n}"))
-    near = valued.select(*given, STRETCH, *local)
+    rows = [c for c in given if c != STRETCH]
+    near = valued.select(*rows, STRETCH, *local)
 
-    summary = valued.filter(IS_CUT).groupBy(*keys, STRETCH).agg(
+    summary = valued.filter(F.col(STRETCH).isNotNull()).groupBy(*keys, STRETCH).agg(
         *[_summary(runs[n], f"__v_{n}", pos).alias(f"__s_{n}") for n in names]
     )
     carried = [
@@ -192,9 +196,10 @@ def with_extremes(
     df = settled(df)
     cut = in_stretches(df, pos, bits)
     here = Window.partitionBy(*keys, STRETCH)
+    rows = [c for c in given if c != STRETCH]
     near = cut.select(
-        *given, STRETCH, *[_FOLD[kind](value).over(here).alias(n) for n, (kind, value) in extremes.items()])
-    per_stretch = cut.filter(IS_CUT).groupBy(*keys, STRETCH).agg(
+        *rows, STRETCH, *[_FOLD[kind](value).over(here).alias(n) for n, (kind, value) in extremes.items()])
+    per_stretch = cut.filter(F.col(STRETCH).isNotNull()).groupBy(*keys, STRETCH).agg(
         *[_FOLD[kind](value).alias(n) for n, (kind, value) in extremes.items()])
     whole = Window.partitionBy(*keys)
     far = per_stretch.select(*keys, STRETCH, *[

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.concat import PART_CHARS, concat_ordered
-from corpusprep.operators.scan import Cutting, Run, chosen, looking_ahead, running, with_extremes
+from corpusprep.operators.scan import STRETCH, Cutting, Run, chosen, in_stretches, looking_ahead, running, with_extremes
 
 
 def inherit_page(blocks: DataFrame, keys: Sequence[str], pos: str = "pos", page: str = "page",
@@ -81,13 +81,13 @@ def monotone_flags(
     """The same with the decision kept: ``__keep`` is 1, 0, or NULL before any marker."""
     bits = chosen(blocks, keys, bits)
     highest = running(
-        blocks, keys, pos, {"__mx": Run("max", F.col(page), inclusive=False)}, bits
+        in_stretches(blocks, pos, bits), keys, pos, {"__mx": Run("max", F.col(page), inclusive=False)}, bits
     )
     decided = F.when(
         F.col(page).isNotNull(),
         F.when(F.col(page) < F.col("__mx") - jump, 0).otherwise(1),
     )
-    return running(highest, keys, pos, {"__keep": Run("last", decided)}, bits).drop("__mx")
+    return running(highest, keys, pos, {"__keep": Run("last", decided)}, bits).drop("__mx", STRETCH)
 
 
 def window_filter(
@@ -220,7 +220,7 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: Cutting = None) -
     bits = chosen(ranges, keys, bits)
     starts = counted.groupBy(*keys, "s").agg(
         F.max("e").alias("e"), F.collect_list(F.struct("label", "n")).alias("here"))
-    reach = running(starts, keys, "s", {"__e": Run("max", F.col("e"), inclusive=False)}, bits)
+    reach = running(in_stretches(starts, "s", bits), keys, "s", {"__e": Run("max", F.col("e"), inclusive=False)}, bits)
     opens = F.when(F.col("__e").isNull() | (F.col("s") > F.col("__e")), F.col("s"))
     placed = running(reach, keys, "s", {"island": Run("last", opens)}, bits)
     per_label = placed.select(*keys, "island", "s", "e", F.inline("here")).groupBy(
@@ -308,7 +308,7 @@ def fence_state(
     hit = F.when(code, F.lit(None)).when(toggle, 1)
     one = F.when(code, 1).otherwise(0)
     counted = running(
-        lines, keys, pos,
+        in_stretches(lines, pos, bits), keys, pos,
         {
             "__codes": Run("sum", one, inclusive=False),
             "__toggles": Run("sum", F.coalesce(hit, F.lit(0)), inclusive=False),
@@ -352,7 +352,7 @@ def edit_section(
     """
     at = F.col(pos)
     bits = chosen(blocks, keys, bits)
-    began = with_extremes(blocks, keys, pos, {"__s": ("min", F.when(starts, at))}, bits)
+    began = with_extremes(in_stretches(blocks, pos, bits), keys, pos, {"__s": ("min", F.when(starts, at))}, bits)
     closed = with_extremes(
         began, keys, pos, {"__e": ("min", F.when(ends & (at >= F.col("__s")), at))}, bits
     )
@@ -366,7 +366,7 @@ def edit_nearest(
     """Replace from the last start before the first end up to it, unless too far apart."""
     at = F.col(pos)
     bits = chosen(blocks, keys, bits)
-    closed = with_extremes(blocks, keys, pos, {"__e": ("min", F.when(ends, at))}, bits)
+    closed = with_extremes(in_stretches(blocks, pos, bits), keys, pos, {"__e": ("min", F.when(ends, at))}, bits)
     began = with_extremes(
         closed, keys, pos, {"__s": ("max", F.when(starts & (at < F.col("__e")), at))}, bits
     )

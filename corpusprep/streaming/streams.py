@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions import text as tx
-from corpusprep.operators.scan import Cutting, Run, running
+from corpusprep.operators.scan import Cutting, Run, chosen, in_stretches, running
 
 
 def _before(spark: SparkSession, path: str, schema: T.StructType, batch: int) -> DataFrame:
@@ -90,17 +90,18 @@ def stream_monotone_filter(
             "*", F.col(page).cast("bigint").alias("__value"), F.lit(0).alias("__state"),
             (F.col(pos) * 2).alias("__at"))
         both = arrived.unionByName(carried, allowMissingColumns=True)
-        placed = running(both, keys, "__at", {
-            "__ahead": Run("max", F.col("__state"), inclusive=False, backward=True)}, bits)
+        cutting = chosen(both, keys, bits)
+        placed = running(in_stretches(both, "__at", cutting), keys, "__at", {
+            "__ahead": Run("max", F.col("__state"), inclusive=False, backward=True)}, cutting)
         late = (F.col("__state") == 0) & (F.coalesce("__ahead", F.lit(0)) == 1)
         # Late blocks stay in the rows but have no say in the scans.
         heard = placed.withColumns({"__late": late, "__value": F.when(~late, F.col("__value"))})
         highest = running(heard, keys, "__at", {
-            "__mx": Run("max", F.col("__value"), inclusive=False)}, bits)
+            "__mx": Run("max", F.col("__value"), inclusive=False)}, cutting)
         decided = F.when(F.col("__state") == 1, F.col("__keep0")).when(
             F.col("__value").isNotNull(),
             F.when(F.col("__value") < F.col("__mx") - jump, 0).otherwise(1))
-        done = running(highest, keys, "__at", {"keep": Run("last", decided)}, bits)
+        done = running(highest, keys, "__at", {"keep": Run("last", decided)}, cutting)
         status = F.when(F.col("__late"), "late").when(
             F.coalesce("keep", F.lit(1)) == 1, "kept").otherwise("dropped")
         _write(done.filter("__state = 0").withColumn("status", status).select(*rows.names),
