@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from corpusprep.catalog.base import (
     GLOSSARY, SP, documents, query, sql_glossary, sql_mask, sql_unmask, table)
 from corpusprep.catalog.reports import residual_flag, sql_residual
-from corpusprep.functions import text as tx
 from corpusprep.operators.packing import pack_batches
 from corpusprep.operators.residual import translate_segments
 from corpusprep.operators.rules import Rule, guarded, rewrite, wrap_unfenced

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusprep.catalog.base import EV, marked_blocks, query, table
 from corpusprep.catalog.events import MONOTONE
