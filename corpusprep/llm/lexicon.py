@@ -1,0 +1,165 @@
+"""Facts about distinct words, brought back to the words of every document.
+
+A lexicon is a table ``(h, payload)``: the XXH64 (seed 42) of a word and bytes about it.
+``attach`` meets it with documents in one of two ways that give equal results. A lexicon
+whose measured size is below ``BROADCAST_BYTES`` is sent to the workers. A larger one is
+joined by block: documents are hashed into blocks of bounded text size, the distinct words
+of a block are joined to the lexicon on ``h``, and the block's documents meet its part of
+the lexicon. Only distinct words per block move, never every occurrence.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Iterable
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusprep.llm.common import Rows, slices, spans_of, texts
+
+BROADCAST_BYTES = 192 << 20
+BLOCK_BYTES = 16 << 20
+TASK_WORDS = 1_000_000
+SEED = 42
+
+Split = Callable[[bytes], list]
+
+
+class Lexicon:
+    """Payloads by hash, in sorted arrays."""
+
+    def __init__(self, hashes: np.ndarray, payloads: pa.Array):
+        payloads = payloads.cast(pa.large_binary())
+        order = np.argsort(hashes, kind="stable")
+        raw_offsets, data = payloads.buffers()[1], payloads.buffers()[2]
+        at = np.frombuffer(raw_offsets, np.int64)[payloads.offset:payloads.offset + len(payloads) + 1]
+        bytes_ = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+        sizes = np.diff(at)[order]
+        self.hashes = hashes[order]
+        self.offsets = spans_of(sizes)
+        if len(at) and len(sizes):
+            begin = at[:-1][order]
+            index = np.repeat(begin - self.offsets[:-1], sizes) + np.arange(int(sizes.sum()))
+            self.flat = bytes_[index]
+        else:
+            self.flat = np.empty(0, np.uint8)
+
+    @staticmethod
+    def of(table: pa.Table) -> Lexicon:
+        if not table.num_rows:
+            return Lexicon(np.empty(0, np.int64), pa.array([], pa.binary()))
+        table = table.combine_chunks()
+        return Lexicon(
+            table.column("h").to_numpy(), table.column("payload").cast(pa.large_binary()).combine_chunks())
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Entry of each hash, -1 where there is none."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def view(self, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+        """The payloads as numbers, and their offsets."""
+        return self.flat.view(dtype), self.offsets // np.dtype(dtype).itemsize
+
+
+def hashes_of(words: Iterable, n: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, n).view(np.int64)
+
+
+def located(lists: list[list], lexicon: Lexicon) -> np.ndarray:
+    """Lexicon entries of all words of all lists, end to end."""
+    number = {w: i for i, w in enumerate(set().union(*lists))}
+    entry = lexicon.find(hashes_of(number, len(number)))
+    total = sum(map(len, lists))
+    return entry[np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, total)]
+
+
+Fold = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, Lexicon], pa.RecordBatch]
+
+
+def attach(
+    docs: DataFrame, lexicon: DataFrame, split: Split, fold: Fold, schema: str,
+    broadcast_bytes: int | None = None, block_bytes: int | None = None,
+) -> DataFrame:
+    """``fold(piece, entries, offsets, lexicon)`` over slices of documents.
+
+    ``docs`` has the text as bytes in ``text``; ``entries[offsets[i]:offsets[i + 1]]`` are
+    the lexicon entries of the words of the piece's row ``i``.
+    """
+    spark = docs.sparkSession
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    size = lexicon.agg(F.sum(F.octet_length("payload") + 24)).first()[0] or 0
+
+    def folded(piece: pa.RecordBatch, entries: Lexicon) -> pa.RecordBatch:
+        lists = [split(t) for t in texts(piece)]
+        return fold(piece, located(lists, entries), spans_of(list(map(len, lists))), entries)
+
+    if size <= limit:
+        shared = spark.sparkContext.broadcast(Lexicon.of(lexicon.select("h", "payload").toArrow()))
+
+        def run(batches: Rows) -> Rows:
+            for batch in batches:
+                for piece in slices(batch, "text"):
+                    yield folded(piece, shared.value)
+
+        return docs.mapInArrow(run, schema)
+
+    per_block = BLOCK_BYTES if block_bytes is None else block_bytes
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / per_block))
+    placed = docs.withColumn(
+        "block", F.pmod(F.xxhash64(*docs.columns), F.lit(blocks))).repartition("block")
+
+    def pairs(batches: Rows) -> Rows:
+        for batch in batches:
+            by_block: dict[int, set] = {}
+            for b, t in zip(batch.column("block").to_pylist(), texts(batch)):
+                by_block.setdefault(b, set()).update(split(t))
+            for b, words in by_block.items():
+                h = hashes_of(words, len(words))
+                yield pa.record_batch([pa.array(np.full(len(h), b)), pa.array(h)], ["block", "h"])
+
+    wanted = placed.select("block", "text").mapInArrow(pairs, "block long, h long")
+    found = wanted.join(lexicon.select("h", "payload"), "h").select("block", "h", "payload")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, first = np.unique(right.column("h").to_numpy(), return_index=True)
+        entries = Lexicon.of(right.take(pa.array(first)))
+        out = [folded(piece, entries)
+               for batch in left.combine_chunks().to_batches() for piece in slices(batch, "text")]
+        return pa.Table.from_batches(out)
+
+    both = placed.groupBy("block").cogroup(found.groupBy("block"))
+    return both.applyInArrow(meet, schema)
+
+
+def task_counts(docs: DataFrame, split: Split) -> DataFrame:
+    """``(word, n)``: each word about once per task, with its count there."""
+
+    def run(batches: Rows) -> Rows:
+        from collections import Counter
+
+        seen: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            words = [w.encode() if isinstance(w, str) else w for w in seen]
+            return pa.record_batch(
+                [pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                for t in texts(piece):
+                    seen.update(split(t))
+                if len(seen) > TASK_WORDS:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    return docs.mapInArrow(run, "word binary, n long")

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import simhash_dedup, token_counts, url_filter
+from corpusprep.llm import (
+    bpe_codec, brown_lm, decontaminate, html_extract, language_id, quality, simhash_dedup, suffix_dedup,
+    token_counts, url_filter)
 from corpusprep.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,26 +27,63 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(table(spark, sf, "documents"), "doc_id")
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
+    ids = bpe_codec.encode(table(spark, sf, "documents"), tokenizer())
+    done = bpe_codec.decode(ids, bpe_codec.piece_table(spark, tokenizer()))
+    return done.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_brown_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return brown_lm.score_documents(table(spark, sf, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(table(spark, sf, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf, "pages"), RULES)
 
 
+def op8_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages"), "page_id", "url")
+
+
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
     counted = token_counts.token_counts(
-        table(spark, sf, "documents"), path, shared_dir(spark, "token-counts"))
+        table(spark, sf, "documents"), tokenizer(), shared_dir(spark, "token-counts"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
-    "op5_simhash_dedup": op5_simhash_dedup,
-    "op7_url_filter": op7_url_filter,
-    "op9_token_counts": op9_token_counts,
+    q.__name__: q for q in (
+        op1_quality_rules, op2_suffix_dedup, op3_bpe_codec, op4_brown_lm, op5_simhash_dedup, op6_language_id,
+        op7_url_filter, op8_html_extract, op9_token_counts, op10_decontaminate)
 }
 ORACLES: dict[str, str] = {}
