@@ -23,6 +23,8 @@ an empty result; only the named columns are read, so other names cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,6 @@ WIDTH = 5
 SIMILARITY = 0.8
 RADIUS = 20
 BROADCAST_ROWS = 500_000
-LANES = 8
 FULL = 127
 
 
@@ -50,39 +51,31 @@ def shingles(hashes: Column, width: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def simhash(hashes: Column, n: Column) -> Column:
-    """The SimHash of an array of hashes; a bit is set where over half of them set it."""
-    empty = F.array(*[F.lit(0).cast("bigint")] * 64)
-    zero = F.struct(*[F.lit(0).cast("bigint").alias(f"b{k}") for k in range(LANES)])
-
-    def lanes(part: Column) -> Column:
-        return F.aggregate(part, zero, lambda acc, h: F.struct(*[
-            (acc[f"b{k}"] + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(0x0101010101010101))).alias(f"b{k}")
-            for k in range(LANES)]))
-
-    def counted(acc: Column) -> Column:
-        return F.array(*[F.shiftrightunsigned(acc[f"b{k}"], 8 * j).bitwiseAND(F.lit(0xFF))
-                         for j in range(8) for k in range(LANES)])
-
-    # The top lane holds 127, so longer windows are summed in slices. A lambda's argument is
-    # computed once, a repeated expression each time: so sums are passed on as arguments.
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(FULL))
-    total = F.aggregate(starts, empty, lambda acc, s: F.zip_with(
-        acc, F.get(F.transform(F.array(lanes(F.slice(hashes, s, FULL))), counted), F.lit(0)), lambda a, b: a + b))
-    bits = F.transform(total, lambda c, i: F.when(2 * c > n, _bit(i)).otherwise(F.lit(0).cast("bigint")))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
-
-
-def _bit(i: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
-
-
-def similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard similarity of two arrays as multisets."""
-    count = lambda xs, s: F.size(F.filter(xs, lambda x: x == s))
-    shared = F.aggregate(
-        F.array_intersect(a, b), F.lit(0), lambda acc, s: acc + F.least(count(a, s), count(b, s)))
-    return shared / (F.size(a) + F.size(b) - shared)
+def fingerprints(contents: DataFrame) -> DataFrame:
+    """``(n_words, w, fp)`` of distinct ``(n_words, w, sh)``; a bit is set where over half the hashes set it."""
+    flat = contents.select("n_words", "w", F.posexplode("sh").alias("pos", "h"))
+    lanes = flat.groupBy("n_words", "w", F.floor(F.col("pos") / FULL).alias("part")).agg(
+        F.count("*").alias("m"),
+        *[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(0x0101010101010101))).alias(f"b{k}") for k in range(8)])
+    # Lane j of word k counts bit 8 j + k.
+    counts = lanes.groupBy("n_words", "w").agg(
+        F.sum("m").alias("m"),
+        *[F.sum(F.shiftrightunsigned(f"b{i % 8}", 8 * (i // 8)).bitwiseAND(F.lit(0xFF))).alias(f"c{i}") for i in range(64)])
+    fp = F.lit(0).cast("bigint")
+    for i in range(64):
+        bit = (1 << i) - (1 << 64 if i == 63 else 0)
+        fp = fp.bitwiseOR(F.when(2 * F.col(f"c{i}") > F.col("m"), F.lit(bit).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return counts.select("n_words", "w", fp.alias("fp"))
+
+
+def similarities(pairs: DataFrame, contents: DataFrame, known: DataFrame, near: Callable) -> DataFrame:
+    """Adds the weighted Jaccard similarity of windows ``(n_words, w)`` and items of as many shingles."""
+    window = contents.select("n_words", "w", F.size("sh").alias("m"), F.explode("sh").alias("s")).groupBy(
+        "n_words", "w", "m", "s").agg(F.count("*").alias("c"))
+    item = known.select("number", F.explode("sh").alias("s")).groupBy("number", "s").agg(F.count("*").alias("ci"))
+    shared = pairs.join(window, ["n_words", "w"]).join(near(item), ["number", "s"]).groupBy(
+        "n_words", "w", "number", "distance", "m").agg(F.sum(F.least("c", "ci")).alias("i"))
+    return shared.withColumn("similarity", F.col("i") / (2 * F.col("m") - F.col("i")))
 
 
 def _blocks(fp: Column, radius: int) -> Column:
@@ -94,16 +87,20 @@ def _blocks(fp: Column, radius: int) -> Column:
         for i, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
-def item_table(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item, n_words, width, sh, fp)`` of the items with a word."""
+def item_table(items: DataFrame, item: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(item, number)`` of the items with a word, and per distinct content
+    ``(number, n_words, width, sh, fp)``."""
     base = items.select(F.col(item).alias("item"), words(text).alias("w")).filter(F.size("w") > 0)
     base = base.select("item", F.size("w").alias("n_words"), F.transform("w", lambda x: F.xxhash64(x)).alias("wh"))
     base = base.withColumn("width", F.least("n_words", F.lit(WIDTH)))
     sh = F.when(F.col("width") == WIDTH, shingles(F.col("wh"), WIDTH))
     for k in range(1, WIDTH):
         sh = sh.when(F.col("width") == k, shingles(F.col("wh"), k))
-    base = base.withColumn("sh", sh)
-    return base.select("item", "n_words", "width", "sh", simhash(F.col("sh"), F.size("sh")).alias("fp"))
+    named = materialise(base.withColumn("sh", sh).withColumn("w", F.xxhash64("sh")), "items")
+    contents = named.groupBy("n_words", "w").agg(F.first("width").alias("width"), F.first("sh").alias("sh"))
+    known = contents.join(fingerprints(contents), ["n_words", "w"]).withColumn("number", F.xxhash64("n_words", "w"))
+    known = materialise(known.select("number", "n_words", "width", "sh", "fp"), "contents")
+    return named.select("item", F.xxhash64("n_words", "w").alias("number")), known
 
 
 def contaminated(
@@ -113,7 +110,7 @@ def contaminated(
 ) -> DataFrame:
     """``(doc, item, start_word, n_words, distance, similarity)``: the best window per pair."""
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    known = materialise(item_table(items, item, item_text), "items")
+    named_items, known = item_table(items, item, item_text)
     keys = materialise(
         known.select("width", "n_words", F.explode("sh").alias("s")).distinct()
         .groupBy("width", "s").agg(F.collect_set("n_words").alias("lengths")), "shingles")
@@ -130,8 +127,8 @@ def contaminated(
             "doc", "d", F.lit(k).alias("width"), "pos", "lengths")
         rows = met if rows is None else rows.unionByName(met)
     if rows is None:
-        nothing = known.limit(0).select(
-            F.col("item").alias(item), F.lit(0).alias("start_word"), "n_words",
+        nothing = named_items.limit(0).select(
+            F.col("item").alias(item), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"),
             F.lit(0).alias("distance"), F.lit(0.0).alias("similarity"))
         return docs.select(doc).limit(0).join(nothing, F.lit(True))
     # One document per distinct content goes on.
@@ -139,6 +136,9 @@ def contaminated(
     matched = materialise(
         places.groupBy("d").agg(F.collect_set("at").alias("places"), F.min("doc").alias("rep")), "matches")
 
+    # Few contents match: where their number allows it, only their texts are shuffled.
+    if matched.count() <= limit:
+        named = named.join(F.broadcast(matched.select("d")), "d", "left_semi")
     texts = named.join(matched, ["d"]).filter(F.col("doc").eqNullSafe(F.col("rep")))
     texts = texts.select("d", "places", F.transform(words("text"), lambda w: F.xxhash64(w)).alias("wh"))
     windows = None
@@ -160,23 +160,18 @@ def contaminated(
         windows = some if windows is None else windows.unionByName(some)
     placed = materialise(windows.withColumn("w", F.xxhash64("sh")), "windows")
 
-    contents = placed.groupBy("n_words", "w").agg(F.first("sh").alias("sh"))
-    marked = contents.withColumn("fp", simhash(F.col("sh"), F.size("sh")))
-    left = marked.select("n_words", "w", "sh", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b"))
+    contents = materialise(placed.groupBy("n_words", "w").agg(F.first("sh").alias("sh")), "window-contents")
+    left = fingerprints(contents).select("n_words", "w", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b"))
     right = known.select(
-        "item", "n_words", F.col("sh").alias("item_sh"), F.col("fp").alias("item_fp"),
-        F.explode(_blocks(F.col("fp"), radius)).alias("b"))
+        "number", "n_words", F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), radius)).alias("b"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    # A pair agrees in several blocks; it is taken at the first.
-    both = left.join(near(right), ["n_words", "b"]).filter(distance <= radius)
-    agree = F.array_position(F.zip_with(
-        _blocks(F.col("fp"), radius), _blocks(F.col("item_fp"), radius), lambda x, y: x == y), F.lit(True)) - 1
-    candidates = both.filter(F.col("b.block") == agree)
-    verified = candidates.withColumns({
-        "distance": distance, "similarity": similarity(F.col("sh"), F.col("item_sh"))
-    }).filter(F.col("similarity") >= threshold).select("n_words", "w", "item", "distance", "similarity")
-    best = placed.select("d", "n_words", "start", "w").join(verified, ["n_words", "w"]).groupBy("d", "item").agg(
+    # A pair may agree in several blocks.
+    pairs = left.join(near(right), ["n_words", "b"]).select(
+        "n_words", "w", "number", distance.alias("distance")).filter(F.col("distance") <= radius).distinct()
+    verified = similarities(pairs, contents, known, near).filter(F.col("similarity") >= threshold)
+    best = placed.select("d", "n_words", "start", "w").join(verified, ["n_words", "w"]).groupBy("d", "number").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "start", "n_words", "distance")).alias("m"))
+    best = best.join(near(named_items), "number")
     return named.select("doc", "d").join(best, "d").select(
         F.col("doc").alias(doc), F.col("item").alias(item), F.col("m.start").alias("start_word"),
         F.col("m.n_words").alias("n_words"), F.col("m.distance").alias("distance"),
