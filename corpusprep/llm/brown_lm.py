@@ -49,27 +49,29 @@ def _xlogx(n: np.ndarray) -> np.ndarray:
 def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
     """Classes of items that locally maximise the class-bigram likelihood.
 
-    Items are visited by falling frequency; each moves to the class that gains most.
+    Items are visited by falling frequency. The first ones open a class each, the others
+    join the class that gains most; then each item moves to where it gains most.
     """
     items = len(bigrams)
     classes = max(1, min(classes, items))
     m = bigrams.astype(np.float64)
     order = np.argsort(-(m.sum(0) + m.sum(1)), kind="stable")
-    of = np.empty(items, np.int64)
-    of[order] = np.arange(items) % classes
-    pick = np.eye(classes)[of]
-    n = pick.T @ m @ pick
-    for _ in range(rounds):
+    of = np.full(items, classes)
+    n = np.zeros((classes, classes))
+    for turn in range(rounds):
         moved = 0
-        for w in order:
+        for seat, w in enumerate(order):
             own, self_ = of[w], m[w, w]
-            right = np.bincount(of, weights=m[w], minlength=classes)
-            left = np.bincount(of, weights=m[:, w], minlength=classes)
+            # Items without a class yet count for none.
+            right = np.bincount(of, weights=m[w], minlength=classes + 1)
+            left = np.bincount(of, weights=m[:, w], minlength=classes + 1)
             right[own] -= self_
             left[own] -= self_
-            n[own] -= right
-            n[:, own] -= left
-            n[own, own] -= self_
+            right, left = right[:classes], left[:classes]
+            if turn:
+                n[own] -= right
+                n[:, own] -= left
+                n[own, own] -= self_
             rows, cols = n.sum(1), n.sum(0)
             by_row = _xlogx(n + right) - _xlogx(n)
             by_col = _xlogx(n + left[:, None]) - _xlogx(n)
@@ -79,7 +81,9 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
             gain -= _xlogx(rows + right.sum() + self_) - _xlogx(rows)
             gain -= _xlogx(cols + left.sum() + self_) - _xlogx(cols)
             best = int(np.argmax(gain))
-            if gain[best] <= gain[own] + 1e-9:
+            if not turn and seat < classes:
+                best = seat
+            elif turn and gain[best] <= gain[own] + 1e-9:
                 best = own
             moved += best != own
             of[w] = best
@@ -175,14 +179,18 @@ def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int
     sizes_of = np.zeros(n_kinds)
     got = lexicon.groupBy("class").agg(F.sum("n").alias("n")).toArrow()
     sizes_of[got.column("class").to_numpy()] = got.column("n").to_numpy()
-    share = (sizes_of + 1) / (sizes_of.sum() + n_kinds)
-    move = (pairs + PRIOR * share) / (pairs.sum(1, keepdims=True) + PRIOR)
     once = n_classes + np.arange(n_groups) * BANDS
+    # A class of words seen once that is empty stands for the unseen word alone.
+    share = sizes_of.copy()
+    share[once] = np.maximum(share[once], 1)
+    share /= share.sum()
+    move = (pairs + PRIOR * share) / (pairs.sum(1, keepdims=True) + PRIOR)
+    lent = np.where(sizes_of[once] > 0, UNSEEN, 1.0)
     group_of_class = np.zeros(n_kinds, np.int64)
     group_of_class[of] = group_of
     return lexicon, {
-        "total": int(total), "distinct": int(distinct), "end": end, "move": np.log10(move),
-        "unseen": np.log10(UNSEEN * move[:, once].sum(1)), "size": sizes_of, "once": once,
+        "total": int(total), "distinct": int(distinct), "end": end, "move": np.log10(np.maximum(move, 1e-300)),
+        "unseen": np.log10((lent * move[:, once]).sum(1)), "size": sizes_of, "once": once,
         "heads": n_classes, "group": group_of_class,
     }
 

@@ -169,9 +169,9 @@ def contaminated(
     pairs = left.join(near(right), ["n_words", "b"]).select(
         "n_words", "w", "number", distance.alias("distance")).filter(F.col("distance") <= radius).distinct()
     verified = similarities(pairs, contents, known, near).filter(F.col("similarity") >= threshold)
-    best = placed.select("d", "n_words", "start", "w").join(verified, ["n_words", "w"]).groupBy("d", "number").agg(
+    met = placed.select("d", "n_words", "start", "w").join(verified, ["n_words", "w"]).join(near(named_items), "number")
+    best = met.groupBy("d", "item").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "start", "n_words", "distance")).alias("m"))
-    best = best.join(near(named_items), "number")
     return named.select("doc", "d").join(best, "d").select(
         F.col("doc").alias(doc), F.col("item").alias(item), F.col("m.start").alias("start_word"),
         F.col("m.n_words").alias("n_words"), F.col("m.distance").alias("distance"),

@@ -108,7 +108,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, rows: int) -> pa.Table
     return map_slices(some, "text", run, "quality int, row binary").orderBy("quality", "row").toArrow()
 
 
-def logistic(x: ft.Sparse, y: np.ndarray, columns: int, rounds: int = 150, ridge: float = 1e-2):
+def logistic(x: ft.Sparse, y: np.ndarray, columns: int, rounds: int = 300, ridge: float = 1e-2):
     """Weights and bias by gradient steps with a running scale per column."""
     w, b = np.zeros(columns), 0.0
     scale, scale_b = np.full(columns, 1e-8), 1e-8
@@ -128,14 +128,25 @@ def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 5
     """``a, c`` of the probability ``1 / (1 + exp(-(a * margin + c)))``, by Newton steps."""
     good, bad = (weight * y).sum(), (weight * (1 - y)).sum()
     goal = np.where(y == 1, (good + 1) / (good + 2), 1 / (bad + 2))
+    # The margin is brought to unit scale, and a step is halved until the loss falls.
+    unit = max(float(np.std(margin)), 1e-9)
+    z = margin / unit
+
+    def loss(a: float, c: float) -> float:
+        t = a * z + c
+        return float((weight * (np.logaddexp(0, t) - goal * t)).sum()) + 0.5e-3 * a * a
+
     a, c = 1.0, 0.0
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + c, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(a * z + c, -30, 30)))
         r, s = weight * (p - goal), weight * p * (1 - p)
-        h = np.array([[(s * margin * margin).sum(), (s * margin).sum()], [(s * margin).sum(), s.sum()]])
-        step = np.linalg.solve(h + 1e-3 * np.eye(2), np.array([(r * margin).sum(), r.sum()]))
-        a, c = a - step[0], c - step[1]
-    return float(a), float(c)
+        h = np.array([[(s * z * z).sum(), (s * z).sum()], [(s * z).sum(), s.sum()]]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(h, np.array([(r * z).sum() + 1e-3 * a, r.sum()]))
+        now, scale = loss(a, c), 1.0
+        while scale > 1e-6 and loss(a - scale * step[0], c - scale * step[1]) > now:
+            scale /= 2
+        a, c = a - scale * step[0], c - scale * step[1]
+    return float(a / unit), float(c)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> dict | None:
