@@ -17,12 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm.bpe import encoder
-from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, spans_of
+from corpusprep.llm.bpe import Encoder, encoder
+from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, short_lived_shuffles, spans_of
 from corpusprep.llm.lexicon import Lexicon, attach, task_counts
 from corpusprep.session import materialise
 
 
+def id_kind(bpe: Encoder) -> str:
+    """The narrowest numbers that hold a vocabulary's ids."""
+    return "<u2" if len(bpe.pieces) <= 1 << 16 else "<u4"
+
+
 def word_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``(h, payload)``: each distinct word's hash and its ids, encoded once."""
     rows = task_counts(docs, lambda t: encoder(tokenizer).words(t.decode()))
@@ -47,10 +52,12 @@ def word_table(docs: DataFrame, tokenizer: str) -> DataFrame:
             last, last_word = h[-1], words[-1].as_py()
             first = np.flatnonzero(new)
             fresh = [w.decode() for w in words.take(pa.array(first)).to_pylist()]
-            ids = [i.astype("<u4").tobytes() for i in encoder(tokenizer).encode(fresh)]
+            bpe = encoder(tokenizer)
+            ids = [i.astype(id_kind(bpe)).tobytes() for i in bpe.encode(fresh)]
             yield pa.record_batch([pa.array(h[first]), pa.array(ids, pa.binary())], ["h", "payload"])
 
-    return materialise(placed.mapInArrow(encode, "h long, payload binary"), "words")
+    with short_lived_shuffles(docs.sparkSession):
+        return materialise(placed.mapInArrow(encode, "h long, payload binary"), "words")
 
 
 def encode(
@@ -64,8 +71,9 @@ def encode(
     def joined(piece: pa.RecordBatch, entries: np.ndarray, offsets: np.ndarray, lexicon: Lexicon):
         if len(entries) and entries.min() < 0:
             raise RuntimeError("a word is missing from the word table")
-        numbers, starts = lexicon.view("<u4")
+        numbers, starts = lexicon.view(id_kind(encoder(tokenizer)))
         ids, sizes_ = gather(numbers, starts, entries)
+        ids = ids.astype("<u4")
         ends = spans_of(sizes_)[offsets]
         values = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return pa.record_batch([piece.column(0), pa.array(values, pa.binary())], [doc, "ids"])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import as_bytes, remainder, spans_of
+from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles
 from corpusprep.llm.lexicon import Lexicon, attach, hashes_of, task_counts
 from corpusprep.session import materialise
 
@@ -238,7 +238,8 @@ def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, **sizes: i
     """Train on documents whose remainder is not ``held`` and score all."""
     rest = remainder(F.col("doc_id"), modulus)
     training = as_bytes(docs.filter(rest != held)).select("text")
-    lexicon, facts = train(training, **sizes)
+    with short_lived_shuffles(docs.sparkSession):
+        lexicon, facts = train(training, **sizes)
     marked = docs.select("doc_id", F.coalesce(rest == held, F.lit(False)).alias("held_out"), "text")
     scored = score(marked, lexicon, facts, "doc_id", "held_out", **sizes)
     return scored.withColumn("train_tokens", F.lit(facts["total"]).cast("bigint"))

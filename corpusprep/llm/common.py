@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -74,3 +75,15 @@ def gather(flat: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np
 def spans_of(counts: Sequence[int]) -> np.ndarray:
     """Offsets of consecutive runs with the given lengths."""
     return np.concatenate([[0], np.cumsum(np.asarray(counts, dtype=np.int64))])
+
+
+@contextmanager
+def short_lived_shuffles(spark):
+    """Shuffle files go once a written table is complete; nothing reads them afterwards."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

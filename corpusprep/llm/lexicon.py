@@ -24,6 +24,7 @@ from corpusprep.llm.common import Rows, slices, spans_of, texts
 
 BROADCAST_BYTES = 192 << 20
 BLOCK_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 TASK_WORDS = 1_000_000
 SEED = 42
 
@@ -31,31 +32,18 @@ Split = Callable[[bytes], list]
 
 
 class Lexicon:
-    """Payloads by hash, in sorted arrays."""
+    """Payloads by hash, in arrays sorted by hash."""
 
-    def __init__(self, hashes: np.ndarray, payloads: pa.Array):
-        payloads = payloads.cast(pa.large_binary())
-        order = np.argsort(hashes, kind="stable")
-        raw_offsets, data = payloads.buffers()[1], payloads.buffers()[2]
-        at = np.frombuffer(raw_offsets, np.int64)[payloads.offset:payloads.offset + len(payloads) + 1]
-        bytes_ = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-        sizes = np.diff(at)[order]
-        self.hashes = hashes[order]
-        self.offsets = spans_of(sizes)
-        if len(at) and len(sizes):
-            begin = at[:-1][order]
-            index = np.repeat(begin - self.offsets[:-1], sizes) + np.arange(int(sizes.sum()))
-            self.flat = bytes_[index]
-        else:
-            self.flat = np.empty(0, np.uint8)
+    def __init__(self, hashes: np.ndarray, sizes: np.ndarray, flat: np.ndarray):
+        self.hashes, self.flat, self.offsets = hashes, flat, spans_of(sizes)
 
     @staticmethod
     def of(table: pa.Table) -> Lexicon:
-        if not table.num_rows:
-            return Lexicon(np.empty(0, np.int64), pa.array([], pa.binary()))
-        table = table.combine_chunks()
-        return Lexicon(
-            table.column("h").to_numpy(), table.column("payload").cast(pa.large_binary()).combine_chunks())
+        hashes = table.column("h").to_numpy()
+        order = np.argsort(hashes, kind="stable")
+        rows = table.column("payload").combine_chunks().take(pa.array(order)).to_pylist()
+        return Lexicon(hashes[order], np.array(list(map(len, rows)), np.int64), np.frombuffer(b"".join(rows), np.uint8))
+
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 where there is none."""
@@ -69,6 +57,48 @@ class Lexicon:
         return self.flat.view(dtype), self.offsets // np.dtype(dtype).itemsize
 
 
+class Packed:
+    """A lexicon as it travels: a few parts, each of hashes, sizes and bytes, in order of hash."""
+
+    def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
+        self.parts = parts
+        self._lexicon: Lexicon | None = None
+
+    def lexicon(self) -> Lexicon:
+        """Unpacked once per worker process."""
+        if self._lexicon is None:
+            columns = list(zip(*self.parts)) or [[], [], []]
+            join = lambda parts, kind: np.frombuffer(b"".join(parts), kind)
+            self._lexicon = Lexicon(
+                join(columns[0], np.int64), join(columns[1], np.uint32).astype(np.int64), join(columns[2], np.uint8))
+            self.parts = []
+        return self._lexicon
+
+
+def packed(lexicon: DataFrame, size: int) -> Packed:
+    """Collect a lexicon of known size as packed parts, which executors sort and pack."""
+
+    def pack(batches: Rows) -> Rows:
+        hashes, sizes, flat = [], [], []
+        for batch in batches:
+            rows = batch.column("payload").to_pylist()
+            hashes.append(batch.column("h").to_numpy())
+            sizes.append(np.array(list(map(len, rows)), np.uint32))
+            flat += rows
+        if flat:
+            h = np.concatenate(hashes)
+            yield pa.record_batch(
+                [pa.array(h[:1]), pa.array([h.tobytes()], pa.binary()),
+                 pa.array([np.concatenate(sizes).tobytes()], pa.binary()), pa.array([b"".join(flat)], pa.binary())],
+                ["first", "hashes", "sizes", "flat"])
+
+    parts = 1 + size // PART_BYTES
+    placed = lexicon.select("h", "payload").repartitionByRange(parts, "h").sortWithinPartitions("h")
+    rows = placed.mapInArrow(pack, "first long, hashes binary, sizes binary, flat binary").collect()
+    rows.sort(key=lambda r: r["first"])
+    return Packed([(bytes(r["hashes"]), bytes(r["sizes"]), bytes(r["flat"])) for r in rows])
+
+
 def hashes_of(words: Iterable, n: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, n).view(np.int64)
 
@@ -102,12 +132,12 @@ def attach(
         return fold(piece, located(lists, entries), spans_of(list(map(len, lists))), entries)
 
     if size <= limit:
-        shared = spark.sparkContext.broadcast(Lexicon.of(lexicon.select("h", "payload").toArrow()))
+        shared = spark.sparkContext.broadcast(packed(lexicon, size))
 
         def run(batches: Rows) -> Rows:
             for batch in batches:
                 for piece in slices(batch, "text"):
-                    yield folded(piece, shared.value)
+                    yield folded(piece, shared.value.lexicon())
 
         return docs.mapInArrow(run, schema)
 

@@ -26,15 +26,13 @@ are kept, so other names cannot clash.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import Rows, slices, texts
+from corpusprep.llm.common import Rows, short_lived_shuffles, slices, texts
 from corpusprep.session import materialise
 
 LENGTH = 200
@@ -123,27 +121,40 @@ def anchors(rows: DataFrame, length: int, anchor: int) -> DataFrame:
         run, "h long, g long, d1 long, d2 long, first long, number int")
 
 
-def suffix_order(text: bytes, depth: int) -> list[int]:
-    """Suffixes in order of their first ``depth`` bytes at least, by two-stage sorting."""
+def suffix_order(text: bytes, depth: int, wanted: np.ndarray | None = None) -> list[int]:
+    """Suffixes in order of their first ``depth`` bytes at least, by two-stage sorting.
+
+    With ``wanted``, those suffixes and the ones they are induced from.
+    """
     n = len(text)
     a = np.frombuffer(text, np.uint8)
     step = np.append(np.diff(a.astype(np.int16)), -1)
     moves = np.flatnonzero(step)
     smaller = step[moves[np.searchsorted(moves, np.arange(n))]] > 0
-    direct = sorted(np.flatnonzero(smaller).tolist(), key=lambda i: text[i:i + depth])
+    if wanted is None:
+        needed = np.ones(n, bool)
+    else:
+        # A suffix is induced from its successor, and so on up to the next one sorted directly.
+        sorted_next = np.minimum.accumulate(np.where(smaller, np.arange(n), n - 1)[::-1])[::-1]
+        at = np.flatnonzero(wanted)
+        edge = np.bincount(at, minlength=n + 1) - np.bincount(sorted_next[at] + 1, minlength=n + 1)
+        needed = np.cumsum(edge)[:n] > 0
+    sorted_ = smaller & needed
+    direct = sorted(np.flatnonzero(sorted_).tolist(), key=lambda i: text[i:i + depth])
     # A bucket holds the suffixes of one first byte: those above their successors come first.
-    sizes = np.bincount(a, minlength=256)
+    sizes = np.bincount(a[needed], minlength=256)
     starts = np.cumsum(sizes) - sizes
-    own = np.bincount(a[smaller], minlength=256)
-    order = np.full(n, -1)
+    own = np.bincount(a[sorted_], minlength=256)
+    order = np.full(int(sizes.sum()), -1)
     if direct:
         placed = np.array(direct)
         rank = np.arange(len(placed)) - np.repeat(np.cumsum(own) - own, own)
         order[np.repeat(starts + sizes - own, own) + rank] = placed
-    out, head, induced = order.tolist(), starts.tolist(), (~smaller).tolist()
+    out, head, induced = order.tolist(), starts.tolist(), (needed & ~smaller).tolist()
     last = n - 1
-    out[head[text[last]]] = last
-    head[text[last]] += 1
+    if induced[last]:
+        out[head[text[last]]] = last
+        head[text[last]] += 1
     for i in out:
         j = i - 1
         if j >= 0 and induced[j]:
@@ -163,7 +174,7 @@ def repeated_starts(regions: list[bytes], numbers: list[int], length: int) -> np
     wanted = np.repeat(begins - (upto - numbers), numbers) + np.arange(int(upto[-1]))
     slot = np.full(len(text), -1)
     slot[wanted] = np.arange(len(wanted))
-    order = np.array(suffix_order(text, length))
+    order = np.array(suffix_order(text, length, slot >= 0))
     order = order[slot[order] >= 0]
     listed = order.tolist()
     same = [text[i:i + length] == text[j:j + length] for i, j in zip(listed, listed[1:])]
@@ -247,18 +258,6 @@ def _split(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("key", "d1", "d2", "first", "number", "at", "alen", "twice", "region").mapInArrow(halves, REGION)
 
 
-@contextmanager
-def _short_lived_shuffles(spark):
-    """Shuffle files go once a written table is complete; nothing reads them afterwards."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def keyed(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """The named columns, the text as bytes, and two hashes that stand for its content."""
     content = F.coalesce(F.col(text), F.lit(""))
@@ -273,7 +272,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", length: int = LENGTH,
     group = GROUP if group is None else group
     spark = docs.sparkSession
     rows = keyed(docs, text=text).filter(F.octet_length("text") >= length)
-    with _short_lived_shuffles(spark):
+    with short_lived_shuffles(spark):
         found = anchors(rows, length, anchor)
         shared = materialise(
             found.groupBy("h").agg(F.count("*").alias("n"), F.min("g").alias("low"), F.max("g").alias("high"))

@@ -29,6 +29,9 @@ def test_suffix_order():
         text = bytes(rng.choice(b"ab\xff") for _ in range(rng.randint(1, 60)))
         got = sd.suffix_order(text, len(text) + 1)
         assert got == sorted(range(len(text)), key=lambda i: text[i:])
+        wanted = np.array([rng.random() < 0.3 for _ in text])
+        some = [i for i in sd.suffix_order(text, len(text) + 1, wanted) if wanted[i]]
+        assert some == [i for i in got if wanted[i]]
 
 
 def test_repeated_starts():
