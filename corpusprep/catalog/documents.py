@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusprep.catalog.base import EV, LN, SP, documents, ev, kind, ln, query, sql_mask, sql_unmask, table
 from corpusprep.functions import text as tx
 from corpusprep.operators import blocks as bl
+from corpusprep.operators import sequence as sq
 from corpusprep.operators.concat import concat_ordered
 from corpusprep.operators.lookup import bounded
 from corpusprep.operators.packing import chunk_text, fixed_chunks, pack_batches, split_in_order
@@ -180,6 +181,39 @@ def unsafe_lines(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("doc_id", hits.alias("n_unsafe")).filter("n_unsafe > 0")
 
 
+@query("unsafe_outside_code", rf"""
+WITH {LN}, f AS (SELECT doc_id, line_no, line, contains(line, ' | ') AS fence FROM ln),
+s AS (SELECT *, coalesce(sum(CAST(fence AS INT)) OVER (PARTITION BY doc_id ORDER BY line_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 AS in_code FROM f)
+SELECT doc_id, line_no FROM s WHERE NOT fence AND in_code = 0 AND regexp_matches(line, '{RISKY}')""")
+def unsafe_outside_code(spark: SparkSession, sf: str) -> DataFrame:
+    risky = F.col("line").rlike(RISKY)
+    fence = F.col("line").contains(" | ")
+    found = sq.unsafe_outside_code(ln(spark, sf), ["doc_id"], risky, fence, "line_no")
+    return found.select("doc_id", "line_no")
+
+
+VERSION = r"[Vv]ersion ([0-9]{1,3})"
+
+
+@query("marked_pages", f"""
+WITH {LN}, m AS (SELECT doc_id, line_no, regexp_extract_all(line, '{VERSION}', 1) AS p FROM ln)
+SELECT doc_id, line_no, array_to_string(p, ',') AS pages, CAST(p[1] AS INT) AS page FROM m WHERE len(p) > 0""")
+def marked_pages(spark: SparkSession, sf: str) -> DataFrame:
+    marked = bl.mark_pages(ln(spark, sf), VERSION, "line").filter(F.size("pages") > 0)
+    shown = F.array_join(F.transform("pages", lambda p: p.cast("string")), ",")
+    return marked.select("doc_id", "line_no", shown.alias("pages"), "page")
+
+
+@query("edit_literal", """
+WITH a AS (SELECT doc_id, text, strpos(text, ' the ') AS i FROM documents),
+b AS (SELECT *, CASE WHEN i > 0 AND strpos(substr(text, i), '.') > 0 THEN i - 1 + strpos(substr(text, i), '.') ELSE 0 END AS j FROM a)
+SELECT doc_id, CASE WHEN i > 0 AND j > i THEN substr(text, 1, i - 1) || '[cut]' || chr(10) || chr(10) || substr(text, j)
+       ELSE text END AS edited FROM b""")
+def edit_literal(spark: SparkSession, sf: str) -> DataFrame:
+    return documents(spark, sf).select("doc_id", bl.edit_literal("text", " the ", ".", "[cut] ").alias("edited"))
+
+
 @query("split_join", f"""
 WITH b AS (SELECT doc_id, trim(s, ' ' || chr(10) || chr(9) || chr(13)) AS s, i FROM (
   SELECT doc_id, ss[i] AS s, i FROM (SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM (

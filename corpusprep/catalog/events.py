@@ -9,7 +9,8 @@ from corpusprep.catalog.base import EV, ev, kind, query, table, with_pages
 from corpusprep.operators import sequence as sq
 from corpusprep.operators.blocks import drop_contaminated
 from corpusprep.plans.export import export_chunks
-from corpusprep.sources.writers import chunk_manifest
+from corpusprep.session import shared_dir
+from corpusprep.sources.writers import chunk_manifest, write_chunks
 
 DOC = ["doc"]
 PART = 400
@@ -41,11 +42,25 @@ def page_buckets(spark: SparkSession, sf: str) -> DataFrame:
 @query("chunk_manifest", f"""
 WITH {CHUNKS}, u AS (SELECT DISTINCT doc, start_page, end_page FROM chunks)
 SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY start_page) AS BIGINT) AS idx,
-       format('{{:03d}}-{{:03d}}', start_page, end_page) AS page_range, 'OK' AS status,
-       'doc' || doc || '_p' || format('{{:03d}}-{{:03d}}', start_page, end_page) || '.md' AS name
+       format('{{:03d}}-{{:03d}}', start_page, end_page) AS page_range,
+       CASE WHEN (doc + start_page) % 4 = 0 THEN 'FAILED' ELSE 'OK' END AS status,
+       'doc' || doc || '_p' || format('{{:03d}}-{{:03d}}', start_page, end_page) || '.md' AS name,
+       CASE WHEN (doc + start_page) % 4 = 0 THEN 'build ' || doc || ' stopped' END AS error
 FROM u""")
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return chunk_manifest(sq.page_chunks(with_pages(ev(spark, sf)), DOC, width=10), DOC)
+    chunks = sq.page_chunks(with_pages(ev(spark, sf)), DOC, width=10)
+    failed = F.when((F.col("doc") + F.col("start_page")) % 4 == 0, F.format_string("build %d stopped", "doc"))
+    builds = chunks.select("doc", "start_page", failed.alias("error")).distinct()
+    return chunk_manifest(chunks, DOC, builds=builds)
+
+
+@query("written_chunks", f"WITH {CHUNKS} SELECT doc, start_page, end_page, part, n_blocks, text FROM chunks")
+def written_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = sq.page_chunks(with_pages(ev(spark, sf)), DOC, width=10, part_chars=PART)
+    folder = shared_dir(spark, "chunks")
+    write_chunks(chunks, folder, DOC)
+    return spark.read.schema(chunks.schema).parquet(folder).select(
+        "doc", "start_page", "end_page", "part", "n_blocks", "text")
 
 
 MONOTONE = """mx AS (

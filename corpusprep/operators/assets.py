@@ -110,16 +110,24 @@ def resolve_links(
         "__k2": F.when(~kept, key if key is not None else name),
         "__k3": F.when(~kept & name.rlike(chunked), remapped),
     })
-    have = inventory.select(F.col(path).alias("__k")).distinct()
-    for k in ("__k1", "__k2", "__k3"):
-        known = have.select(F.col("__k").alias(k), F.lit(True).alias(f"{k}_hit"))
-        tried = lookup(tried, known, [k], row_id, **skew)
-    ladder = (
+    have = inventory.select(F.col(path).alias("__k")).distinct().withColumn("__hit", F.lit(True))
+    # A row per candidate key, one lookup for all, and the best key per link by partial minimum.
+    keys = F.filter(
+        F.array(*[F.struct(F.lit(rank).alias("__rank"), F.col(f"__k{rank}").alias("__k")) for rank in (1, 2, 3)]),
+        lambda c: c["__k"].isNotNull())
+    asked = tried.select(*links.columns, "__t", "__kept", F.explode_outer(keys).alias("__c")).select(
+        *links.columns, "__t", "__kept", "__c.*")
+    looked = lookup(asked, have, ["__k"], [*row_id, "__rank"], **skew)
+    others = [c for c in [*links.columns, "__t", "__kept"] if c not in row_id]
+    best = looked.groupBy(*row_id).agg(
+        *[F.any_value(c).alias(c) for c in others],
+        F.min(F.when(F.col("__hit"), F.struct("__rank", "__k"))).alias("__best"))
+    via = F.get(F.array(F.lit("exact"), F.lit("name"), F.lit("remap")), F.col("__best.__rank") - 1)
+    answer = (
         F.when(F.col("__kept"), F.struct(F.lit("kept").alias("via"), F.col("__t").alias("resolved")))
+        .when(F.col("__best").isNotNull(), F.struct(
+            via.alias("via"), F.concat(F.lit(folder), F.col("__best.__k")).alias("resolved")))
+        .otherwise(F.struct(F.lit("unresolved").alias("via"), F.col(target).alias("resolved")))
     )
-    for via, k in (("exact", "__k1"), ("name", "__k2"), ("remap", "__k3")):
-        ladder = ladder.when(F.col(f"{k}_hit"), F.struct(
-            F.lit(via).alias("via"), F.concat(F.lit(folder), F.col(k)).alias("resolved")))
-    ladder = ladder.otherwise(F.struct(F.lit("unresolved").alias("via"), F.col(target).alias("resolved")))
-    return tried.select(*links.columns, ladder.alias("__r")).select(
+    return best.select(*links.columns, answer.alias("__r")).select(
         *links.columns, "__r.via", "__r.resolved")

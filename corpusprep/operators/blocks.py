@@ -127,7 +127,38 @@ def malformed_flags(body: Column | str, environments: Sequence[str] = ()) -> dic
     }
 
 
+def mark_pages(blocks: DataFrame, pattern: str, text: str = "text", pages: str = "pages",
+               page: str = "page") -> DataFrame:
+    """Page numbers that markers in a block's text name (group 1 of ``pattern``).
+
+    ``pages`` has all of them in order, ``page`` the first; a block without markers,
+    or without text, has none.
+    """
+    found = F.transform(tx.find_all(text, pattern, 1), lambda m: m.try_cast("int"))
+    listed = F.coalesce(F.filter(found, lambda p: p.isNotNull()), F.array().cast("array<int>"))
+    return blocks.withColumn(pages, listed).withColumn(page, F.get(pages, F.lit(0)))
+
+
+def edit_literal(text: Column | str, start: str, end: str, replacement: str) -> Column:
+    """Replace from the first ``start`` up to the first ``end`` after it, inside one text.
+
+    Nothing happens when either is missing, or ``end`` falls on ``start`` itself.
+    """
+    text = tx.col(text)
+    body = replacement.rstrip() + "\n\n"
+
+    def put(at: Column) -> Column:
+        begin, stop = at["begin"], at["stop"]
+        edited = F.concat(F.substring(text, F.lit(1), begin - 1), F.lit(body),
+                          F.substring(text, stop, F.length(text)))
+        return F.when((begin > 0) & (stop > begin), edited).otherwise(text)
+
+    begin = F.locate(start, text)
+    stop = tx.let(begin, lambda b: F.when(b > 0, F.call_function("locate", F.lit(end), text, b)).otherwise(0))
+    return tx.let(F.struct(begin.alias("begin"), stop.alias("stop")), put)
+
+
 def drop_contaminated(blocks: DataFrame, start_page: Column, matches: Column,
                       from_page: int = 150) -> DataFrame:
     """Drop matching blocks, but only in chunks that start at ``from_page`` or later."""
-    return blocks.filter(~((start_page >= from_page) & F.coalesce(matches, F.lit(False))))
+    return blocks.filter(~F.coalesce((start_page >= from_page) & matches, F.lit(False)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 from corpusprep.operators.lookup import lookup
+from corpusprep.session import materialise
 
 # Tokens that mark a cached translation as poisoned.
 POISON = ("HIDE", "MATHBLK", "MATHINL")
@@ -87,15 +88,18 @@ def translate(
     distinct first, by a partial aggregate, so copies cost nothing: the cache is
     probed and the service asked once per text, key against key. Only handing
     the answers back to the chunks meets hot keys. Returns the chunks with
-    ``md5``, ``translated`` and ``from_cache``, and the fresh cache entries.
+    ``md5``, ``translated`` and ``from_cache``, and the fresh cache entries, which
+    are written first: both results read them and the service is asked once.
+    NULL texts are not sent and come back as NULL.
     """
     keyed = chunks.withColumn("md5", tx.digest(text))
-    distinct = keyed.groupBy("md5").agg(F.max(text).alias("text"))
+    distinct = keyed.filter(F.col("md5").isNotNull()).groupBy("md5").agg(F.max(text).alias("text"))
     looked = distinct.join(cache.select("md5", "translated"), "md5", "left")
     bad = poisoned("translated", "text" if mode == "foreign" else None)
     usable = F.col("translated").isNotNull() & ~bad
     hits = looked.filter(usable).select("md5", "translated", F.lit(1).alias("from_cache"))
-    fresh = service(looked.filter(~usable).select("md5", "text")).select("md5", "translated")
+    fresh = materialise(
+        service(looked.filter(~usable).select("md5", "text")).select("md5", "translated"), "answers")
     answers = hits.unionByName(fresh.withColumn("from_cache", F.lit(0)))
     done = lookup(keyed, answers, ["md5"], row_id, **skew)
     return done.select(*chunks.columns, "md5", "translated", "from_cache"), fresh

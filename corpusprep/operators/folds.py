@@ -31,6 +31,7 @@ Transfer = Callable[[np.ndarray], list[tuple[int, int, int, int, int]]]
 Apply = Callable[[np.ndarray, int, int], np.ndarray]
 UNBOUNDED = 1 << 40
 WHOLE_KEY = -(1 << 62)
+SLICE_ROWS = 50_000
 
 
 def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
@@ -85,7 +86,7 @@ def stateful_fold(
         for g in groups(batches, whole):
             first = tuple(g[k][0] for k in whole)
             out += [first + row for row in transfer(g[value])]
-            if len(out) > 50_000:
+            if len(out) > SLICE_ROWS:
                 yield pd.DataFrame(out, columns=table_type.names)
                 out = []
         if out:
@@ -106,7 +107,7 @@ def stateful_fold(
             at = np.flatnonzero((g["lo"] <= state) & (g["hi"] >= state))[0]
             state = int(g["base"][at] + g["slope"][at] * state)
             emitted += int(g["emitted"][at])
-            if len(out) > 50_000:
+            if len(out) > SLICE_ROWS:
                 yield pd.DataFrame(out, columns=entry_type.names)
                 out = []
         if out:
@@ -127,7 +128,7 @@ def stateful_fold(
             got = apply(g[value][skip:], state, emitted)
             held.append([*(g[k][skip:] for k in keys), g[pos][skip:], got])
             size += len(got)
-            if size > 50_000:
+            if size > SLICE_ROWS:
                 yield _packed(held, result_type.names)
                 held, size = [], 0
         if held:
@@ -152,13 +153,18 @@ def together(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFr
 def _folded_whole(
     rows: DataFrame, keys: list[str], pos: str, value: str, initial: int, apply: Apply, result: str
 ) -> DataFrame:
-    """The fold of a table known to be small: each key in one piece."""
+    """The fold where no key is hot: each key in one piece, results in slices."""
     schema = T.StructType([
         *[rows.schema[k] for k in keys], rows.schema[pos], T.StructField(result, T.LongType())])
 
     def results(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [[*(g[k] for k in keys), g[pos], apply(g[value], initial, 0)]
-                for g in groups(batches, keys)]
+        held, size = [], 0
+        for g in groups(batches, keys):
+            held.append([*(g[k] for k in keys), g[pos], apply(g[value], initial, 0)])
+            size += len(g[value])
+            if size > SLICE_ROWS:
+                yield _packed(held, schema.names)
+                held, size = [], 0
         if held:
             yield _packed(held, schema.names)
 

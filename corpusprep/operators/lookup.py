@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
+HOT_KEYS = 100_000
 SALTS = 64
 BROADCAST_BYTES = 32 << 20
 
@@ -40,7 +40,8 @@ def lookup(
     hold at least ``hot_rows`` left rows (the ``HOT_KEYS`` largest of them) are
     spread over ``salts`` partitions: left rows by a hash of ``row_id``, which
     must identify a row so that copies spread too, and right rows by
-    replication. All other keys join as they are; no row is left out.
+    replication. Rows with a NULL key match nothing and are spread by row id as
+    well. All other keys join as they are; no row is left out.
     """
     on, row_id = list(on), list(row_id)
     broadcast_bytes = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
@@ -57,8 +58,11 @@ def lookup(
         .select(*on, F.lit(True).alias("__hot"))
     )
     salt = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
+    loose = F.lit(False)
+    for k in on:
+        loose = loose | F.col(k).isNull()
     spread = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))
+        "__salt", F.when(F.col("__hot") | loose, salt).otherwise(F.lit(0))
     ).drop("__hot")
     copies = right.join(F.broadcast(hot), on, "left").withColumn(
         "__salt",

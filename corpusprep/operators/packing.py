@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,37 +24,51 @@ PAGES_PER_CHUNK = 50
 def cut_points(text: str, limit: int, heading: re.Pattern) -> list[int]:
     """End offsets of the chunks of one text.
 
-    A cut falls after the last blank line of the window, else after its last
-    newline, else at the window's end; it moves up over headings it would strand.
+    A chunk holds at most ``limit`` characters. It ends after the last blank
+    line that fits, else after the last line that fits, else where it is full.
+    A line end is unfit if the last line with text before it is a heading: the
+    chunk then ends one line earlier than the line above that heading, as long
+    as that leaves a line in it.
     """
-    ends, start = [], 0
+    lines = text.split("\n")
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    ends = (np.cumsum(sizes + 1) - 1)[:-1].tolist()
+    blank_after = [i for i in range(len(ends) - 1) if not lines[i + 1]]
+    blank_ends = [ends[i] for i in blank_after]
+    shown = [line.rstrip() for line in lines]
+    title = [bool(s) and heading.match(s) is not None for s in shown]
+    # The last line with text up to each line.
+    spoken = np.maximum.accumulate(np.where([bool(s) for s in shown], np.arange(len(lines)), -1)).tolist()
+
+    def fit(line: int, first: int, start: int) -> int:
+        above = spoken[line]
+        while above > first and title[above] and above >= 2 and ends[above - 2] > start:
+            line = above - 2
+            above = spoken[line]
+        return line
+
+    out, start = [], 0
     while len(text) - start > limit:
         stop = start + limit
-        at = next(
-            (p for p in (text.rfind(gap, start, stop) for gap in ("\n\n", "\n")) if p > start),
-            stop - 1,
-        )
-        while at > start:
-            shown = text[start:at + 1].rstrip()
-            newline = shown.rfind("\n")
-            if not heading.match(shown[newline + 1:]):
-                break
-            above = text.rfind("\n", start, start + newline) if newline >= 0 else -1
-            if above <= start:
-                break
-            at = above
-        start = at + 1
-        ends.append(start)
-    if start < len(text) or not ends:
-        ends.append(len(text))
-    return ends
+        at = bisect_right(blank_ends, stop - 2) - 1
+        line = blank_after[at] if at >= 0 and blank_ends[at] > start else bisect_right(ends, stop - 1) - 1
+        if line >= 0 and ends[line] > start:
+            stop = ends[fit(line, bisect_left(ends, start), start)] + 1
+        out.append(stop)
+        start = stop
+    if start < len(text) or not out:
+        out.append(len(text))
+    return out
 
 
 def chunk_text(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", limit: int = CHUNK_CHARS,
     heading: str = r"#+\s",
 ) -> DataFrame:
-    """Rows ``(doc, chunk_no, chunk)``; each text is read once and never leaves its row."""
+    """Rows ``(doc, chunk_no, chunk)``; each text is read once and never leaves its row.
+
+    A NULL text is one NULL chunk, so no document is lost.
+    """
 
     @F.pandas_udf("array<string>")
     def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -65,7 +80,7 @@ def chunk_text(
                 out.append([t[a:b] for a, b in zip([0, *ends], ends)])
             yield pd.Series(out, index=batch.index)
 
-    short = F.length(text) <= limit
+    short = F.coalesce(F.length(text) <= limit, F.lit(True))
     # Texts within the limit stay in the JVM as their own single chunk.
     single = docs.filter(short).select(doc, F.lit(0).alias("chunk_no"), F.col(text).alias("chunk"))
     many = docs.filter(~short).select(doc, F.posexplode(cut(text)).alias("chunk_no", "chunk"))

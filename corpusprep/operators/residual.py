@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
+from corpusprep.session import materialise
 
 
 @dataclass(frozen=True)
@@ -120,11 +121,18 @@ def translate_segments(
     segments: DataFrame, batch_keys: Sequence[str], service: Callable[[Column], Column],
     pos: str = "pos", text: str = "text",
 ) -> DataFrame:
-    """Send batches through ``service``; redo lost batches singly. Empty answers keep the source."""
-    sent = batch_envelopes(segments, batch_keys, pos, text).withColumn("answer", service(F.col("body")))
+    """Send batches through ``service``; redo lost batches singly. Empty answers keep the source.
+
+    The batches' answers are written before they are read twice, and only segments of
+    lost batches are sent singly, so nothing is asked for again.
+    """
+    sent = materialise(
+        batch_envelopes(segments, batch_keys, pos, text).withColumn("answer", service(F.col("body"))), "answers")
     back = unpack_envelopes(sent, batch_keys, pos)
-    final = F.when(F.col("intact") == 1, F.col("text")).otherwise(tx.strip(service(F.col("source"))))
-    return back.select(
-        *batch_keys, pos, F.when(F.col("intact") == 1, "batch").otherwise("single").alias("via"),
-        F.when(F.length(final) > 0, final).otherwise(F.col("source")).alias("text"),
+    whole = back.filter("intact = 1").withColumn("via", F.lit("batch"))
+    single = back.filter("intact = 0").withColumns({
+        "via": F.lit("single"), "text": tx.strip(service(F.col("source")))})
+    return whole.unionByName(single).select(
+        *batch_keys, pos, "via",
+        F.when(F.length("text") > 0, F.col("text")).otherwise(F.col("source")).alias("text"),
     )

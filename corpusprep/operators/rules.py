@@ -179,7 +179,7 @@ def wrap_unfenced(
         put = f"\n\n{_escaped(fence)}\n$1\n{_escaped(fence)}\n\n"
         hidden = hidden.withColumn(
             out, F.regexp_replace(out, rf"(?s)(\\begin\{{({names})\}}.*?\\end\{{\2\}})", put))
-    token = "HIDE\\d+X"
+    token = HIDDEN
 
     def wanted(ln: Column) -> Column:
         return (
@@ -194,17 +194,24 @@ def _escaped(s: str) -> str:
     return s.replace("$", r"\$")
 
 
+HIDDEN = "\ue000\\d+\ue001"
+
+
 def hide(docs: DataFrame, kinds: Sequence[SpanKind], text: str) -> DataFrame:
-    """Replace spans by bare tokens, keeping the originals in ``__hidden``."""
-    pattern = "|".join(f"(?:{k.pattern})" for k in kinds)
+    """Replace spans by bare tokens, keeping the originals in ``__hidden``.
+
+    Tokens stand between private-use characters. What looks like a token in the
+    text is hidden itself, so every token left is one of ours.
+    """
+    pattern = "|".join([HIDDEN, *(f"(?:{k.pattern})" for k in kinds)])
     found = docs.withColumn("__hidden", tx.find_all(text, pattern))
-    tokens = F.transform("__hidden", lambda _m, i: F.format_string("HIDE%dX", i))
+    tokens = F.transform("__hidden", lambda _m, i: F.format_string("\ue000%d\ue001", i))
     return found.withColumn(text, weave(text, pattern, tokens))
 
 
 def show(docs: DataFrame, text: str) -> DataFrame:
     """Undo ``hide``."""
-    pattern = r"HIDE\d+X"
+    pattern = HIDDEN
     back = F.transform(tx.find_all(text, pattern), lambda t: F.coalesce(F.get(
         "__hidden", F.regexp_extract(t, r"(\d+)", 1).cast("int")), t))
     return docs.withColumn(text, weave(text, pattern, back)).drop("__hidden")

@@ -216,8 +216,10 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str], bits: Cutting = None) -
     first start; so its size follows the label vocabulary, not the ranges.
     """
     keys = list(keys)
-    counted = ranges.groupBy(*keys, "s", "label").agg(F.max("e").alias("e"), F.count("*").alias("n"))
     bits = chosen(ranges, keys, bits)
+    # Without a hot key one exchange on the keys serves every later grouping and window.
+    near = ranges if bits else ranges.repartition(*keys)
+    counted = near.groupBy(*keys, "s", "label").agg(F.max("e").alias("e"), F.count("*").alias("n"))
     starts = counted.groupBy(*keys, "s").agg(
         F.max("e").alias("e"), F.collect_list(F.struct("label", "n")).alias("here"))
     reach = running(in_stretches(starts, "s", bits), keys, "s", {"__e": Run("max", F.col("e"), inclusive=False)}, bits)
@@ -327,6 +329,18 @@ def fence_state(
     )
 
 
+def unsafe_outside_code(
+    lines: DataFrame, keys: Sequence[str], unsafe: Column, code: Column, pos: str = "pos",
+    bits: Cutting = None,
+) -> DataFrame:
+    """Unsafe lines that stand outside code fences; fence lines themselves never count."""
+    fence = F.coalesce(code, F.lit(False))
+    marked = lines.withColumns({"__fence": fence, "__unsafe": F.coalesce(unsafe, F.lit(False))})
+    never = F.lit(False)
+    state = fence_state(marked, keys, F.col("__fence"), never, never, never, pos, bits)
+    return state.filter("in_code = 0 AND NOT __fence AND __unsafe").select(*lines.columns)
+
+
 def section_starts(
     blocks: DataFrame, keys: Sequence[str], heading: Column, pos: str = "pos", page: str = "page",
     bits: Cutting = None,

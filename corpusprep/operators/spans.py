@@ -129,9 +129,9 @@ def unmask(docs: DataFrame, kinds: Sequence[SpanKind], text: str = "masked",
            out: str = "restored", spans: str = "spans") -> DataFrame:
     """Put the originals back; tokens without one stay.
 
-    Blanks around a placeholder give way to its padding. Then up to three more
-    rounds restore placeholders that an original had swallowed, and runs of
-    newlines collapse.
+    Blanks around a placeholder give way to its padding. Then as many rounds as
+    there are kinds restore placeholders that an original had swallowed, and runs
+    of newlines collapse.
     """
     res = docs.withColumn(out, F.col(text))
     for k in kinds:
@@ -149,11 +149,14 @@ def unmask(docs: DataFrame, kinds: Sequence[SpanKind], text: str = "masked",
 
 
 def nested(docs: DataFrame, kinds: Sequence[SpanKind], text: str, spans: str = "spans",
-           rounds: int = 3) -> DataFrame:
-    """Restore tokens left in ``text``, as often as originals bring up new ones."""
+           rounds: int | None = None) -> DataFrame:
+    """Restore tokens left in ``text``, as often as originals bring up new ones.
+
+    A kind swallows only kinds masked before it, so a round per kind is enough.
+    """
     pattern = token_pattern(kinds)
     res = docs.withColumn("__open", may_leak(text, kinds))
-    for _ in range(rounds):
+    for _ in range(len(kinds) if rounds is None else rounds):
         shown = F.transform(
             tx.find_all(text, pattern), lambda t: F.coalesce(_original(t, kinds, spans), t))
         again = F.when(F.col("__open"), weave(text, pattern, shown)).otherwise(F.col(text))

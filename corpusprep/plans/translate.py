@@ -32,20 +32,19 @@ def translate_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Mask, chunk, translate through the cache, join the chunks, unmask.
 
-    Returns ``(doc, translated)`` and the fresh cache entries. The service is an
-    outside call, so its answers are written before both results read them.
+    Returns ``(doc, translated)`` of every document and the fresh cache entries.
+    A NULL document stays NULL. Masking and chunking run once: both tables are
+    written before they are read several times.
     """
-    masked = mask_spans(docs, kinds, text)
-    chunks = chunk_text(masked, doc, "masked", limit)
-
-    def once(wanted: DataFrame) -> DataFrame:
-        return materialise(service(wanted), "answers")
-
+    masked = materialise(mask_spans(docs, kinds, text).select(doc, "masked", "spans"), "masked")
+    chunks = materialise(chunk_text(masked, doc, "masked", limit), "chunks")
     done, fresh = translate(
-        chunks.withColumnRenamed("chunk", "text"), cache, once, [doc, "chunk_no"], **skew)
+        chunks.withColumnRenamed("chunk", "text"), cache, service, [doc, "chunk_no"], **skew)
     position = done.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
     whole = concat_ordered(position, [doc], "chunk_no", "translated", part_chars=1 << 30)
-    joined = whole.select(doc, F.col("text").alias("masked")).join(masked.select(doc, "spans"), doc)
+    answered = whole.select(doc, F.col("text").alias("__whole"))
+    joined = masked.join(answered, doc, "left").select(
+        doc, F.when(F.col("masked").isNotNull(), F.col("__whole")).alias("masked"), "spans")
     back = unmask(joined, kinds, out="translated")
     return back.select(doc, "translated"), fresh
 
@@ -54,7 +53,9 @@ def residual_report(
     docs: DataFrame, flag: Callable[[Column], Column], by: Sequence[str], text: str
 ) -> DataFrame:
     """Lines and suspicious lines per group, counted inside each document's row."""
-    lines = docs.select(*by, tx.lines(text).alias("__lines"))
-    rows = lines.select(*by, F.explode("__lines").alias("line"))
-    return rows.select(*by, flag(F.col("line")).alias("__flag")).groupBy(*by).agg(
-        F.count("*").alias("n_lines"), F.count_if("__flag").alias("n_residual"))
+    lines = tx.lines(text)
+    rows = docs.select(
+        *by, F.coalesce(F.size(lines), F.lit(0)).alias("__n"),
+        F.coalesce(F.size(F.filter(lines, lambda line: flag(line))), F.lit(0)).alias("__flagged"))
+    return rows.filter("__n > 0").groupBy(*by).agg(
+        F.sum("__n").alias("n_lines"), F.sum("__flagged").alias("n_residual"))

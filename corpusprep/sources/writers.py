@@ -16,14 +16,25 @@ def write_manifest(assets: DataFrame, folder: str) -> None:
     assets.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/csv")
 
 
-def chunk_manifest(chunks: DataFrame, keys: Sequence[str], stem: str = "doc", bits: Cutting = None) -> DataFrame:
-    """Index, page range, status and file name of each chunk, numbered per document from 1."""
+def chunk_manifest(chunks: DataFrame, keys: Sequence[str], stem: str = "doc", bits: Cutting = None,
+                   builds: DataFrame | None = None) -> DataFrame:
+    """Index, page range, status and file name of each chunk, numbered per document from 1.
+
+    ``builds`` holds build results ``(*keys, start_page, error)``, one per chunk: an
+    error makes the status ``FAILED`` and is shown; without one it is ``OK``.
+    """
     span = F.format_string("%03d-%03d", "start_page", "end_page")
     name = F.concat(F.lit(f"{stem}"), F.concat_ws("_", *keys), F.lit("_p"), span, F.lit(".md"))
     unique = chunks.select(*keys, "start_page", "end_page").distinct().withColumn(
         "__at", F.col("start_page").cast("bigint"))
-    return numbered(unique, keys, "__at", "idx", 1, bits).select(
-        *keys, "idx", span.alias("page_range"), F.lit("OK").alias("status"), name.alias("name"))
+    rows = numbered(unique, keys, "__at", "idx", 1, bits)
+    if builds is None:
+        rows = rows.withColumn("error", F.lit(None).cast("string"))
+    else:
+        rows = rows.join(builds.select(*keys, "start_page", "error"), [*keys, "start_page"], "left")
+    status = F.when(F.col("error").isNull(), "OK").otherwise("FAILED")
+    return rows.select(
+        *keys, "idx", span.alias("page_range"), status.alias("status"), name.alias("name"), "error")
 
 
 def write_chunk_manifest(manifest: DataFrame, path: str) -> None:

@@ -45,5 +45,27 @@ def test_misses_come_once(spark, tmp_path):
             (F.col("id") % (7 + part)).cast("string").alias("text"))
         rows.coalesce(1).write.mode("append").parquet(path)
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-        got = stream_cache_misses(stream, str(tmp_path / "job"), "text", "ts")
+        got = stream_cache_misses(stream, str(tmp_path / "job"), "text")
         assert sorted(r["text"] for r in got.collect()) == [str(i) for i in range(7 + part)]
+
+
+def test_late_texts_are_reported(spark, tmp_path):
+    schema = "ts timestamp, text string"
+    path = str(tmp_path / "in")
+    for day, text in ((20, "a"), (1, "b"), (2, None)):
+        row = spark.sql("SELECT 1 AS one").select(
+            F.expr(f"timestamp'2024-01-{day:02d}'").alias("ts"), F.lit(text).cast("string").alias("text"))
+        row.coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = stream_cache_misses(stream, str(tmp_path / "job"), "text").collect()
+    assert {"a", "b"} <= {r["text"] for r in got}
+
+
+def test_event_stream_reads_files_and_folders(spark, tmp_path):
+    from corpusprep.catalog.streams import event_stream
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "many" / "events.parquet"))
+    for folder in ("/root/testdata/sf0.001", str(tmp_path / "many")):
+        got = stream_cache_misses(event_stream(spark, folder), str(tmp_path / folder.replace("/", "_")), "props")
+        assert got.count() == events.select("props").distinct().count()

@@ -185,3 +185,29 @@ def test_files_round_trip(spark, tmp_path):
     writers.write_manifest(quoted, str(tmp_path / "m"))
     assert tuple(spark.read.csv(f"{tmp_path}/m/csv", header=True, escape='"').first()) == ("a\"b", "c,d")
     assert tuple(spark.read.json(f"{tmp_path}/m/json").first()) == ("a\"b", "c,d")
+
+
+def test_rows_with_null_keys_are_spread(spark, at_scale):
+    from corpusprep.operators.lookup import lookup
+
+    left = spark.range(2000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("k"))
+    right = spark.range(7).select(F.col("id").alias("k"), F.lit("hit").alias("v"))
+    for how, n in (("left", 2000), ("left_anti", 1800), ("inner", 200)):
+        joined = lookup(left, right, ["k"], ["id"], how)
+        assert joined.count() == n
+    assert lookup(left, right, ["k"], ["id"]).filter("k IS NULL AND v IS NULL").count() == 1800
+
+
+def test_links_need_one_lookup(spark, at_scale):
+    links = spark.createDataFrame([(i, f"a/{i}.png") for i in range(40)], "id long, target string")
+    inventory = spark.createDataFrame([(f"{i}.png",) for i in range(0, 40, 2)], "path string")
+    got = at.resolve_links(links, inventory, ["id"])
+    assert {r["id"] for r in got.collect() if r["via"] == "name"} == set(range(0, 40, 2))
+    assert got._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 8
+
+
+def test_contamination_without_a_page_stays(spark):
+    from corpusprep.operators.blocks import drop_contaminated
+
+    rows = spark.createDataFrame([(1, None, True), (2, 200, True), (3, 200, None)], "id long, p int, m boolean")
+    assert {r["id"] for r in drop_contaminated(rows, F.col("p"), F.col("m")).collect()} == {1, 3}

@@ -1,5 +1,6 @@
 """Masking, rewriting, residual detection, chunking: small literal cases."""
 
+import random
 import re
 
 import pytest
@@ -257,3 +258,85 @@ def test_default_sizes():
     from corpusprep.operators.packing import BATCH_CHARS
 
     assert (CHUNK_CHARS, BATCH_CHARS) == (9000, 3500)
+
+
+def cuts(text, limit, heading):
+    """The chunk rule, one character at a time."""
+    out, start = [], 0
+    while len(text) - start > limit:
+        window = range(start + 1, start + limit)
+        blanks = [p for p in window if text[p:p + 2] == "\n\n" and p + 1 < start + limit]
+        lines = [p for p in window if text[p] == "\n"]
+        at = max(blanks or lines or [start + limit - 1])
+        while True:
+            before = text[start:at + 1].rstrip().split("\n")
+            if len(before) < 2 or not heading.match(before[-1]):
+                break
+            head = start + len("\n".join(before[:-1]))
+            higher = [p for p in range(start + 1, head) if text[p] == "\n"]
+            if not higher:
+                break
+            at = higher[-1]
+        start = at + 1
+        out.append(start)
+    return out + ([len(text)] if start < len(text) or not out else [])
+
+
+def test_cut_points_follow_the_rule():
+    rng = random.Random(3)
+    heading = re.compile(r"#+\s")
+    for _ in range(2000):
+        parts = [rng.choice(["a", "bb", "\n", "\n\n", "# h", "## x y", " ", "\n# t\n", "text line"]) for _ in range(rng.randint(0, 25))]
+        text, limit = "".join(parts), rng.randint(3, 30)
+        got = cut_points(text, limit, heading)
+        assert got == cuts(text, limit, heading), (text, limit)
+        assert all(b - a <= limit for a, b in zip([0, *got], got))
+
+
+def test_null_texts_stay(spark):
+    from corpusprep.operators.cache import by_pandas
+    from corpusprep.plans.translate import translate_documents
+
+    docs = spark.createDataFrame([(1, "one"), (2, None), (3, "x\n" * 40)], "doc_id long, text string")
+    chunks = chunk_text(docs, limit=20)
+    assert {r["doc_id"] for r in chunks.collect()} == {1, 2, 3}
+    cache = spark.createDataFrame([], "md5 string, translated string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def shout(texts):
+        calls.add(len(texts))
+        return texts.str.upper()
+
+    done, fresh = translate_documents(docs, FORMULAS, cache, by_pandas(shout), limit=20)
+    got = {r["doc_id"]: r["translated"] for r in done.collect()}
+    assert set(got) == {1, 2, 3} and got[1] == "ONE" and got[2] is None
+    # Each distinct chunk is asked for once, however often the results are read.
+    assert calls.value == fresh.count() == chunks.filter("chunk IS NOT NULL").select("chunk").distinct().count()
+
+
+def test_only_lost_batches_are_sent_again(spark):
+    from corpusprep.operators.residual import translate_segments
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def service(text):
+        calls.add(1)
+        return text.replace("SEGMENTTOKEN0001XYZ", "") if "bad" in text and "TOKEN" in text else text.upper()
+
+    rows = [(b, i, f"{'bad' if b else 'good'} {i}") for b in (0, 1) for i in range(5)]
+    segments = spark.createDataFrame(rows, "batch long, pos long, text string")
+    got = translate_segments(segments, ["batch"], lambda c: service(c)).collect()
+    assert {r["batch"]: r["via"] for r in got} == {0: "batch", 1: "single"}
+    assert all(r["text"] == f"{'BAD' if r['batch'] else 'GOOD'} {r['pos']}" for r in got)
+    got_calls = calls.value
+    assert got_calls == 2 + 5
+
+
+def test_what_looks_hidden_stays(spark):
+    from corpusprep.operators.rules import hide, show
+
+    text = "see HIDE0X and \ue0000\ue001 and $a$ here"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    hidden = hide(docs, FORMULAS, "text")
+    assert show(hidden, "text").first()["text"] == text
