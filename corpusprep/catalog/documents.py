@@ -9,7 +9,7 @@ from corpusprep.catalog.base import EV, LN, SP, documents, ev, kind, ln, query,
 from corpusprep.functions import text as tx
 from corpusprep.operators import blocks as bl
 from corpusprep.operators import sequence as sq
-from corpusprep.operators.concat import concat_ordered
+from corpusprep.operators.concat import concat_ordered, positioned
 from corpusprep.operators.lookup import bounded
 from corpusprep.operators.packing import chunk_text, fixed_chunks, pack_batches, split_in_order
 from corpusprep.operators.spans import leak_scan, mask_spans, restore_unresolved, span_table, unmask
@@ -63,11 +63,11 @@ def merge_selected(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations")
     # The caller's order: newest conversation first.
     names = turns.filter("role = 'system'").select("conv_id").distinct().withColumn(
-        "ord", F.lit(1 << 31) - F.col("conv_id"))
+        "ord", -F.col("conv_id"))
     checked = required(turns, names, ["conv_id"])
     rows = turns.join(bounded(checked), "conv_id").select(
-        F.lit("merged").alias("target"), "text",
-        (F.col("ord") * (1 << 20) + F.col("turn")).alias("at"))
+        F.lit("merged").alias("target"), "text", "ord", "turn")
+    rows = positioned(rows, ["ord", "turn"], "at")
     return concat_ordered(rows, ["target"], "at", part_chars=CONCAT_PART)
 
 

@@ -12,6 +12,7 @@ from corpusprep.operators.packing import pack_batches
 from corpusprep.operators.residual import translate_segments
 from corpusprep.operators.rules import Rule, guarded, rewrite, wrap_unfenced
 from corpusprep.operators.spans import SpanKind, mask_spans
+from corpusprep.plans.residual import residual_pass
 from corpusprep.plans.translate import residual_report, rewrite_protected
 
 CLEANUP = (
@@ -111,6 +112,25 @@ def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return translate_segments(placed, ["conv_id", "batch"], service, "turn")
 
 
+SENT = r"(?:\$\$\$|%%%)"
+
+
+@query("residual_pass", f"""
+WITH l AS (SELECT doc_id, i, trim(ss[i]) AS s FROM (
+  SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM (
+    SELECT doc_id, string_split(text, chr(10)) AS ss FROM documents))),
+b AS (SELECT *, regexp_matches(s, '{SENT}') AS sent FROM l WHERE s <> '')
+SELECT doc_id, 0 AS part, CAST(count(*) AS INT) AS n_blocks, CAST(sum(CAST(sent AS INT)) AS INT) AS n_sent,
+       string_agg(CASE WHEN sent THEN replace(s, 'e', 'E') ELSE s END, chr(10) || chr(10) ORDER BY i) AS residual
+FROM b GROUP BY doc_id""")
+def residual_pass_over_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with symbol runs are sent out; the service marks what it has seen."""
+    bell = SpanKind("bell", "BELINL", r"\x07[^\x07]*\x07", hint="\x07")
+    return residual_pass(
+        documents(spark, sf), (bell,), lambda t: t.rlike(SENT), lambda t: F.replace(t, F.lit("e"), F.lit("E")),
+        boundary="\n", limit=2000)
+
+
 FLAGSHIP = f"""
 WITH {sql_mask('m', 'documents', ['doc_id', 'lang', 'source'])},
 g AS (SELECT * EXCLUDE (masked), {sql_glossary('masked', GLOSSARY)} AS masked FROM m),

@@ -73,8 +73,15 @@ def build_status(builds: DataFrame, by: str, status: str) -> DataFrame:
 
 
 def ranked(counts: DataFrame, n: str, name: str = "rnk") -> DataFrame:
-    """Rank groups by count; meant for reports, whose groups are few."""
-    return counts.withColumn(name, F.rank().over(Window.orderBy(F.desc(n))))
+    """Rank groups by count.
+
+    Only the distinct counts meet in one task, with the number of groups of each.
+    """
+    levels = counts.groupBy(n).agg(F.count("*").alias("__groups"))
+    above = F.sum("__groups").over(
+        Window.orderBy(F.desc(n)).rowsBetween(Window.unboundedPreceding, -1))
+    places = levels.select(n, (F.coalesce(above, F.lit(0)) + 1).cast("int").alias(name))
+    return counts.join(places, n).select(*counts.columns, name)
 
 
 def error_summary(

@@ -8,10 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators.scan import Cutting, Run, running
+from corpusprep.session import materialise
 
 PART_CHARS = 4 << 20
 
 
+def positioned(rows: DataFrame, order: Sequence[str], pos: str = "pos") -> DataFrame:
+    """Give rows increasing positions in the given order, whatever values it has.
+
+    Rows are ranged over the tasks and numbered inside each, so positions are dense
+    within a task's rows. They are written, as a second run might range differently.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(placed.withColumn(pos, F.monotonically_increasing_id()), "positions")
+
+
 def concat_ordered(
     df: DataFrame,
     keys: Sequence[str],

@@ -33,11 +33,13 @@ class Rule:
 def rewrite(docs: DataFrame, rules: Sequence[Rule], text: str = "text", out: str | None = None) -> DataFrame:
     """Apply the rules in order.
 
-    Long lists are cut into several projections: one deep expression over dozens
-    of patterns would outgrow the code generator.
+    Long lists are cut into groups that are computed one after the other: one deep
+    expression over dozens of patterns would outgrow the code generator, and the
+    optimizer would merge plain projections again.
     """
     out = out or text
     res = docs.withColumn(out, F.col(text))
+    others = [c for c in res.columns if c != out]
     for i in range(0, len(rules), FOLD_LIMIT):
         c = F.col(out)
         for r in rules[i:i + FOLD_LIMIT]:
@@ -45,8 +47,9 @@ def rewrite(docs: DataFrame, rules: Sequence[Rule], text: str = "text", out: str
                 c = F.replace(c, F.lit(r.pattern), F.lit(r.replacement))
             else:
                 c = F.regexp_replace(c, r.pattern, r.replacement)
-        res = res.withColumn(out, c)
-    return res
+        last = i + FOLD_LIMIT >= len(rules)
+        res = res.withColumn(out, c) if last else tx.evaluated(res, others, {out: c})
+    return res.select(*docs.columns, *([out] if out not in docs.columns else []))
 
 
 # Formatting rules in order; patterns are fixed values, their order matters.

@@ -211,3 +211,18 @@ def test_contamination_without_a_page_stays(spark):
 
     rows = spark.createDataFrame([(1, None, True), (2, 200, True), (3, 200, None)], "id long, p int, m boolean")
     assert {r["id"] for r in drop_contaminated(rows, F.col("p"), F.col("m")).collect()} == {1, 3}
+
+
+def test_positions_follow_any_order(spark):
+    from corpusprep.operators.concat import concat_ordered, positioned
+
+    rows = [("all", f"{a}-{b}", a, b) for a in (-(1 << 40), 3, 1 << 50) for b in (0, 1 << 33, 7)]
+    df = spark.createDataFrame(rows, "t string, text string, a long, b long").repartition(5)
+    placed = positioned(df, ["a", "b"], "at")
+    got = concat_ordered(placed, ["t"], "at", sep=" ").first()["text"]
+    assert got == " ".join(r[1] for r in sorted(rows, key=lambda r: r[2:]))
+
+
+def test_ranks_have_gaps(spark):
+    counts = spark.createDataFrame([("a", 5), ("b", 7), ("c", 5), ("d", 1)], "g string, n long")
+    assert {r["g"]: r["rnk"] for r in au.ranked(counts, "n").collect()} == {"b": 1, "a": 2, "c": 2, "d": 4}

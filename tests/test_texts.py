@@ -340,3 +340,35 @@ def test_what_looks_hidden_stays(spark):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     hidden = hide(docs, FORMULAS, "text")
     assert show(hidden, "text").first()["text"] == text
+
+
+def test_residual_pass(spark):
+    from corpusprep.plans.residual import residual_pass
+
+    rows = [(1, "keep $a$ this\n\nXX send $b$ on\n\nXX and this"), (2, None), (3, ""), (4, "nothing to send")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in residual_pass(
+        docs, FORMULAS, lambda t: t.startswith("XX"), lambda t: F.replace(t, F.lit("send"), F.lit("SENT"))).collect()}
+    assert got[1]["residual"] == "keep $a$ this\n\nXX SENT $b$ on\n\nXX and this"
+    assert (got[1]["n_blocks"], got[1]["n_sent"]) == (3, 2)
+    assert got[4]["residual"] == "nothing to send" and got[4]["n_sent"] == 0
+    assert got[2]["residual"] is None and got[3]["residual"] is None
+
+
+def test_many_rules_stay_apart(spark):
+    rules = [ru.Rule(f"r{i}", f"w{i}(?![0-9])", f"w{i + 1}") for i in range(60)]
+    docs = spark.createDataFrame([(1, "w0 and w59"), (2, None)], "doc_id long, text string")
+    done = ru.rewrite(docs, rules)
+    assert {r["doc_id"]: r["text"] for r in done.collect()} == {1: "w60 and w60", 2: None}
+    assert done.columns == docs.columns
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("Generate") >= 3
+
+
+def test_pages_and_literal_edits(spark):
+    docs = spark.createDataFrame([(1, "[p 3] a [p 12]"), (2, "none"), (3, None), (4, "[p 99999999999]")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["pages"], r["page"]) for r in bl.mark_pages(docs, r"\[p (\d+)\]").collect()}
+    assert got == {1: ([3, 12], 3), 2: ([], None), 3: ([], None), 4: ([], None)}
+    texts = [("x # A old # B y", "x new\n\n# B y"), ("# B # A old", "# B # A old"), ("# A", "# A"), (None, None)]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "id long, text string")
+    edited = rows.select("id", bl.edit_literal("text", "# A", "# B", "new  ").alias("t")).collect()
+    assert [r["t"] for r in sorted(edited, key=lambda r: r["id"])] == [w for _, w in texts]
