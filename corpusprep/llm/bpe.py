@@ -77,6 +77,9 @@ class Encoder:
             self.pieces[i] = piece
         for sign, i in self.special.items():
             self.pieces[i] = sign.encode()
+        # All pieces end to end, and where each begins.
+        self.flat_pieces = (
+            np.frombuffer(b"".join(self.pieces), np.uint8), np.cumsum([0, *map(len, self.pieces)]))
         self._bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._line = ranks[b"\n"]
 

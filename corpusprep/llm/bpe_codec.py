@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.llm.bpe import Encoder, encoder
 from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, short_lived_shuffles, spans_of
-from corpusprep.llm.lexicon import Lexicon, attach, task_counts
+from corpusprep.llm.lexicon import Lexicon, attach, task_words
 from corpusprep.session import materialise
 
 
@@ -30,7 +30,7 @@ def id_kind(bpe: Encoder) -> str:
 
 def word_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``(h, payload)``: each distinct word's hash and its ids, encoded once."""
-    rows = task_counts(docs, lambda t: encoder(tokenizer).words(t.decode()))
+    rows = task_words(docs, lambda t: encoder(tokenizer).words(t.decode()))
     keyed = rows.select(F.xxhash64("word").alias("h"), "word")
     placed = keyed.repartition("h").sortWithinPartitions("h")
 
@@ -61,9 +61,12 @@ def word_table(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", **sizes: int,
+    docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", decoded: bool = False, **sizes: int,
 ) -> DataFrame:
-    """``(doc, ids)``: the ids as little-endian unsigned 32-bit numbers."""
+    """``(doc, ids)``: the ids as little-endian unsigned 32-bit numbers.
+
+    With ``decoded`` the pieces are joined to the ids in the same pass: ``(doc, ids, decoded)``.
+    """
     kind = docs.schema[doc].dataType.simpleString()
     rows = as_bytes(docs, doc, text=text)
     table = word_table(rows.select("text"), tokenizer)
@@ -71,16 +74,35 @@ def encode(
     def joined(piece: pa.RecordBatch, entries: np.ndarray, offsets: np.ndarray, lexicon: Lexicon):
         if len(entries) and entries.min() < 0:
             raise RuntimeError("a word is missing from the word table")
-        numbers, starts = lexicon.view(id_kind(encoder(tokenizer)))
+        bpe = encoder(tokenizer)
+        numbers, starts = lexicon.view(id_kind(bpe))
         ids, sizes_ = gather(numbers, starts, entries)
-        ids = ids.astype("<u4")
         ends = spans_of(sizes_)[offsets]
-        values = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-        return pa.record_batch([piece.column(0), pa.array(values, pa.binary())], [doc, "ids"])
-
-    return attach(
-        rows, table, lambda t: encoder(tokenizer).words(t.decode()), joined,
-        f"`{doc}` {kind}, ids binary", **sizes)
+        wide = ids.astype("<u4")
+        values = [wide[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+        columns = {doc: piece.column(0), "ids": pa.array(values, pa.binary())}
+        if decoded:
+            columns["decoded"] = pa.array(_texts_of(ids, ends, *bpe.flat_pieces), pa.binary())
+        return pa.record_batch(list(columns.values()), list(columns))
+
+    schema = f"`{doc}` {kind}, ids binary" + ", decoded binary" * decoded
+    return attach(rows, table, lambda t: encoder(tokenizer).words(t.decode()), joined, schema, **sizes)
+
+
+def _texts_of(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The pieces of ``ids[ends[i]:ends[i + 1]]`` end to end, as valid UTF-8."""
+    shown, sizes = gather(flat, offsets, ids.astype(np.int64))
+    cuts = spans_of(sizes)[ends]
+    whole = shown.tobytes()
+    out = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        part = whole[a:b]
+        try:
+            part.decode()
+        except UnicodeDecodeError:
+            part = part.decode("utf-8", "replace").encode()
+        out.append(part)
+    return out
 
 
 def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
@@ -103,11 +125,8 @@ def decode(tokens: DataFrame, pieces: DataFrame, doc: str = "doc_id") -> DataFra
     def joined(piece: pa.RecordBatch) -> pa.RecordBatch:
         flat, offsets = shared.value
         rows = [np.frombuffer(i or b"", "<u4") for i in piece.column("ids").to_pylist()]
-        every = np.concatenate([*rows, np.empty(0, "<u4")]).astype(np.int64)
-        shown, sizes = gather(flat, offsets, every)
-        ends = spans_of(sizes)[spans_of(list(map(len, rows)))]
-        whole = shown.tobytes()
-        values = [whole[a:b].decode("utf-8", "replace").encode() for a, b in zip(ends[:-1], ends[1:])]
+        every = np.concatenate([*rows, np.empty(0, "<u4")])
+        values = _texts_of(every, spans_of(list(map(len, rows))), flat, offsets)
         return pa.record_batch(
             [piece.column(0), piece.column("ids"), pa.array(values, pa.binary())], [doc, "ids", "decoded"])
 

@@ -66,9 +66,11 @@ def as_bytes(docs: DataFrame, *keep: str | Column, text: str = "text") -> DataFr
 
 def gather(flat: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries ``index`` of a ragged array end to end, and the length of each."""
-    starts, sizes = offsets[index], offsets[index + 1] - offsets[index]
+    starts = offsets[index].astype(np.int64)
+    sizes = offsets[index + 1].astype(np.int64) - starts
     before = np.cumsum(sizes) - sizes
-    at = np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+    at = np.repeat(starts - before, sizes)
+    at += np.arange(len(at))
     return flat[at], sizes
 
 

@@ -35,7 +35,9 @@ class Lexicon:
     """Payloads by hash, in arrays sorted by hash."""
 
     def __init__(self, hashes: np.ndarray, sizes: np.ndarray, flat: np.ndarray):
-        self.hashes, self.flat, self.offsets = hashes, flat, spans_of(sizes)
+        self.hashes, self.flat = hashes, flat
+        self.offsets = np.zeros(len(sizes) + 1, np.uint32 if len(flat) < 1 << 32 else np.int64)
+        np.cumsum(sizes, out=self.offsets[1:], dtype=self.offsets.dtype)
 
     @staticmethod
     def of(table: pa.Table) -> Lexicon:
@@ -54,7 +56,7 @@ class Lexicon:
 
     def view(self, dtype: str) -> tuple[np.ndarray, np.ndarray]:
         """The payloads as numbers, and their offsets."""
-        return self.flat.view(dtype), self.offsets // np.dtype(dtype).itemsize
+        return self.flat.view(dtype), self.offsets // self.offsets.dtype.type(np.dtype(dtype).itemsize)
 
 
 class Packed:
@@ -67,11 +69,9 @@ class Packed:
     def lexicon(self) -> Lexicon:
         """Unpacked once per worker process."""
         if self._lexicon is None:
-            columns = list(zip(*self.parts)) or [[], [], []]
-            join = lambda parts, kind: np.frombuffer(b"".join(parts), kind)
-            self._lexicon = Lexicon(
-                join(columns[0], np.int64), join(columns[1], np.uint32).astype(np.int64), join(columns[2], np.uint8))
-            self.parts = []
+            parts, self.parts = self.parts, []
+            column = lambda i, kind: np.frombuffer(b"".join(p[i] for p in parts), kind)
+            self._lexicon = Lexicon(column(0, np.int64), column(1, np.uint32), column(2, np.uint8))
         return self._lexicon
 
 
@@ -170,6 +170,28 @@ def attach(
     return both.applyInArrow(meet, schema)
 
 
+def task_words(docs: DataFrame, split: Split) -> DataFrame:
+    """``(word)``: each word about once per task."""
+
+    def run(batches: Rows) -> Rows:
+        seen: set = set()
+
+        def out() -> pa.RecordBatch:
+            words = [w.encode() if isinstance(w, str) else w for w in seen]
+            return pa.record_batch([pa.array(words, pa.binary())], ["word"])
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                for t in texts(piece):
+                    seen.update(split(t))
+                if len(seen) > TASK_WORDS:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    return docs.mapInArrow(run, "word binary")
+
+
 def task_counts(docs: DataFrame, split: Split) -> DataFrame:
     """``(word, n)``: each word about once per task, with its count there."""
 

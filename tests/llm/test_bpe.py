@@ -52,6 +52,8 @@ def test_codec(spark, library, sizes):
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, np.frombuffer(bytes(r["ids"]), "<u4").tolist(),
                   bytes(r["decoded"]).decode()) for r in done)
     assert got == want
+    both = bpe_codec.encode(docs, PATH, decoded=True, **sizes).collect()
+    assert sorted(map(str, both)) == sorted(map(str, done))
 
 
 def test_codec_of_nothing(spark):
