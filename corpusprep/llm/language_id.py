@@ -31,6 +31,8 @@ PER_LANGUAGE = 500
 BUCKETS = 1 << 12
 ORDERS = (1, 2, 3)
 NONE = "und"
+# Bytes per slice: the arrays of a slice take some 60 times as much.
+SLICE = 1 << 20
 
 # Families of ISO 639-1 codes.
 FAMILIES = {
@@ -88,7 +90,7 @@ def training_rows(docs: DataFrame, per_language: int) -> pa.Table:
         rows = [ft.pack(ft.shares([i[a:b] for i in ids], BUCKETS)) for a, b in zip(offsets[:-1], offsets[1:])]
         return pa.record_batch([piece.column("lang"), pa.array(rows, pa.binary())], ["lang", "row"])
 
-    return map_slices(some, "text", run, "lang string, row binary").orderBy("lang", "row").toArrow()
+    return map_slices(some, "text", run, "lang string, row binary", SLICE).orderBy("lang", "row").toArrow()
 
 
 def fit(docs: DataFrame, families: Mapping[str, str] = FAMILIES, per_language: int = PER_LANGUAGE) -> dict:
@@ -174,11 +176,13 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def predict(docs: DataFrame, model: dict, *keep: str, text: str = "text") -> DataFrame:
-    """``(*keep, lang_pred, score)`` of every row."""
+    """``(*keep, lang_pred, score)`` of every row; ``keep`` may name the text itself."""
+    own = [] if text in keep else [text]
+    rows = docs.select(*[F.col(c).cast("binary").alias(c) if c == text else F.col(c) for c in [*keep, *own]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(piece: pa.RecordBatch) -> pa.RecordBatch:
-        held, m = texts(piece), shared.value
+        held, m = texts(piece, text), shared.value
         if m["names"]:
             choice, score = predicted(margins(held, m), m)
         else:
@@ -189,9 +193,9 @@ def predict(docs: DataFrame, model: dict, *keep: str, text: str = "text") -> Dat
             [*(piece.column(k) for k in keep), pa.array(names, pa.string()), pa.array(np.where(blank, 0.0, score))],
             [*keep, "lang_pred", "score"])
 
-    kinds = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
-    return map_slices(
-        as_bytes(docs, *keep, text=text), "text", run, ", ".join([*kinds, "lang_pred string, score double"]))
+    kinds = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep]
+    found = map_slices(rows, text, run, ", ".join([*kinds, "lang_pred string, score double"]), SLICE)
+    return found.withColumn(text, F.col(text).cast("string")) if text in keep else found
 
 
 def identify(docs: DataFrame, modulus: int = 4, held: int = 2, **options) -> DataFrame:

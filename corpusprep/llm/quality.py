@@ -33,6 +33,8 @@ WINDOW = 5
 ROWS = 2000
 BUCKETS = 1 << 14
 THRESHOLD = 0.5
+# Bytes per slice: the arrays of a slice take some 60 times as much.
+SLICE = 1 << 20
 
 
 def repeat_words(words: list[bytes], hashes: np.ndarray, width: int = WINDOW) -> int:
@@ -105,7 +107,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, rows: int) -> pa.Table
                 for w, a, b in zip(by_word, offsets[:-1], offsets[1:])]
         return pa.record_batch([piece.column("quality"), pa.array(rows, pa.binary())], ["quality", "row"])
 
-    return map_slices(some, "text", run, "quality int, row binary").orderBy("quality", "row").toArrow()
+    return map_slices(some, "text", run, "quality int, row binary", SLICE).orderBy("quality", "row").toArrow()
 
 
 def logistic(x: ft.Sparse, y: np.ndarray, columns: int, rounds: int = 300, ridge: float = 1e-2):
@@ -202,4 +204,4 @@ def judge(docs: DataFrame, labels: DataFrame, rows: int = ROWS, threshold: float
 
     return map_slices(as_bytes(docs, "doc_id"), "text", run, (
         f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "base_failed boolean, kept boolean, quality double"))
+        "base_failed boolean, kept boolean, quality double"), SLICE)
