@@ -54,23 +54,23 @@ FAMILIES = {
 
 def machine(x: np.ndarray, y: np.ndarray, rounds: int = 30, cost: float = 1.0) -> np.ndarray:
     """A linear support vector machine (squared hinge) by dual coordinate descent; last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w = np.zeros(x.shape[1])
+    w, bias = np.zeros(x.shape[1]), 0.0
     alpha = np.zeros(len(x))
-    square = (x * x).sum(1) + 0.5 / cost
+    square = np.einsum("ij,ij->i", x, x) + 1 + 0.5 / cost
     order = np.random.default_rng(3)
     for _ in range(rounds):
         most = 0.0
         for i in order.permutation(len(x)):
-            g = y[i] * (x[i] @ w) - 1 + alpha[i] * 0.5 / cost
+            g = y[i] * (x[i] @ w + bias) - 1 + alpha[i] * 0.5 / cost
             new = max(alpha[i] - g / square[i], 0.0)
             if new != alpha[i]:
                 w += (new - alpha[i]) * y[i] * x[i]
+                bias += (new - alpha[i]) * y[i]
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
         if most < 1e-3:
             break
-    return w
+    return np.append(w, bias)
 
 
 def _text_rows(held: list[bytes]):
@@ -104,7 +104,8 @@ def fit(docs: DataFrame, families: Mapping[str, str] = FAMILIES, per_language: i
         index, value = ft.unpack(row)
         x[i, index] = value
     # Shares are rooted mean square scaled, then rows have about unit length.
-    factor = 1 / np.sqrt((x.astype(np.float64) ** 2).mean(0) + 1e-6) / np.sqrt(columns)
+    mean_square = np.einsum("ij,ij->j", x, x, dtype=np.float64) / max(len(x), 1)
+    factor = 1 / np.sqrt(mean_square + 1e-6) / np.sqrt(columns)
     x *= factor.astype(np.float32)
     family = {n: families.get(n, n) for n in names}
     kinds = sorted(set(family.values()))
@@ -112,7 +113,7 @@ def fit(docs: DataFrame, families: Mapping[str, str] = FAMILIES, per_language: i
     weights, stages = [], {"families": [], "pairs": []}
 
     def add(rows: np.ndarray, y: np.ndarray) -> int:
-        w = machine(x[rows], y)
+        w = machine(x if len(rows) == len(x) else x[rows], y)
         weights.append((w[:-1] * factor, w[-1]))
         return len(weights) - 1
 
