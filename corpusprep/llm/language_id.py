@@ -52,19 +52,24 @@ FAMILIES = {
 }
 
 
-def machine(x: np.ndarray, y: np.ndarray, rounds: int = 30, cost: float = 1.0) -> np.ndarray:
-    """A linear support vector machine (squared hinge) by dual coordinate descent; last weight is the bias."""
-    w, bias = np.zeros(x.shape[1]), 0.0
-    alpha = np.zeros(len(x))
-    square = np.einsum("ij,ij->i", x, x) + 1 + 0.5 / cost
+def machine(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, columns: int, rounds: int = 30,
+            cost: float = 1.0) -> np.ndarray:
+    """A linear support vector machine (squared hinge) by dual coordinate descent; last weight is the bias.
+
+    A row is its non-zero columns and their values.
+    """
+    w, bias = np.zeros(columns), 0.0
+    alpha = np.zeros(len(rows))
+    square = [float(v @ v) + 1 + 0.5 / cost for _, v in rows]
     order = np.random.default_rng(3)
     for _ in range(rounds):
         most = 0.0
-        for i in order.permutation(len(x)):
-            g = y[i] * (x[i] @ w + bias) - 1 + alpha[i] * 0.5 / cost
+        for i in order.permutation(len(rows)):
+            index, value = rows[i]
+            g = y[i] * (value @ w[index] + bias) - 1 + alpha[i] * 0.5 / cost
             new = max(alpha[i] - g / square[i], 0.0)
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w[index] += (new - alpha[i]) * y[i] * value
                 bias += (new - alpha[i]) * y[i]
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
@@ -99,21 +104,20 @@ def fit(docs: DataFrame, families: Mapping[str, str] = FAMILIES, per_language: i
     lang = np.array(found.column("lang").to_pylist(), dtype=object)
     names = sorted(set(lang.tolist()))
     columns = len(ORDERS) * BUCKETS
-    x = np.zeros((len(lang), columns), np.float32)
-    for i, row in enumerate(found.column("row").to_pylist()):
-        index, value = ft.unpack(row)
-        x[i, index] = value
-    # Shares are rooted mean square scaled, then rows have about unit length.
-    mean_square = np.einsum("ij,ij->j", x, x, dtype=np.float64) / max(len(x), 1)
-    factor = 1 / np.sqrt(mean_square + 1e-6) / np.sqrt(columns)
-    x *= factor.astype(np.float32)
+    x = [(i, v.astype(np.float32)) for i, v in map(ft.unpack, found.column("row").to_pylist())]
+    # Columns are scaled to unit mean square, rows then have about unit length.
+    total = np.zeros(columns)
+    for index, value in x:
+        total[index] += value.astype(np.float64) ** 2
+    factor = 1 / np.sqrt(total / max(len(x), 1) + 1e-6) / np.sqrt(columns)
+    x = [(index, (value * factor[index]).astype(np.float32)) for index, value in x]
     family = {n: families.get(n, n) for n in names}
     kinds = sorted(set(family.values()))
     member = np.array([kinds.index(family[n]) for n in lang], np.int64) if len(lang) else np.empty(0, np.int64)
     weights, stages = [], {"families": [], "pairs": []}
 
     def add(rows: np.ndarray, y: np.ndarray) -> int:
-        w = machine(x if len(rows) == len(x) else x[rows], y)
+        w = machine([x[i] for i in rows], y, columns)
         weights.append((w[:-1] * factor, w[-1]))
         return len(weights) - 1
 

@@ -96,7 +96,7 @@ def packed(lexicon: DataFrame, size: int) -> Packed:
     placed = lexicon.select("h", "payload").repartitionByRange(parts, "h").sortWithinPartitions("h")
     rows = placed.mapInArrow(pack, "first long, hashes binary, sizes binary, flat binary").collect()
     rows.sort(key=lambda r: r["first"])
-    return Packed([(bytes(r["hashes"]), bytes(r["sizes"]), bytes(r["flat"])) for r in rows])
+    return Packed([(r["hashes"], r["sizes"], r["flat"]) for r in rows])
 
 
 def hashes_of(words: Iterable, n: int) -> np.ndarray:
