@@ -110,9 +110,12 @@ def _pair_counts(docs: DataFrame, lexicon: DataFrame, kinds: int, **sizes: int)
         pair, n = np.unique(before.astype(np.int64) * kinds + items, return_counts=True)
         return pa.record_batch([pa.array(pair), pa.array(n)], ["pair", "n"])
 
-    rows = attach(docs, lexicon, tokens, count, "pair long, n long", **sizes)
+    held: list = []
+    rows = attach(docs, lexicon, tokens, count, "pair long, n long", held=held, **sizes)
     out = np.zeros(kinds * kinds, np.int64)
     got = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    for shared in held:
+        shared.destroy()
     out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(kinds, kinds)
 
@@ -160,7 +163,8 @@ def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int
             [pa.array(lex.hashes[pair // n_groups]), pa.array((pair % n_groups).astype(np.int32)), pa.array(n)],
             ["h", "g", "n"])
 
-    voted = attach(docs, first, tokens, votes, "h long, g int, n long", **sizes)
+    held: list = []
+    voted = attach(docs, first, tokens, votes, "h long, g int, n long", held=held, **sizes)
     sums = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(f"g{g}") for g in range(n_groups)]
     most = F.greatest(*[F.col(f"g{g}") for g in range(n_groups)]) if n_groups > 1 else F.col("g0")
     group = F.lit(0)
@@ -174,6 +178,8 @@ def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int
         "h", _payload(code, F.least("n", F.lit((1 << 31) - 1))).alias("payload"),
         code.alias("class"), "n"), "classes")
 
+    for shared in held:
+        shared.destroy()
     n_kinds = n_classes + n_groups * BANDS
     pairs = _pair_counts(docs, lexicon, n_kinds, **sizes).astype(np.float64)
     sizes_of = np.zeros(n_kinds)

@@ -116,12 +116,13 @@ Fold = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, Lexicon], pa.RecordBatc
 
 def attach(
     docs: DataFrame, lexicon: DataFrame, split: Split, fold: Fold, schema: str,
-    broadcast_bytes: int | None = None, block_bytes: int | None = None,
+    broadcast_bytes: int | None = None, block_bytes: int | None = None, held: list | None = None,
 ) -> DataFrame:
     """``fold(piece, entries, offsets, lexicon)`` over slices of documents.
 
     ``docs`` has the text as bytes in ``text``; ``entries[offsets[i]:offsets[i + 1]]`` are
-    the lexicon entries of the words of the piece's row ``i``.
+    the lexicon entries of the words of the piece's row ``i``. What is broadcast is added to
+    ``held``, for callers that use the result up and can then give it back.
     """
     spark = docs.sparkSession
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
@@ -133,6 +134,8 @@ def attach(
 
     if size <= limit:
         shared = spark.sparkContext.broadcast(packed(lexicon, size))
+        if held is not None:
+            held.append(shared)
 
         def run(batches: Rows) -> Rows:
             for batch in batches:
