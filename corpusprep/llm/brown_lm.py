@@ -1,15 +1,21 @@
 """A Brown class bigram model: exchange clustering, then class-transition and word-emission probabilities.
 
 Words are lower-cased (A-Z) runs without ASCII white space; an end token closes each text.
-All counts cover every training document. The ``HEAD`` most frequent words are clustered by
-the exchange algorithm on their bigram counts, first into ``CLASSES`` classes, and these
-classes' items again into ``GROUPS`` groups. Every other word joins the class of its count's
-magnitude in the group that most of its occurrences follow. So the clustered matrix is bounded
-while classes, transitions and emissions come from all words.
+All counts cover every training document. The classes start from the ``HEAD`` most frequent
+words, which are clustered on their bigram counts, first into ``CLASSES`` classes, and these
+classes' items again into ``GROUPS`` groups. Every other word starts in the class of its count's
+magnitude in the group that most of its occurrences follow.
+
+Then all words are exchanged, in up to ``TURNS`` turns. A turn counts the classes before and
+after each word in Spark and broadcasts the bounded class-by-class table; each word's exact gain
+in likelihood, all other words staying, follows from these, and it moves to its best class. As
+words of a turn do not see each other's moves, a turn that lowers the likelihood is taken back,
+and half as many words are asked in the next one. Each turn's classes are written.
 
 ``P(text)`` is the product of ``P(class | class before) * P(word | class)``, the end token
 included. Transitions are smoothed with the class distribution. Words seen once lend half of
-their mass to the unseen word, which counts as one word as in the base score.
+their mass to the unseen word, which counts as one word as in the base score. After an unseen
+word the transitions are those of the classes of words seen once, by their share.
 
 Cases: a NULL text is the empty one (one end token); a row without id is scored but neither
 held out nor learned from; repeated rows count as often as they occur; with no training text
@@ -33,6 +39,9 @@ CLASSES = 64
 GROUPS = 8
 BANDS = 40
 ROUNDS = 8
+TURNS = 3
+SLICE_WORDS = 4096
+SMALL = 16
 PRIOR = 20.0
 UNSEEN = 0.5
 END = b"\n"
@@ -120,6 +129,173 @@ def _pair_counts(docs: DataFrame, lexicon: DataFrame, kinds: int, **sizes: int)
     return out.reshape(kinds, kinds)
 
 
+def _neighbours(docs: DataFrame, lexicon: DataFrame, kinds: int, **sizes: int) -> DataFrame:
+    """``(h, class, n, payload, codes, counts)``: how often which class stands beside each word.
+
+    Code ``c`` is class ``c`` after the word, ``kinds + c`` before it, and ``2 * kinds`` the word
+    itself after it, which the others leave out. The end precedes each text.
+    """
+
+    def count(piece, entries, offsets, lex: Lexicon):
+        items = lex.view("<i4")[0].reshape(-1, 2)[entries, 0].astype(np.int64)
+        after = np.roll(np.arange(len(entries)), -1)
+        after[offsets[1:] - 1] = offsets[:-1]
+        same = entries == entries[after]
+        width = 2 * kinds + 1
+        # The second word of a pair gives the row of the class before it.
+        keys = np.concatenate([
+            entries * width + np.where(same, 2 * kinds, items[after]),
+            (entries[after] * width + kinds + items)[~same]])
+        pair, n = np.unique(keys, return_counts=True)
+        return pa.record_batch(
+            [pa.array(lex.hashes[pair // width]), pa.array((pair % width).astype(np.int32)), pa.array(n)],
+            ["h", "code", "c"])
+
+    held: list = []
+    rows = attach(docs, lexicon, tokens, count, "h long, code int, c long", held=held, **sizes)
+    # A word has at most 2 * kinds + 1 codes.
+    beside = rows.groupBy("h", "code").agg(F.sum("c").alias("c")).groupBy("h").agg(
+        F.collect_list(F.struct("code", "c")).alias("at"))
+    out = materialise(lexicon.join(beside, "h").select(
+        "h", "class", "n", "payload", F.col("at.code").alias("codes"), F.col("at.c").alias("counts")), "neighbours")
+    for shared in held:
+        shared.destroy()
+    return out
+
+
+def _table(beside: DataFrame, kinds: int) -> np.ndarray:
+    """Class-bigram counts out of the words' neighbours."""
+    rows = beside.select("class", F.explode(F.arrays_zip("codes", "counts")).alias("at")).select(
+        "class", F.col("at.codes").alias("code"), F.col("at.counts").alias("c"))
+    after = F.when(F.col("code") == 2 * kinds, F.col("class")).otherwise(F.col("code"))
+    got = rows.filter(~F.col("code").between(kinds, 2 * kinds - 1)).groupBy("class", after.alias("after")).agg(
+        F.sum("c").alias("c")).toArrow()
+    out = np.zeros((kinds, kinds))
+    out[got.column("class").to_numpy(), got.column("after").to_numpy()] = got.column("c").to_numpy()
+    return out
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Log-likelihood of the texts under the classes, up to a constant of the words."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(1)).sum() - _xlogx(table.sum(0)).sum())
+
+
+def gains(table: np.ndarray, own: np.ndarray, n: np.ndarray, word: np.ndarray, code: np.ndarray, count: np.ndarray):
+    """Gain in likelihood of each word in each class, over the word in none.
+
+    ``word, code, count`` are the words' neighbours, in order of word.
+    """
+    kinds, words = len(table), len(own)
+    f, size = _xlogx(table), table.sum(1)
+    out = np.zeros((words, kinds))
+    # Of the own class: what leaves with the word.
+    mine = np.zeros(words)
+    right, left, self_ = np.zeros((words, kinds)), np.zeros((words, kinds)), np.zeros(words)
+    is_right, is_self = code < kinds, code == 2 * kinds
+    is_left = ~is_right & ~is_self
+    right[word[is_right], code[is_right]] = count[is_right]
+    left[word[is_left], code[is_left] - kinds] = count[is_left]
+    self_[word[is_self]] = count[is_self]
+    seat = np.arange(words)
+    for side, other, cells, logs in ((right, left, table, f), (left, right, table.T, f.T)):
+        w, d = np.nonzero(side)
+        c = side[w, d]
+        # cells[b, d] grows by c when the word joins class b; the word's own class is apart.
+        apart = d == own[w]
+        for v in range(1, SMALL + 1):
+            hit = np.flatnonzero((c == v) & ~apart)
+            if len(hit):
+                _add_rows(out, w[hit], (_xlogx(cells + v) - logs).T, d[hit])
+        many = np.flatnonzero((c > SMALL) & ~apart)
+        for start in range(0, len(many), SLICE_WORDS):
+            hit = many[start:start + SLICE_WORDS]
+            step = _xlogx(cells.T[d[hit]] + c[hit, None]) - logs.T[d[hit]]
+            _add_rows(out, w[hit], step, np.arange(len(hit)))
+        # Here the word's own occurrences are in the cells.
+        hit = np.flatnonzero(apart)
+        base = np.maximum(cells.T[d[hit]] - other[w[hit]], 0)
+        _add_rows(out, w[hit], _xlogx(base + c[hit, None]) - _xlogx(base), np.arange(len(hit)))
+        value = cells[own[w], d]
+        mine += np.bincount(w, np.where(apart, 0, _xlogx(value) - _xlogx(value - c)), words)
+    # The cell of a class with itself gets both sides at once.
+    both = right + left + self_[:, None]
+    w, d = np.nonzero(both)
+    cell = np.diag(table)[d]
+    out[w, d] += _xlogx(cell + both[w, d]) - _xlogx(cell + right[w, d]) - _xlogx(cell + left[w, d]) + _xlogx(cell)
+    value = table[own, own]
+    mine += _xlogx(value) - _xlogx(value - both[seat, own])
+    each, at = np.unique(n, return_inverse=True)
+    out -= 2 * (_xlogx(size + each[:, None]) - _xlogx(size))[at]
+    mine -= 2 * (_xlogx(size[own]) - _xlogx(size[own] - n))
+    out[seat, own] = mine
+    return out
+
+
+def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, index: np.ndarray) -> None:
+    """``out[at] += rows[index]`` for rising ``at``."""
+    if not len(at):
+        return
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    for cut in range(0, len(first), SLICE_WORDS):
+        starts = first[cut:cut + SLICE_WORDS]
+        end = first[cut + SLICE_WORDS] if cut + SLICE_WORDS < len(first) else len(at)
+        out[at[starts]] += np.add.reduceat(rows[index[starts[0]:end]], starts - starts[0], axis=0)
+
+
+def _moved(beside: DataFrame, table: np.ndarray, turn: int, parts: int) -> DataFrame:
+    """``(h, payload, class, n)`` after one turn, in which one of ``parts`` words is asked."""
+    kinds = len(table)
+    shared = beside.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_WORDS):
+                batch = whole.slice(start, SLICE_WORDS)
+                h, n = batch.column("h").to_numpy(), batch.column("n").to_numpy()
+                own = batch.column("class").to_numpy().astype(np.int64)
+                lists = batch.column("codes")
+                word = np.repeat(np.arange(len(h)), np.diff(lists.offsets.to_numpy()))
+                gain = gains(
+                    shared.value, own, n.astype(np.float64), word, lists.flatten().to_numpy().astype(np.int64),
+                    batch.column("counts").flatten().to_numpy().astype(np.float64))
+                best = gain.argmax(1)
+                seat = np.arange(len(h))
+                asked = (h % parts == turn % parts) & (gain[seat, best] > gain[seat, own] + 1e-9)
+                to = np.where(asked, best, own)
+                payload = np.stack([to, np.minimum(n, (1 << 31) - 1)], 1).astype("<i4")
+                yield pa.record_batch(
+                    [pa.array(h), pa.array([p.tobytes() for p in payload], pa.binary()),
+                     pa.array(to.astype(np.int32)), pa.array(n)], ["h", "payload", "class", "n"])
+
+    out = materialise(beside.select("h", "class", "n", "codes", "counts").mapInArrow(
+        run, "h long, payload binary, class int, n long"), "classes")
+    shared.destroy()
+    return out
+
+
+def exchange_all(docs: DataFrame, lexicon: DataFrame, kinds: int, turns: int = TURNS, **sizes: int):
+    """``(lexicon, table)`` after exchanging every word; the likelihood never falls."""
+    best = None
+    parts = 1
+    for turn in range(turns + 1):
+        last = turn == turns
+        if last:
+            beside, table = None, _pair_counts(docs, lexicon, kinds, **sizes).astype(np.float64)
+        else:
+            beside = _neighbours(docs, lexicon, kinds, **sizes)
+            table = _table(beside, kinds)
+        if best is None or likelihood(table) >= best[0]:
+            settled = best is not None and likelihood(table) - best[0] <= 1e-9 * abs(best[0]) and parts == 1
+            best = (likelihood(table), lexicon, table, beside)
+            if settled:
+                break
+        else:
+            parts *= 2
+        if not last:
+            lexicon = _moved(best[3], best[2], turn, parts)
+    return best[1], best[2]
+
+
 def _payload(*columns) -> F.Column:
     """Little-endian 32-bit numbers side by side."""
     parts = []
@@ -129,7 +305,8 @@ def _payload(*columns) -> F.Column:
     return F.unhex(F.concat(*parts))
 
 
-def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, **sizes: int):
+def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS,
+          **sizes: int):
     """``(lexicon, facts)``: class and count of each training word, and the model's tables."""
     counts = materialise(
         task_counts(docs, tokens).groupBy(F.xxhash64("word").alias("h")).agg(F.sum("n").alias("n")), "counts")
@@ -174,30 +351,42 @@ def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int
     classed = spark.createDataFrame(pa.table({"rank": np.arange(len(top), dtype=np.int32), "class": of.astype(np.int32)}))
     named = items.join(F.broadcast(classed), "rank", "left").join(chosen, "h", "left")
     code = F.coalesce("class", F.lit(n_classes) + F.coalesce("group", F.lit(0)) * BANDS + _band(F.col("n")))
-    lexicon = materialise(named.select(
-        "h", _payload(code, F.least("n", F.lit((1 << 31) - 1))).alias("payload"),
-        code.alias("class"), "n"), "classes")
+    start = materialise(named.select("h", code.alias("code"), "n"), "start")
+    # Only the classes that have words are numbered.
+    used = sorted(r["code"] for r in start.select("code").distinct().collect())
+    number = F.lit(0)
+    if used:
+        place = dict(zip(used, range(len(used))))
+        number = F.element_at(F.array(*[F.lit(place.get(c, 0)) for c in range(used[-1] + 1)]), F.col("code") + 1)
+    lexicon = materialise(start.select(
+        "h", _payload(number, F.least("n", F.lit((1 << 31) - 1))).alias("payload"),
+        number.cast("int").alias("class"), "n"), "classes")
 
     for shared in held:
         shared.destroy()
-    n_kinds = n_classes + n_groups * BANDS
-    pairs = _pair_counts(docs, lexicon, n_kinds, **sizes).astype(np.float64)
-    sizes_of = np.zeros(n_kinds)
-    got = lexicon.groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    # From here on every word is exchanged, over the classes the start has opened.
+    n_kinds = max(1, len(used))
+    lexicon, pairs = exchange_all(docs, lexicon, n_kinds, turns, **sizes)
+    # The last class is that of the unseen word alone.
+    sizes_of, singles = np.zeros(n_kinds + 1), np.zeros(n_kinds + 1)
+    got = lexicon.groupBy("class").agg(
+        F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).toArrow()
     sizes_of[got.column("class").to_numpy()] = got.column("n").to_numpy()
-    once = n_classes + np.arange(n_groups) * BANDS
-    # A class of words seen once that is empty stands for the unseen word alone.
+    singles[got.column("class").to_numpy()] = got.column("once").to_numpy()
+    # It has mass of its own only if no word was seen once.
+    alone = 0.0 if singles.sum() else 1.0
     share = sizes_of.copy()
-    share[once] = np.maximum(share[once], 1)
+    share[-1] = alone
     share /= share.sum()
-    move = (pairs + PRIOR * share) / (pairs.sum(1, keepdims=True) + PRIOR)
-    lent = np.where(sizes_of[once] > 0, UNSEEN, 1.0)
-    group_of_class = np.zeros(n_kinds, np.int64)
-    group_of_class[of] = group_of
+    move = (np.pad(pairs, (0, 1)) + PRIOR * share) / (np.pad(pairs.sum(1), (0, 1))[:, None] + PRIOR)
+    if singles.sum():
+        move[-1] = singles @ move / singles.sum()
+    lent = UNSEEN * singles / np.maximum(sizes_of, 1)
+    lent[-1] = alone
     return lexicon, {
         "total": int(total), "distinct": int(distinct), "end": end, "move": np.log10(np.maximum(move, 1e-300)),
-        "unseen": np.log10((lent * move[:, once]).sum(1)), "size": sizes_of, "once": once,
-        "heads": n_classes, "group": group_of_class,
+        "unseen": np.log10(move @ lent), "size": sizes_of, "once": np.full(n_groups, n_kinds),
+        "group": np.zeros(n_kinds + 1, np.int64),
     }
 
 
@@ -222,12 +411,10 @@ def score(docs: DataFrame, lexicon: DataFrame, facts: dict, *keep: str, text: st
         else:
             code, n = np.zeros(len(entries), np.int64), np.zeros(len(entries))
         base = np.log10((n + 1) / (f["total"] + f["distinct"] + 1))
-        last = _last_head(known & (code < f["heads"]), offsets)
-        group = f["group"][np.where(last < 0, 0, code[np.maximum(last, 0)])]
-        code = np.where(known, code, f["once"][group])
+        code = np.where(known, code, len(f["size"]) - 1)
         before = np.roll(code, 1)
         before[offsets[:-1]] = code[offsets[1:] - 1]
-        kept = np.where(np.isin(code, f["once"]), 1 - UNSEEN, 1.0)
+        kept = np.where(n == 1, 1 - UNSEEN, 1.0)
         spoken = f["move"][before, code] + np.log10(kept * np.maximum(n, 1) / np.maximum(f["size"][code], 1))
         spoken = np.where(known, spoken, f["unseen"][before])
         sums = lambda x: np.add.reduceat(x, offsets[:-1]) if len(offsets) > 1 else x[:0]

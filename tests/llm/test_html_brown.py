@@ -125,3 +125,44 @@ def test_exchange_finds_classes():
     m[4:, :4] = 10
     of = brown_lm.exchange(m, 2)
     assert len(set(of[:4])) == 1 and len(set(of[4:])) == 1 and of[0] != of[4]
+
+
+def test_gains_are_exact():
+    # Against the likelihood of the whole table after each single move.
+    rng = np.random.default_rng(3)
+    words, kinds = 14, 5
+    m = rng.integers(0, 30, (words, words)) * (rng.random((words, words)) < 0.4)
+    m[np.arange(words), np.roll(np.arange(words), -1)] += 1
+    m = m + m.T  # as often before as after
+    n = m.sum(1)
+    of = rng.integers(0, kinds, words)
+    table = lambda o: np.eye(kinds)[o].T @ m @ np.eye(kinds)[o]
+    word, code, count = [], [], []
+    for w in range(words):
+        others = np.arange(words) != w
+        right = np.bincount(of[others], m[w, others], kinds)
+        left = np.bincount(of[others], m[others, w], kinds)
+        for c, v in enumerate([*right, *left, m[w, w]]):
+            if v:
+                word.append(w), code.append(c), count.append(v)
+    got = brown_lm.gains(table(of), of, n.astype(float), np.array(word), np.array(code), np.array(count, float))
+    now = brown_lm.likelihood(table(of))
+    for w in range(words):
+        for b in range(kinds):
+            moved = of.copy()
+            moved[w] = b
+            assert abs(got[w, b] - got[w, of[w]] - (brown_lm.likelihood(table(moved)) - now)) < 1e-6
+
+
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": -1, "block_bytes": 4096}])
+def test_rare_words_are_exchanged(spark, sizes):
+    # Rare words of two kinds with equal counts and the same word before: what follows tells them apart.
+    texts = [f"the x{i} ran" for i in range(40)] * 2 + [f"the y{i} blue" for i in range(40)] * 2
+    docs = corpora.table(spark, texts, clash=False).select(F.col("text").cast("binary").alias("text"))
+    lexicon, _ = brown_lm.train(docs, head=3, classes=3, groups=2, **sizes)
+    of = {r["h"]: r["class"] for r in lexicon.collect()}
+    kind = lambda k: {of[int(h)] for h in brown_lm.hashes_of([f"{k}{i}".encode() for i in range(40)], 40)}
+    assert len(kind("x")) == 1 and len(kind("y")) == 1 and kind("x") != kind("y")
+    start, _ = brown_lm.train(docs, head=3, classes=3, groups=2, turns=0, **sizes)
+    of = {r["h"]: r["class"] for r in start.collect()}
+    assert kind("x") == kind("y")
