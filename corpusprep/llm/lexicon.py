@@ -3,28 +3,31 @@
 A lexicon is a table ``(h, payload)``: the XXH64 (seed 42) of a word and bytes about it.
 ``attach`` meets it with documents in one of two ways that give equal results. A lexicon
 whose measured size is below ``BROADCAST_BYTES`` is sent to the workers. A larger one is
-joined by block: documents are hashed into blocks of bounded text size, the distinct words
-of a block are joined to the lexicon on ``h``, and the block's documents meet its part of
-the lexicon. Only distinct words per block move, never every occurrence.
+joined by block: each task cuts its documents, in the order they come, into blocks of bounded
+text size, which are written once, so copies of a text are spread like any other rows. The
+distinct words of a block are joined to the lexicon on ``h``, and the block's documents meet
+its part of the lexicon. Only distinct words per block move, never every occurrence.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import Rows, slices, spans_of, texts
+from corpusprep.session import materialise
 
 BROADCAST_BYTES = 192 << 20
 BLOCK_BYTES = 16 << 20
 PART_BYTES = 8 << 20
+ROW_BYTES = 64
 TASK_WORDS = 1_000_000
 SEED = 42
 
@@ -114,6 +117,32 @@ def located(lists: list[list], lexicon: Lexicon) -> np.ndarray:
 Fold = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, Lexicon], pa.RecordBatch]
 
 
+def in_blocks(docs: DataFrame, per_block: int) -> DataFrame:
+    """The documents with ``__block``; a block has at most ``per_block`` bytes of text, or one row.
+
+    A row counts as ``ROW_BYTES`` more than its text, so empty texts fill blocks as well.
+    Blocks are counted within a task, so the table is written before it is read twice.
+    """
+
+    def place(batches: Rows) -> Rows:
+        from pyspark import TaskContext
+
+        block, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            numbers = []
+            for size in sizes:
+                size += ROW_BYTES
+                if filled and filled + size > per_block:
+                    block, filled = block + 1, 0
+                filled += size
+                numbers.append(block)
+            yield batch.append_column("__block", pa.array(numbers, pa.int64()))
+
+    kinds = [f"`{c}` {kind}" for c, kind in docs.dtypes]
+    return materialise(docs.mapInArrow(place, ", ".join([*kinds, "__block long"])), "blocks")
+
+
 def attach(
     docs: DataFrame, lexicon: DataFrame, split: Split, fold: Fold, schema: str,
     broadcast_bytes: int | None = None, block_bytes: int | None = None, held: list | None = None,
@@ -144,23 +173,19 @@ def attach(
 
         return docs.mapInArrow(run, schema)
 
-    per_block = BLOCK_BYTES if block_bytes is None else block_bytes
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / per_block))
-    placed = docs.withColumn(
-        "block", F.pmod(F.xxhash64(*docs.columns), F.lit(blocks))).repartition("block")
+    placed = in_blocks(docs, BLOCK_BYTES if block_bytes is None else block_bytes)
 
     def pairs(batches: Rows) -> Rows:
         for batch in batches:
             by_block: dict[int, set] = {}
-            for b, t in zip(batch.column("block").to_pylist(), texts(batch)):
+            for b, t in zip(batch.column("__block").to_pylist(), texts(batch)):
                 by_block.setdefault(b, set()).update(split(t))
             for b, words in by_block.items():
                 h = hashes_of(words, len(words))
-                yield pa.record_batch([pa.array(np.full(len(h), b)), pa.array(h)], ["block", "h"])
+                yield pa.record_batch([pa.array(np.full(len(h), b)), pa.array(h)], ["__block", "h"])
 
-    wanted = placed.select("block", "text").mapInArrow(pairs, "block long, h long")
-    found = wanted.join(lexicon.select("h", "payload"), "h").select("block", "h", "payload")
+    wanted = placed.select("__block", "text").mapInArrow(pairs, "__block long, h long")
+    found = wanted.join(lexicon.select("h", "payload"), "h").select("__block", "h", "payload")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         _, first = np.unique(right.column("h").to_numpy(), return_index=True)
@@ -169,7 +194,7 @@ def attach(
                for batch in left.combine_chunks().to_batches() for piece in slices(batch, "text")]
         return pa.Table.from_batches(out)
 
-    both = placed.groupBy("block").cogroup(found.groupBy("block"))
+    both = placed.groupBy("__block").cogroup(found.groupBy("__block"))
     return both.applyInArrow(meet, schema)
 
 

@@ -166,3 +166,17 @@ def test_rare_words_are_exchanged(spark, sizes):
     start, _ = brown_lm.train(docs, head=3, classes=3, groups=2, turns=0, **sizes)
     of = {r["h"]: r["class"] for r in start.collect()}
     assert kind("x") == kind("y")
+
+
+def test_copies_are_spread(spark):
+    from corpusprep.llm import lexicon
+
+    docs = corpora.table(spark, ["one and the same text " * 20] * 400 + [None] * 50, clash=False).select(
+        F.col("text").cast("binary").alias("text"))
+    placed = lexicon.in_blocks(docs, 4096)
+    held = [r["b"] for r in placed.groupBy("__block").agg(F.sum(F.octet_length("text")).alias("b")).collect()]
+    assert placed.count() == 450 and max(b or 0 for b in held) <= 4096
+    counted = lexicon.attach(
+        docs, spark.createDataFrame([], "h long, payload binary"), bytes.split,
+        lambda piece, entries, offsets, lex: piece.select(["text"]), "text binary", broadcast_bytes=-1, block_bytes=4096)
+    assert counted.count() == 450
