@@ -2,7 +2,7 @@
 
 A page is read once into blocks that end at block-level tags. A block has its word count and
 link density, those of the blocks before and after it, and two signs of its place: whether it
-lies in an article (unknown on pages without one), and whether it lies in an element whose
+lies in an article (unknown on pages without one that is not itself set aside), and whether it lies in an element whose
 name, role, class or id marks menus, headers, footers, sidebars, notices, adverts, forms or
 reader comments. The tree is trained on the labelled table ``LABELLED``.
 
@@ -26,11 +26,17 @@ from pyspark.sql import functions as F
 from corpusprep.llm.common import map_slices
 
 # HTML element names by what they do to text.
-SKIPPED = frozenset("script style template noscript svg math iframe object canvas audio video".split())
+SKIPPED = frozenset("script style template noscript iframe audio video annotation annotation-xml".split())
+# Their text runs to the end of the page if they stay open.
+RAW = frozenset("script style iframe".split())
 FORMS = frozenset("form button select textarea input label fieldset datalist option".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rb rp rt s samp "
-    "small span strike strong sub sup time tt u var wbr nobr picture source".split())
+    "small span strike strong sub sup time tt u var wbr nobr picture source object canvas "
+    "math semantics maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts "
+    "mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "svg circle clippath defs ellipse filter foreignobject g image line lineargradient marker mask path pattern polygon "
+    "polyline radialgradient rect stop switch symbol text textpath tspan use".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ASIDE = frozenset("nav header footer aside menu dialog head".split()) | FORMS
 MAIN = frozenset("article main".split())
@@ -39,6 +45,8 @@ MARKS = re.compile(
     r"alerts?|popup|modal|overlay|newsletter|subscri\w*|signup|login|sidebar|widgets?|related|recommend\w*|"
     r"share|sharing|social|comments?|commentlist|repl(?:y|ies)|disqus|discussion|respond|footer|header|masthead|"
     r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|copyright|disclaimer|search|form)(?:$|[\s_-])")
+# Class words of a layout name what a page has beside the element.
+LAYOUT = re.compile(r"(?i)(?:(?<=[\s_-])|^)(?:has|no|with|without)[_-]\S*")
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 _TOKEN = re.compile(
@@ -62,7 +70,7 @@ def _set_aside(name: str, attributes: str) -> bool:
     return (
         "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
         or found.get("role", "").lower() in ROLES
-        or bool(MARKS.search(found.get("class", "")) or MARKS.search(found.get("id", ""))))
+        or any(MARKS.search(LAYOUT.sub("", found.get(key, ""))) for key in ("class", "id")))
 
 
 class Block:
@@ -79,14 +87,14 @@ def blocks(page: str) -> tuple[list[Block], bool]:
     out: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []
     buffer: list[str] = []
-    linked, in_link, has_main = 0, False, False
+    linked, in_link, has_main, in_svg, p_aside = 0, False, False, False, False
 
     def close_block() -> None:
         nonlocal linked
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                out.append(Block(text, linked, any(s[1] for s in stack), any(s[2] for s in stack)))
+                out.append(Block(text, linked, any(s[1] for s in stack), p_aside or any(s[2] for s in stack)))
             buffer.clear()
         linked = 0
 
@@ -109,15 +117,22 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if name in SKIPPED and not closing and not m[3].rstrip().endswith("/"):
+        unseen = name in SKIPPED or in_svg and name in ("title", "desc", "metadata") or (
+            name == "svg" and _set_aside(name, m[3]))
+        if unseen and not closing and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = end.end() if end else len(page) if name in RAW else at
             continue
+        if name in SKIPPED:
+            continue
+        in_svg = name in INLINE and (not closing if name == "svg" else in_svg)
         if name == "a":
             in_link = not closing
         if name in ("br", "img", "wbr"):
             buffer.append(" " if name == "br" else "")
             continue
+        if name == "text":
+            buffer.append(" ")
         if name in INLINE and name not in FORMS:
             # Marked inline elements set their text aside as a block of their own.
             if closing:
@@ -129,14 +144,19 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 continue
         close_block()
         in_link = in_link and name == "a"
+        if name not in INLINE and name not in FORMS:
+            # A paragraph ends with the next block, closed or not.
+            p_aside = name == "p" and not closing and _set_aside(name, m[3])
         if closing:
             _pop(stack, name)
         elif name == "body":
             _pop(stack, "head")
         elif name not in VOID and name != "p" and not m[3].rstrip().endswith("/"):
-            main = name in MAIN
+            aside = _set_aside(name, m[3])
+            # What is set aside is no article of the page.
+            main = name in MAIN and not aside and not any(s[2] for s in stack)
             has_main |= main
-            stack.append((name, main, _set_aside(name, m[3])))
+            stack.append((name, main, aside))
     close_block()
     return out, has_main
 

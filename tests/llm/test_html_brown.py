@@ -32,6 +32,29 @@ def test_page_without_article():
     assert html_extract.main_text(page) == f"{text}\n{text} again"
 
 
+BODY = "many words in a row that tell a story about something long enough to be the text of a page"
+
+
+@pytest.mark.parametrize("page", [
+    "<div class=post><p>{0}</p></div><article class='comment-body'><p>a reader says so</p></article>",
+    "<div class=post><p>{0}</p></div><section class=related><article><p>another story</p></article></section>",
+    "<article><div class='content has-sidebar'><p>{0}</p></div></article>",
+    "<article><div class='entry content-with-header-image no-comments'><p>{0}</p></div></article>",
+    "<article><p>{0}</p><p class=advert>Buy this now and be glad</p></article>",
+])
+def test_articles_and_marks(page):
+    assert html_extract.main_text(f"<body>{page.format(BODY)}</body>") == BODY
+
+
+def test_embedded_text_is_kept():
+    take = lambda inner: html_extract.main_text(f"<article><p>{BODY} {inner} and on</p><p>{BODY}</p></article>")
+    for inner in ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "<object data=a>x=2</object>", "<canvas>x=2</canvas>",
+                  "<svg><title>Icon</title><text>x=2</text></svg>", "<math><mi>x</mi>=<mn>2</mn>", "<object>x=2",
+                  "<svg aria-hidden=true><text>no</text></svg>x=2", "<video>x=2"):
+        assert take(inner) == f"{BODY} x=2 and on\n{BODY}"
+    assert html_extract.main_text("<ul class='menu'><li class='menu-item-has-children'>Home</li></ul>") == ""
+
+
 def test_tree_learns_its_table():
     rows = np.array([line.split() for line in html_extract.LABELLED.splitlines()], dtype=float)
     tree = html_extract.train()
