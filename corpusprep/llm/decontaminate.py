@@ -3,14 +3,14 @@
 Words are lower-cased (A-Z) runs without ASCII white space, shingles are five words, or all
 words of a shorter item. A document is contaminated by an item if some window of as many
 words as the item has a weighted Jaccard similarity of ``SIMILARITY`` or more to it, a shingle
-weighing as often as it occurs.
+weighing as often as it occurs. A document shorter than the item has one window, the whole of it.
 
 1. Windows that share no shingle with any item have similarity 0. So shingle hashes of all
    documents meet the items' shingles, and only windows around a match go on, once per
-   distinct content.
+   distinct content. Matches and windows are rows, whatever the length of a text.
 2. A window's SimHash counts bits in eight words of eight 8-bit lanes (in slices of 127
    shingles). Fingerprints are cut into ``RADIUS + 1`` bit blocks; two within the radius agree
-   in a block, so a join on window length, block and its bits finds all of them.
+   in a block, so a join on item length, block and its bits finds all of them.
 3. The candidates' exact weighted similarity decides.
 
 At similarity 0.8 fingerprints differ in 10 bits of 64 on average with a deviation of 3;
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import ascii_lower
@@ -69,13 +69,14 @@ def fingerprints(contents: DataFrame) -> DataFrame:
 
 
 def similarities(pairs: DataFrame, contents: DataFrame, known: DataFrame, near: Callable) -> DataFrame:
-    """Adds the weighted Jaccard similarity of windows ``(n_words, w)`` and items of as many shingles."""
+    """Adds the weighted Jaccard similarity of windows ``(n_words, w)`` and items."""
     window = contents.select("n_words", "w", F.size("sh").alias("m"), F.explode("sh").alias("s")).groupBy(
         "n_words", "w", "m", "s").agg(F.count("*").alias("c"))
-    item = known.select("number", F.explode("sh").alias("s")).groupBy("number", "s").agg(F.count("*").alias("ci"))
+    item = known.select("number", F.size("sh").alias("mi"), F.explode("sh").alias("s")).groupBy(
+        "number", "mi", "s").agg(F.count("*").alias("ci"))
     shared = pairs.join(window, ["n_words", "w"]).join(near(item), ["number", "s"]).groupBy(
-        "n_words", "w", "number", "distance", "m").agg(F.sum(F.least("c", "ci")).alias("i"))
-    return shared.withColumn("similarity", F.col("i") / (2 * F.col("m") - F.col("i")))
+        "n_words", "w", "item_words", "number", "distance", "m", "mi").agg(F.sum(F.least("c", "ci")).alias("i"))
+    return shared.withColumn("similarity", F.col("i") / (F.col("m") + F.col("mi") - F.col("i")))
 
 
 def _blocks(fp: Column, radius: int) -> Column:
@@ -103,6 +104,24 @@ def item_table(items: DataFrame, item: str = "item_id", text: str = "text") -> t
     return named.select("item", F.xxhash64("n_words", "w").alias("number")), known
 
 
+def window_starts(matched: DataFrame, threshold: float) -> DataFrame:
+    """``(d, width, n_words, item_words, start)``: all windows that hold a matched shingle, once each.
+
+    A text shorter than an item is one window, if it has shingles enough for the threshold.
+    """
+    each = matched.select("d", "width", "size", "pos", F.explode("lengths").alias("n"))
+    size, n, k, pos = (F.col(c) for c in ("size", "n", "width", "pos"))
+    # The windows around a match begin where those around the match before it have ended.
+    before = F.lag("pos", 1, -1).over(Window.partitionBy("d", "width", "n").orderBy("pos"))
+    ranges = each.filter(size >= n).withColumn("low", F.greatest(pos - n + k, before + 1, F.lit(0))).withColumn(
+        "high", F.least(pos, size - n)).filter("low <= high")
+    full = ranges.select(
+        "d", "width", n.alias("n_words"), n.alias("item_words"), F.explode(F.sequence("low", "high")).alias("start"))
+    short = each.filter((size < n) & (size - k + 1 >= F.lit(threshold) * (n - k + 1) - 1e-9)).select(
+        "d", "width", size.alias("n_words"), n.alias("item_words"), F.lit(0).alias("start")).distinct()
+    return full.unionByName(short)
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id",
     item_text: str = "text", threshold: float = SIMILARITY, radius: int = RADIUS,
@@ -122,9 +141,9 @@ def contaminated(
     hashed = named.withColumn("wh", F.transform(words("text"), lambda w: F.xxhash64(w)))
     rows = None
     for k in widths:
-        one = hashed.select("doc", "d", F.posexplode(shingles(F.col("wh"), k)).alias("pos", "s"))
+        one = hashed.select("doc", "d", F.size("wh").alias("size"), F.posexplode(shingles(F.col("wh"), k)).alias("pos", "s"))
         met = one.join(near(keys.filter(F.col("width") == k).drop("width")), "s").select(
-            "doc", "d", F.lit(k).alias("width"), "pos", "lengths")
+            "doc", "d", "size", F.lit(k).alias("width"), "pos", "lengths")
         rows = met if rows is None else rows.unionByName(met)
     if rows is None:
         nothing = named_items.limit(0).select(
@@ -132,44 +151,36 @@ def contaminated(
             F.lit(0).alias("distance"), F.lit(0.0).alias("similarity"))
         return docs.select(doc).limit(0).join(nothing, F.lit(True))
     # One document per distinct content goes on.
-    places = rows.select("doc", "d", F.struct("width", "pos", "lengths").alias("at"))
-    matched = materialise(
-        places.groupBy("d").agg(F.collect_set("at").alias("places"), F.min("doc").alias("rep")), "matches")
+    matched = materialise(rows.groupBy("d", "width", "pos").agg(
+        F.first("size").alias("size"), F.first("lengths").alias("lengths"), F.min("doc").alias("rep")), "matches")
+    reps = matched.groupBy("d").agg(F.min("rep").alias("rep"))
 
     # Few contents match: where their number allows it, only their texts are shuffled.
-    if matched.count() <= limit:
-        named = named.join(F.broadcast(matched.select("d")), "d", "left_semi")
-    texts = named.join(matched, ["d"]).filter(F.col("doc").eqNullSafe(F.col("rep")))
-    texts = texts.select("d", "places", F.transform(words("text"), lambda w: F.xxhash64(w)).alias("wh"))
+    if reps.count() <= limit:
+        reps = F.broadcast(reps)
+    texts = named.join(reps, ["d"]).filter(F.col("doc").eqNullSafe(F.col("rep")))
+    texts = texts.select("d", F.transform(words("text"), lambda w: F.xxhash64(w)).alias("wh"))
+    places = window_starts(matched, threshold)
     windows = None
     for k in widths:
-        # All windows of an item's length that hold the matched shingle and lie in the text.
-        total = F.size("sh")
-        held = F.filter("places", lambda p: p["width"] == k)
-        spans = F.flatten(F.transform(held, lambda p: F.flatten(F.transform(p["lengths"], lambda n: F.when(
-            total >= n - k + 1, F.transform(
-                F.sequence(F.greatest(p["pos"] - n + k, F.lit(0)),
-                           F.greatest(F.least(p["pos"], total - n + k - 1), F.greatest(p["pos"] - n + k, F.lit(0)))),
-                lambda s: F.struct(n.alias("n"), s.alias("s")))).otherwise(
-                    F.array().cast("array<struct<n:int,s:int>>"))))))
-        with_sh = texts.select("d", "places", shingles(F.col("wh"), k).alias("sh")).filter(F.size(held) > 0)
-        cut = F.transform(F.array_distinct(spans), lambda x: F.struct(
-            x["n"].alias("n_words"), x["s"].alias("start"), F.slice("sh", x["s"] + 1, x["n"] - k + 1).alias("sh")))
-        some = with_sh.select("d", F.explode(cut).alias("w")).select("d", "w.*").filter(
-            F.size("sh") == F.col("n_words") - k + 1)
+        some = places.filter(F.col("width") == k).join(texts.select("d", shingles(F.col("wh"), k).alias("sh")), "d").select(
+            "d", "n_words", "item_words", "start", F.slice("sh", F.col("start") + 1, F.col("n_words") - k + 1).alias("sh"))
         windows = some if windows is None else windows.unionByName(some)
     placed = materialise(windows.withColumn("w", F.xxhash64("sh")), "windows")
 
     contents = materialise(placed.groupBy("n_words", "w").agg(F.first("sh").alias("sh")), "window-contents")
-    left = fingerprints(contents).select("n_words", "w", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b"))
+    printed = materialise(fingerprints(contents), "window-fingerprints")
+    short = placed.filter("item_words > n_words").select("n_words", "w", "item_words").distinct()
+    asked = printed.withColumn("item_words", F.col("n_words")).unionByName(printed.join(short, ["n_words", "w"]))
+    left = asked.select("n_words", "w", "item_words", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b"))
     right = known.select(
-        "number", "n_words", F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), radius)).alias("b"))
+        "number", F.col("n_words").alias("item_words"), F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), radius)).alias("b"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     # A pair may agree in several blocks.
-    pairs = left.join(near(right), ["n_words", "b"]).select(
-        "n_words", "w", "number", distance.alias("distance")).filter(F.col("distance") <= radius).distinct()
+    pairs = left.join(near(right), ["item_words", "b"]).select(
+        "n_words", "w", "item_words", "number", distance.alias("distance")).filter(F.col("distance") <= radius).distinct()
     verified = similarities(pairs, contents, known, near).filter(F.col("similarity") >= threshold)
-    met = placed.select("d", "n_words", "start", "w").join(verified, ["n_words", "w"]).join(near(named_items), "number")
+    met = placed.select("d", "n_words", "item_words", "start", "w").join(verified, ["n_words", "w", "item_words"]).join(near(named_items), "number")
     best = met.groupBy("d", "item").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "start", "n_words", "distance")).alias("m"))
     return named.select("doc", "d").join(best, "d").select(

@@ -93,3 +93,28 @@ def test_hard_rows(spark):
     got = dc.contaminated(docs, bench)
     want = len(brute(texts, [(1, item)]))
     assert got.count() == want
+
+
+@pytest.mark.parametrize("broadcast_rows", [None, -1])
+def test_documents_shorter_than_the_item(spark, broadcast_rows):
+    item = [f"w{i}" for i in range(60)]
+    texts = [" ".join(t) for t in (item[1:], item[:-1], item[:50], item[:49], item[:48], item[:30], ["x", *item[1:50]])]
+    longer = " ".join([*item[:50], *["other"] * 30])
+    docs = corpora.table(spark, [*texts, longer])
+    # The second item has as many words as the third document.
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:50]))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["n_words"], round(r["similarity"], 9))
+           for r in dc.contaminated(docs, bench, broadcast_rows=broadcast_rows).collect()}
+    whole = {(i, 1): (0, n, round((n - 4) / 56, 9)) for i, n in ((0, 59), (1, 59), (2, 50), (3, 49))}
+    assert {k: v for k, v in got.items() if k[1] == 1} == whole
+    assert got[2, 2] == (0, 50, 1.0) and got[7, 2] == (0, 50, 1.0) and got[4, 2] == (0, 48, round(44 / 46, 9))
+
+
+def test_windows_of_a_long_text_are_rows(spark):
+    # Every start once, from ranges that overlap, and no row that holds a text's windows.
+    rows = [(1, 5, 3000, p, [20, 40]) for p in range(0, 2996, 3)] + [(2, 5, 18, 4, [20, 40])]
+    matched = spark.createDataFrame(rows, "d long, width int, size int, pos int, lengths array<int>")
+    got = dc.window_starts(matched, 0.8)
+    assert not [c for c, kind in got.dtypes if kind.startswith("array")]
+    want = collections.Counter((1, n, n, s) for n in (20, 40) for s in range(3000 - n + 1)) + collections.Counter([(2, 18, 20, 0)])
+    assert collections.Counter((r["d"], r["n_words"], r["item_words"], r["start"]) for r in got.collect()) == want
