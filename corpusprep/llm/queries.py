@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.llm import (
-    bpe_codec, brown_lm, decontaminate, html_extract, language_id, quality, simhash_dedup, suffix_dedup,
-    token_counts, url_filter)
+    bpe_codec, brown_lm, decontaminate, html_extract, language_id, lexical_search, pii_spans, quality, simhash_dedup,
+    suffix_dedup, token_counts, url_filter, whitening)
 from corpusprep.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,9 +80,44 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+def op12_pii_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_spans.digests(pii_spans.find(table(spark, sf, "documents")))
+
+
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_quality_rules, op2_suffix_dedup, op3_bpe_codec, op4_brown_lm, op5_simhash_dedup, op6_language_id,
-        op7_url_filter, op8_html_extract, op9_token_counts, op10_decontaminate)
+        op7_url_filter, op8_html_extract, op9_token_counts, op10_decontaminate,
+        op11_embedding_whitening, op12_pii_spans, op13_lexical_search)
+}
+
+TERM = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op13_lexical_search": f"""
+        WITH held AS (SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS t FROM documents),
+        docs AS (SELECT row_number() OVER () AS d, doc_id, t, len(t) AS n FROM held WHERE len(t) > 0),
+        whole AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+        tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM docs) GROUP BY d, term),
+        asked AS (SELECT item_id, term, count(*) AS repeats
+                  FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term
+                        FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+                    FROM tf, whole WHERE term IN (SELECT term FROM asked) GROUP BY term),
+        scores AS (SELECT item_id, d, CAST(sum(repeats * w * ((1000000000 * tf) // (
+                       1000 * tf + 12 * (100 - 25 + ((25 * n * big_n) // big_l))))) AS BIGINT) AS score
+                   FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN docs USING (d), whole GROUP BY item_id, d),
+        ranked AS (SELECT item_id, doc_id, score,
+                          row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+                   FROM scores JOIN docs USING (d) WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }
-ORACLES: dict[str, str] = {}

@@ -12,7 +12,7 @@ from test_simhash_dedup import grouped, plain
 from test_suffix_dedup import brute as repeats
 
 SF = "/root/testdata/sf0.001"
-PREFIXES = [f"op{n}_" for n in range(1, 11)]
+PREFIXES = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_names():
