@@ -175,7 +175,7 @@ WHERE length(body) > 0 AND NOT regexp_matches(line, '^(?:#|>)') AND NOT regexp_m
 GROUP BY doc_id""")
 def unsafe_lines(spark: SparkSession, sf: str) -> DataFrame:
     def unsafe(line):
-        return bl.unsafe_line(line, RISKY, GLUED, exempt=r"^(?:#|>)", symbol=F.lit(False))
+        return bl.unsafe_line(line, RISKY, GLUED, exempt=r"^(?:#|>)")
 
     hits = F.size(F.filter(tx.lines("text"), unsafe))
     return documents(spark, sf).select("doc_id", hits.alias("n_unsafe")).filter("n_unsafe > 0")

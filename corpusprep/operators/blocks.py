@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,13 +52,9 @@ MARKDOWN_KINDS = (
 
 
 def symbol_line(
-    line: Column | str,
-    symbol: str = r"\\[A-Za-z]+|[=_^{}]|[<>]|\d+\s*[+\-*/=]",
-    exempt: Sequence[str] = (r"^`[^`\n]+`$", r"^(?:!\[\]\(|\||#)", r"^\(?\d+(?:\.\d+)?\)?$", r"\$"),
-    ignore: Sequence[str] = (r"\\text\{.*?\}", r"\\[A-Za-z]+"),
-    prose: str = r"(?U)\p{IsCyrillic}{2,}",
+    line: Column | str, symbol: str, prose: str, exempt: Sequence[str] = (), ignore: Sequence[str] = (),
 ) -> Column:
-    """Does a line read as a formula: not exempt, no prose outside ``ignore``, some symbol."""
+    """Does a line have a ``symbol``, no ``prose`` outside what is to ``ignore``, and nothing ``exempt``."""
     def judge(body: Column) -> Column:
         outside = body
         for pattern in ignore:
@@ -77,16 +73,17 @@ def route(n_hits: Column, n_lines: Column) -> Column:
 
 
 def unsafe_line(
-    line: Column | str,
-    risky: str = r"\\(?:begin\{|end\{|left|right|qquad|Delta)",
-    glued: str = r"(?U)[\p{L}0-9)\]}]+\\\p{L}+",
-    exempt: str = r"^(?:!\[\]\(|#|\||```|~~~|>)",
-    symbol: Column | None = None,
+    line: Column | str, risky: str, glued: str, exempt: str,
+    formula: Callable[[Column], Column] | None = None, command: str | None = None,
 ) -> Column:
-    """Lines that still carry commands: outside images, headings, tables, fences and quotes."""
+    """Lines that match ``risky`` or ``glued``, or are a ``formula`` with a ``command``.
+
+    Lines that match ``exempt`` and lines in single back quotes are safe.
+    """
     def judge(body: Column) -> Column:
-        formula = symbol_line(body) if symbol is None else symbol
-        danger = body.rlike(risky) | body.rlike(glued) | (formula & body.rlike(r"(?U)\\\p{L}+"))
+        danger = body.rlike(risky) | body.rlike(glued)
+        if formula is not None and command is not None:
+            danger = danger | (formula(body) & body.rlike(command))
         quoted = body.startswith("`") & body.endswith("`")
         return (F.length(body) > 0) & ~quoted & danger
 

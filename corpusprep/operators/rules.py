@@ -52,30 +52,26 @@ def rewrite(docs: DataFrame, rules: Sequence[Rule], text: str = "text", out: str
     return res.select(*docs.columns, *([out] if out not in docs.columns else []))
 
 
-# Formatting rules in order; patterns are fixed values, their order matters.
-MARKDOWN_CLEANUP = (
-    Rule("newline_before_punctuation", r"\s*\n+\s*([,.;:)])", "$1"),
-    Rule("comma_run", r",{3,}", " "),
-    Rule("comma_line", r"(?m)^[ \t,]+$", ""),
-    Rule("fence_indent", r"(?m)^[ \t]+(\$\$)", "$1"),
-    Rule("image_apart", r"\s*(!\[.*?\]\(.*?\))\s*", "\n\n$1\n\n"),
-    Rule("newline_run", r"\n{3,}", "\n\n"),
-    Rule("double_heading", r"(?m)^(#+)\s+#\s*", "$1 "),
-    Rule("fence_run", r"(?:\$\$\s*){2,}", r"\$\$ "),
-)
-
-
-def clean_fences(text: Column | str) -> Column:
-    """Drop stand-alone ``$$`` lines and one-sided fences; keep lines fenced on both sides."""
-
-    def fix(line: Column) -> Column:
-        lead = F.regexp_replace(line, r"(?U)^\s+", "")
-        opened = F.when(lead.startswith("$$"), F.regexp_replace(line, r"^\s*\${2,}\s*", "")).otherwise(line)
-        closed = F.when(lead.endswith("$$"), F.regexp_replace(opened, r"\s*\${2,}\s*$", "")).otherwise(opened)
-        return F.when(lead.startswith("$$") & lead.endswith("$$"), line).otherwise(closed)
-
-    kept = F.filter(tx.lines(text), lambda x: F.regexp_replace(x, r"(?U)^\s+", "") != "$$")
-    return F.array_join(F.transform(kept, fix), "\n")
+def clean_fences(text: Column | str, fence: str = "$$") -> Column:
+    """Drop fences without a partner in their line, and lines that are nothing but such a fence.
+
+    The fences of a line are paired from left to right; an odd last one goes with the blanks before it.
+    """
+    blanks = F.lit(" \t")
+
+    def mend(line: Column) -> Column:
+        return tx.let(F.split(line, tx.quote(fence), -1), lambda parts: paired(line, parts))
+
+    def paired(line: Column, parts: Column) -> Column:
+        n = F.size(parts)
+        front = F.rtrim(F.array_join(F.slice(parts, F.lit(1), n - 1), fence), blanks)
+        back = F.element_at(parts, -1)
+        lone = F.when(F.length(front) > 0, F.concat(front, back)).otherwise(F.ltrim(back, blanks))
+        # Pieces between an even number of fences are odd in number.
+        return F.when(n % 2 == 1, line).when(F.length(tx.strip(lone)) > 0, lone)
+
+    kept = F.filter(F.transform(tx.lines(text), mend), lambda line: line.isNotNull())
+    return F.array_join(kept, "\n")
 
 
 def closed_over(words: Mapping[str, str]) -> dict[str, str]:

@@ -46,6 +46,14 @@ FORMULAS = (
 )
 
 
+#: What a source has in the form of a placeholder is hidden under a prefix of its own, without padding.
+FOREIGN = "KEPTTK"
+
+
+def foreign_pattern(kinds: Sequence[SpanKind]) -> str:
+    return "(?:" + "|".join([*(k.prefix for k in kinds), FOREIGN]) + r")\d{4,}X"
+
+
 def token_pattern(kinds: Sequence[SpanKind]) -> str:
     return "(?:" + "|".join(k.prefix for k in kinds) + r")\d{4,}X"
 
@@ -73,9 +81,16 @@ def mask_spans(
     """Add the masked text and a struct with one array of originals per kind.
 
     Kinds run in order, each on the text the one before has masked, so a later
-    span may enclose an earlier placeholder.
+    span may enclose an earlier placeholder. Before them, strings of the source that
+    have the form of a placeholder are hidden, so every placeholder left is ours; their
+    originals are in the field ``foreign``.
     """
-    out = docs.withColumn(masked, F.col(text))
+    own = foreign_pattern(kinds)
+    suspect = may_leak(text, kinds) | F.col(text).contains(FOREIGN)
+    out = docs.withColumn("__foreign", F.when(suspect, tx.find_all(text, own)).otherwise(
+        F.array().cast("array<string>")))
+    hidden = weave(text, own, F.transform("__foreign", lambda _m, i: F.format_string(f"{FOREIGN}%04dX", i)))
+    out = out.withColumn(masked, F.when(F.size("__foreign") > 0, hidden).otherwise(F.col(text)))
     for k in kinds:
         found = tx.find_all(masked, k.pattern)
         if k.hint:
@@ -85,7 +100,8 @@ def mask_spans(
         woven = weave(masked, k.pattern, _padded_tokens(k, f"__{k.name}"))
         out = out.withColumn(
             masked, F.when(F.size(f"__{k.name}") > 0, woven).otherwise(F.col(masked)))
-    struct = F.struct(*[F.col(f"__{k.name}").alias(k.name) for k in kinds])
+    struct = F.struct(
+        *[F.col(f"__{k.name}").alias(k.name) for k in kinds], F.col("__foreign").alias("foreign"))
     given = [c for c in docs.columns if c not in (masked, spans)]
     return tx.evaluated(out, given, {masked: F.col(masked), spans: struct})
 
@@ -143,11 +159,20 @@ def unmask(docs: DataFrame, kinds: Sequence[SpanKind], text: str = "masked",
         woven = F.zip_with(gaps, back, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit(""))))
         res = res.withColumn(out, F.when(
             F.size(F.col(spans)[k.name]) > 0, F.array_join(woven, "")).otherwise(F.col(out)))
-    whole = nested(res, kinds, out, spans)
+    whole = foreign_back(nested(res, kinds, out, spans), out, spans)
     given = [c for c in docs.columns if c != out]
     return tx.evaluated(whole, given, {out: tx.collapse_newlines(out)})
 
 
+def foreign_back(docs: DataFrame, text: str, spans: str = "spans") -> DataFrame:
+    """Put back what the source had in the form of a placeholder."""
+    pattern = rf"{FOREIGN}\d{{4,}}X"
+    shown = F.transform(tx.find_all(text, pattern), lambda t: F.coalesce(
+        F.get(F.col(spans)["foreign"], F.regexp_extract(t, r"(\d+)X", 1).try_cast("int")), t))
+    return docs.withColumn(text, F.when(
+        F.size(F.col(spans)["foreign"]) > 0, weave(text, pattern, shown)).otherwise(F.col(text)))
+
+
 def nested(docs: DataFrame, kinds: Sequence[SpanKind], text: str, spans: str = "spans",
            rounds: int | None = None) -> DataFrame:
     """Restore tokens left in ``text``, as often as originals bring up new ones.
@@ -220,4 +245,5 @@ def restore_unresolved(
         "n_restored": F.size(F.filter(found, lambda t: _original(t, kinds, "__spans").isNotNull())),
     })
     shown = F.transform(found, lambda t: F.coalesce(_original(t, kinds, "__spans"), t))
-    return both.withColumn("healed", weave(text, pattern, shown)).drop("__spans")
+    healed = foreign_back(both.withColumn("healed", weave(text, pattern, shown)), "healed", "__spans")
+    return healed.drop("__spans")

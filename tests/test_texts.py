@@ -100,6 +100,22 @@ def test_glossary_keeps_case_and_spares_spans(spark):
     assert one(big, "rewritten") == "Water и water, WATER; подвода `water` чистая water"
 
 
+@pytest.mark.parametrize("text", [
+    "see EMLINL0000X here and a@b.com now", "EMLINL0001X is not a@b.c or d@e.f or EMLINL0000X.",
+    "KEPTTK0000X with COD0000X", "xCOD00009Xy and `EMLINL0000X ab` too", "no EMLINL0000X",
+])
+def test_source_with_placeholders(spark, text):
+    kinds = (SpanKind("email", "EMLINL", r"[a-z]+@[a-z.]*[a-z]"), SpanKind("code", "COD", "`[^`]*`"))
+    masked = mask_spans(docs(spark, text), kinds)
+    assert one(unmask(masked, kinds), "restored").split() == text.split()
+    known = [r["idx"] for r in span_table(masked, kinds, ["doc_id"]).collect()]
+    assert len(known) == text.count("@") + text.count("`") // 2
+    healed = restore_unresolved(
+        spark.createDataFrame([(0, "left EMLINL0000X")], "doc_id long, text string"), docs(spark, text), kinds, ["doc_id"])
+    assert one(healed, "healed").split() == [
+        "left", "EMLINL0000X" if "@" not in text else re.findall("[a-z]+@[a-z.]*[a-z]", text)[0]]
+
+
 def test_longer_phrases_go_first(spark):
     got = ru.glossary_rewrite(docs(spark, "a b c, b c d"), {}, {"a b": "1", "b c d": "2", "b c": "3"})
     assert one(got, "text") == "1 c, 2"
@@ -110,11 +126,26 @@ def test_rewrite_beyond_one_projection(spark):
     assert one(ru.rewrite(docs(spark, "<0>"), rules), "text") == "<40>"
 
 
+# Formatting rules in order; patterns are fixed values, their order matters.
+MARKDOWN_CLEANUP = (
+    ru.Rule("newline_before_punctuation", r"\s*\n+\s*([,.;:)])", "$1"),
+    ru.Rule("comma_run", r",{3,}", " "),
+    ru.Rule("comma_line", r"(?m)^[ \t,]+$", ""),
+    ru.Rule("fence_indent", r"(?m)^[ \t]+(\$\$)", "$1"),
+    ru.Rule("image_apart", r"\s*(!\[.*?\]\(.*?\))\s*", "\n\n$1\n\n"),
+    ru.Rule("newline_run", r"\n{3,}", "\n\n"),
+    ru.Rule("double_heading", r"(?m)^(#+)\s+#\s*", "$1 "),
+    ru.Rule("fence_run", r"(?:\$\$\s*){2,}", r"\$\$ "),
+)
+
+
 def test_markdown_cleanup_and_fences(spark):
     text = "word\n.\n\n\n\n# # Head\n,,,,\nend"
-    assert one(ru.rewrite(docs(spark, text), ru.MARKDOWN_CLEANUP), "text") == "word.\n\n# Head \nend"
+    assert one(ru.rewrite(docs(spark, text), MARKDOWN_CLEANUP), "text") == "word.\n\n# Head \nend"
     fenced = docs(spark, "$$\n$$ a $$\n$$ open\nclose $$\nplain").select(ru.clean_fences("text").alias("t"))
     assert one(fenced, "t") == "$$ a $$\nopen\nclose\nplain"
+    more = docs(spark, "a $$ b\n$$a$$ b $$\n$$a$$$$b$$\n  $$  \n$$$$\n\n$$ a $$ b").select(ru.clean_fences("text").alias("t"))
+    assert one(more, "t") == "a b\n$$a$$ b\n$$a$$$$b$$\n$$$$\n\n$$ a $$ b"
 
 
 def test_guarded_rewrite(spark):
@@ -221,12 +252,22 @@ def test_split_and_join(spark):
     assert one(spark.range(1).select(bl.joined(F.array(F.lit(" "))).alias("t")), "t") == ""
 
 
+FORMULA_LINE = {
+    "symbol": r"\\[a-z]+|[=^]", "prose": r"(?U)\p{IsCyrillic}{3,}", "ignore": (r"\\text\{[^}]*\}",),
+    "exempt": ("^`.*`$", "^#", r"^[\d.]+$", r"\$"),
+}
+UNSAFE_LINE = {
+    "risky": r"\\(?:Delta|qquad|left)\b", "glued": r"(?U)\p{L}\\\p{L}", "exempt": "^[#>|]",
+    "formula": lambda body: bl.symbol_line(body, **FORMULA_LINE), "command": r"\\[a-z]",
+}
+
+
 @pytest.mark.parametrize("line, want", [
     ("u = v", True), (r"\alpha", True), ("`u = v`", False), ("# u = v", False), ("12.5", False),
     ("$u = v$", False), ("дано u = v", False), (r"\text{дано} u = v", True), ("", False), ("prose", False),
 ])
 def test_symbol_line(spark, line, want):
-    assert one(docs(spark, line).select(bl.symbol_line("text").alias("r")), "r") is want
+    assert one(docs(spark, line).select(bl.symbol_line("text", **FORMULA_LINE).alias("r")), "r") is want
 
 
 @pytest.mark.parametrize("line, want", [
@@ -234,7 +275,7 @@ def test_symbol_line(spark, line, want):
     (r"`\Delta u`", False), (r"# \Delta", False), (r"- `\left(`", False), ("prose", False), (r"2. \alpha + \beta = 1", True),
 ])
 def test_unsafe_line(spark, line, want):
-    assert one(docs(spark, line).select(bl.unsafe_line("text").alias("r")), "r") is want
+    assert one(docs(spark, line).select(bl.unsafe_line("text", **UNSAFE_LINE).alias("r")), "r") is want
 
 
 @pytest.mark.parametrize("body, want", [
