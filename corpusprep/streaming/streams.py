@@ -1,56 +1,94 @@
 """Two operators as Structured Streaming jobs.
 
-State lives in tables below the job's folder, one folder per micro-batch,
-written before the batch is committed. A batch that is replayed after a failure
-overwrites its own folders, so results are exactly-once.
+New texts are told from known ones by Spark's own deduplication, whose state store is keyed by
+digest. The page filter keeps its state per key in a ``KeyedState``: a state store would hand all
+rows of a key to one task, while the filter's scans spread a hot key over many. Either way a batch
+touches the state of its own keys only, and one that is replayed after a failure has the same
+result, so results are exactly-once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions import text as tx
 from corpusprep.operators.scan import Cutting, Run, chosen, in_stretches, running
-
-
-def _before(spark: SparkSession, path: str, schema: T.StructType, batch: int) -> DataFrame:
-    """What earlier batches wrote; nothing at the first one."""
-    files = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())]))
-    return files.parquet(path).filter(F.col("batch") < batch).drop("batch")
+from corpusprep.streaming.state import KeyedState
+
+TASK_DIGESTS = 1_000_000
+
+# Spark's settings for state on disk, of which a batch saves what it has changed.
+ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started here keep their state in RocksDB, unless the session names a provider."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    given = spark.conf.get(provider, None)
+    mine = {} if given and "HDFSBacked" not in given else ON_DISK
+    before = {k: spark.conf.get(k, None) for k in mine}
+    for k, v in mine.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _ensure(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch=-1")
 
 
+def once_per_task(rows: DataFrame, key: str) -> DataFrame:
+    """Rows without most repeats of ``key`` within a task, so a hot key is thinned before a shuffle.
+
+    What a task remembers is bounded; repeats beyond it, and those of other tasks, stay.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            fresh = []
+            for value in batch.column(key).to_pylist():
+                fresh.append(value not in seen)
+                seen.add(value)
+            if len(seen) > TASK_DIGESTS:
+                seen.clear()
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def stream_cache_misses(chunks: DataFrame, folder: str, text: str) -> DataFrame:
     """Texts the stream has not brought before, each once: ``(md5, text)``.
 
     A text counts as new by its digest alone, so one that arrives late is not
-    lost: no watermark drops rows, and what has been emitted is the state.
+    lost: there is no watermark, and digests do not expire. A NULL text is new once.
     """
     spark = chunks.sparkSession
     schema = T.StructType([T.StructField("md5", T.StringType()), T.StructField("text", T.StringType())])
     out = f"{folder}/misses"
-    _ensure(spark, out, schema)
-    fresh = (
-        chunks.select(F.col(text).alias("text"))
-        .withColumn("md5", tx.digest("text"))
-        .select("md5", "text")
-    )
-
-    def emit(batch: DataFrame, number: int) -> None:
-        seen = _before(batch.sparkSession, out, schema, number).select("md5")
-        arrived = batch.groupBy("md5").agg(F.max("text").alias("text"))
-        new = arrived.join(seen, "md5", "left_anti")
-        new.write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    _run(fresh, f"{folder}/checkpoint", emit)
-    return spark.read.schema(schema).parquet(out).select("md5", "text")
+    fresh = once_per_task(
+        chunks.select(tx.digest(text).alias("md5"), F.col(text).alias("text")), "md5").dropDuplicates(["md5"])
+    with state_on_disk(spark):
+        query = (
+            fresh.writeStream.format("parquet").outputMode("append")
+            .option("path", out).option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(schema).parquet(out)
 
 
 def stream_monotone_filter(
@@ -62,8 +100,9 @@ def stream_monotone_filter(
     Every block is written once with ``status`` ``kept``, ``dropped`` or
     ``late``; the kept ones are returned. The state of a key is its highest
     page, whether it is suppressing, and its last position; blocks at or before
-    that position are late and not judged. A batch uses the segmented scan, so a
-    hot key is spread over tasks in the stream as well.
+    that position are late and not judged. A batch reads and writes the state of
+    its own keys, and uses the segmented scan, so a hot key is spread over tasks
+    in the stream as well.
     """
     spark = blocks.sparkSession
     keys = list(keys)
@@ -74,11 +113,11 @@ def stream_monotone_filter(
     rows = T.StructType([*blocks.schema, T.StructField("status", T.StringType()),
                          T.StructField("keep", T.IntegerType())])
     _ensure(spark, judged, rows)
-    _ensure(spark, states, state)
+    kept = KeyedState(states, state, keys)
 
     def judge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        old = session.read.schema(state).parquet(f"{states}/batch={number - 1}")
+        old = kept.before(batch, number)
         # The state enters the scans as a row right after its last position.
         carried = old.select(
             *keys, F.col("mx").alias("__value"), F.col("keep").alias("__keep0"),
@@ -108,9 +147,8 @@ def stream_monotone_filter(
         new = session.read.schema(rows).parquet(f"{judged}/batch={number}").filter("status <> 'late'")
         facts = new.select(*keys, F.col(page).cast("bigint").alias("mx"), "keep",
                            F.col(pos).cast("bigint").alias("at")).unionByName(old)
-        _write(facts.groupBy(*keys).agg(
-            F.max("mx").alias("mx"), F.max_by("keep", "at").alias("keep"), F.max("at").alias("at")),
-            states, number)
+        kept.write(facts.groupBy(*keys).agg(
+            F.max("mx").alias("mx"), F.max_by("keep", "at").alias("keep"), F.max("at").alias("at")), number)
 
     _run(blocks, f"{folder}/checkpoint", judge)
     done = spark.read.schema(rows).parquet(judged)
