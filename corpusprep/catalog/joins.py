@@ -12,6 +12,7 @@ from corpusprep.functions import text as tx
 from corpusprep.operators import assets as at
 from corpusprep.operators import audit as au
 from corpusprep.operators import cache as ca
+from corpusprep.operators.glossary import rewrite_by_table
 from corpusprep.operators.rules import Rule, glossary_rewrite, rewrite
 from corpusprep.operators.spans import mask_spans
 from corpusprep.session import materialise
@@ -254,3 +255,39 @@ SELECT doc_id, {sql_glossary('t', GLOSSARY)} AS rewritten FROM p""")
 def glossary(spark: SparkSession, sf: str) -> DataFrame:
     masked = mask_spans(documents(spark, sf), SP)
     return glossary_rewrite(masked, GLOSSARY, PHRASES, "masked", "rewritten").select("doc_id", "rewritten")
+
+
+WORD, NO_WORD = r"[A-Za-z]+", r"[^\p{L}\p{M}\p{N}_]"
+FIRST = rf"(?:^|{NO_WORD})([A-Ma-m][A-Za-z]*)$"
+SECOND = rf"^([N-Zn-z][A-Za-z]*)(?:$|{NO_WORD})"
+
+
+def pair_glossary(docs: DataFrame) -> DataFrame:
+    """Every pair of neighbouring words that begin with a-m and n-z, as a phrase."""
+    words = F.split("text", " ", -1)
+    pairs = F.transform(words, lambda w, i: F.struct(
+        F.lower(F.regexp_extract(w, FIRST, 1)).alias("a"),
+        F.lower(F.regexp_extract(F.coalesce(F.get(words, i + 1), F.lit("")), SECOND, 1)).alias("b")))
+    return docs.select(F.inline(F.filter(pairs, lambda p: (p["a"] != "") & (p["b"] != "")))).distinct().select(
+        F.concat_ws(" ", "a", "b").alias("source"), F.concat_ws("_", "b", "a").alias("put"))
+
+
+@query("glossary_by_table", f"""
+WITH t AS (SELECT doc_id, string_split(text, ' ') AS ts FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, i, ts[i] AS t, regexp_extract(ts[i], '{FIRST}', 1) AS a,
+             regexp_extract(coalesce(ts[i + 1], ''), '{SECOND}', 1) AS b
+      FROM (SELECT doc_id, ts, unnest(range(1, len(ts) + 1)) AS i FROM t)),
+p AS (SELECT *, a <> '' AND b <> '' AS hit, a || ' ' || b AS f, lower(b) || '_' || lower(a) AS r FROM w),
+c AS (SELECT *, CASE WHEN f = upper(f) THEN upper(r)
+        WHEN f = upper(a[1]) || lower(a[2:]) || ' ' || upper(b[1]) || lower(b[2:]) THEN upper(r[1]) || r[2:] ELSE r END AS put,
+        lag(hit, 1, false) OVER o AS joined, lag(b, 1, '') OVER o AS before FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+d AS (SELECT *, CASE WHEN joined THEN t[len(before) + 1:] ELSE t END AS own FROM c)
+SELECT doc_id, count(*) FILTER (WHERE hit) AS n_pairs,
+       string_agg(CASE WHEN hit THEN own[:len(own) - len(a)] || put ELSE own || ' ' END, '' ORDER BY i) AS rewritten
+FROM d GROUP BY doc_id""")
+def glossary_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A glossary of all such pairs of the corpus itself, tens of thousands of phrases, in one pass."""
+    docs = documents(spark, sf).select("doc_id", "text").filter("text IS NOT NULL")
+    done = rewrite_by_table(docs, pair_glossary(docs))
+    n = F.size(F.filter(F.split("rewritten", "_", -1), lambda x: x.isNotNull())) - F.size(F.split("text", "_", -1))
+    return done.select("doc_id", n.cast("bigint").alias("n_pairs"), F.concat("rewritten", F.lit(" ")).alias("rewritten"))

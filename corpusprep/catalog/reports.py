@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from corpusprep.catalog.base import EV, LN, MARKERS, documents, ev, kind, ln, query, sql_hits, table
 from corpusprep.operators import audit as au
 from corpusprep.operators import residual as re_
-from corpusprep.operators.rules import Rule, apply_edit_table, edit_report, rule_hits
+from corpusprep.model import EDITS
+from corpusprep.operators.edits import apply_edits, edit_counts
+from corpusprep.operators.rules import Rule, rule_hits
 
 
 @query("sequence_audit", """
@@ -79,14 +81,20 @@ def hits_per_rule(spark: SparkSession, sf: str) -> DataFrame:
     return rule_hits(documents(spark, sf), AUDIT_RULES)
 
 
-EDITS = (
-    Rule("dollar_run", "$$$", "", "literal"),
-    Rule("licence_head", r"(?m)^Released under ", "LICENCE: "),
-    Rule("licence_tail", r"LICENCE: the ([A-Z]+) License", "LICENCE: $1"),
-    Rule("never", "no such text anywhere", "x", "literal"),
+EDIT_TABLE = (
+    ("dollar_run", 1, "literal", "$$$", "", None),
+    ("licence_head", 2, "regex", r"(?m)^Released under ", "LICENCE: ", None),
+    ("licence_tail", 3, "regex", r"LICENCE: the ([A-Z]+) License", "LICENCE: $1", None),
+    ("licence_lines", 5, "section", "LICENCE: ", "TERMS", "\n"),
+    ("terms", 6, "literal", "TERMS", "terms", None),
+    ("never", 7, "literal", "no such text anywhere", "x", None),
 )
 
 
+def edit_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(EDIT_TABLE), EDITS)
+
+
 @query("edit_table_hits", r"""
 WITH e0 AS (SELECT text AS t FROM documents),
 e1 AS (SELECT len(regexp_extract_all(t, '\$\$\$')) AS h0, replace(t, '$$$', '') AS t FROM e0),
@@ -94,13 +102,19 @@ e2 AS (SELECT h0, len(regexp_extract_all(t, '(?m)^Released under ')) AS h1,
               regexp_replace(t, '(?m)^Released under ', 'LICENCE: ', 'g') AS t FROM e1),
 e3 AS (SELECT h0, h1, len(regexp_extract_all(t, 'LICENCE: the ([A-Z]+) License')) AS h2,
               regexp_replace(t, 'LICENCE: the ([A-Z]+) License', 'LICENCE: \1', 'g') AS t FROM e2),
-s AS (SELECT sum(h0) AS h0, sum(h1) AS h1, sum(h2) AS h2,
-             sum(len(regexp_extract_all(t, 'no such text anywhere'))) AS h3 FROM e3)
+c5 AS (SELECT h0, h1, h2, t, position('LICENCE: ' IN t) AS b FROM e3),
+d5 AS (SELECT *, position(chr(10) IN t[b:]) AS w FROM c5),
+e5 AS (SELECT h0, h1, h2, CAST(b > 0 AND w > 0 AS INT) AS h5,
+              CASE WHEN b > 0 AND w > 0 THEN t[:b - 1] || 'TERMS' || chr(10) || chr(10) || t[b + w - 1:] ELSE t END AS t FROM d5),
+s AS (SELECT sum(h0) AS h0, sum(h1) AS h1, sum(h2) AS h2, sum(h5) AS h5,
+             sum(len(regexp_extract_all(t, 'TERMS'))) AS h6, sum(len(regexp_extract_all(t, 'no such text anywhere'))) AS h3 FROM e5)
 SELECT rule_id, CAST(n AS BIGINT) AS n_hits, CAST(n > 0 AS INT) AS used FROM (
   SELECT 'dollar_run' AS rule_id, h0 AS n FROM s UNION ALL SELECT 'licence_head', h1 FROM s
-  UNION ALL SELECT 'licence_tail', h2 FROM s UNION ALL SELECT 'never', h3 FROM s)""")
+  UNION ALL SELECT 'licence_tail', h2 FROM s UNION ALL SELECT 'never', h3 FROM s
+  UNION ALL SELECT 'licence_lines', h5 FROM s UNION ALL SELECT 'terms', h6 FROM s)""")
 def edit_table_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return edit_report(apply_edit_table(documents(spark, sf), EDITS), EDITS)
+    rules = edit_table(spark)
+    return edit_counts(apply_edits(documents(spark, sf), rules), rules)
 
 
 @query("error_summary", f"""

@@ -30,12 +30,18 @@ CACHE = T.StructType([
     T.StructField("translated", T.StringType()),
 ])
 
-RULES = T.StructType([
+EDITS = T.StructType([
     T.StructField("rule_id", T.StringType(), False),
     T.StructField("ord", T.IntegerType(), False),
     T.StructField("kind", T.StringType(), False),
     T.StructField("pattern", T.StringType(), False),
-    T.StructField("replacement", T.StringType(), False),
+    T.StructField("replacement", T.StringType()),
+    T.StructField("stop", T.StringType()),
+])
+
+GLOSSARY = T.StructType([
+    T.StructField("source", T.StringType(), False),
+    T.StructField("put", T.StringType()),
 ])
 
 ASSETS = T.StructType([

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,32 +118,6 @@ def glossary_rewrite(
     return tx.evaluated(res, [c for c in docs.columns if c != out], {out: F.col(out)})
 
 
-def large_glossary_rewrite(
-    docs: DataFrame, glossary: Mapping[str, str], text: str = "text", out: str = "rewritten"
-) -> DataFrame:
-    """The word pass for glossaries beyond a few hundred entries: one dictionary
-    lookup per token in Arrow batches instead of a long alternation."""
-    table = closed_over(glossary)
-
-    def cased(word: str) -> str:
-        put = table.get(word.lower())
-        if put is None:
-            return word
-        if word.isupper():
-            return put.upper()
-        return put.capitalize() if word.istitle() else put
-
-    @F.pandas_udf("string")
-    def replace(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = re.compile(r"\w+")
-        for batch in texts:
-            yield batch.map(
-                lambda t: token.sub(lambda m: cased(m.group()), t), na_action="ignore"
-            )
-
-    return docs.withColumn(out, replace(text))
-
-
 def guarded(full: Column, conservative: Column, leak: str) -> Column:
     """The full rewrite, unless it leaks placeholders."""
     return F.when(full.rlike(leak), conservative).otherwise(full)
@@ -231,28 +204,3 @@ def rule_hits(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> Dat
         F.lit(r.rule_id).alias("rule_id"), F.col(f"h{i}").alias("n_hits"),
         F.col(f"d{i}").alias("n_docs")) for i, r in enumerate(rules)])
     return counted.select(F.inline(rows))
-
-
-def apply_edit_table(docs: DataFrame, rules: Sequence[Rule], text: str = "text",
-                     out: str = "edited") -> DataFrame:
-    """Apply an edit table in order and count each rule's hits where it is applied:
-    adds ``hits``, one count per rule."""
-    res = docs.withColumns({out: F.col(text), "hits": F.array().cast("array<int>")})
-    for r in rules:
-        res = res.withColumns({
-            "hits": F.concat("hits", F.array(tx.count_matches(out, r.java))),
-            out: F.replace(out, F.lit(r.pattern), F.lit(r.replacement)) if r.kind == "literal"
-            else F.regexp_replace(out, r.pattern, r.replacement),
-        })
-    return res
-
-
-def edit_report(edited: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Per rule ``(rule_id, n_hits, used)`` of an applied edit table."""
-    sums = edited.agg(*[
-        F.coalesce(F.sum(F.get("hits", F.lit(i))), F.lit(0)).alias(f"h{i}") for i in range(len(rules))
-    ])
-    rows = F.array(*[F.struct(
-        F.lit(r.rule_id).alias("rule_id"), F.col(f"h{i}").alias("n_hits"),
-        (F.col(f"h{i}") > 0).cast("int").alias("used")) for i, r in enumerate(rules)])
-    return sums.select(F.inline(rows))

@@ -96,8 +96,6 @@ def test_glossary_keeps_case_and_spares_spans(spark):
     masked = mask_spans(docs(spark, text), kind)
     done = ru.glossary_rewrite(masked, {"вода": "water"}, {"чистая вода": "clear water"}, "masked")
     assert one(unmask(done, kind), "restored") == "Water и water, WATER; подвода `вода` clear water"
-    big = ru.large_glossary_rewrite(docs(spark, text), {"вода": "water"})
-    assert one(big, "rewritten") == "Water и water, WATER; подвода `water` чистая water"
 
 
 @pytest.mark.parametrize("text", [
@@ -158,9 +156,6 @@ def test_rule_audits(spark):
     rules = [ru.Rule("x", "x", "y"), ru.Rule("y", "y", "z"), ru.Rule("no", "q+", "")]
     hits = {r["rule_id"]: (r["n_hits"], r["n_docs"]) for r in ru.rule_hits(docs(spark, "xx", "y"), rules).collect()}
     assert hits == {"x": (2, 1), "y": (1, 1), "no": (0, 0)}
-    edited = ru.apply_edit_table(docs(spark, "xx", "y"), rules)
-    report = {r["rule_id"]: (r["n_hits"], r["used"]) for r in ru.edit_report(edited, rules).collect()}
-    assert report == {"x": (2, 1), "y": (3, 1), "no": (0, 0)}
 
 
 RUSSIAN = Detector(
