@@ -65,7 +65,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, and what they decode to, as digests."""
     ship(spark)
-    done = bpe_codec.encode(docs, tokenizer(), decoded=True)
+    done = bpe_codec.round_trip(docs, tokenizer())
     return done.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -1,13 +1,15 @@
 """BPE encoding through a table of distinct words, and decoding through a table of pieces.
 
-The words of all texts are made distinct in Spark and each is encoded once; the ids come
-back by position through the lexicon join. Decoding joins ids to the vocabulary's pieces,
-a table bounded by the vocabulary.
+Texts are split once, into numbered words of blocks. The words of all blocks meet in Spark and
+each distinct word is encoded once; its ids go back to the blocks that have it, where they take
+the words' places. Decoding joins ids to the vocabulary's pieces by position; the table of
+pieces is bounded by the vocabulary. Words are told apart as such, not by a hash.
 
 Cases: a NULL text is the empty one and gives no ids; repeated rows give repeated results;
 an empty table gives an empty result; special strings inside a text become their ids, as
-the tokenizer's default has it; bytes that form no text decode to U+FFFD; other columns of
-the input are dropped, so their names cannot clash.
+the tokenizer's default has it; bytes that form no text decode to U+FFFD; a text longer than a
+block is a block of its own; other columns of the input are dropped, so their names cannot
+clash; no result depends on the order of rows, so there are no ties.
 """
 
 from __future__ import annotations
@@ -17,10 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.llm.blocks import documents_of, meet, numbered, ragged, words_of
 from corpusprep.llm.bpe import Encoder, encoder
-from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, short_lived_shuffles, spans_of
-from corpusprep.llm.lexicon import Lexicon, attach, task_words
-from corpusprep.session import materialise
+from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, slices, spans_of
 
 
 def id_kind(bpe: Encoder) -> str:
@@ -28,65 +29,54 @@ def id_kind(bpe: Encoder) -> str:
     return "<u2" if len(bpe.pieces) <= 1 << 16 else "<u4"
 
 
-def word_table(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``(h, payload)``: each distinct word's hash and its ids, encoded once."""
-    rows = task_words(docs, lambda t: encoder(tokenizer).words(t.decode()))
-    keyed = rows.select(F.xxhash64("word").alias("h"), "word")
-    placed = keyed.repartition("h").sortWithinPartitions("h")
+def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
+    """``(block, number, ids)``: the words of blocks, each distinct word encoded once.
+
+    All rows of a word meet in one task, a row for each block that has it.
+    """
+    placed = words.select("word", "block", "number").repartition("word").sortWithinPartitions("word")
 
     def encode(batches: Rows) -> Rows:
-        last, last_word = None, None
+        last, ids = None, b""
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            h = batch.column("h").to_numpy()
-            words = batch.column("word")
-            new = np.ones(len(h), bool)
-            new[1:] = h[1:] != h[:-1]
-            new[0] = last is None or h[0] != last
-            same = np.flatnonzero(~new)
-            if len(same):
-                before = [words[int(i) - 1].as_py() if i else last_word for i in same]
-                if before != words.take(pa.array(same)).to_pylist():
-                    raise RuntimeError("two words share a hash; choose another seed")
-            last, last_word = h[-1], words[-1].as_py()
-            first = np.flatnonzero(new)
-            fresh = [w.decode() for w in words.take(pa.array(first)).to_pylist()]
+            held = batch.column("word").to_pylist()
+            fresh = [w for w, before in zip(held, [last, *held]) if w != before]
             bpe = encoder(tokenizer)
-            ids = [i.astype(id_kind(bpe)).tobytes() for i in bpe.encode(fresh)]
-            yield pa.record_batch([pa.array(h[first]), pa.array(ids, pa.binary())], ["h", "payload"])
+            new = iter(i.astype(id_kind(bpe)).tobytes() for i in bpe.encode([w.decode() for w in fresh]))
+            values = []
+            for w in held:
+                if w != last:
+                    last, ids = w, next(new)
+                values.append(ids)
+            yield pa.record_batch(
+                [batch.column("block"), batch.column("number"), pa.array(values, pa.binary())], ["block", "number", "ids"])
 
-    with short_lived_shuffles(docs.sparkSession):
-        return materialise(placed.mapInArrow(encode, "h long, payload binary"), "words")
+    return placed.mapInArrow(encode, "block long, number int, ids binary")
 
 
-def encode(
-    docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", decoded: bool = False, **sizes: int,
-) -> DataFrame:
-    """``(doc, ids)``: the ids as little-endian unsigned 32-bit numbers.
-
-    With ``decoded`` the pieces are joined to the ids in the same pass: ``(doc, ids, decoded)``.
-    """
+def encode(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
+    """``(doc, ids)``: the ids as little-endian unsigned 32-bit numbers."""
     kind = docs.schema[doc].dataType.simpleString()
-    rows = as_bytes(docs, doc, text=text)
-    table = word_table(rows.select("text"), tokenizer)
+    rows = as_bytes(docs, F.col(doc).alias("doc"), text=text)
+    held = numbered(rows, lambda t: encoder(tokenizer).words(t.decode()), ["doc"], **sizes)
 
-    def joined(piece: pa.RecordBatch, entries: np.ndarray, offsets: np.ndarray, lexicon: Lexicon):
-        if len(entries) and entries.min() < 0:
-            raise RuntimeError("a word is missing from the word table")
+    def joined(left: pa.Table, words: pa.Table) -> pa.Table:
         bpe = encoder(tokenizer)
-        numbers, starts = lexicon.view(id_kind(bpe))
-        ids, sizes_ = gather(numbers, starts, entries)
-        ends = spans_of(sizes_)[offsets]
-        wide = ids.astype("<u4")
-        values = [wide[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-        columns = {doc: piece.column(0), "ids": pa.array(values, pa.binary())}
-        if decoded:
-            columns["decoded"] = pa.array(_texts_of(ids, ends, *bpe.flat_pieces), pa.binary())
-        return pa.record_batch(list(columns.values()), list(columns))
-
-    schema = f"`{doc}` {kind}, ids binary" + ", decoded binary" * decoded
-    return attach(rows, table, lambda t: encoder(tokenizer).words(t.decode()), joined, schema, **sizes)
+        order = np.argsort(words.column("number").to_numpy())
+        values = words.column("ids").combine_chunks().take(pa.array(order)).to_pylist()
+        flat, starts = np.frombuffer(b"".join(values), id_kind(bpe)), spans_of(list(map(len, values)))
+        starts //= flat.itemsize
+        out = []
+        for batch in left.combine_chunks().to_batches():
+            for piece in slices(batch, "ids"):
+                entries, offsets = ragged(piece.column("ids"))
+                ids, sizes_ = gather(flat, starts, entries)
+                ends, wide = spans_of(sizes_)[offsets], ids.astype("<u4")
+                spans = [wide[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+                out.append(pa.record_batch([piece.column("doc"), pa.array(spans, pa.binary())], [doc, "ids"]))
+        return pa.Table.from_batches(out, out[0].schema if out else pa.schema([(doc, left.schema.field("doc").type), ("ids", pa.binary())]))
+
+    return meet(documents_of(held, "doc"), encoded_words(words_of(held), tokenizer), joined, f"`{doc}` {kind}, ids binary")
 
 
 def _texts_of(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -132,3 +122,8 @@ def decode(tokens: DataFrame, pieces: DataFrame, doc: str = "doc_id") -> DataFra
 
     return map_slices(
         tokens.select(doc, "ids"), "ids", joined, f"`{doc}` {kind}, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
+    """``(doc, ids, decoded)``: the ids of every text, and what they decode to."""
+    return decode(encode(docs, tokenizer, doc, text, **sizes), piece_table(docs.sparkSession, tokenizer), doc)

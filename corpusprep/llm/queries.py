@@ -41,7 +41,7 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
-    done = bpe_codec.encode(table(spark, sf, "documents"), tokenizer(), decoded=True)
+    done = bpe_codec.round_trip(table(spark, sf, "documents"), tokenizer())
     return done.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

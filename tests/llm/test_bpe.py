@@ -1,4 +1,4 @@
-"""Words and ids against the tokenizers library, in both ways of the lexicon join."""
+"""Words and ids against the tokenizers library, in large and in small blocks."""
 
 import hashlib
 import random
@@ -43,7 +43,7 @@ def test_every_code_point_splits_as_in_the_library(library):
     assert [int(i) for ids in bpe.encode(bpe.words(text)) for i in ids] == ids_of(library, text)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": -1, "block_bytes": 4096}])
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 4096}, {"block_words": 3}])
 def test_codec(spark, library, sizes):
     docs = corpora.hard(spark)
     want = sorted((r["doc_id"] is None, r["doc_id"] or 0, ids_of(library, r["text"]), r["text"] or "") for r in docs.collect())
@@ -52,14 +52,14 @@ def test_codec(spark, library, sizes):
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, np.frombuffer(bytes(r["ids"]), "<u4").tolist(),
                   bytes(r["decoded"]).decode()) for r in done)
     assert got == want
-    both = bpe_codec.encode(docs, PATH, decoded=True, **sizes).collect()
+    both = bpe_codec.round_trip(docs, PATH, **sizes).collect()
     assert sorted(map(str, both)) == sorted(map(str, done))
 
 
 def test_codec_of_nothing(spark):
     ids = bpe_codec.encode(corpora.empty(spark), PATH)
     assert bpe_codec.decode(ids, bpe_codec.piece_table(spark, PATH)).collect() == []
-    assert bpe_codec.encode(corpora.empty(spark), PATH, broadcast_bytes=-1).collect() == []
+    assert bpe_codec.round_trip(corpora.empty(spark), PATH).collect() == []
 
 
 def test_broken_bytes_decode_to_replacement_signs(spark, library):
