@@ -1,8 +1,9 @@
 """Texts as numbers of words, block by block.
 
 Each task splits its texts once, in the order they come, and numbers the distinct words of a
-block of bounded text size and vocabulary. A document then is the numbers of its words in its
-block, and a block has a table of its words. Both are written; a text is split no second time.
+block of bounded text size and vocabulary, frequent words first. A document then is the packed
+numbers of its words in its block, and a block has a table of its words. Both are written; a text
+is split no second time.
 
 What is known about words, whatever their number, meets the blocks' tables in a join on the word
 itself, in which a word has one row per block. The answers come back per block as arrays by
@@ -17,33 +18,54 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import Rows, slices, spans_of, texts
+from corpusprep.llm.common import SLICE_BYTES, Rows, slices, spans_of, texts
 from corpusprep.session import materialise
 
 BLOCK_BYTES = 24 << 20
 BLOCK_WORDS = 400_000
+PACKED_BYTES = 1 << 20
 ROW_BYTES = 64
 CHUNK = 4096
 
 Split = Callable[[bytes], list]
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Numbers from 0 on, byte plane by byte plane, compressed; small numbers take little room."""
+    if not len(values):
+        return b""
+    planes = max(1, (int(values.max()).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:planes])
+    return bytes([planes]) + zstandard.ZstdCompressor(level=1).compress(raw.tobytes())
+
+
+def unpack(blob: bytes | None) -> np.ndarray:
+    if not blob:
+        return np.empty(0, np.int64)
+    planes = blob[0]
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8).reshape(planes, -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :planes] = raw.T
+    return out.view("<i8").ravel()
+
+
 def ragged(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of an array of binaries as 32-bit numbers end to end, and offsets."""
-    values = lists.to_pylist()
-    flat = np.frombuffer(b"".join(v or b"" for v in values), "<u4")
-    return flat, spans_of([len(v or b"") // 4 for v in values])
+    """The numbers of packed lists end to end, and offsets."""
+    values = [unpack(v) for v in lists.to_pylist()]
+    return np.concatenate([np.empty(0, np.int64), *values]), spans_of(list(map(len, values)))
 
 
 class Block:
-    """Words and, for texts to learn from, counts of words and of neighbours."""
+    """Words, documents as numbers and, for texts to learn from, counts of words and of neighbours."""
 
     def __init__(self):
         self.index: dict = {}
         self.filled = 0
+        self.pieces: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
         self.learned: list[tuple[np.ndarray, np.ndarray]] = []
 
     def number(self, lists: list[list]) -> np.ndarray:
@@ -52,14 +74,30 @@ class Block:
         total = sum(map(len, lists))
         return np.fromiter(map(self.index.__getitem__, chain.from_iterable(lists)), np.uint32, total)
 
+    def by_frequency(self) -> list:
+        """Number the words anew, frequent ones first; the words in order."""
+        counts = np.zeros(len(self.index), np.int64)
+        for _, ids, _ in self.pieces:
+            counts += np.bincount(ids, minlength=len(counts))
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        self.pieces = [(piece, rank[ids], offsets) for piece, ids, offsets in self.pieces]
+        self.learned = [(rank[ids], offsets) for ids, offsets in self.learned]
+        words = list(self.index)
+        return [words[i] for i in order.tolist()]
+
     def counts(self) -> np.ndarray:
         out = np.zeros(len(self.index), np.int64)
         for ids, _ in self.learned:
             out += np.bincount(ids, minlength=len(out))
         return out
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(before, after, n)``: neighbours and their counts; a text's last word precedes its first."""
+    def pairs(self) -> list[bytes]:
+        """Neighbours and their counts; a text's last word precedes its first.
+
+        Packed: how many words come after each word, these words, and how often they do.
+        """
         keys = [np.empty(0, np.int64)]
         for ids, offsets in self.learned:
             before = np.roll(ids, 1)
@@ -67,7 +105,15 @@ class Block:
             before[offsets[:-1][some]] = ids[offsets[1:][some] - 1]
             keys.append(before.astype(np.int64) << 32 | ids)
         pair, n = np.unique(np.concatenate(keys), return_counts=True)
-        return (pair >> 32).astype("<u4"), (pair & 0xFFFFFFFF).astype("<u4"), n.astype("<u4")
+        return [pack(np.bincount(pair >> 32, minlength=len(self.index))), pack(pair & 0xFFFFFFFF), pack(n)]
+
+
+def neighbours(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(before, after, n)`` of a block's packed neighbours."""
+    parts = [[unpack(b) for b in row] for row in rows]
+    before = [np.repeat(np.arange(len(sizes)), sizes) for sizes, *_ in parts]
+    join = lambda arrays: np.concatenate([np.empty(0, np.int64), *arrays])
+    return join(before), join([p[1] for p in parts]), join([p[2] for p in parts])
 
 
 def numbered(
@@ -103,24 +149,25 @@ def numbered(
             return pa.record_batch(columns, names)
 
         def closed() -> Rows:
-            words = [w.encode() if isinstance(w, str) else w for w in block.index]
+            words = [w.encode() if isinstance(w, str) else w for w in block.by_frequency()]
+            for piece, ids, offsets in block.pieces:
+                values = [pack(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+                yield row(piece.num_rows, ids=pa.array(values, pa.binary()), **{k: piece.column(k) for k in keep})
             n = block.counts().tolist()
             for a in range(0, len(words), CHUNK):
                 yield row(1, first=pa.array([a], pa.int32()), words=pa.array([words[a:a + CHUNK]], others["words"]),
                           n=pa.array([n[a:a + CHUNK]], others["n"]))
             if block.learned:
-                yield row(1, pair=pa.array([[p.tobytes() for p in block.pairs()]], others["pair"]))
+                yield row(1, pair=pa.array([block.pairs()], others["pair"]))
 
         for batch in batches:
             types = [batch.schema.field(k).type for k in keep]
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", min(SLICE_BYTES, most)):
                 held = texts(piece)
                 lists = [split(t) for t in held]
                 ids = block.number(lists)
                 offsets = spans_of(list(map(len, lists)))
-                values = [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                yield row(piece.num_rows, ids=pa.array(values, pa.binary()),
-                          **{k: piece.column(k) for k in keep})
+                block.pieces.append((piece.select(list(keep)), ids, offsets))
                 if learn is not None:
                     told = np.array(piece.column(learn).to_pylist(), bool)
                     each = np.repeat(told, np.diff(offsets))
@@ -129,7 +176,7 @@ def numbered(
                 if block.filled > most or len(block.index) > widest:
                     yield from closed()
                     number, block = number + 1, Block()
-        if block.index:
+        if block.pieces:
             yield from closed()
 
     columns = list(dict.fromkeys([*keep, *([learn] if learn else []), "text"]))
@@ -156,6 +203,8 @@ Meet = Callable[[pa.Table, pa.Table], pa.Table]
 
 def meet(left: DataFrame, words: DataFrame, fn: Meet, schema: str) -> DataFrame:
     """``fn`` of a block's rows and of what is known about its words."""
+    # Both sides may come from one table, whose columns would be the same.
+    words = words.select(*[F.col(c).alias(c) for c in words.columns])
     return left.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(fn, schema)
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm.blocks import documents_of, meet, numbered, ragged, words_of
+from corpusprep.llm.blocks import PACKED_BYTES, documents_of, meet, numbered, ragged, words_of
 from corpusprep.llm.bpe import Encoder, encoder
 from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, slices, spans_of
 
@@ -68,7 +68,7 @@ def encode(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "te
         starts //= flat.itemsize
         out = []
         for batch in left.combine_chunks().to_batches():
-            for piece in slices(batch, "ids"):
+            for piece in slices(batch, "ids", PACKED_BYTES):
                 entries, offsets = ragged(piece.column("ids"))
                 ids, sizes_ = gather(flat, starts, entries)
                 ends, wide = spans_of(sizes_)[offsets], ids.astype("<u4")

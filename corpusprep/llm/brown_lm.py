@@ -1,16 +1,20 @@
 """A Brown class bigram model: exchange clustering, then class-transition and word-emission probabilities.
 
 Words are lower-cased (A-Z) runs without ASCII white space; an end token closes each text.
-All counts cover every training document. The classes start from the ``HEAD`` most frequent
-words, which are clustered on their bigram counts, first into ``CLASSES`` classes, and these
-classes' items again into ``GROUPS`` groups. Every other word starts in the class of its count's
-magnitude in the group that most of its occurrences follow.
-
-Then all words are exchanged, in up to ``TURNS`` turns. A turn counts the classes before and
-after each word in Spark and broadcasts the bounded class-by-class table; each word's exact gain
-in likelihood, all other words staying, follows from these, and it moves to its best class. As
-words of a turn do not see each other's moves, a turn that lowers the likelihood is taken back,
-and half as many words are asked in the next one. Each turn's classes are written.
+All counts cover every training document. Texts are split once, into numbered words of blocks,
+and a block's neighbours are counted once; all that follows works on these counts. The classes
+start from the ``HEAD`` most frequent words, which are clustered on their bigram counts, first
+into ``CLASSES`` classes, and these classes' items again into ``GROUPS`` groups. Every other word
+starts in the class of its count's magnitude in the group of frequent words that most often
+stands right before it.
+
+Then all words are exchanged, in up to ``TURNS`` turns. A turn takes the classes of the words to
+the blocks that have them, by a join, and sums up the classes beside each word, in buckets of
+words; the bounded class-by-class table is broadcast. Each word's exact gain in likelihood, all
+other words staying, follows from these, and it moves to its best class. As words of a turn do
+not see each other's moves, a turn that lowers the likelihood is taken back, and half as many
+words are asked in the next one. Each turn's classes are written. Words and their classes are
+neither collected nor broadcast, whatever their number.
 
 ``P(text)`` is the product of ``P(class | class before) * P(word | class)``, the end token
 included. Transitions are smoothed with the class distribution. Words seen once lend half of
@@ -19,8 +23,9 @@ word the transitions are those of the classes of words seen once, by their share
 
 Cases: a NULL text is the empty one (one end token); a row without id is scored but neither
 held out nor learned from; repeated rows count as often as they occur; with no training text
-every word is unseen and the scores stay finite; an empty table gives an empty result; other
-columns are not read.
+every word is unseen and the scores stay finite; an empty table gives an empty result; a text
+longer than a block is a block of its own; words with equal counts are ordered by their bytes,
+and of classes with equal gain the first is taken; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles
-from corpusprep.llm.lexicon import Lexicon, attach, hashes_of, task_counts
+from corpusprep.llm.blocks import (
+    PACKED_BYTES, by_number, documents_of, meet, neighbours, numbered, pack, pairs_of, ragged, width, words_of)
+from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles, slices
 from corpusprep.session import materialise
 
 HEAD = 1000
@@ -41,6 +47,8 @@ BANDS = 40
 ROUNDS = 8
 TURNS = 3
 SLICE_WORDS = 4096
+BUCKET_WORDS = 50_000
+PARTS = 64
 SMALL = 16
 PRIOR = 20.0
 UNSEEN = 0.5
@@ -109,70 +117,101 @@ def _band(n):
     return F.least(F.floor(F.log2(n.cast("double"))), F.lit(BANDS - 1)).cast("int")
 
 
-def _pair_counts(docs: DataFrame, lexicon: DataFrame, kinds: int, **sizes: int) -> np.ndarray:
-    """Counts of neighbouring items ``payload[0]`` over all texts; the end precedes each text."""
-
-    def count(piece, entries, offsets, lex: Lexicon):
-        items = lex.view("<i4")[0].reshape(-1, 2)[entries, 0]
-        before = np.roll(items, 1)
-        before[offsets[:-1]] = items[offsets[1:] - 1]
-        pair, n = np.unique(before.astype(np.int64) * kinds + items, return_counts=True)
-        return pa.record_batch([pa.array(pair), pa.array(n)], ["pair", "n"])
-
-    held: list = []
-    rows = attach(docs, lexicon, tokens, count, "pair long, n long", held=held, **sizes)
+def lexicon_of(words: DataFrame) -> DataFrame:
+    """``(w, word, n)`` of the words that were learned, numbered from 0 by falling count."""
+    counts = words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
+    placed = counts.repartitionByRange(F.desc("n"), "word").sortWithinPartitions(F.desc("n"), "word")
+    held = materialise(placed.withColumn("at", F.monotonically_increasing_id()), "lexicon")
+    # The written ids count within partitions; a partition begins where the one before ends.
+    part = F.shiftrightunsigned("at", 33)
+    sizes = {r["p"]: r["c"] for r in held.groupBy(part.alias("p")).agg(F.count("*").alias("c")).collect()}
+    starts, upto = [], 0
+    for p in range(1 + max(sizes, default=0)):
+        starts.append(upto)
+        upto += sizes.get(p, 0)
+    begin = F.element_at(F.array(*[F.lit(v).cast("bigint") for v in starts]), (part + 1).cast("int"))
+    return held.select((begin + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("w"), "word", "n")
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of counts of each."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+def _pair_counts(pairs: DataFrame, known: DataFrame, kinds: int) -> np.ndarray:
+    """How often which class stands before which, over all texts; words without a class are left out."""
+
+    def count(left: pa.Table, words: pa.Table) -> pa.Table:
+        a, b, n = neighbours(left.column("pair").to_pylist())
+        of = by_number(words, "class", width(words, a, b), -1).astype(np.int64)
+        a, b = of[a], of[b]
+        some = (a >= 0) & (b >= 0)
+        cell, n = _summed(a[some] * kinds + b[some], n[some])
+        return pa.table({"cell": pa.array(cell, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    rows = meet(pairs, known.select("block", "number", "class"), count, "cell long, n long")
+    got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(kinds * kinds, np.int64)
-    got = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    for shared in held:
-        shared.destroy()
-    out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(kinds, kinds)
 
 
-def _neighbours(docs: DataFrame, lexicon: DataFrame, kinds: int, **sizes: int) -> DataFrame:
-    """``(h, class, n, payload, codes, counts)``: how often which class stands beside each word.
+def _beside(pairs: DataFrame, known: DataFrame, kinds: int, buckets: int) -> DataFrame:
+    """How often which class stands beside each word: ``(bucket, part, word, code, n)``, packed.
 
-    Code ``c`` is class ``c`` after the word, ``kinds + c`` before it, and ``2 * kinds`` the word
-    itself after it, which the others leave out. The end precedes each text.
+    Word ``w`` is number ``w // buckets`` of bucket ``w % buckets``. Code ``c`` is class ``c`` after the
+    word, ``kinds + c`` before it, and ``2 * kinds`` the word itself after it, which the others leave out.
     """
-
-    def count(piece, entries, offsets, lex: Lexicon):
-        items = lex.view("<i4")[0].reshape(-1, 2)[entries, 0].astype(np.int64)
-        after = np.roll(np.arange(len(entries)), -1)
-        after[offsets[1:] - 1] = offsets[:-1]
-        same = entries == entries[after]
-        width = 2 * kinds + 1
-        # The second word of a pair gives the row of the class before it.
-        keys = np.concatenate([
-            entries * width + np.where(same, 2 * kinds, items[after]),
-            (entries[after] * width + kinds + items)[~same]])
-        pair, n = np.unique(keys, return_counts=True)
-        return pa.record_batch(
-            [pa.array(lex.hashes[pair // width]), pa.array((pair % width).astype(np.int32)), pa.array(n)],
-            ["h", "code", "c"])
-
-    held: list = []
-    rows = attach(docs, lexicon, tokens, count, "h long, code int, c long", held=held, **sizes)
-    # A word has at most 2 * kinds + 1 codes.
-    beside = rows.groupBy("h", "code").agg(F.sum("c").alias("c")).groupBy("h").agg(
-        F.collect_list(F.struct("code", "c")).alias("at"))
-    out = materialise(lexicon.join(beside, "h").select(
-        "h", "class", "n", "payload", F.col("at.code").alias("codes"), F.col("at.c").alias("counts")), "neighbours")
-    for shared in held:
-        shared.destroy()
-    return out
-
-
-def _table(beside: DataFrame, kinds: int) -> np.ndarray:
-    """Class-bigram counts out of the words' neighbours."""
-    rows = beside.select("class", F.explode(F.arrays_zip("codes", "counts")).alias("at")).select(
-        "class", F.col("at.codes").alias("code"), F.col("at.counts").alias("c"))
-    after = F.when(F.col("code") == 2 * kinds, F.col("class")).otherwise(F.col("code"))
-    got = rows.filter(~F.col("code").between(kinds, 2 * kinds - 1)).groupBy("class", after.alias("after")).agg(
-        F.sum("c").alias("c")).toArrow()
-    out = np.zeros((kinds, kinds))
-    out[got.column("class").to_numpy(), got.column("after").to_numpy()] = got.column("c").to_numpy()
-    return out
+    codes = 2 * kinds + 1
+
+    def count(left: pa.Table, words: pa.Table) -> pa.Table:
+        a, b, n = neighbours(left.column("pair").to_pylist())
+        size = width(words, a, b)
+        of = by_number(words, "class", size, 0).astype(np.int64)
+        w = by_number(words, "w", size, 0)
+        same = a == b
+        keys, n = _summed(
+            np.concatenate([a * codes + np.where(same, 2 * kinds, of[b]), (b * codes + kinds + of[a])[~same]]),
+            np.concatenate([n, n[~same]]))
+        return packed(w[keys // codes], keys % codes, n, int(left.column("block")[0].as_py()) if left.num_rows else 0)
+
+    def packed(w: np.ndarray, code: np.ndarray, n: np.ndarray, block: int) -> pa.Table:
+        order = np.argsort(w % buckets, kind="stable")
+        w, code, n = w[order], code[order], n[order]
+        there, first = np.unique(w % buckets, return_index=True)
+        cut = lambda x: [pack(p) for p in np.split(x, first[1:])] if len(there) else []
+        return pa.table({
+            "bucket": pa.array(there, pa.int64()), "part": pa.array([block] * len(there), pa.int64()),
+            "word": pa.array(cut(w // buckets), pa.binary()), "code": pa.array(cut(code), pa.binary()),
+            "n": pa.array(cut(n), pa.binary())})
+
+    schema = "bucket long, part long, word binary, code binary, n binary"
+    rows = meet(pairs, known.select("block", "number", "w", "class"), count, schema)
+    parts = pairs.select("block").distinct().count()
+    # A bucket takes in what a bounded number of blocks, or of sums over blocks, have for it.
+    while parts > PARTS:
+        parts = -(-parts // PARTS)
+        group = F.pmod(F.xxhash64("part"), F.lit(parts))
+
+        def merge(table: pa.Table) -> pa.Table:
+            word, code, n = _unpacked(table)
+            keys, n = _summed(word * codes + code, n)
+            return pa.table({
+                "bucket": table.column("bucket")[:1], "part": table.column("group")[:1],
+                "word": pa.array([pack(keys // codes)], pa.binary()),
+                "code": pa.array([pack(keys % codes)], pa.binary()), "n": pa.array([pack(n)], pa.binary())})
+
+        rows = rows.withColumn("group", group).groupBy("bucket", "group").applyInArrow(merge, schema)
+    return rows
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(ragged(table.column(c))[0] for c in ("word", "code", "n"))
 
 
 def likelihood(table: np.ndarray) -> float:
@@ -242,134 +281,130 @@ def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, index: np.ndarr
         out[at[starts]] += np.add.reduceat(rows[index[starts[0]:end]], starts - starts[0], axis=0)
 
 
-def _moved(beside: DataFrame, table: np.ndarray, turn: int, parts: int) -> DataFrame:
-    """``(h, payload, class, n)`` after one turn, in which one of ``parts`` words is asked."""
+def _moved(classed: DataFrame, pairs: DataFrame, blocks: DataFrame, table: np.ndarray, turn: int, parts: int) -> DataFrame:
+    """``(w, class, n)`` after one turn, in which one of ``parts`` words is asked."""
     kinds = len(table)
-    shared = beside.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches):
-        for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_WORDS):
-                batch = whole.slice(start, SLICE_WORDS)
-                h, n = batch.column("h").to_numpy(), batch.column("n").to_numpy()
-                own = batch.column("class").to_numpy().astype(np.int64)
-                lists = batch.column("codes")
-                word = np.repeat(np.arange(len(h)), np.diff(lists.offsets.to_numpy()))
-                gain = gains(
-                    shared.value, own, n.astype(np.float64), word, lists.flatten().to_numpy().astype(np.int64),
-                    batch.column("counts").flatten().to_numpy().astype(np.float64))
-                best = gain.argmax(1)
-                seat = np.arange(len(h))
-                asked = (h % parts == turn % parts) & (gain[seat, best] > gain[seat, own] + 1e-9)
-                to = np.where(asked, best, own)
-                payload = np.stack([to, np.minimum(n, (1 << 31) - 1)], 1).astype("<i4")
-                yield pa.record_batch(
-                    [pa.array(h), pa.array([p.tobytes() for p in payload], pa.binary()),
-                     pa.array(to.astype(np.int32)), pa.array(n)], ["h", "payload", "class", "n"])
-
-    out = materialise(beside.select("h", "class", "n", "codes", "counts").mapInArrow(
-        run, "h long, payload binary, class int, n long"), "classes")
+    codes = 2 * kinds + 1
+    buckets = 1 + classed.count() // BUCKET_WORDS
+    shared = classed.sparkSession.sparkContext.broadcast(table)
+
+    def move(left: pa.Table, right: pa.Table) -> pa.Table:
+        order = np.argsort(right.column("w").to_numpy())
+        w, own, n = (right.column(c).to_numpy()[order].astype(np.int64) for c in ("w", "class", "n"))
+        word, code, count = _unpacked(left)
+        keys, count = _summed(word * codes + code, count)
+        seat, code = np.searchsorted(w // buckets, keys // codes), keys % codes
+        to = own.copy()
+        for start in range(0, len(w), SLICE_WORDS):
+            some = slice(start, start + SLICE_WORDS)
+            a, b = np.searchsorted(seat, [start, start + SLICE_WORDS])
+            gain = gains(
+                shared.value, own[some], n[some].astype(np.float64), seat[a:b] - start, code[a:b], count[a:b].astype(np.float64))
+            best, at = gain.argmax(1), np.arange(len(gain))
+            asked = (w[some] % parts == turn % parts) & (gain[at, best] > gain[at, own[some]] + 1e-9)
+            to[some] = np.where(asked, best, own[some])
+        return pa.table({"w": pa.array(w), "class": pa.array(to.astype(np.int32)), "n": pa.array(n)})
+
+    beside = _beside(pairs, _classes_of(blocks, classed), kinds, buckets)
+    bucketed = classed.withColumn("bucket", F.pmod("w", F.lit(buckets)))
+    both = beside.groupBy("bucket").cogroup(bucketed.groupBy("bucket"))
+    out = materialise(both.applyInArrow(move, "w long, class int, n long"), "classes")
     shared.destroy()
     return out
 
 
-def exchange_all(docs: DataFrame, lexicon: DataFrame, kinds: int, turns: int = TURNS, **sizes: int):
-    """``(lexicon, table)`` after exchanging every word; the likelihood never falls."""
+def _classes_of(blocks: DataFrame, classed: DataFrame) -> DataFrame:
+    """``(block, number, w, class, n)``: the words of blocks that have a class."""
+    return blocks.join(classed, "w").select("block", "number", "w", "class", "n")
+
+
+def exchange_all(
+    pairs: DataFrame, blocks: DataFrame, classed: DataFrame, kinds: int, turns: int = TURNS,
+) -> tuple[DataFrame, np.ndarray]:
+    """``(classes, table)`` after exchanging every word; the likelihood never falls.
+
+    ``blocks`` has the words of blocks as ``(block, number, w)``.
+    """
     best = None
     parts = 1
     for turn in range(turns + 1):
-        last = turn == turns
-        if last:
-            beside, table = None, _pair_counts(docs, lexicon, kinds, **sizes).astype(np.float64)
-        else:
-            beside = _neighbours(docs, lexicon, kinds, **sizes)
-            table = _table(beside, kinds)
+        table = _pair_counts(pairs, _classes_of(blocks, classed), kinds).astype(np.float64)
         if best is None or likelihood(table) >= best[0]:
             settled = best is not None and likelihood(table) - best[0] <= 1e-9 * abs(best[0]) and parts == 1
-            best = (likelihood(table), lexicon, table, beside)
+            best = (likelihood(table), classed, table)
             if settled:
                 break
         else:
             parts *= 2
-        if not last:
-            lexicon = _moved(best[3], best[2], turn, parts)
+        if turn < turns:
+            classed = _moved(best[1], pairs, blocks, best[2], turn, parts)
     return best[1], best[2]
 
 
-def _payload(*columns) -> F.Column:
-    """Little-endian 32-bit numbers side by side."""
-    parts = []
-    for c in columns:
-        s = F.lpad(F.hex(c.cast("bigint")), 8, "0")
-        parts.append(F.concat(*[F.substring(s, i, 2) for i in (7, 5, 3, 1)]))
-    return F.unhex(F.concat(*parts))
-
-
 def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS,
           **sizes: int):
-    """``(lexicon, facts)``: class and count of each training word, and the model's tables."""
-    counts = materialise(
-        task_counts(docs, tokens).groupBy(F.xxhash64("word").alias("h")).agg(F.sum("n").alias("n")), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    end = int(hashes_of([END], 1)[0])
-    top = counts.filter(F.col("h") != end).orderBy(F.desc("n"), "h").limit(head).select("h").toArrow()
-    top = np.concatenate([[end], top.column("h").to_numpy()]) if distinct else np.array([end])
-    spark = docs.sparkSession
-    ranked = spark.createDataFrame(pa.table({"h": top, "rank": np.arange(len(top), dtype=np.int32)}))
-    items = counts.join(F.broadcast(ranked), "h", "left")
-
-    # Items: head words one by one, the others by the magnitude of their counts.
-    kinds = len(top) + BANDS
-    item = F.coalesce("rank", _band(F.col("n")) + len(top))
-    first = materialise(items.select("h", _payload(item, F.lit(0)).alias("payload")), "items")
-    matrix = _pair_counts(docs, first, kinds, **sizes)
-    of = exchange(matrix[:len(top), :len(top)], classes)
+    """``(lexicon, facts)`` of all texts: class and count of each word, and the model's tables."""
+    held = numbered(docs.select("text", F.lit(True).alias("learn")), tokens, learn="learn", **sizes)
+    return train_blocks(held, head, classes, groups, turns)
+
+
+def train_blocks(held: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS):
+    """``train`` on the texts to learn from of a table of blocks."""
+    spark = held.sparkSession
+    words, pairs = words_of(held), pairs_of(held)
+    numbers = lexicon_of(words)
+    total, distinct = numbers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    blocks = materialise(words.select("block", "number", "word").join(numbers.select("word", "w"), "word").select(
+        "block", "number", "w"), "block-words")
+    found = numbers.filter(F.col("word") == F.lit(bytearray(END))).first()
+    top = [] if found is None else [found["w"], *[w for w in range(min(head + 1, distinct)) if w != found["w"]][:head]]
+
+    # The most frequent words are clustered among themselves.
+    place = pa.array(top, pa.int64())
+    rank = lambda values: spark.createDataFrame(pa.table({"w": place, "class": pa.array(values, pa.int32())}))
+    matrix = _pair_counts(pairs, blocks.join(F.broadcast(rank(range(len(top)))), "w"), max(1, len(top)))
+    of = exchange(matrix, classes)
     n_classes = int(of.max()) + 1
     pick = np.eye(n_classes, dtype=np.int64)[of]
-    group_of = exchange(pick.T @ matrix[:len(top), :len(top)] @ pick, groups)[of]
+    group_of = exchange(pick.T @ matrix @ pick, groups)[of]
     n_groups = int(group_of.max()) + 1
 
-    # Where the other words stand: the group of the nearest head word before each occurrence.
-    def votes(piece, entries, offsets, lex: Lexicon):
-        found = lex.view("<i4")[0].reshape(-1, 2)[entries, 0]
-        at = _last_head(found < len(top), offsets)
-        group = np.where(at < 0, group_of[0], group_of[np.where(at < 0, 0, found[at])])
-        tail = found >= len(top)
-        pair, n = np.unique(entries[tail] * n_groups + group[tail], return_counts=True)
-        return pa.record_batch(
-            [pa.array(lex.hashes[pair // n_groups]), pa.array((pair % n_groups).astype(np.int32)), pa.array(n)],
-            ["h", "g", "n"])
-
-    held: list = []
-    voted = attach(docs, first, tokens, votes, "h long, g int, n long", held=held, **sizes)
+    # The other words start by their count, in the group of frequent words that most often precede them.
+    grouped = blocks.join(F.broadcast(rank(group_of[:len(top)])), "w", "left").withColumn("class", F.coalesce("class", F.lit(-1)))
+
+    def votes(left: pa.Table, known: pa.Table) -> pa.Table:
+        a, b, n = neighbours(left.column("pair").to_pylist())
+        size = width(known, a, b)
+        group, w = by_number(known, "class", size, -1).astype(np.int64), by_number(known, "w", size, 0)
+        some = (group[a] >= 0) & (group[b] < 0)
+        keys, n = _summed(w[b[some]] * n_groups + group[a[some]], n[some])
+        return pa.table({"w": pa.array(keys // n_groups, pa.int64()), "g": pa.array((keys % n_groups).astype(np.int32)),
+                         "n": pa.array(n, pa.int64())})
+
+    voted = meet(pairs, grouped.select("block", "number", "w", "class"), votes, "w long, g int, n long")
     sums = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(f"g{g}") for g in range(n_groups)]
     most = F.greatest(*[F.col(f"g{g}") for g in range(n_groups)]) if n_groups > 1 else F.col("g0")
     group = F.lit(0)
     for g in reversed(range(n_groups)):
         group = F.when(F.col(f"g{g}") == most, g).otherwise(group)
-    chosen = voted.groupBy("h").agg(*sums).select("h", group.alias("group"))
-    classed = spark.createDataFrame(pa.table({"rank": np.arange(len(top), dtype=np.int32), "class": of.astype(np.int32)}))
-    named = items.join(F.broadcast(classed), "rank", "left").join(chosen, "h", "left")
+    chosen = voted.groupBy("w").agg(*sums).select("w", group.alias("group"))
+    named = numbers.select("w", "n").join(F.broadcast(rank(of[:len(top)])), "w", "left").join(chosen, "w", "left")
     code = F.coalesce("class", F.lit(n_classes) + F.coalesce("group", F.lit(0)) * BANDS + _band(F.col("n")))
-    start = materialise(named.select("h", code.alias("code"), "n"), "start")
+    start = materialise(named.select("w", code.alias("code"), "n"), "start")
     # Only the classes that have words are numbered.
     used = sorted(r["code"] for r in start.select("code").distinct().collect())
     number = F.lit(0)
     if used:
-        place = dict(zip(used, range(len(used))))
-        number = F.element_at(F.array(*[F.lit(place.get(c, 0)) for c in range(used[-1] + 1)]), F.col("code") + 1)
-    lexicon = materialise(start.select(
-        "h", _payload(number, F.least("n", F.lit((1 << 31) - 1))).alias("payload"),
-        number.cast("int").alias("class"), "n"), "classes")
-
-    for shared in held:
-        shared.destroy()
+        seats = dict(zip(used, range(len(used))))
+        number = F.element_at(F.array(*[F.lit(seats.get(c, 0)) for c in range(used[-1] + 1)]), F.col("code") + 1)
+    classed = start.select("w", number.cast("int").alias("class"), "n")
+
     # From here on every word is exchanged, over the classes the start has opened.
     n_kinds = max(1, len(used))
-    lexicon, pairs = exchange_all(docs, lexicon, n_kinds, turns, **sizes)
+    classed, table = exchange_all(pairs, blocks, classed, n_kinds, turns)
     # The last class is that of the unseen word alone.
     sizes_of, singles = np.zeros(n_kinds + 1), np.zeros(n_kinds + 1)
-    got = lexicon.groupBy("class").agg(
+    got = classed.groupBy("class").agg(
         F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).toArrow()
     sizes_of[got.column("class").to_numpy()] = got.column("n").to_numpy()
     singles[got.column("class").to_numpy()] = got.column("once").to_numpy()
@@ -378,61 +413,69 @@ def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int
     share = sizes_of.copy()
     share[-1] = alone
     share /= share.sum()
-    move = (np.pad(pairs, (0, 1)) + PRIOR * share) / (np.pad(pairs.sum(1), (0, 1))[:, None] + PRIOR)
+    move = (np.pad(table, (0, 1)) + PRIOR * share) / (np.pad(table.sum(1), (0, 1))[:, None] + PRIOR)
     if singles.sum():
         move[-1] = singles @ move / singles.sum()
     lent = UNSEEN * singles / np.maximum(sizes_of, 1)
     lent[-1] = alone
+    lexicon = numbers.select("w", "word").join(classed, "w").withColumn("h", F.xxhash64("word"))
     return lexicon, {
-        "total": int(total), "distinct": int(distinct), "end": end, "move": np.log10(np.maximum(move, 1e-300)),
-        "unseen": np.log10(move @ lent), "size": sizes_of, "once": np.full(n_groups, n_kinds),
-        "group": np.zeros(n_kinds + 1, np.int64),
+        "total": int(total), "distinct": int(distinct), "move": np.log10(np.maximum(move, 1e-300)),
+        "unseen": np.log10(move @ lent), "size": sizes_of,
     }
 
 
-def _last_head(is_head: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Position of the last head word at or before each position of the same text, else -1."""
-    at = np.maximum.accumulate(np.where(is_head, np.arange(len(is_head)), -1))
-    first = np.repeat(offsets[:-1], np.diff(offsets))
-    return np.where(at >= first, at, -1)
-
-
 def score(docs: DataFrame, lexicon: DataFrame, facts: dict, *keep: str, text: str = "text", **sizes: int) -> DataFrame:
     """``(*keep, n_tokens, n_known, base_score, score)`` of every row."""
-    kinds = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
-    shared = docs.sparkSession.sparkContext.broadcast(facts)
+    names = [f"__k{i}" for i in range(len(keep))]
+    rows = as_bytes(docs, *[F.col(k).alias(n) for k, n in zip(keep, names)], text=text)
+    return score_blocks(numbered(rows, tokens, names, **sizes), lexicon, facts, *names).withColumnsRenamed(dict(zip(names, keep)))
+
 
-    def judge(piece, entries, offsets, lex: Lexicon):
+def score_blocks(held: DataFrame, lexicon: DataFrame, facts: dict, *keep: str) -> DataFrame:
+    """``score`` of the documents of a table of blocks."""
+    kinds = [f"`{k}` {held.schema[k].dataType.simpleString()}" for k in keep]
+    known = words_of(held).select("block", "number", "word").join(lexicon.select("word", "class", "n"), "word").select(
+        "block", "number", "class", "n")
+    shared = held.sparkSession.sparkContext.broadcast(facts)
+
+    def judge(left: pa.Table, words: pa.Table) -> pa.Table:
         f = shared.value
-        known = entries >= 0
-        pairs = lex.view("<i4")[0].reshape(-1, 2)
-        if len(pairs):
-            code, n = pairs[entries, 0].astype(np.int64), np.where(known, pairs[entries, 1], 0).astype(np.float64)
-        else:
-            code, n = np.zeros(len(entries), np.int64), np.zeros(len(entries))
-        base = np.log10((n + 1) / (f["total"] + f["distinct"] + 1))
-        code = np.where(known, code, len(f["size"]) - 1)
-        before = np.roll(code, 1)
-        before[offsets[:-1]] = code[offsets[1:] - 1]
-        kept = np.where(n == 1, 1 - UNSEEN, 1.0)
-        spoken = f["move"][before, code] + np.log10(kept * np.maximum(n, 1) / np.maximum(f["size"][code], 1))
-        spoken = np.where(known, spoken, f["unseen"][before])
-        sums = lambda x: np.add.reduceat(x, offsets[:-1]) if len(offsets) > 1 else x[:0]
-        return pa.record_batch(
-            [*(piece.column(k) for k in keep), pa.array(np.diff(offsets)),
-             pa.array(sums(known.astype(np.int64))), pa.array(sums(base)), pa.array(sums(spoken))],
-            [*keep, "n_tokens", "n_known", "base_score", "score"])
+        out = []
+        for batch in left.combine_chunks().to_batches():
+            for piece in slices(batch, "ids", PACKED_BYTES):
+                entries, offsets = ragged(piece.column("ids"))
+                size = width(words, entries)
+                code = by_number(words, "class", size, -1).astype(np.int64)[entries]
+                n = by_number(words, "n", size, 0)[entries].astype(np.float64)
+                known = code >= 0
+                base = np.log10((n + 1) / (f["total"] + f["distinct"] + 1))
+                code = np.where(known, code, len(f["size"]) - 1)
+                before = np.roll(code, 1)
+                before[offsets[:-1]] = code[offsets[1:] - 1]
+                kept = np.where(n == 1, 1 - UNSEEN, 1.0)
+                spoken = f["move"][before, code] + np.log10(kept * np.maximum(n, 1) / np.maximum(f["size"][code], 1))
+                spoken = np.where(known, spoken, f["unseen"][before])
+                sums = lambda x: np.add.reduceat(x, offsets[:-1])
+                out.append(pa.record_batch(
+                    [*(piece.column(k) for k in keep), pa.array(np.diff(offsets)), pa.array(sums(known.astype(np.int64))),
+                     pa.array(sums(base)), pa.array(sums(spoken))],
+                    [*keep, "n_tokens", "n_known", "base_score", "score"]))
+        empty = pa.schema([*(left.schema.field(k) for k in keep), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                           ("base_score", pa.float64()), ("score", pa.float64())])
+        return pa.Table.from_batches(out, out[0].schema if out else empty)
 
     schema = ", ".join([*kinds, "n_tokens long, n_known long, base_score double, score double"])
-    return attach(as_bytes(docs, *keep, text=text), lexicon, tokens, judge, schema, **sizes)
+    return meet(documents_of(held, *keep), known, judge, schema)
 
 
 def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, **sizes: int) -> DataFrame:
-    """Train on documents whose remainder is not ``held`` and score all."""
+    """Train on documents whose remainder is not ``held`` and score all; texts are split once."""
     rest = remainder(F.col("doc_id"), modulus)
-    training = as_bytes(docs.filter(rest != held)).select("text")
+    rows = as_bytes(docs, "doc_id", F.coalesce(rest == held, F.lit(False)).alias("held_out"),
+                    F.coalesce(rest != held, F.lit(False)).alias("learn"))
+    blocks = numbered(rows, tokens, ["doc_id", "held_out"], "learn", **sizes)
     with short_lived_shuffles(docs.sparkSession):
-        lexicon, facts = train(training, **sizes)
-    marked = docs.select("doc_id", F.coalesce(rest == held, F.lit(False)).alias("held_out"), "text")
-    scored = score(marked, lexicon, facts, "doc_id", "held_out", **sizes)
+        lexicon, facts = train_blocks(blocks)
+    scored = score_blocks(blocks, lexicon, facts, "doc_id", "held_out")
     return scored.withColumn("train_tokens", F.lit(facts["total"]).cast("bigint"))

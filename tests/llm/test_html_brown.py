@@ -2,10 +2,13 @@
 
 import collections
 import math
+import random
 
 import corpora
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from corpusprep.llm import brown_lm, html_extract
@@ -79,11 +82,15 @@ def test_extract(spark):
     assert html_extract.extract(pages.limit(0), "page_id").collect() == []
 
 
+def hashes_of(words, n):
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, n).view(np.int64)
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), b"\n"]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": -1, "block_bytes": 4096}])
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 4096}])
 def test_base_scores(spark, sizes):
     import zlib
 
@@ -103,11 +110,11 @@ def test_base_scores(spark, sizes):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
-def test_both_joins_score_alike(spark):
+def test_small_blocks_score_alike(spark):
     docs = corpora.hard(spark)
     one, two = (
         sorted((str(r["doc_id"]), round(r["score"], 6)) for r in brown_lm.score_documents(docs, **s).collect())
-        for s in ({}, {"broadcast_bytes": -1, "block_bytes": 4096}))
+        for s in ({}, {"block_bytes": 4096}))
     assert one == two
 
 
@@ -115,19 +122,19 @@ def test_probabilities_sum_to_one(spark):
     docs = corpora.table(spark, ["a b c a b", "b c a d", "a a e f", "c b a"] * 3, clash=False)
     lexicon, facts = brown_lm.train(docs.select(F.col("text").cast("binary").alias("text")), head=3, classes=2, groups=2)
     words = {r["h"]: r for r in lexicon.collect()}
-    names = {int(h): w for w, h in ((w, brown_lm.hashes_of([w], 1)[0]) for w in (b"a", b"b", b"c", b"d", b"e", b"f", b"\n"))}
+    names = {int(h): w for w, h in ((w, hashes_of([w], 1)[0]) for w in (b"a", b"b", b"c", b"d", b"e", b"f", b"\n"))}
     assert set(words) <= set(names)
     # After an end token: all known words and the unseen one.
     vocabulary = [*(w for w in names.values() if w != b"\n"), b"unseen"]
     rows = spark.createDataFrame([(w.decode(),) for w in vocabulary] + [("",)], "text string")
     rows = rows.withColumn("t", F.col("text"))
     got = {r["t"]: r["score"] for r in brown_lm.score(rows, lexicon, facts, "t").collect()}
-    move, end = facts["move"], facts["end"]
+    move, end = facts["move"], int(hashes_of([b"\n"], 1)[0])
     end_class = words[end]["class"]
     total = 0.0
     for w in vocabulary:
-        row = words.get(int(brown_lm.hashes_of([w], 1)[0]))
-        code = row["class"] if row else facts["once"][facts["group"][end_class]]
+        row = words.get(int(hashes_of([w], 1)[0]))
+        code = row["class"] if row else len(facts["size"]) - 1
         closing = got[w.decode()] - (move[code, end_class] + math.log10(words[end]["n"] / facts["size"][end_class]))
         total += 10 ** closing
     total += 10 ** got[""]
@@ -177,29 +184,89 @@ def test_gains_are_exact():
             assert abs(got[w, b] - got[w, of[w]] - (brown_lm.likelihood(table(moved)) - now)) < 1e-6
 
 
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": -1, "block_bytes": 4096}])
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 4096}])
 def test_rare_words_are_exchanged(spark, sizes):
     # Rare words of two kinds with equal counts and the same word before: what follows tells them apart.
     texts = [f"the x{i} ran" for i in range(40)] * 2 + [f"the y{i} blue" for i in range(40)] * 2
     docs = corpora.table(spark, texts, clash=False).select(F.col("text").cast("binary").alias("text"))
     lexicon, _ = brown_lm.train(docs, head=3, classes=3, groups=2, **sizes)
     of = {r["h"]: r["class"] for r in lexicon.collect()}
-    kind = lambda k: {of[int(h)] for h in brown_lm.hashes_of([f"{k}{i}".encode() for i in range(40)], 40)}
+    kind = lambda k: {of[int(h)] for h in hashes_of([f"{k}{i}".encode() for i in range(40)], 40)}
     assert len(kind("x")) == 1 and len(kind("y")) == 1 and kind("x") != kind("y")
     start, _ = brown_lm.train(docs, head=3, classes=3, groups=2, turns=0, **sizes)
     of = {r["h"]: r["class"] for r in start.collect()}
     assert kind("x") == kind("y")
 
 
+@pytest.mark.parametrize("parts, words", [(64, 50_000), (2, 5)])
+def test_score_against_a_plain_class_model(spark, monkeypatch, parts, words):
+    """Classes as trained; everything else counted and added up in plain Python."""
+    monkeypatch.setattr(brown_lm, "PARTS", parts)
+    monkeypatch.setattr(brown_lm, "BUCKET_WORDS", words)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(rng.randrange(30))) for _ in range(60)]
+    docs = corpora.table(spark, texts, clash=False)
+    learn = docs.filter("doc_id < 40").select(F.col("text").cast("binary").alias("text"))
+    lexicon, facts = brown_lm.train(learn, head=4, classes=3, groups=2, block_bytes=600)
+    of = {bytes(r["word"]): (r["class"], r["n"]) for r in lexicon.collect()}
+    seqs = [tokens(t) for t in texts]
+    counts = collections.Counter(w for s in seqs[:40] for w in s)
+    assert {w: n for w, (_, n) in of.items()} == counts
+    kinds = 1 + max(c for c, _ in of.values())
+    table, size, once = np.zeros((kinds, kinds)), np.zeros(kinds), np.zeros(kinds)
+    for s in seqs[:40]:
+        for a, b in zip([s[-1], *s], s):
+            table[of[a][0], of[b][0]] += 1
+    for c, n in of.values():
+        size[c] += n
+        once[c] += n == 1
+    share = size / size.sum()
+    move = (table + brown_lm.PRIOR * share) / (table.sum(1)[:, None] + brown_lm.PRIOR)
+    after_unseen = once @ move / once.sum() if once.sum() else share
+    lent = brown_lm.UNSEEN * once / size
+
+    def plain(s):
+        total = 0.0
+        for a, b in zip([s[-1], *s], s):
+            row = move[of[a][0]] if a in of else after_unseen
+            if b in of:
+                c, n = of[b]
+                total += math.log10(row[c]) + math.log10((0.5 if n == 1 else 1.0) * n / size[c])
+            else:
+                total += math.log10(row @ lent)
+        return total
+
+    got = {r["doc_id"]: r["score"] for r in brown_lm.score(docs, lexicon, facts, "doc_id", block_bytes=500).collect()}
+    if once.sum():
+        for i, s in enumerate(seqs):
+            assert abs(got[i] - plain(s)) < 1e-9
+
+
+def test_exchange_does_not_depend_on_blocks(spark):
+    texts = [f"the x{i} ran" for i in range(40)] * 2 + [f"the y{i} blue" for i in range(40)] * 2
+    docs = corpora.table(spark, texts, clash=False).select(F.col("text").cast("binary").alias("text"))
+    one, two = (
+        {bytes(r["word"]): r["class"] for r in brown_lm.train(docs, head=3, classes=3, groups=2, **s)[0].collect()}
+        for s in ({}, {"block_words": 7}))
+    assert one == two
+
+
+@pytest.mark.parametrize("values", [[], [0], [1, 255], [256, 0, 65536], [2**40, 7], list(range(1000))])
+def test_packed_numbers(values):
+    from corpusprep.llm import blocks
+
+    assert blocks.unpack(blocks.pack(np.array(values, np.int64))).tolist() == values
+
+
 def test_copies_are_spread(spark):
-    from corpusprep.llm import lexicon
+    from corpusprep.llm import blocks
 
     docs = corpora.table(spark, ["one and the same text " * 20] * 400 + [None] * 50, clash=False).select(
         F.col("text").cast("binary").alias("text"))
-    placed = lexicon.in_blocks(docs, 4096)
-    held = [r["b"] for r in placed.groupBy("__block").agg(F.sum(F.octet_length("text")).alias("b")).collect()]
-    assert placed.count() == 450 and max(b or 0 for b in held) <= 4096
-    counted = lexicon.attach(
-        docs, spark.createDataFrame([], "h long, payload binary"), bytes.split,
-        lambda piece, entries, offsets, lex: piece.select(["text"]), "text binary", broadcast_bytes=-1, block_bytes=4096)
-    assert counted.count() == 450
+    held = blocks.numbered(docs, bytes.split, block_bytes=4096)
+    rows = blocks.documents_of(held)
+    sizes = [r["b"] for r in rows.groupBy("block").agg(F.sum(F.octet_length("ids")).alias("b")).collect()]
+    assert rows.count() == 450 and len(sizes) >= 40 and max(sizes) <= 4096
+    numbers, _ = blocks.ragged(pa.array([bytes(r["ids"]) for r in rows.collect()]))
+    assert len(numbers) == 400 * 100 and set(numbers.tolist()) == set(range(5))
+    assert blocks.words_of(held).select("word").distinct().count() == 5
