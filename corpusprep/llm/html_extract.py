@@ -2,13 +2,19 @@
 
 A page is read once into blocks that end at block-level tags. A block has its word count and
 link density, those of the blocks before and after it, and two signs of its place: whether it
-lies in an article (unknown on pages without one that is not itself set aside), and whether it lies in an element whose
-name, role, class or id marks menus, headers, footers, sidebars, notices, adverts, forms or
-reader comments. The tree is trained on the labelled table ``LABELLED``.
+lies in an article (unknown on pages without one), and whether it is set aside. For a block of an
+article only blocks of articles are neighbours. The tree is trained on the table ``LABELLED``.
+
+An element sets its text aside by its name or role (menus, footers, sidebars, forms; a header
+outside of articles), or because it is hidden. Words in its class or id are a weaker sign: they
+count unless the element holds ``WHOLE`` of the words of its article, or of a page it leaves
+little of; then the word names the text, and nothing is set aside by it. Words for reader comments
+count up to ``ALL`` of them. An article that is set aside is no article of the page.
 
 Cases: NULL and empty pages give the empty text; markup that is never closed ends with its
-page; white space alone makes no block; repeated rows give repeated results; an empty table
-gives an empty result; columns other than the named ones are dropped.
+page; white space alone makes no block; repeated rows give repeated results; very long pages are
+read in one pass like others; an empty table gives an empty result; columns other than the named
+ones are dropped; ties in the tree go to the earlier feature and limit.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ SKIPPED = frozenset("script style template noscript iframe audio video annotatio
 # Their text runs to the end of the page if they stay open.
 RAW = frozenset("script style iframe".split())
 FORMS = frozenset("form button select textarea input label fieldset datalist option".split())
+# Of these, a label may also stand in a text.
+LABEL = "label"
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rb rp rt s samp "
     "small span strike strong sub sup time tt u var wbr nobr picture source object canvas "
@@ -47,6 +55,8 @@ MARKS = re.compile(
     r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|copyright|disclaimer|search|form)(?:$|[\s_-])")
 # Class words of a layout name what a page has beside the element.
 LAYOUT = re.compile(r"(?i)(?:(?<=[\s_-])|^)(?:has|no|with|without)[_-]\S*")
+READERS = re.compile(r"(?i)(?:^|[\s_-])(?:comments?|commentlist|repl(?:y|ies)|disqus|respond)(?:$|[\s_-])")
+WHOLE, ALL, FEW_WORDS = 0.5, 0.95, 20
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 _TOKEN = re.compile(
@@ -60,41 +70,92 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(text)}
 
 
-def _set_aside(name: str, attributes: str) -> bool:
-    if name in ASIDE:
-        return True
-    if not attributes.strip():
-        return False
-    found = _attributes(attributes)
-    style = found.get("style", "").replace(" ", "").lower()
+def _hidden(attributes: dict[str, str]) -> bool:
+    style = attributes.get("style", "").replace(" ", "").lower()
     return (
-        "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
-        or found.get("role", "").lower() in ROLES
-        or any(MARKS.search(LAYOUT.sub("", found.get(key, ""))) for key in ("class", "id")))
+        "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style
+        or attributes.get("role", "").lower() in ROLES)
+
+
+class Main:
+    """An article: its words, and the marks of itself and of what it lies in."""
+
+    __slots__ = ("marks", "words")
+
+    def __init__(self, marks: tuple):
+        self.marks, self.words = marks, 0
+
+
+class Mark:
+    """An element whose class or id has a word for what is not main text."""
+
+    __slots__ = ("limit", "scope", "words", "holds_main")
+
+    def __init__(self, readers: bool, scope: Main | None):
+        self.limit, self.scope = ALL if readers else WHOLE, scope
+        self.words, self.holds_main = 0, False
 
 
 class Block:
-    __slots__ = ("text", "words", "links", "main", "aside")
+    __slots__ = ("text", "words", "links", "mains", "marks", "main", "aside")
 
-    def __init__(self, text: str, linked: int, main: bool, aside: bool):
-        self.text, self.main, self.aside = text, main, aside
+    def __init__(self, text: str, linked: int, aside: bool, marks: tuple[Mark, ...], mains: tuple[Main, ...]):
+        self.text, self.aside, self.marks, self.mains = text, aside, marks, mains
+        self.main = False
         self.words = len(text.split(" "))
         self.links = min(1.0, linked / max(1, len(text)))
 
 
+class Element:
+    __slots__ = ("name", "aside", "mark", "main")
+
+    def __init__(self, name: str, aside: bool, mark: Mark | None, main: Main | None):
+        self.name, self.aside, self.mark, self.main = name, aside, mark, main
+
+
+def placed(found: list[Block]) -> bool:
+    """Decide which marks count, and with them where blocks lie; whether the page has an article."""
+    whole = 0
+    for block in found:
+        if block.aside:
+            continue
+        whole += block.words
+        for part in (*block.marks, *block.mains):
+            part.words += block.words
+    counts: dict[int, bool] = {}
+
+    def sets_aside(mark: Mark) -> bool:
+        if id(mark) not in counts:
+            scope = mark.scope.words if mark.scope else whole
+            small = mark.scope is None and not mark.holds_main and mark.words < FEW_WORDS
+            counts[id(mark)] = small or mark.words < mark.limit * scope or not mark.words
+        return counts[id(mark)]
+
+    has_main = False
+    for block in found:
+        block.main = any(not any(map(sets_aside, m.marks)) for m in block.mains)
+        block.aside = block.aside or any(map(sets_aside, block.marks))
+        has_main |= block.main
+    return has_main
+
+
 def blocks(page: str) -> tuple[list[Block], bool]:
     """The text blocks of a page in order, and whether it has an article."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[Element] = []
     buffer: list[str] = []
-    linked, in_link, has_main, in_svg, p_aside = 0, False, False, False, False
+    linked, in_link, in_svg, in_form = 0, False, False, 0
+    paragraph = Element("p", False, None, None)
 
     def close_block() -> None:
         nonlocal linked
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                out.append(Block(text, linked, any(s[1] for s in stack), p_aside or any(s[2] for s in stack)))
+                around = [*stack, paragraph]
+                out.append(Block(
+                    text, linked, any(e.aside for e in around), tuple(e.mark for e in around if e.mark),
+                    tuple(e.main for e in around if e.main)))
             buffer.clear()
         linked = 0
 
@@ -106,6 +167,24 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             if in_link:
                 linked += len(text.strip())
 
+    def opened(name: str, attributes: str) -> Element:
+        """What an element says about its text."""
+        mains = [e.main for e in stack if e.main]
+        aside = name in ASIDE and not (name == "header" and mains)
+        mark = None
+        if attributes.strip() and not aside:
+            found = _attributes(attributes)
+            aside = _hidden(found)
+            named = [LAYOUT.sub("", found.get(key, "")) for key in ("class", "id")]
+            if not aside and any(map(MARKS.search, named)):
+                mark = Mark(any(map(READERS.search, named)), mains[-1] if mains else None)
+        main = None
+        if name in MAIN and not aside and not any(e.aside for e in stack):
+            main = Main(tuple(m for m in (*(e.mark for e in stack), mark) if m))
+            for m in main.marks:
+                m.holds_main |= m is not mark
+        return Element(name, aside, mark, main)
+
     at = 0
     while True:
         m = _TOKEN.search(page, at)
@@ -118,7 +197,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             continue
         name, closing = m[2].lower(), bool(m[1])
         unseen = name in SKIPPED or in_svg and name in ("title", "desc", "metadata") or (
-            name == "svg" and _set_aside(name, m[3]))
+            name == "svg" and _hidden(_attributes(m[3])))
         if unseen and not closing and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page) if name in RAW else at
@@ -128,7 +207,9 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         in_svg = name in INLINE and (not closing if name == "svg" else in_svg)
         if name == "a":
             in_link = not closing
-        if name in ("br", "img", "wbr"):
+        if name == "form":
+            in_form = max(0, in_form + (-1 if closing else 1))
+        if name in ("br", "img", "wbr") or name == LABEL and not in_form:
             buffer.append(" " if name == "br" else "")
             continue
         if name == "text":
@@ -136,34 +217,31 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if name in INLINE and name not in FORMS:
             # Marked inline elements set their text aside as a block of their own.
             if closing:
-                if any(s[0] == name for s in stack):
+                if any(e.name == name for e in stack):
                     close_block()
                     _pop(stack, name)
                 continue
-            if name == "a" or not _set_aside(name, m[3]):
+            element = None if name == "a" else opened(name, m[3])
+            if element is None or not (element.aside or element.mark):
                 continue
         close_block()
         in_link = in_link and name == "a"
         if name not in INLINE and name not in FORMS:
             # A paragraph ends with the next block, closed or not.
-            p_aside = name == "p" and not closing and _set_aside(name, m[3])
+            paragraph = opened("p", m[3]) if name == "p" and not closing else Element("p", False, None, None)
         if closing:
             _pop(stack, name)
         elif name == "body":
             _pop(stack, "head")
         elif name not in VOID and name != "p" and not m[3].rstrip().endswith("/"):
-            aside = _set_aside(name, m[3])
-            # What is set aside is no article of the page.
-            main = name in MAIN and not aside and not any(s[2] for s in stack)
-            has_main |= main
-            stack.append((name, main, aside))
+            stack.append(opened(name, m[3]))
     close_block()
-    return out, has_main
+    return out, placed(out)
 
 
-def _pop(stack: list, name: str) -> None:
+def _pop(stack: list[Element], name: str) -> None:
     for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] == name:
+        if stack[i].name == name:
             del stack[i:]
             return
 
@@ -228,6 +306,30 @@ LABELLED = """
 6 80 55 0 5 95 2 0 0
 12 75 5 95 4 100 2 0 0
 20 85 12 75 3 100 2 0 0
+3 0 0 0 2 100 1 0 1
+2 100 3 0 60 0 1 0 1
+6 0 80 0 0 0 1 0 1
+1 0 40 0 2 100 1 0 1
+2 100 1 0 3 100 1 0 1
+3 100 2 100 2 100 1 0 1
+2 100 3 100 0 0 1 0 1
+9 60 2 100 4 100 1 0 1
+5 0 3 100 2 100 1 0 1
+4 0 0 0 2 100 2 0 1
+6 0 40 0 1 100 2 0 1
+7 0 60 0 0 0 2 0 1
+8 0 45 0 4 100 2 0 1
+3 0 1 100 30 0 2 0 1
+2 0 1 100 1 100 2 0 0
+3 0 2 100 2 100 2 0 0
+2 0 1 100 9 100 2 0 0
+1 100 1 100 20 0 2 0 0
+20 0 19 0 1 0 2 0 1
+15 0 20 0 0 0 2 0 1
+18 0 1 100 20 0 2 0 1
+19 0 0 0 0 0 2 0 1
+24 0 30 0 2 100 2 0 1
+5 100 2 100 90 0 2 0 0
 30 90 2 100 2 100 2 0 0
 """.strip()
 
@@ -271,9 +373,14 @@ def _tree() -> Node:
 
 def features(found: Sequence[Block], has_main: bool) -> np.ndarray:
     own = np.array([[b.words, 100 * b.links] for b in found])
+    main = np.array([b.main for b in found])
     around = np.vstack([np.zeros((1, 2)), own, np.zeros((1, 2))])
+    inside = np.concatenate([[False], main, [False]])
+    # What lies outside of articles is no neighbour of what lies in them.
+    before = np.where((main & ~inside[:-2])[:, None], 0, around[:-2])
+    after = np.where((main & ~inside[2:])[:, None], 0, around[2:])
     place = np.array([[(1 if b.main else 0) if has_main else 2, b.aside] for b in found], dtype=np.float64)
-    return np.hstack([own, around[:-2], around[2:], place])
+    return np.hstack([own, before, after, place])
 
 
 def main_text(page: str, tree: Node | None = None) -> str:
