@@ -1,14 +1,15 @@
 """Texts as numbers of words, block by block.
 
 Each task splits its texts once, in the order they come, and numbers the distinct words of a
-block of bounded text size and vocabulary, frequent words first. A document then is the packed
-numbers of its words in its block, and a block has a table of its words. Both are written; a text
-is split no second time.
-
-What is known about words, whatever their number, meets the blocks' tables in a join on the word
-itself, in which a word has one row per block. The answers come back per block as arrays by
-number, and meet the block's documents there. Nothing about the whole vocabulary is collected or
-broadcast, and the way is the same at every size. Copies of a text are spread like any others.
+block of bounded text size and vocabulary, frequent words first. What a block holds is packed and
+written: its documents as numbers, and its words, dealt into buckets by a hash of the word. A text is
+split no second time.
+
+What is to be known about words, whatever their number, is found out bucket by bucket: there all
+blocks' rows of a word meet, one per block. The answers go back to the blocks, packed, and meet the
+documents there. So what moves are few rows of packed arrays; nothing about the whole vocabulary is
+collected or broadcast, and the way is the same at every size. Copies of a text are spread like any
+others.
 """
 
 from __future__ import annotations
@@ -18,18 +19,20 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import SLICE_BYTES, Rows, slices, spans_of, texts
+from corpusprep.operators.lookup import estimated_bytes
 from corpusprep.session import materialise
 
 BLOCK_BYTES = 24 << 20
 BLOCK_WORDS = 400_000
-PACKED_BYTES = 1 << 20
+BUCKET_BYTES = 12 << 20
+MOST_BUCKETS = 8192
 ROW_BYTES = 64
-CHUNK = 4096
 
 Split = Callable[[bytes], list]
 
@@ -53,10 +56,17 @@ def unpack(blob: bytes | None) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def ragged(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of packed lists end to end, and offsets."""
-    values = [unpack(v) for v in lists.to_pylist()]
-    return np.concatenate([np.empty(0, np.int64), *values]), spans_of(list(map(len, values)))
+def pack_words(words: list[bytes]) -> bytes:
+    """Words end to end and their lengths, compressed."""
+    lengths = pack(np.fromiter(map(len, words), np.int64, len(words)))
+    return len(lengths).to_bytes(8, "little") + lengths + zstandard.ZstdCompressor(level=1).compress(b"".join(words))
+
+
+def unpack_words(blob: bytes) -> list[bytes]:
+    stop = 8 + int.from_bytes(blob[:8], "little")
+    ends = np.cumsum(unpack(blob[8:stop])).tolist()
+    whole = zstandard.ZstdDecompressor().decompress(blob[stop:])
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class Block:
@@ -116,25 +126,32 @@ def neighbours(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return join(before), join([p[1] for p in parts]), join([p[2] for p in parts])
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """As many buckets of words as the size of the texts asks for."""
+    return int(min(MOST_BUCKETS, 2 + estimated_bytes(docs) // BUCKET_BYTES))
+
+
 def numbered(
-    docs: DataFrame, split: Split, keep: Sequence[str] = (), learn: str | None = None,
+    docs: DataFrame, split: Split, keep: Sequence[str] = (), learn: str | None = None, buckets: int | None = None,
     block_bytes: int | None = None, block_words: int | None = None,
 ) -> DataFrame:
     """The documents, words and neighbours of blocks, written as one table.
 
-    ``docs`` has the text as bytes in ``text``. Rows with ``ids`` are documents with the columns
-    to ``keep``; rows with ``words`` are up to ``CHUNK`` words of a block from number ``first`` on,
-    with their counts ``n`` in the texts whose column ``learn`` is true; rows with ``pair`` are the
-    neighbours in those texts, as three arrays.
+    ``docs`` has the text as bytes in ``text``. Rows with ``ids`` are documents, some per row: ``ids`` are
+    the numbers of their words end to end, ``sizes`` how many each has, and the columns to ``keep`` are
+    arrays. Rows with ``words`` are the words of a block in a bucket, sorted, with their ``numbers`` and, in
+    ``n``, their counts in the texts whose column ``learn`` is true. Rows with ``pair`` are the
+    neighbours in those texts.
     """
     most, widest = block_bytes or BLOCK_BYTES, block_words or BLOCK_WORDS
+    n_buckets = buckets or buckets_for(docs)
     kept = [docs.schema[k] for k in keep]
     schema = ", ".join([
-        "block long", *[f"`{f.name}` {f.dataType.simpleString()}" for f in kept],
-        "ids binary", "first int", "words array<binary>", "n array<bigint>", "pair array<binary>"])
-    names = ["block", *keep, "ids", "first", "words", "n", "pair"]
-    others = {"ids": pa.binary(), "first": pa.int32(), "words": pa.list_(pa.binary()), "n": pa.list_(pa.int64()),
-              "pair": pa.list_(pa.binary())}
+        "block long", *[f"`{f.name}` array<{f.dataType.simpleString()}>" for f in kept],
+        "sizes binary", "ids binary", "bucket int", "words binary", "numbers binary", "n binary", "pair array<binary>"])
+    others = {"sizes": pa.binary(), "ids": pa.binary(), "bucket": pa.int32(), "words": pa.binary(),
+              "numbers": pa.binary(), "n": pa.binary(), "pair": pa.list_(pa.binary())}
+    names = ["block", *keep, *others]
 
     def run(batches: Rows) -> Rows:
         from pyspark import TaskContext
@@ -142,23 +159,26 @@ def numbered(
         number, block = TaskContext.get().partitionId() << 32, Block()
         types: list = []
 
-        def row(count: int, **given) -> pa.RecordBatch:
-            columns = [pa.array([number] * count, pa.int64())]
-            columns += [given[k] if k in given else pa.nulls(count, t) for k, t in zip(keep, types)]
-            columns += [given[k] if k in given else pa.nulls(count, t) for k, t in others.items()]
+        def row(**given) -> pa.RecordBatch:
+            columns = [pa.array([number], pa.int64())]
+            columns += [given.get(k, pa.nulls(1, pa.list_(t))) for k, t in zip(keep, types)]
+            columns += [pa.array([given.get(k)], t) for k, t in others.items()]
             return pa.record_batch(columns, names)
 
         def closed() -> Rows:
             words = [w.encode() if isinstance(w, str) else w for w in block.by_frequency()]
             for piece, ids, offsets in block.pieces:
-                values = [pack(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-                yield row(piece.num_rows, ids=pa.array(values, pa.binary()), **{k: piece.column(k) for k in keep})
-            n = block.counts().tolist()
-            for a in range(0, len(words), CHUNK):
-                yield row(1, first=pa.array([a], pa.int32()), words=pa.array([words[a:a + CHUNK]], others["words"]),
-                          n=pa.array([n[a:a + CHUNK]], others["n"]))
+                lists = {k: pa.ListArray.from_arrays(pa.array([0, piece.num_rows], pa.int32()), piece.column(k)) for k in keep}
+                yield row(sizes=pack(np.diff(offsets)), ids=pack(ids), **lists)
+            n = block.counts()
+            place = np.fromiter((xxhash.xxh64_intdigest(w) % n_buckets for w in words), np.int64, len(words))
+            order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+            order = order[np.argsort(place[order], kind="stable")]
+            there, first = np.unique(place[order], return_index=True)
+            for at, some in zip(there.tolist(), np.split(order, first[1:]) if len(there) else []):
+                yield row(bucket=at, words=pack_words([words[i] for i in some.tolist()]), numbers=pack(some), n=pack(n[some]))
             if block.learned:
-                yield row(1, pair=pa.array([block.pairs()], others["pair"]))
+                yield row(pair=block.pairs())
 
         for batch in batches:
             types = [batch.schema.field(k).type for k in keep]
@@ -184,41 +204,46 @@ def numbered(
 
 
 def documents_of(blocks: DataFrame, *keep: str) -> DataFrame:
-    return blocks.filter(F.col("ids").isNotNull()).select("block", *keep, "ids")
+    return blocks.filter(F.col("sizes").isNotNull()).select("block", *keep, "sizes", "ids")
 
 
 def words_of(blocks: DataFrame) -> DataFrame:
-    """``(block, number, word, n)``: the words of every block."""
-    entries = F.arrays_zip("words", "n")
-    return blocks.filter(F.col("words").isNotNull()).select("block", "first", F.posexplode(entries).alias("i", "e")).select(
-        "block", (F.col("first") + F.col("i")).alias("number"), F.col("e.words").alias("word"), F.col("e.n").alias("n"))
+    """``(bucket, block, words, numbers, n)``: the words of every block, packed."""
+    return blocks.filter(F.col("words").isNotNull()).select("bucket", "block", "words", "numbers", "n")
 
 
 def pairs_of(blocks: DataFrame) -> DataFrame:
     return blocks.filter(F.col("pair").isNotNull()).select("block", "pair")
 
 
+def pieces_of(left: pa.Table, keep: Sequence[str]):
+    """The documents of a block, some at a time: columns to keep, numbers end to end, and offsets."""
+    for batch in left.combine_chunks().to_batches():
+        for i in range(batch.num_rows):
+            columns = [batch.column(k).slice(i, 1).flatten() for k in keep]
+            offsets = spans_of(unpack(batch.column("sizes")[i].as_py()))
+            yield columns, unpack(batch.column("ids")[i].as_py()), offsets
+
+
 Meet = Callable[[pa.Table, pa.Table], pa.Table]
 
 
-def meet(left: DataFrame, words: DataFrame, fn: Meet, schema: str) -> DataFrame:
-    """``fn`` of a block's rows and of what is known about its words."""
+def meet(left: DataFrame, right: DataFrame, on: str, fn: Meet, schema: str) -> DataFrame:
+    """``fn`` of the rows of both sides for a block or a bucket."""
     # Both sides may come from one table, whose columns would be the same.
-    words = words.select(*[F.col(c).alias(c) for c in words.columns])
-    return left.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(fn, schema)
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    return left.groupBy(on).cogroup(right.groupBy(on)).applyInArrow(fn, schema)
 
 
-def by_number(words: pa.Table, column: str, size: int, missing) -> np.ndarray:
-    """What is known about the words of a block, in an array by number."""
-    values = words.column(column).to_numpy()
-    out = np.full(size, missing, values.dtype if len(values) else np.int64)
-    out[words.column("number").to_numpy()] = values
+def by_number(known: pa.Table, column: str, size: int, missing: int) -> np.ndarray:
+    """What is known about the words of a block, packed, in an array by number."""
+    out = np.full(size, missing, np.int64)
+    for numbers, values in zip(known.column("numbers").to_pylist(), known.column(column).to_pylist()):
+        out[unpack(numbers)] = unpack(values)
     return out
 
 
-def width(words: pa.Table, *arrays: np.ndarray) -> int:
+def width(known: pa.Table, *arrays: np.ndarray) -> int:
     """How many numbers a block has at least."""
-    known = words.column("number").to_numpy()
-    return 1 + int(max([known.max(initial=-1), *(int(a.max(initial=0)) for a in arrays)]))
-
-
+    most = [unpack(n).max(initial=-1) for n in known.column("numbers").to_pylist()]
+    return 1 + int(max([-1, *most, *(a.max(initial=0) for a in arrays)]))

@@ -1,8 +1,8 @@
 """BPE encoding through a table of distinct words, and decoding through a table of pieces.
 
-Texts are split once, into numbered words of blocks. The words of all blocks meet in Spark and
-each distinct word is encoded once; its ids go back to the blocks that have it, where they take
-the words' places. Decoding joins ids to the vocabulary's pieces by position; the table of
+Texts are split once, into numbered words of blocks. The words of all blocks meet in Spark, bucket
+by bucket, and each distinct word is encoded once; its ids go back to the blocks that have it, where
+they take the words' places. Decoding joins ids to the vocabulary's pieces by position; the table of
 pieces is bounded by the vocabulary. Words are told apart as such, not by a hash.
 
 Cases: a NULL text is the empty one and gives no ids; repeated rows give repeated results;
@@ -19,39 +19,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm.blocks import PACKED_BYTES, documents_of, meet, numbered, ragged, words_of
-from corpusprep.llm.bpe import Encoder, encoder
-from corpusprep.llm.common import Rows, as_bytes, gather, map_slices, slices, spans_of
-
-
-def id_kind(bpe: Encoder) -> str:
-    """The narrowest numbers that hold a vocabulary's ids."""
-    return "<u2" if len(bpe.pieces) <= 1 << 16 else "<u4"
+from corpusprep.llm.blocks import (
+    documents_of, meet, numbered, pack, pieces_of, unpack, unpack_words, width, words_of)
+from corpusprep.llm.bpe import encoder
+from corpusprep.llm.common import as_bytes, gather, map_slices, spans_of
 
 
 def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
-    """``(block, number, ids)``: the words of blocks, each distinct word encoded once.
+    """``(block, numbers, sizes, ids)``: the words of blocks, each distinct word encoded once.
 
-    All rows of a word meet in one task, a row for each block that has it.
+    A word is in one bucket, where all blocks' rows of it meet.
     """
-    placed = words.select("word", "block", "number").repartition("word").sortWithinPartitions("word")
-
-    def encode(batches: Rows) -> Rows:
-        last, ids = None, b""
-        for batch in batches:
-            held = batch.column("word").to_pylist()
-            fresh = [w for w, before in zip(held, [last, *held]) if w != before]
-            bpe = encoder(tokenizer)
-            new = iter(i.astype(id_kind(bpe)).tobytes() for i in bpe.encode([w.decode() for w in fresh]))
-            values = []
-            for w in held:
-                if w != last:
-                    last, ids = w, next(new)
-                values.append(ids)
-            yield pa.record_batch(
-                [batch.column("block"), batch.column("number"), pa.array(values, pa.binary())], ["block", "number", "ids"])
-
-    return placed.mapInArrow(encode, "block long, number int, ids binary")
+
+    def encode(table: pa.Table) -> pa.Table:
+        bpe = encoder(tokenizer)
+        lists = [unpack_words(w) for w in table.column("words").to_pylist()]
+        place = {w: i for i, w in enumerate(sorted(set().union(*lists)))}
+        coded = bpe.encode([w.decode() for w in place])
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat, starts = np.concatenate([np.empty(0, np.uint32), *coded]), spans_of(sizes)
+        out_sizes, out_ids = [], []
+        for held in lists:
+            at = np.fromiter(map(place.__getitem__, held), np.int64, len(held))
+            ids, n = gather(flat, starts, at)
+            out_sizes.append(pack(n))
+            out_ids.append(pack(ids))
+        return pa.table({"block": table.column("block"), "numbers": table.column("numbers"),
+                         "sizes": pa.array(out_sizes, pa.binary()), "ids": pa.array(out_ids, pa.binary())})
+
+    return words.select("bucket", "block", "words", "numbers").groupBy("bucket").applyInArrow(
+        encode, "block long, numbers binary, sizes binary, ids binary")
 
 
 def encode(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
@@ -61,22 +58,23 @@ def encode(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "te
     held = numbered(rows, lambda t: encoder(tokenizer).words(t.decode()), ["doc"], **sizes)
 
     def joined(left: pa.Table, words: pa.Table) -> pa.Table:
-        bpe = encoder(tokenizer)
-        order = np.argsort(words.column("number").to_numpy())
-        values = words.column("ids").combine_chunks().take(pa.array(order)).to_pylist()
-        flat, starts = np.frombuffer(b"".join(values), id_kind(bpe)), spans_of(list(map(len, values)))
-        starts //= flat.itemsize
+        numbers, lengths, coded = ([unpack(v) for v in words.column(c).to_pylist()] for c in ("numbers", "sizes", "ids"))
+        join = lambda parts: np.concatenate([np.empty(0, np.int64), *parts])
+        starts, flat = spans_of(join(lengths)), join(coded)
+        # Where the word with a number is among those that came back.
+        at = np.zeros(width(words), np.int64)
+        at[join(numbers)] = np.arange(len(starts) - 1)
         out = []
-        for batch in left.combine_chunks().to_batches():
-            for piece in slices(batch, "ids", PACKED_BYTES):
-                entries, offsets = ragged(piece.column("ids"))
-                ids, sizes_ = gather(flat, starts, entries)
-                ends, wide = spans_of(sizes_)[offsets], ids.astype("<u4")
-                spans = [wide[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                out.append(pa.record_batch([piece.column("doc"), pa.array(spans, pa.binary())], [doc, "ids"]))
-        return pa.Table.from_batches(out, out[0].schema if out else pa.schema([(doc, left.schema.field("doc").type), ("ids", pa.binary())]))
-
-    return meet(documents_of(held, "doc"), encoded_words(words_of(held), tokenizer), joined, f"`{doc}` {kind}, ids binary")
+        for (docs_,), entries, offsets in pieces_of(left, ["doc"]):
+            ids, n = gather(flat, starts, at[entries])
+            ends, wide = spans_of(n)[offsets], ids.astype("<u4")
+            spans = [wide[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            out.append(pa.record_batch([docs_, pa.array(spans, pa.binary())], [doc, "ids"]))
+        empty = pa.schema([(doc, left.schema.field("doc").type.value_type), ("ids", pa.binary())])
+        return pa.Table.from_batches(out, out[0].schema if out else empty)
+
+    return meet(documents_of(held, "doc"), encoded_words(words_of(held), tokenizer), "block", joined,
+                f"`{doc}` {kind}, ids binary")
 
 
 def _texts_of(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
