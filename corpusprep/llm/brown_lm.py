@@ -8,9 +8,9 @@ into ``CLASSES`` classes, and these classes' items again into ``GROUPS`` groups.
 starts in the class of its count's magnitude in the group of frequent words that most often
 stands right before it.
 
-Then all words are exchanged, in up to ``TURNS`` turns. A turn takes the classes of the words to
-the blocks that have them, by a join, and sums up the classes beside each word, in buckets of
-words; the bounded class-by-class table is broadcast. Each word's exact gain in likelihood, all
+Then all words are exchanged, in up to ``TURNS`` turns. A turn takes the classes of the words from
+their buckets to the blocks that have them, and the classes beside each word, summed up, from the
+blocks to the word's bucket; the bounded class-by-class table is broadcast. Each word's exact gain in likelihood, all
 other words staying, follows from these, and it moves to its best class. As words of a turn do
 not see each other's moves, a turn that lowers the likelihood is taken back, and half as many
 words are asked in the next one. Each turn's classes are written. Words and their classes are
@@ -36,8 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.llm.blocks import (
-    PACKED_BYTES, by_number, documents_of, meet, neighbours, numbered, pack, pairs_of, ragged, width, words_of)
-from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles, slices
+    buckets_for, by_number, documents_of, meet, neighbours, numbered, pack, pack_words, pairs_of, pieces_of, unpack,
+    unpack_words, width, words_of)
+from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles
 from corpusprep.session import materialise
 
 HEAD = 1000
@@ -47,7 +48,6 @@ BANDS = 40
 ROUNDS = 8
 TURNS = 3
 SLICE_WORDS = 4096
-BUCKET_WORDS = 50_000
 PARTS = 64
 SMALL = 16
 PRIOR = 20.0
@@ -112,25 +112,78 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     return of
 
 
-def _band(n):
-    """Magnitude of a count; words seen once have band 0."""
-    return F.least(F.floor(F.log2(n.cast("double"))), F.lit(BANDS - 1)).cast("int")
+def vocabulary(words: DataFrame) -> DataFrame:
+    """What buckets know of their words, written.
+
+    Rows without a block are the words a bucket has learned, by falling count and then by bytes:
+    ``words``, ``n``, and their ``total`` and ``distinct`` number. Rows with a block say for each of the
+    block's ``numbers`` which of these words it is, ``at``, from 1 on; 0 is none.
+    """
+
+    def index(table: pa.Table) -> pa.Table:
+        lists = [unpack_words(w) for w in table.column("words").to_pylist()]
+        place = {w: i for i, w in enumerate(sorted(set().union(*lists)))}
+        seats = [np.fromiter(map(place.__getitem__, held), np.int64, len(held)) for held in lists]
+        n = np.zeros(len(place), np.int64)
+        for seat, counts in zip(seats, table.column("n").to_pylist()):
+            n[seat] += unpack(counts)
+        order = np.argsort(-n, kind="stable")[:int((n > 0).sum())]
+        at = np.zeros(len(place), np.int64)
+        at[order] = np.arange(1, len(order) + 1)
+        names, rows = list(place), len(lists)
+        bucket = table.column("bucket")[0].as_py()
+        return pa.table({
+            "bucket": pa.array([bucket] * (rows + 1), pa.int32()),
+            "block": pa.array([None, *table.column("block").to_pylist()], pa.int64()),
+            "words": pa.array([pack_words([names[i] for i in order.tolist()]), *[None] * rows], pa.binary()),
+            "n": pa.array([pack(n[order]), *[None] * rows], pa.binary()),
+            "total": pa.array([int(n.sum()), *[None] * rows], pa.int64()),
+            "distinct": pa.array([len(order), *[None] * rows], pa.int64()),
+            "numbers": pa.array([None, *table.column("numbers").to_pylist()], pa.binary()),
+            "at": pa.array([None, *[pack(at[seat]) for seat in seats]], pa.binary())})
+
+    rows = words.groupBy("bucket").applyInArrow(index, (
+        "bucket int, block long, words binary, n binary, total long, distinct long, numbers binary, at binary"))
+    return materialise(rows, "vocabulary")
+
+
+def most_frequent(learned: DataFrame, head: int) -> list:
+    """``(bucket, at)`` of the end token, if there is any, and of the ``head`` most frequent other words."""
+
+    def first(batches):
+        for batch in batches:
+            for bucket, blob, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "words", "n"))):
+                words, counts = unpack_words(blob), unpack(n).tolist()
+                some = [i for i, w in enumerate(words) if i <= head or w == END]
+                yield pa.record_batch(
+                    [pa.array([bucket] * len(some), pa.int32()), pa.array(some, pa.int64()),
+                     pa.array([words[i] for i in some], pa.binary()), pa.array([counts[i] for i in some], pa.int64())],
+                    ["bucket", "at", "word", "n"])
+
+    rows = learned.select("bucket", "words", "n").mapInArrow(first, "bucket int, at long, word binary, n long")
+    is_end = F.col("word") == F.lit(bytearray(END))
+    found = rows.orderBy(is_end.desc(), F.desc("n"), "word").limit(head + 1).collect()
+    return [(r["bucket"], r["at"]) for r in found] if found and bytes(found[0]["word"]) == END else []
 
 
-def lexicon_of(words: DataFrame) -> DataFrame:
-    """``(w, word, n)`` of the words that were learned, numbered from 0 by falling count."""
-    counts = words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
-    placed = counts.repartitionByRange(F.desc("n"), "word").sortWithinPartitions(F.desc("n"), "word")
-    held = materialise(placed.withColumn("at", F.monotonically_increasing_id()), "lexicon")
-    # The written ids count within partitions; a partition begins where the one before ends.
-    part = F.shiftrightunsigned("at", 33)
-    sizes = {r["p"]: r["c"] for r in held.groupBy(part.alias("p")).agg(F.count("*").alias("c")).collect()}
-    starts, upto = [], 0
-    for p in range(1 + max(sizes, default=0)):
-        starts.append(upto)
-        upto += sizes.get(p, 0)
-    begin = F.element_at(F.array(*[F.lit(v).cast("bigint") for v in starts]), (part + 1).cast("int"))
-    return held.select((begin + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("w"), "word", "n")
+def classes_of(index: DataFrame, classed: DataFrame) -> DataFrame:
+    """``(block, bucket, numbers, at, class)``: the classes go to the blocks; 0 is none."""
+
+    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        of = np.concatenate([[0], *[unpack(c) for c in right.column("class").to_pylist()[:1]]])
+        found = [pack(of[unpack(at)]) for at in left.column("at").to_pylist()]
+        return pa.table({c: left.column(c) for c in ("block", "bucket", "numbers", "at")} | {"class": pa.array(found, pa.binary())})
+
+    return meet(index, classed.select("bucket", "class"), "bucket", look_up,
+                "block long, bucket int, numbers binary, at binary, class binary")
+
+
+def words_of_block(known: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class (-1: none), bucket and place there of a block's words, by number."""
+    bucket = np.zeros(size, np.int64)
+    for b, numbers in zip(known.column("bucket").to_pylist(), known.column("numbers").to_pylist()):
+        bucket[unpack(numbers)] = b
+    return by_number(known, "class", size, 0) - 1, bucket, by_number(known, "at", size, 0) - 1
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,70 +201,77 @@ def _pair_counts(pairs: DataFrame, known: DataFrame, kinds: int) -> np.ndarray:
 
     def count(left: pa.Table, words: pa.Table) -> pa.Table:
         a, b, n = neighbours(left.column("pair").to_pylist())
-        of = by_number(words, "class", width(words, a, b), -1).astype(np.int64)
+        of = by_number(words, "class", width(words, a, b), 0) - 1
         a, b = of[a], of[b]
         some = (a >= 0) & (b >= 0)
-        cell, n = _summed(a[some] * kinds + b[some], n[some])
-        return pa.table({"cell": pa.array(cell, pa.int64()), "n": pa.array(n, pa.int64())})
+        # Sums of whole numbers in doubles are exact far beyond a block.
+        sums = np.bincount(a[some] * kinds + b[some], n[some], kinds * kinds).astype(np.int64)
+        cell = np.flatnonzero(sums)
+        return pa.table({"cell": pa.array(cell, pa.int64()), "n": pa.array(sums[cell], pa.int64())})
 
-    rows = meet(pairs, known.select("block", "number", "class"), count, "cell long, n long")
+    rows = meet(pairs, known.select("block", "numbers", "class"), "block", count, "cell long, n long")
     got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(kinds * kinds, np.int64)
     out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(kinds, kinds)
 
 
-def _beside(pairs: DataFrame, known: DataFrame, kinds: int, buckets: int) -> DataFrame:
-    """How often which class stands beside each word: ``(bucket, part, word, code, n)``, packed.
+PACKED = "bucket int, part long, word binary, code binary, n binary"
 
-    Word ``w`` is number ``w // buckets`` of bucket ``w % buckets``. Code ``c`` is class ``c`` after the
-    word, ``kinds + c`` before it, and ``2 * kinds`` the word itself after it, which the others leave out.
-    """
-    codes = 2 * kinds + 1
 
-    def count(left: pa.Table, words: pa.Table) -> pa.Table:
-        a, b, n = neighbours(left.column("pair").to_pylist())
-        size = width(words, a, b)
-        of = by_number(words, "class", size, 0).astype(np.int64)
-        w = by_number(words, "w", size, 0)
-        same = a == b
-        keys, n = _summed(
-            np.concatenate([a * codes + np.where(same, 2 * kinds, of[b]), (b * codes + kinds + of[a])[~same]]),
-            np.concatenate([n, n[~same]]))
-        return packed(w[keys // codes], keys % codes, n, int(left.column("block")[0].as_py()) if left.num_rows else 0)
+def _to_buckets(left: pa.Table, bucket: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.Table:
+    """Counts of a block by word and code, packed for the words' buckets."""
+    order = np.argsort(bucket, kind="stable")
+    there, first = np.unique(bucket[order], return_index=True)
+    cut = lambda x: pa.array([pack(p) for p in np.split(x[order], first[1:])] if len(there) else [], pa.binary())
+    part = left.column("block")[0].as_py() if left.num_rows else 0
+    return pa.table({"bucket": pa.array(there, pa.int32()), "part": pa.array([part] * len(there), pa.int64()),
+                     "word": cut(word), "code": cut(code), "n": cut(n)})
 
-    def packed(w: np.ndarray, code: np.ndarray, n: np.ndarray, block: int) -> pa.Table:
-        order = np.argsort(w % buckets, kind="stable")
-        w, code, n = w[order], code[order], n[order]
-        there, first = np.unique(w % buckets, return_index=True)
-        cut = lambda x: [pack(p) for p in np.split(x, first[1:])] if len(there) else []
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    join = lambda c: np.concatenate([np.empty(0, np.int64), *map(unpack, table.column(c).to_pylist())])
+    return join("word"), join("code"), join("n")
+
+
+def _gathered(rows: DataFrame, pairs: DataFrame, codes: int) -> DataFrame:
+    """Packed counts, so summed up that a bucket takes in those of a bounded number of parts."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        word, code, n = _unpacked(table)
+        keys, n = _summed(word * codes + code, n)
         return pa.table({
-            "bucket": pa.array(there, pa.int64()), "part": pa.array([block] * len(there), pa.int64()),
-            "word": pa.array(cut(w // buckets), pa.binary()), "code": pa.array(cut(code), pa.binary()),
-            "n": pa.array(cut(n), pa.binary())})
+            "bucket": table.column("bucket")[:1], "part": table.column("group")[:1],
+            "word": pa.array([pack(keys // codes)], pa.binary()), "code": pa.array([pack(keys % codes)], pa.binary()),
+            "n": pa.array([pack(n)], pa.binary())})
 
-    schema = "bucket long, part long, word binary, code binary, n binary"
-    rows = meet(pairs, known.select("block", "number", "w", "class"), count, schema)
     parts = pairs.select("block").distinct().count()
-    # A bucket takes in what a bounded number of blocks, or of sums over blocks, have for it.
     while parts > PARTS:
         parts = -(-parts // PARTS)
-        group = F.pmod(F.xxhash64("part"), F.lit(parts))
+        group = F.pmod(F.xxhash64("part"), F.lit(parts)).cast("bigint")
+        rows = rows.withColumn("group", group).groupBy("bucket", "group").applyInArrow(merge, PACKED)
+    return rows
 
-        def merge(table: pa.Table) -> pa.Table:
-            word, code, n = _unpacked(table)
-            keys, n = _summed(word * codes + code, n)
-            return pa.table({
-                "bucket": table.column("bucket")[:1], "part": table.column("group")[:1],
-                "word": pa.array([pack(keys // codes)], pa.binary()),
-                "code": pa.array([pack(keys % codes)], pa.binary()), "n": pa.array([pack(n)], pa.binary())})
 
-        rows = rows.withColumn("group", group).groupBy("bucket", "group").applyInArrow(merge, schema)
-    return rows
+def _beside(pairs: DataFrame, known: DataFrame, kinds: int) -> DataFrame:
+    """How often which class stands beside each word, packed for the words' buckets.
 
+    Code ``c`` is class ``c`` after the word, ``kinds + c`` before it, and ``2 * kinds`` the word
+    itself after it, which the others leave out.
+    """
+    codes = 2 * kinds + 1
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return tuple(ragged(table.column(c))[0] for c in ("word", "code", "n"))
+    def count(left: pa.Table, words: pa.Table) -> pa.Table:
+        a, b, n = neighbours(left.column("pair").to_pylist())
+        of, bucket, at = words_of_block(words, width(words, a, b))
+        same = a == b
+        keys, n = _summed(
+            np.concatenate([a * codes + np.where(same, 2 * kinds, of[b]), (b * codes + kinds + of[a])[~same]]),
+            np.concatenate([n, n[~same]]))
+        word = keys // codes
+        return _to_buckets(left, bucket[word], at[word], keys % codes, n)
+
+    return _gathered(meet(pairs, known, "block", count, PACKED), pairs, codes)
 
 
 def likelihood(table: np.ndarray) -> float:
@@ -281,54 +341,47 @@ def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, index: np.ndarr
         out[at[starts]] += np.add.reduceat(rows[index[starts[0]:end]], starts - starts[0], axis=0)
 
 
-def _moved(classed: DataFrame, pairs: DataFrame, blocks: DataFrame, table: np.ndarray, turn: int, parts: int) -> DataFrame:
-    """``(w, class, n)`` after one turn, in which one of ``parts`` words is asked."""
+CLASSED = "bucket int, class binary, n binary"
+
+
+def _moved(classed: DataFrame, pairs: DataFrame, index: DataFrame, table: np.ndarray, turn: int, parts: int) -> DataFrame:
+    """The words' classes after one turn, in which one of ``parts`` words is asked."""
     kinds = len(table)
     codes = 2 * kinds + 1
-    buckets = 1 + classed.count() // BUCKET_WORDS
     shared = classed.sparkSession.sparkContext.broadcast(table)
 
     def move(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("w").to_numpy())
-        w, own, n = (right.column(c).to_numpy()[order].astype(np.int64) for c in ("w", "class", "n"))
+        own, n = (unpack(right.column(c)[0].as_py()) for c in ("class", "n"))
+        own = own - 1
         word, code, count = _unpacked(left)
         keys, count = _summed(word * codes + code, count)
-        seat, code = np.searchsorted(w // buckets, keys // codes), keys % codes
+        word, code = keys // codes, keys % codes
         to = own.copy()
-        for start in range(0, len(w), SLICE_WORDS):
+        for start in range(0, len(own), SLICE_WORDS):
             some = slice(start, start + SLICE_WORDS)
-            a, b = np.searchsorted(seat, [start, start + SLICE_WORDS])
+            a, b = np.searchsorted(word, [start, start + SLICE_WORDS])
             gain = gains(
-                shared.value, own[some], n[some].astype(np.float64), seat[a:b] - start, code[a:b], count[a:b].astype(np.float64))
+                shared.value, own[some], n[some].astype(np.float64), word[a:b] - start, code[a:b], count[a:b].astype(np.float64))
             best, at = gain.argmax(1), np.arange(len(gain))
-            asked = (w[some] % parts == turn % parts) & (gain[at, best] > gain[at, own[some]] + 1e-9)
+            asked = ((at + start) % parts == turn % parts) & (gain[at, best] > gain[at, own[some]] + 1e-9)
             to[some] = np.where(asked, best, own[some])
-        return pa.table({"w": pa.array(w), "class": pa.array(to.astype(np.int32)), "n": pa.array(n)})
+        return pa.table({"bucket": right.column("bucket")[:1], "class": pa.array([pack(to + 1)], pa.binary()),
+                         "n": right.column("n")[:1]})
 
-    beside = _beside(pairs, _classes_of(blocks, classed), kinds, buckets)
-    bucketed = classed.withColumn("bucket", F.pmod("w", F.lit(buckets)))
-    both = beside.groupBy("bucket").cogroup(bucketed.groupBy("bucket"))
-    out = materialise(both.applyInArrow(move, "w long, class int, n long"), "classes")
+    out = materialise(
+        meet(_beside(pairs, classes_of(index, classed), kinds), classed, "bucket", move, CLASSED), "classes")
     shared.destroy()
     return out
 
 
-def _classes_of(blocks: DataFrame, classed: DataFrame) -> DataFrame:
-    """``(block, number, w, class, n)``: the words of blocks that have a class."""
-    return blocks.join(classed, "w").select("block", "number", "w", "class", "n")
-
-
 def exchange_all(
-    pairs: DataFrame, blocks: DataFrame, classed: DataFrame, kinds: int, turns: int = TURNS,
+    pairs: DataFrame, index: DataFrame, classed: DataFrame, kinds: int, turns: int = TURNS,
 ) -> tuple[DataFrame, np.ndarray]:
-    """``(classes, table)`` after exchanging every word; the likelihood never falls.
-
-    ``blocks`` has the words of blocks as ``(block, number, w)``.
-    """
+    """``(classes, table)`` after exchanging every word; the likelihood never falls."""
     best = None
     parts = 1
     for turn in range(turns + 1):
-        table = _pair_counts(pairs, _classes_of(blocks, classed), kinds).astype(np.float64)
+        table = _pair_counts(pairs, classes_of(index, classed), kinds).astype(np.float64)
         if best is None or likelihood(table) >= best[0]:
             settled = best is not None and likelihood(table) - best[0] <= 1e-9 * abs(best[0]) and parts == 1
             best = (likelihood(table), classed, table)
@@ -337,32 +390,35 @@ def exchange_all(
         else:
             parts *= 2
         if turn < turns:
-            classed = _moved(best[1], pairs, blocks, best[2], turn, parts)
+            classed = _moved(best[1], pairs, index, best[2], turn, parts)
     return best[1], best[2]
 
 
-def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS,
-          **sizes: int):
-    """``(lexicon, facts)`` of all texts: class and count of each word, and the model's tables."""
-    held = numbered(docs.select("text", F.lit(True).alias("learn")), tokens, learn="learn", **sizes)
-    return train_blocks(held, head, classes, groups, turns)
+def _start(
+    pairs: DataFrame, learned: DataFrame, index: DataFrame, top: list, classes: int, groups: int,
+) -> tuple[DataFrame, int]:
+    """The classes the words start from, and how many there are."""
+    spark = learned.sparkSession
 
+    def given(values) -> DataFrame:
+        """Classes of the most frequent words alone."""
+        by_bucket: dict = {}
+        for (bucket, at), value in zip(top, values):
+            by_bucket.setdefault(bucket, []).append((at, int(value)))
 
-def train_blocks(held: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS):
-    """``train`` on the texts to learn from of a table of blocks."""
-    spark = held.sparkSession
-    words, pairs = words_of(held), pairs_of(held)
-    numbers = lexicon_of(words)
-    total, distinct = numbers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    blocks = materialise(words.select("block", "number", "word").join(numbers.select("word", "w"), "word").select(
-        "block", "number", "w"), "block-words")
-    found = numbers.filter(F.col("word") == F.lit(bytearray(END))).first()
-    top = [] if found is None else [found["w"], *[w for w in range(min(head + 1, distinct)) if w != found["w"]][:head]]
-
-    # The most frequent words are clustered among themselves.
-    place = pa.array(top, pa.int64())
-    rank = lambda values: spark.createDataFrame(pa.table({"w": place, "class": pa.array(values, pa.int32())}))
-    matrix = _pair_counts(pairs, blocks.join(F.broadcast(rank(range(len(top)))), "w"), max(1, len(top)))
+        def fill(batches):
+            for batch in batches:
+                out = []
+                for bucket, distinct in zip(batch.column("bucket").to_pylist(), batch.column("distinct").to_pylist()):
+                    of = np.zeros(distinct, np.int64)
+                    for at, value in by_bucket.get(bucket, []):
+                        of[at] = value + 1
+                    out.append(pack(of))
+                yield pa.record_batch([batch.column("bucket"), pa.array(out, pa.binary()), batch.column("n")], ["bucket", "class", "n"])
+
+        return learned.select("bucket", "distinct", "n").mapInArrow(fill, CLASSED)
+
+    matrix = _pair_counts(pairs, classes_of(index, given(range(len(top)))), max(1, len(top)))
     of = exchange(matrix, classes)
     n_classes = int(of.max()) + 1
     pick = np.eye(n_classes, dtype=np.int64)[of]
@@ -370,42 +426,77 @@ def train_blocks(held: DataFrame, head: int = HEAD, classes: int = CLASSES, grou
     n_groups = int(group_of.max()) + 1
 
     # The other words start by their count, in the group of frequent words that most often precede them.
-    grouped = blocks.join(F.broadcast(rank(group_of[:len(top)])), "w", "left").withColumn("class", F.coalesce("class", F.lit(-1)))
-
     def votes(left: pa.Table, known: pa.Table) -> pa.Table:
         a, b, n = neighbours(left.column("pair").to_pylist())
-        size = width(known, a, b)
-        group, w = by_number(known, "class", size, -1).astype(np.int64), by_number(known, "w", size, 0)
+        group, bucket, at = words_of_block(known, width(known, a, b))
         some = (group[a] >= 0) & (group[b] < 0)
-        keys, n = _summed(w[b[some]] * n_groups + group[a[some]], n[some])
-        return pa.table({"w": pa.array(keys // n_groups, pa.int64()), "g": pa.array((keys % n_groups).astype(np.int32)),
-                         "n": pa.array(n, pa.int64())})
-
-    voted = meet(pairs, grouped.select("block", "number", "w", "class"), votes, "w long, g int, n long")
-    sums = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(f"g{g}") for g in range(n_groups)]
-    most = F.greatest(*[F.col(f"g{g}") for g in range(n_groups)]) if n_groups > 1 else F.col("g0")
-    group = F.lit(0)
-    for g in reversed(range(n_groups)):
-        group = F.when(F.col(f"g{g}") == most, g).otherwise(group)
-    chosen = voted.groupBy("w").agg(*sums).select("w", group.alias("group"))
-    named = numbers.select("w", "n").join(F.broadcast(rank(of[:len(top)])), "w", "left").join(chosen, "w", "left")
-    code = F.coalesce("class", F.lit(n_classes) + F.coalesce("group", F.lit(0)) * BANDS + _band(F.col("n")))
-    start = materialise(named.select("w", code.alias("code"), "n"), "start")
+        keys, n = _summed(b[some] * n_groups + group[a[some]], n[some])
+        word = keys // n_groups
+        return _to_buckets(left, bucket[word], at[word], keys % n_groups, n)
+
+    voted = _gathered(
+        meet(pairs, classes_of(index, given(group_of[:len(top)])), "block", votes, PACKED), pairs, n_groups)
+
+    def begin(left: pa.Table, right: pa.Table) -> pa.Table:
+        own, n = (unpack(right.column(c)[0].as_py()) for c in ("class", "n"))
+        word, group, count = _unpacked(left)
+        votes_ = np.zeros((len(own), n_groups), np.int64)
+        np.add.at(votes_, (word, group), count)
+        band = np.minimum(np.log2(n).astype(np.int64), BANDS - 1)
+        code = np.where(own > 0, own - 1, n_classes + votes_.argmax(1) * BANDS + band)
+        return pa.table({"bucket": right.column("bucket")[:1], "class": pa.array([pack(code)], pa.binary()),
+                         "n": right.column("n")[:1], "used": pa.array([np.unique(code).tolist()], pa.list_(pa.int32()))})
+
+    coded = materialise(meet(voted, given(of[:len(top)]), "bucket", begin, CLASSED + ", used array<int>"), "start")
     # Only the classes that have words are numbered.
-    used = sorted(r["code"] for r in start.select("code").distinct().collect())
-    number = F.lit(0)
-    if used:
-        seats = dict(zip(used, range(len(used))))
-        number = F.element_at(F.array(*[F.lit(seats.get(c, 0)) for c in range(used[-1] + 1)]), F.col("code") + 1)
-    classed = start.select("w", number.cast("int").alias("class"), "n")
+    used = sorted(r[0] for r in coded.select(F.explode("used")).distinct().collect())
+    seats = np.zeros(max(used, default=0) + 1, np.int64)
+    seats[used] = np.arange(1, len(used) + 1)
+
+    def renumber(batches):
+        for batch in batches:
+            yield pa.record_batch(
+                [batch.column("bucket"), pa.array([pack(seats[unpack(c)]) for c in batch.column("class").to_pylist()], pa.binary()),
+                 batch.column("n")], ["bucket", "class", "n"])
+
+    return coded.select("bucket", "class", "n").mapInArrow(renumber, CLASSED), max(1, len(used))
+
+
+def _class_sums(batches):
+    """Occurrences of each class, and how many of its words were seen once."""
+    for batch in batches:
+        for c, n in zip(batch.column("class").to_pylist(), batch.column("n").to_pylist()):
+            of, n = unpack(c) - 1, unpack(n)
+            there, at = np.unique(of, return_inverse=True)
+            once = np.bincount(at, n == 1, len(there)).astype(np.int64)
+            total = np.zeros(len(there), np.int64)
+            np.add.at(total, at, n)
+            yield pa.record_batch([pa.array(there, pa.int64()), pa.array(total), pa.array(once)], ["class", "n", "once"])
+
+
+def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS,
+          **sizes: int):
+    """``(lexicon, facts)`` of all texts: class and count of each word, and the model's tables."""
+    buckets = sizes.pop("buckets", None) or buckets_for(docs)
+    held = numbered(docs.select("text", F.lit(True).alias("learn")), tokens, learn="learn", buckets=buckets, **sizes)
+    return train_blocks(held, buckets, head, classes, groups, turns)
+
+
+def train_blocks(held: DataFrame, buckets: int, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS):
+    """``train`` on the texts to learn from of a table of blocks."""
+    pairs = pairs_of(held)
+    rows = vocabulary(words_of(held))
+    learned = rows.filter("block IS NULL AND distinct > 0").select("bucket", "words", "n", "total", "distinct")
+    index = rows.filter("block IS NOT NULL").select("bucket", "block", "numbers", "at")
+    total, distinct = learned.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    classed, n_kinds = _start(pairs, learned, index, most_frequent(learned, head), classes, groups)
 
     # From here on every word is exchanged, over the classes the start has opened.
-    n_kinds = max(1, len(used))
-    classed, table = exchange_all(pairs, blocks, classed, n_kinds, turns)
+    classed, table = exchange_all(pairs, index, classed, n_kinds, turns)
     # The last class is that of the unseen word alone.
     sizes_of, singles = np.zeros(n_kinds + 1), np.zeros(n_kinds + 1)
-    got = classed.groupBy("class").agg(
-        F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).toArrow()
+    got = classed.select("class", "n").mapInArrow(_class_sums, "class long, n long, once long").groupBy("class").agg(
+        F.sum("n").alias("n"), F.sum("once").alias("once")).toArrow()
     sizes_of[got.column("class").to_numpy()] = got.column("n").to_numpy()
     singles[got.column("class").to_numpy()] = got.column("once").to_numpy()
     # It has mass of its own only if no word was seen once.
@@ -418,55 +509,78 @@ def train_blocks(held: DataFrame, head: int = HEAD, classes: int = CLASSES, grou
         move[-1] = singles @ move / singles.sum()
     lent = UNSEEN * singles / np.maximum(sizes_of, 1)
     lent[-1] = alone
-    lexicon = numbers.select("w", "word").join(classed, "w").withColumn("h", F.xxhash64("word"))
+    lexicon = learned.select("bucket", "words").join(classed, "bucket")
     return lexicon, {
         "total": int(total), "distinct": int(distinct), "move": np.log10(np.maximum(move, 1e-300)),
-        "unseen": np.log10(move @ lent), "size": sizes_of,
+        "unseen": np.log10(move @ lent), "size": sizes_of, "buckets": buckets,
     }
 
 
+def listed(lexicon: DataFrame) -> DataFrame:
+    """``(word, class, n)``: a lexicon's words, a row each."""
+
+    def run(batches):
+        for batch in batches:
+            for words, c, n in zip(*(batch.column(k).to_pylist() for k in ("words", "class", "n"))):
+                yield pa.record_batch([pa.array(unpack_words(words), pa.binary()), pa.array(unpack(c) - 1), pa.array(unpack(n))],
+                                      ["word", "class", "n"])
+
+    return lexicon.select("words", "class", "n").mapInArrow(run, "word binary, class long, n long")
+
+
 def score(docs: DataFrame, lexicon: DataFrame, facts: dict, *keep: str, text: str = "text", **sizes: int) -> DataFrame:
     """``(*keep, n_tokens, n_known, base_score, score)`` of every row."""
     names = [f"__k{i}" for i in range(len(keep))]
     rows = as_bytes(docs, *[F.col(k).alias(n) for k, n in zip(keep, names)], text=text)
-    return score_blocks(numbered(rows, tokens, names, **sizes), lexicon, facts, *names).withColumnsRenamed(dict(zip(names, keep)))
+    held = numbered(rows, tokens, names, buckets=facts["buckets"], **sizes)
+    return score_blocks(held, lexicon, facts, *names).withColumnsRenamed(dict(zip(names, keep)))
 
 
 def score_blocks(held: DataFrame, lexicon: DataFrame, facts: dict, *keep: str) -> DataFrame:
-    """``score`` of the documents of a table of blocks."""
-    kinds = [f"`{k}` {held.schema[k].dataType.simpleString()}" for k in keep]
-    known = words_of(held).select("block", "number", "word").join(lexicon.select("word", "class", "n"), "word").select(
-        "block", "number", "class", "n")
+    """``score`` of the documents of a table of blocks with as many buckets as the lexicon."""
+    kinds = [f"`{k}` {held.schema[k].dataType.elementType.simpleString()}" for k in keep]
     shared = held.sparkSession.sparkContext.broadcast(facts)
 
+    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        of, n, place = np.zeros(1, np.int64), np.zeros(1, np.int64), {}
+        if right.num_rows:
+            words, c, counts = (right.column(k)[0].as_py() for k in ("words", "class", "n"))
+            place = {w: i for i, w in enumerate(unpack_words(words), 1)}
+            of, n = np.concatenate([of, unpack(c)]), np.concatenate([n, unpack(counts)])
+        found = [np.array([place.get(w, 0) for w in unpack_words(b)], np.int64) for b in left.column("words").to_pylist()]
+        return pa.table({"block": left.column("block"), "numbers": left.column("numbers"),
+                         "class": pa.array([pack(of[at]) for at in found], pa.binary()),
+                         "n": pa.array([pack(n[at]) for at in found], pa.binary())})
+
+    known = meet(words_of(held).select("bucket", "block", "words", "numbers"), lexicon, "bucket", look_up,
+                 "block long, numbers binary, class binary, n binary")
+
     def judge(left: pa.Table, words: pa.Table) -> pa.Table:
         f = shared.value
+        size = width(words)
+        classes, counts = by_number(words, "class", size, 0) - 1, by_number(words, "n", size, 0)
         out = []
-        for batch in left.combine_chunks().to_batches():
-            for piece in slices(batch, "ids", PACKED_BYTES):
-                entries, offsets = ragged(piece.column("ids"))
-                size = width(words, entries)
-                code = by_number(words, "class", size, -1).astype(np.int64)[entries]
-                n = by_number(words, "n", size, 0)[entries].astype(np.float64)
-                known = code >= 0
-                base = np.log10((n + 1) / (f["total"] + f["distinct"] + 1))
-                code = np.where(known, code, len(f["size"]) - 1)
-                before = np.roll(code, 1)
-                before[offsets[:-1]] = code[offsets[1:] - 1]
-                kept = np.where(n == 1, 1 - UNSEEN, 1.0)
-                spoken = f["move"][before, code] + np.log10(kept * np.maximum(n, 1) / np.maximum(f["size"][code], 1))
-                spoken = np.where(known, spoken, f["unseen"][before])
-                sums = lambda x: np.add.reduceat(x, offsets[:-1])
-                out.append(pa.record_batch(
-                    [*(piece.column(k) for k in keep), pa.array(np.diff(offsets)), pa.array(sums(known.astype(np.int64))),
-                     pa.array(sums(base)), pa.array(sums(spoken))],
-                    [*keep, "n_tokens", "n_known", "base_score", "score"]))
-        empty = pa.schema([*(left.schema.field(k) for k in keep), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                           ("base_score", pa.float64()), ("score", pa.float64())])
+        for columns, entries, offsets in pieces_of(left, keep):
+            code, n = classes[entries], counts[entries].astype(np.float64)
+            known = code >= 0
+            base = np.log10((n + 1) / (f["total"] + f["distinct"] + 1))
+            code = np.where(known, code, len(f["size"]) - 1)
+            before = np.roll(code, 1)
+            before[offsets[:-1]] = code[offsets[1:] - 1]
+            kept = np.where(n == 1, 1 - UNSEEN, 1.0)
+            spoken = f["move"][before, code] + np.log10(kept * np.maximum(n, 1) / np.maximum(f["size"][code], 1))
+            spoken = np.where(known, spoken, f["unseen"][before])
+            sums = lambda x: np.add.reduceat(x, offsets[:-1])
+            out.append(pa.record_batch(
+                [*columns, pa.array(np.diff(offsets)), pa.array(sums(known.astype(np.int64))),
+                 pa.array(sums(base)), pa.array(sums(spoken))],
+                [*keep, "n_tokens", "n_known", "base_score", "score"]))
+        empty = pa.schema([*((k, left.schema.field(k).type.value_type) for k in keep), ("n_tokens", pa.int64()),
+                           ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         return pa.Table.from_batches(out, out[0].schema if out else empty)
 
     schema = ", ".join([*kinds, "n_tokens long, n_known long, base_score double, score double"])
-    return meet(documents_of(held, *keep), known, judge, schema)
+    return meet(documents_of(held, *keep), known, "block", judge, schema)
 
 
 def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, **sizes: int) -> DataFrame:
@@ -474,8 +588,9 @@ def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, **sizes: i
     rest = remainder(F.col("doc_id"), modulus)
     rows = as_bytes(docs, "doc_id", F.coalesce(rest == held, F.lit(False)).alias("held_out"),
                     F.coalesce(rest != held, F.lit(False)).alias("learn"))
-    blocks = numbered(rows, tokens, ["doc_id", "held_out"], "learn", **sizes)
+    buckets = sizes.pop("buckets", None) or buckets_for(docs)
+    blocks = numbered(rows, tokens, ["doc_id", "held_out"], "learn", buckets, **sizes)
     with short_lived_shuffles(docs.sparkSession):
-        lexicon, facts = train_blocks(blocks)
+        lexicon, facts = train_blocks(blocks, buckets)
     scored = score_blocks(blocks, lexicon, facts, "doc_id", "held_out")
     return scored.withColumn("train_tokens", F.lit(facts["total"]).cast("bigint"))
