@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.catalog.base import EV, ev, kind, query, table, with_pages
+from corpusprep.operators import intervals as iv
 from corpusprep.operators import sequence as sq
 from corpusprep.operators.blocks import drop_contaminated
 from corpusprep.plans.export import export_chunks
@@ -164,13 +165,38 @@ SELECT doc, CAST(min(s) AS BIGINT) AS s, CAST(max(e) AS BIGINT) AS e, CAST(sum(n
        string_agg(label || ':' || n, ',' ORDER BY s, label) AS labels
 FROM l GROUP BY doc, island""")
 def merge_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    merged = sq.merge_ranges(deliveries(spark, sf), DOC)
+    shown = F.transform("labels", lambda x: F.concat_ws(":", x["label"], x["n"].cast("string")))
+    return merged.withColumn("labels", F.array_join(shown, ","))
+
+
+def deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of days per supplier."""
     day = F.date_diff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint")
-    ranges = table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("doc"), day.alias("s"),
         (day + F.col("l_quantity").cast("bigint") % 7).alias("e"), F.col("l_returnflag").alias("label"))
-    merged = sq.merge_ranges(ranges, DOC)
-    shown = F.transform("labels", lambda x: F.concat_ws(":", x["label"], x["n"].cast("string")))
-    return merged.withColumn("labels", F.array_join(shown, ","))
+
+
+LABEL_PART = 50
+
+
+@query("merged_labels", f"""
+WITH r AS (SELECT l_suppkey AS doc, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS s,
+                  date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) + CAST(l_quantity AS BIGINT) % 7 AS e,
+                  l_returnflag AS label FROM lineitem),
+c AS (SELECT doc, s, e, label, count(*) AS n FROM r GROUP BY ALL),
+o AS (SELECT *, max(e) OVER (PARTITION BY doc ORDER BY s, e, label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM c),
+g AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY s, e, label) AS island FROM o),
+i AS (SELECT *, min(s) OVER (PARTITION BY doc, island) AS first,
+             (row_number() OVER (PARTITION BY doc, island ORDER BY s, e, label) - 1) // {LABEL_PART} AS part FROM g)
+SELECT doc, CAST(first AS BIGINT) AS s, CAST(part AS INT) AS part, string_agg(label || n, ' ' ORDER BY i.s, i.e, i.label) AS labels
+FROM i GROUP BY doc, first, part""")
+def merged_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """All labels of a merged range, in the order of its ranges."""
+    parts = iv.merged_labels(deliveries(spark, sf), DOC, LABEL_PART)
+    shown = F.transform("ranges", lambda x: F.concat(x["label"], x["n"].cast("string")))
+    return parts.select("doc", "s", "part", F.array_join(shown, " ").alias("labels"))
 
 
 @query("dedupe_refs", f"""

@@ -12,7 +12,9 @@ from corpusprep.functions import text as tx
 from corpusprep.operators import assets as at
 from corpusprep.operators import audit as au
 from corpusprep.operators import cache as ca
+from corpusprep.operators.align import align_revisions
 from corpusprep.operators.glossary import rewrite_by_table
+from corpusprep.operators.intervals import in_ranges
 from corpusprep.operators.rules import Rule, glossary_rewrite, rewrite
 from corpusprep.operators.spans import mask_spans
 from corpusprep.session import materialise
@@ -130,6 +132,25 @@ def range_violations(spark: SparkSession, sf: str) -> DataFrame:
     return au.range_violations(turns, ["conv_id"], au.parse_ranges(RANGES), "number")
 
 
+DAY = "date_diff('day', DATE '1992-01-01', CAST({} AS DATE))"
+
+
+@query("ranges_by_table", f"""
+WITH r AS (SELECT l_suppkey AS doc, l_orderkey * 10 + l_linenumber AS range_no, {DAY.format("l_shipdate")} AS a,
+                  {DAY.format("l_shipdate")} + CAST(l_quantity AS BIGINT) AS b FROM lineitem WHERE l_returnflag = 'R'),
+p AS (SELECT o_orderkey, o_custkey % 100 + 1 AS doc, {DAY.format("o_orderdate")} AS d FROM orders)
+SELECT o_orderkey, range_no FROM p JOIN r ON p.doc = r.doc AND d BETWEEN a AND b""")
+def ranges_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders within the delivery ranges of the supplier that has their customer's number."""
+    day = lambda c: F.date_diff(F.col(c).cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint")
+    ranges = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(
+        F.col("l_suppkey").alias("doc"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("range_no"),
+        day("l_shipdate").alias("first"), (day("l_shipdate") + F.col("l_quantity").cast("bigint")).alias("last"))
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % 100 + 1).alias("doc"), day("o_orderdate").alias("number"))
+    return in_ranges(orders, ranges, "number", ["doc"], ["o_orderkey"]).select("o_orderkey", "range_no")
+
+
 @query("donor_fill", """
 SELECT doc_id, coalesce(quality, d) AS quality,
        CASE WHEN quality IS NULL THEN 'insert' WHEN d IS NULL OR quality = d THEN 'present' ELSE 'verify' END AS status
@@ -166,6 +187,36 @@ def revision_diff(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(F.col("change") == c).alias(f"n_{c}") for c in ("added", "removed", "changed", "same")])
 
 
+DROPPED = "^(?:This work is licensed|Licensed|Released) under "
+
+
+@query("revision_align", rf"""
+WITH {LN}, a AS (SELECT doc_id, CAST(line_no AS BIGINT) AS p, line_no || ':' || line AS t FROM ln),
+b AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS p,
+             line_no || ':' || regexp_replace(line, '{REVISION[0].pattern}', '', 'g') AS t
+      FROM ln WHERE NOT regexp_matches(line, '{DROPPED}')
+      UNION ALL SELECT doc_id, 0, 'revised' FROM documents WHERE text IS NOT NULL),
+fa AS (SELECT a.doc_id, a.p, a.t, (b.t IS NOT NULL)::INT AS hit FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.t = b.t),
+fb AS (SELECT b.doc_id, b.p, b.t, (a.t IS NOT NULL)::INT AS hit FROM b LEFT JOIN a ON a.doc_id = b.doc_id AND a.t = b.t),
+ga AS (SELECT doc_id, gap, count(*) FILTER (WHERE hit = 0) AS n, sum(hit) AS hits FROM (
+  SELECT *, sum(hit) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM fa) GROUP BY ALL),
+gb AS (SELECT doc_id, gap, count(*) FILTER (WHERE hit = 0) AS n FROM (
+  SELECT *, sum(hit) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM fb) GROUP BY ALL),
+g AS (SELECT doc_id, coalesce(ga.n, 0) AS na, coalesce(gb.n, 0) AS nb, coalesce(hits, 0) AS hits FROM ga FULL JOIN gb USING (doc_id, gap))
+SELECT doc_id, CAST(sum(greatest(nb - na, 0)) AS BIGINT) AS n_added, CAST(sum(greatest(na - nb, 0)) AS BIGINT) AS n_removed,
+       CAST(sum(least(na, nb)) AS BIGINT) AS n_changed, CAST(sum(hits) AS BIGINT) AS n_same FROM g GROUP BY doc_id""")
+def revision_align(spark: SparkSession, sf: str) -> DataFrame:
+    """A revision with a new first line, licence lines left out and other lines mended."""
+    docs = documents(spark, sf).filter("text IS NOT NULL")
+    old = ln(spark, sf).select("doc_id", "line_no", F.concat_ws(":", "line_no", "line").alias("block"), "line")
+    mended = F.concat_ws(":", "line_no", F.regexp_replace("line", REVISION[0].pattern, ""))
+    new = old.filter(~F.col("line").rlike(DROPPED)).select("doc_id", "line_no", mended.alias("block")).unionByName(
+        docs.select("doc_id", F.lit(-1).alias("line_no"), F.lit("revised").alias("block")))
+    changes = align_revisions(old, new, ["doc_id"], "line_no", "block")
+    return changes.groupBy("doc_id").agg(*[
+        F.count_if(F.col("change") == c).alias(f"n_{c}") for c in ("added", "removed", "changed", "same")])
+
+
 # -- cache ---------------------------------------------------------------------
 
 def seed_cache(spark: SparkSession, sf: str) -> DataFrame:
