@@ -2,8 +2,8 @@
 
 Each task splits its texts once, in the order they come, and numbers the distinct words of a
 block of bounded text size and vocabulary, frequent words first. What a block holds is packed and
-written: its documents as numbers, and its words, dealt into buckets by a hash of the word. A text is
-split no second time.
+written, block by block: its documents as numbers, and its words, dealt into buckets by a hash of the
+word. A text is split no second time, and documents do not move.
 
 What is to be known about words, whatever their number, is found out bucket by bucket: there all
 blocks' rows of a word meet, one per block. The answers go back to the blocks, packed, and meet the
@@ -14,6 +14,7 @@ others.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from itertools import chain, count
 
@@ -26,12 +27,13 @@ from pyspark.sql import functions as F
 
 from corpusprep.llm.common import SLICE_BYTES, Rows, slices, spans_of, texts
 from corpusprep.operators.lookup import estimated_bytes
-from corpusprep.session import materialise
+from corpusprep.session import shared_dir
 
 BLOCK_BYTES = 24 << 20
 BLOCK_WORDS = 400_000
 BUCKET_BYTES = 12 << 20
 MOST_BUCKETS = 8192
+UNKNOWN_BYTES = 1 << 60
 ROW_BYTES = 64
 
 Split = Callable[[bytes], list]
@@ -126,9 +128,26 @@ def neighbours(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return join(before), join([p[1] for p in parts]), join([p[2] for p in parts])
 
 
+def placed(rows: DataFrame, by: str, n: int, name: str) -> DataFrame:
+    """The rows, written to the shared folder in ``n`` files by a hash of ``by``; grouping by it moves no rows.
+
+    The table's name is only needed to write it, and goes at once.
+    """
+    spark = rows.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    rows.write.format("parquet").option("path", shared_dir(spark, name)).bucketBy(n, by).saveAsTable(table)
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 def buckets_for(docs: DataFrame) -> int:
-    """As many buckets of words as the size of the texts asks for."""
-    return int(min(MOST_BUCKETS, 2 + estimated_bytes(docs) // BUCKET_BYTES))
+    """As many buckets of words as the size of the texts asks for; where Spark cannot tell it, it is counted."""
+    size = estimated_bytes(docs)
+    if size >= UNKNOWN_BYTES:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return int(min(MOST_BUCKETS, 2 + size // BUCKET_BYTES))
 
 
 def numbered(
@@ -200,7 +219,7 @@ def numbered(
             yield from closed()
 
     columns = list(dict.fromkeys([*keep, *([learn] if learn else []), "text"]))
-    return materialise(docs.select(*columns).mapInArrow(run, schema), "blocks")
+    return placed(docs.select(*columns).mapInArrow(run, schema), "block", n_buckets, "blocks")
 
 
 def documents_of(blocks: DataFrame, *keep: str) -> DataFrame:

@@ -51,8 +51,14 @@ def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
         encode, "block long, numbers binary, sizes binary, ids binary")
 
 
-def encode(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
-    """``(doc, ids)``: the ids as little-endian unsigned 32-bit numbers."""
+def encode(
+    docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", pieces: DataFrame | None = None, **sizes: int,
+) -> DataFrame:
+    """``(doc, ids)``: the ids as little-endian unsigned 32-bit numbers.
+
+    With a table of ``pieces`` they are decoded in the same pass, by the join of ``decode``: ``(doc, ids, decoded)``.
+    """
+    shared = None if pieces is None else _shared(pieces)
     kind = docs.schema[doc].dataType.simpleString()
     rows = as_bytes(docs, F.col(doc).alias("doc"), text=text)
     held = numbered(rows, lambda t: encoder(tokenizer).words(t.decode()), ["doc"], **sizes)
@@ -69,12 +75,16 @@ def encode(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "te
             ids, n = gather(flat, starts, at[entries])
             ends, wide = spans_of(n)[offsets], ids.astype("<u4")
             spans = [wide[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            out.append(pa.record_batch([docs_, pa.array(spans, pa.binary())], [doc, "ids"]))
-        empty = pa.schema([(doc, left.schema.field("doc").type.value_type), ("ids", pa.binary())])
+            columns = {doc: docs_, "ids": pa.array(spans, pa.binary())}
+            if shared is not None:
+                columns["decoded"] = pa.array(_texts_of(ids, ends, *shared.value), pa.binary())
+            out.append(pa.record_batch(list(columns.values()), list(columns)))
+        names = ["ids"] + ["decoded"] * (shared is not None)
+        empty = pa.schema([(doc, left.schema.field("doc").type.value_type), *((n, pa.binary()) for n in names)])
         return pa.Table.from_batches(out, out[0].schema if out else empty)
 
     return meet(documents_of(held, "doc"), encoded_words(words_of(held), tokenizer), "block", joined,
-                f"`{doc}` {kind}, ids binary")
+                f"`{doc}` {kind}, ids binary" + ", decoded binary" * (shared is not None))
 
 
 def _texts_of(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -100,16 +110,21 @@ def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
         pa.table({"id": pa.array(range(len(pieces)), pa.int64()), "piece": pa.array(pieces, pa.binary())}))
 
 
-def decode(tokens: DataFrame, pieces: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """``(doc, ids, decoded)``: ids joined to their pieces by position; UTF-8 bytes."""
-    kind = tokens.schema[doc].dataType.simpleString()
+def _shared(pieces: DataFrame):
+    """A table of pieces as broadcast arrays by id: all pieces end to end, and where each begins."""
     table = pieces.orderBy("id").toArrow()
     if table.column("id").to_pylist() != list(range(table.num_rows)):
         raise ValueError("piece ids must be dense")
     words = table.column("piece").to_pylist()
-    shared = tokens.sparkSession.sparkContext.broadcast(
+    return pieces.sparkSession.sparkContext.broadcast(
         (np.frombuffer(b"".join(words), np.uint8), spans_of(list(map(len, words)))))
 
+
+def decode(tokens: DataFrame, pieces: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``(doc, ids, decoded)``: ids joined to their pieces by position; UTF-8 bytes."""
+    kind = tokens.schema[doc].dataType.simpleString()
+    shared = _shared(pieces)
+
     def joined(piece: pa.RecordBatch) -> pa.RecordBatch:
         flat, offsets = shared.value
         rows = [np.frombuffer(i or b"", "<u4") for i in piece.column("ids").to_pylist()]
@@ -124,4 +139,4 @@ def decode(tokens: DataFrame, pieces: DataFrame, doc: str = "doc_id") -> DataFra
 
 def round_trip(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
     """``(doc, ids, decoded)``: the ids of every text, and what they decode to."""
-    return decode(encode(docs, tokenizer, doc, text, **sizes), piece_table(docs.sparkSession, tokenizer), doc)
+    return encode(docs, tokenizer, doc, text, piece_table(docs.sparkSession, tokenizer), **sizes)

@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.llm.blocks import (
-    buckets_for, by_number, documents_of, meet, neighbours, numbered, pack, pack_words, pairs_of, pieces_of, unpack,
-    unpack_words, width, words_of)
+    buckets_for, by_number, documents_of, meet, neighbours, numbered, pack, pack_words, pairs_of, pieces_of, placed,
+    unpack, unpack_words, width, words_of)
 from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles
 from corpusprep.session import materialise
 
@@ -112,7 +112,7 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     return of
 
 
-def vocabulary(words: DataFrame) -> DataFrame:
+def vocabulary(words: DataFrame, buckets: int) -> DataFrame:
     """What buckets know of their words, written.
 
     Rows without a block are the words a bucket has learned, by falling count and then by bytes:
@@ -144,7 +144,7 @@ def vocabulary(words: DataFrame) -> DataFrame:
 
     rows = words.groupBy("bucket").applyInArrow(index, (
         "bucket int, block long, words binary, n binary, total long, distinct long, numbers binary, at binary"))
-    return materialise(rows, "vocabulary")
+    return placed(rows, "bucket", buckets, "vocabulary")
 
 
 def most_frequent(learned: DataFrame, head: int) -> list:
@@ -485,7 +485,7 @@ def train(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, groups: int
 def train_blocks(held: DataFrame, buckets: int, head: int = HEAD, classes: int = CLASSES, groups: int = GROUPS, turns: int = TURNS):
     """``train`` on the texts to learn from of a table of blocks."""
     pairs = pairs_of(held)
-    rows = vocabulary(words_of(held))
+    rows = vocabulary(words_of(held), buckets)
     learned = rows.filter("block IS NULL AND distinct > 0").select("bucket", "words", "n", "total", "distinct")
     index = rows.filter("block IS NOT NULL").select("bucket", "block", "numbers", "at")
     total, distinct = learned.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
