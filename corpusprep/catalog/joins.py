@@ -13,11 +13,12 @@ from corpusprep.operators import assets as at
 from corpusprep.operators import audit as au
 from corpusprep.operators import cache as ca
 from corpusprep.operators.align import align_revisions
+from corpusprep.operators.cache_store import CacheStore, lookup_stored
 from corpusprep.operators.glossary import rewrite_by_table
 from corpusprep.operators.intervals import in_ranges
 from corpusprep.operators.rules import Rule, glossary_rewrite, rewrite
 from corpusprep.operators.spans import mask_spans
-from corpusprep.session import materialise
+from corpusprep.session import materialise, shared_dir
 
 ASSET_KINDS = (("figure", r"page="), ("picture", r"#top$"))
 PAGE = r"[?&]page=(\d+)"
@@ -261,6 +262,33 @@ def cache_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ca.cache_upsert(seed_cache(spark, sf), new)
 
 
+NEW_ENTRIES = """new AS (SELECT md5(text) AS md5, max('new:' || source) AS translated FROM documents WHERE lang = 'fr' GROUP BY 1),
+united AS (SELECT md5, translated FROM new UNION ALL SELECT md5, translated FROM cache WHERE md5 NOT IN (SELECT md5 FROM new))"""
+
+
+def stored_cache(spark: SparkSession, sf: str) -> CacheStore:
+    """A store that has taken the seed, and then new entries for French texts."""
+    store = CacheStore(spark, shared_dir(spark, "cache-store"))
+    store.upsert(seed_cache(spark, sf))
+    french = table(spark, sf, "documents").filter("lang = 'fr'")
+    store.upsert(french.select(tx.digest("text").alias("md5"), F.concat(F.lit("new:"), "source").alias("translated")))
+    return store
+
+
+@query("cache_store_entries", f"WITH {CACHE}, {NEW_ENTRIES} SELECT md5, translated FROM united")
+def cache_store_entries(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_cache(spark, sf).entries()
+
+
+@query("cache_store_lookup", f"""
+WITH {CACHE}, {NEW_ENTRIES}, l AS (SELECT doc_id, c.translated FROM documents d LEFT JOIN united c ON c.md5 = md5(d.text))
+SELECT doc_id, CASE WHEN translated IS NULL THEN 'miss' WHEN contains(translated, 'MATHBLK') THEN 'poisoned' ELSE 'hit' END AS status,
+       CASE WHEN NOT contains(translated, 'MATHBLK') THEN translated END AS translated FROM l""")
+def cache_store_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lookup_stored(docs, stored_cache(spark, sf)).select("doc_id", "status", "translated")
+
+
 @query("cache_poison", f"""
 WITH {sql_mask('m', 'documents', ['doc_id', 'text'])},
 c AS (SELECT md5(text) AS md5, max(masked) AS translated FROM m GROUP BY 1)
