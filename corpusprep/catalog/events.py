@@ -9,7 +9,9 @@ from corpusprep.catalog.base import EV, ev, kind, query, table, with_pages
 from corpusprep.operators import intervals as iv
 from corpusprep.operators import sequence as sq
 from corpusprep.operators.blocks import drop_contaminated
+from corpusprep.operators.rules import Rule
 from corpusprep.plans.export import export_chunks
+from corpusprep.plans.lifecycle import export_lifecycle
 from corpusprep.session import shared_dir
 from corpusprep.sources.writers import chunk_manifest, write_chunks
 
@@ -313,3 +315,47 @@ def export(spark: SparkSession, sf: str) -> DataFrame:
         with_pages(blocks), DOC, contaminated=kind("purchase"), contaminated_from=50,
         ref=F.when(kind("view"), F.col("page")), width=10, tolerance=2, jump=5,
         style=lambda t: F.concat(F.lit("block "), F.replace(t, F.lit("#"), F.lit(" no. "))))
+
+
+CLEAN = (Rule("press", r"^click#", "press#"), Rule("zeros", r"0{2,}$", "0"))
+
+
+@query("export_lifecycle", f"""
+WITH {EV}, {TAIL},
+left_ev AS (SELECT * REPLACE (regexp_replace(regexp_replace(text, '^click#', 'press#', 'g'), '0{{2,}}$', '0', 'g') AS text)
+  FROM ev WHERE NOT EXISTS (SELECT 1 FROM tail WHERE tail.doc = ev.doc AND tail.s <= ev.pos AND ev.pos < tail.e)),
+marked AS (SELECT *, last_value(CASE WHEN kind = 'signup' THEN 1 WHEN kind IN ('error', 'purchase') THEN 0 END IGNORE NULLS)
+  OVER (PARTITION BY doc ORDER BY pos) AS skip FROM left_ev),
+kept AS (SELECT * EXCLUDE (skip) FROM marked WHERE coalesce(skip, 0) = 0),
+inh AS (SELECT *, coalesce(last_value(page IGNORE NULLS) OVER (PARTITION BY doc ORDER BY pos), 0) AS eff FROM kept),
+g AS (SELECT *, eff - eff % 10 AS start_page,
+             least(eff - eff % 10 + 9, coalesce(max(page) OVER (PARTITION BY doc), 0)) AS end_page FROM inh),
+w0 AS (SELECT *, CASE WHEN page IS NOT NULL THEN
+         CAST(page BETWEEN greatest(0, start_page - 2) AND end_page + 2 AS INT) END AS i FROM g),
+w1 AS (SELECT *, max(i) OVER w AS seen, last_value(i IGNORE NULLS) OVER w AS lm FROM w0
+       WINDOW w AS (PARTITION BY doc, start_page ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+w2 AS (SELECT * FROM w1 WHERE i = 1 OR (i IS NULL AND (coalesce(seen, 0) = 0 OR lm = 1))),
+m0 AS (SELECT *, max(page) OVER (PARTITION BY doc, start_page ORDER BY pos
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM w2),
+m1 AS (SELECT *, last_value(CASE WHEN page IS NULL THEN NULL WHEN page < mx - 5 THEN 0 ELSE 1 END IGNORE NULLS)
+         OVER (PARTITION BY doc, start_page ORDER BY pos) AS keep FROM m0),
+c0 AS (SELECT * FROM m1 WHERE coalesce(keep, 1) = 1 AND NOT (start_page >= 50 AND kind = 'purchase')),
+d0 AS (SELECT *, row_number() OVER (PARTITION BY doc, start_page, page, kind = 'view' ORDER BY pos) AS n FROM c0),
+d1 AS (SELECT * FROM d0 WHERE kind <> 'view' OR n = 1),
+t AS (SELECT doc, start_page, end_page, pos, 'block ' || replace(text, '#', ' no. ') AS text FROM d1),
+r AS (SELECT *, starts_with(text, 'block error') AS sent FROM t)
+SELECT doc, start_page, CAST(end_page AS INT) AS end_page, 0 AS part, 0 AS piece, CAST(count(*) AS INT) AS n_blocks,
+       CAST(count(*) FILTER (WHERE sent) AS INT) AS n_sent, format('{{:03d}}-{{:03d}}', start_page, end_page) AS page_range,
+       replace(string_agg(CASE WHEN sent THEN replace(text, 'error', 'fault') ELSE text END, chr(10) || chr(10) ORDER BY pos),
+               'fault no.', 'fault number') AS text
+FROM r GROUP BY doc, start_page, end_page""")
+def lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+    """End matter, clean-up, dropped sections, export, second pass and final style in one plan."""
+    heading = kind("error", "purchase", "signup")
+    return export_lifecycle(
+        with_pages(ev(spark, sf)), DOC, section=kind("error"), heading=heading, appendix=kind("purchase"),
+        end_matter=kind("signup"), margin=5, rules=CLEAN, dropped=kind("signup"), contaminated=kind("purchase"),
+        contaminated_from=50, ref=F.when(kind("view"), F.col("page")), width=10, tolerance=2, jump=5,
+        style=lambda t: F.concat(F.lit("block "), F.replace(t, F.lit("#"), F.lit(" no. "))),
+        residual=lambda t: t.startswith("block error"), service=lambda t: F.replace(t, F.lit("error"), F.lit("fault")),
+        restyle=lambda t: F.replace(t, F.lit("fault no."), F.lit("fault number")))

@@ -14,7 +14,7 @@ chunk_manifest monotone_filter window_filter drop_sections drop_contaminated pag
 tail_ranges remove_ranges merge_ranges dedupe_refs caption_lookahead fence_state section_starts
 edit_nearest edit_section attach_captions apply_replacements resolve_links asset_manifest
 cache_misses cache_status translate_cached missing_numbers error_summary envelope_roundtrip
-stream_monotone_filter export_chunks
+stream_monotone_filter export_chunks export_lifecycle merged_labels revision_align
 """.split()
 
 
