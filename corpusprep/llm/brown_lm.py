@@ -49,6 +49,7 @@ ROUNDS = 8
 TURNS = 3
 SLICE_WORDS = 4096
 PARTS = 64
+FEW = 6
 SMALL = 16
 PRIOR = 20.0
 UNSEEN = 0.5
@@ -341,6 +342,27 @@ def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, index: np.ndarr
         out[at[starts]] += np.add.reduceat(rows[index[starts[0]:end]], starts - starts[0], axis=0)
 
 
+def _alike(own: np.ndarray, n: np.ndarray, word: np.ndarray, code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the number of its kind, and the first word of each kind, in order.
+
+    Words with at most ``FEW`` neighbours are of a kind if they agree in all; each other word is its own kind.
+    """
+    begin = np.searchsorted(word, np.arange(len(own) + 1))
+    few = np.flatnonzero(np.diff(begin) <= FEW)
+    rows = np.full((len(few), 2 + 2 * FEW), -1, np.int64)
+    rows[:, 0], rows[:, 1] = own[few], n[few]
+    for i in range(FEW):
+        at = begin[few] + i
+        there = at < begin[few + 1]
+        rows[there, 2 + 2 * i], rows[there, 3 + 2 * i] = code[at[there]], count[at[there]]
+    packed = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel()
+    _, one, kind = np.unique(packed, return_index=True, return_inverse=True)
+    head = np.arange(len(own))
+    head[few] = few[one][kind]
+    first = np.unique(head)
+    return np.searchsorted(first, head), first
+
+
 CLASSED = "bucket int, class binary, n binary"
 
 
@@ -356,15 +378,22 @@ def _moved(classed: DataFrame, pairs: DataFrame, index: DataFrame, table: np.nda
         word, code, count = _unpacked(left)
         keys, count = _summed(word * codes + code, count)
         word, code = keys // codes, keys % codes
-        to = own.copy()
-        for start in range(0, len(own), SLICE_WORDS):
-            some = slice(start, start + SLICE_WORDS)
+        # Words with the same class and the same few neighbours have the same gains: one of them is asked.
+        alike, first = _alike(own, n, word, code, count)
+        place = np.full(len(own), -1)
+        place[first] = np.arange(len(first))
+        of_first = place[word]
+        word, code, count = of_first[of_first >= 0], code[of_first >= 0], count[of_first >= 0]
+        best = own[first].copy()
+        for start in range(0, len(first), SLICE_WORDS):
+            some = first[start:start + SLICE_WORDS]
             a, b = np.searchsorted(word, [start, start + SLICE_WORDS])
             gain = gains(
                 shared.value, own[some], n[some].astype(np.float64), word[a:b] - start, code[a:b], count[a:b].astype(np.float64))
-            best, at = gain.argmax(1), np.arange(len(gain))
-            asked = ((at + start) % parts == turn % parts) & (gain[at, best] > gain[at, own[some]] + 1e-9)
-            to[some] = np.where(asked, best, own[some])
+            to, at = gain.argmax(1), np.arange(len(gain))
+            better = gain[at, to] > gain[at, own[some]] + 1e-9
+            best[start:start + SLICE_WORDS] = np.where(better, to, own[some])
+        to = np.where(np.arange(len(own)) % parts == turn % parts, best[alike], own)
         return pa.table({"bucket": right.column("bucket")[:1], "class": pa.array([pack(to + 1)], pa.binary()),
                          "n": right.column("n")[:1]})
 

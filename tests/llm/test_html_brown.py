@@ -254,6 +254,23 @@ def test_rare_words_are_exchanged(spark, sizes):
     assert kind("x") == kind("y")
 
 
+def test_words_alike():
+    rng = np.random.default_rng(7)
+    words = 300
+    own, n = rng.integers(0, 2, words), rng.integers(1, 3, words)
+    lists = [sorted(rng.choice(4, rng.integers(0, 4), replace=False).tolist()) * (3 if rng.random() < 0.1 else 1) for _ in range(words)]
+    word = np.repeat(np.arange(words), [len(x) for x in lists])
+    code = np.array([c for x in lists for c in x], int)
+    count = rng.integers(1, 3, len(code))
+    kind, first = brown_lm._alike(own, n, word, code, count)
+    facts = [(own[w], n[w], tuple(code[word == w]), tuple(count[word == w])) for w in range(words)]
+    assert [facts[first[k]] for k in kind] == facts and (np.diff(first) > 0).all()
+    few = [w for w in range(words) if len(lists[w]) <= brown_lm.FEW]
+    assert len({facts[w] for w in few}) == len({kind[w] for w in few}) < len(few)
+    many = [w for w in range(words) if len(lists[w]) > brown_lm.FEW]
+    assert [first[kind[w]] for w in many] == many
+
+
 @pytest.mark.parametrize("parts, buckets", [(64, 3), (2, 7)])
 def test_score_against_a_plain_class_model(spark, monkeypatch, parts, buckets):
     """Classes as trained; everything else counted and added up in plain Python."""
