@@ -1,6 +1,11 @@
 """The documents pipeline: each stage reads what the one before it wrote.
 
 Language ID, SimHash near-duplicates, suffix-array repeats, benchmark decontamination, BPE.
+
+Cases: a NULL text, or one without a letter, goes in the first stage; repeated rows and rows
+without an id are documents like any other, and of a group of near-duplicates one row stays; a
+text that the repeats stage empties stays as an empty one; an empty table gives an empty result;
+further columns, whatever their names, come through all stages but the last.
 """
 
 from __future__ import annotations

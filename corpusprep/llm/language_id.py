@@ -9,7 +9,9 @@ Families are given by ``FAMILIES``; a language that is not listed is a family of
 Cases: NULL texts and texts without a letter are ``und`` with score 0; rows without id or
 language teach nothing but are predicted; with one language learned all texts get it, with
 none ``und``; repeated rows give repeated results; an empty table gives an empty result;
-``lang``, ``source`` and ``doc_id`` are no inputs of a prediction.
+``lang``, ``source`` and ``doc_id`` are no inputs of a prediction. A text is judged whole, however
+long, with memory in proportion to it; of documents with equal hashes those with the smaller id
+are learned from.
 """
 
 from __future__ import annotations

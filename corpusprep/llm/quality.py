@@ -9,7 +9,9 @@ document is kept if the probability of good quality is at least ``THRESHOLD``.
 Cases: a NULL text has no words and fails the base rule; labels that are NULL, or whose
 document is missing, teach nothing, and a document with contradicting labels counts once for
 each; with labels of one kind only (or none) the rule alone decides; repeated rows give
-repeated results; an empty table gives an empty result; other columns are not read.
+repeated results; an empty table gives an empty result; other columns are not read. A text is
+judged whole, however long, with memory in proportion to it; of labelled rows with equal hashes
+those with the smaller id are taken.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ found by alternating large-star and small-star steps on written tables.
 Cases: NULL and word-less texts have fingerprint zero and link like any other; repeated
 rows share a component; a NULL id never becomes a component's id, and a component
 without any id has a NULL one; an empty table gives an empty result; other columns of the
-input are not read.
+input are not read. A text is fingerprinted whole, however long, with memory in proportion to it;
+a bit that is set in exactly half of the hashes is 0.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ and the new counts are appended. Within a batch each distinct word is encoded on
 
 Cases: a NULL text counts as the empty one (no tokens, no bytes); repeated rows give
 repeated results; an empty table gives an empty result; columns of the input other
-than the named ones are dropped, so their names cannot clash.
+than the named ones are dropped, so their names cannot clash. A text is encoded whole,
+however long, with memory in proportion to it; no result depends on the order of rows.
 """
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ on the URLs they cover; the model is fitted on a bounded sample of those.
 
 Cases: a NULL URL or one without ``://`` has an empty host and path and is judged by
 the model like any other; repeated rows give repeated results; with labels of one kind
-only (or none) the verdict is that label (or ``allow``); other columns are dropped.
+only (or none) the verdict is that label (or ``allow``); other columns are dropped; an empty
+table gives an empty result; a URL may have any length; of URLs with equal hashes those that
+come first in order are learned from.
 """
 
 from __future__ import annotations

@@ -6,7 +6,6 @@ import random
 
 import corpora
 import numpy as np
-import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F

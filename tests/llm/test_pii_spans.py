@@ -5,7 +5,6 @@ import random
 import re
 
 import corpora
-import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.llm import pii_spans
