@@ -263,17 +263,15 @@ def dedupe_refs(
     """Keep only the first stand-alone reference to a target; ``ref`` is NULL elsewhere.
 
     The firsts are found with a partial minimum and matched on ``pos``, which is
-    unique, so a target that is repeated endlessly makes no large group.
+    unique, so a target that is repeated endlessly makes no large group. Blocks
+    without a reference are not moved.
     """
     keys = list(keys)
     tagged = blocks.select("*", ref.alias("__ref"))
-    firsts = (
-        tagged.filter(F.col("__ref").isNotNull())
-        .groupBy(*keys, "__ref").agg(F.min(pos).alias(pos))
-        .select(*keys, pos, F.lit(True).alias("__first"))
-    )
-    marked = tagged.join(firsts, [*keys, pos], "left")
-    return marked.filter(F.col("__ref").isNull() | F.col("__first")).select(*blocks.columns)
+    refs = tagged.filter(F.col("__ref").isNotNull())
+    firsts = refs.groupBy(*keys, "__ref").agg(F.min(pos).alias(pos)).select(*keys, pos)
+    kept = refs.join(firsts, [*keys, pos], "left_semi")
+    return tagged.filter(F.col("__ref").isNull()).unionByName(kept).select(*blocks.columns)
 
 
 def caption_lookahead(
