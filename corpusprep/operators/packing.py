@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,6 +181,27 @@ def _cross_apply(level: np.ndarray, state: int, emitted: int) -> np.ndarray:
     return out
 
 
+def cut_starts(cuts: Sequence[dict], back: int, min_lines: int) -> list[int]:
+    """Where the pieces after the first begin, in one pass over a document's crossings."""
+    out: list[int] = []
+    begun = 0
+    for cut in cuts:
+        lowest = max(begun + 1, cut["i"] - back)
+        heads = [p for p in cut["hs"] if p >= lowest and p > begun + min_lines]
+        blanks = [p + 1 for p in cut["bs"] if p >= lowest and p + 1 > begun + min_lines]
+        begun = heads[-1] if heads else blanks[-1] if blanks else cut["i"]
+        out.append(begun)
+    return out
+
+
+def _cut_starts(cuts: str, back: int, min_lines: int) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def starts(batch: pa.Array) -> pa.Array:
+        return pa.array([cut_starts(row or [], back, min_lines) for row in batch.to_pylist()], pa.list_(pa.int64()))
+
+    return starts(F.col(cuts))
+
+
 def split_in_order(
     lines: DataFrame, keys: Sequence[str], heading: Column, blank: Column, pos: str = "pos",
     pages: str = "page", width: int = PAGES_PER_CHUNK, back: int = 120, min_lines: int = 3,
@@ -222,7 +244,7 @@ def split_in_order(
         )
     )
     # One row per crossing, and a key crosses each boundary once: this list is as
-    # long as the document has page chunks.
+    # long as the document has page chunks, and is gone through once.
     cuts = (
         crossing.join(near, [*keys, "__i", "__j"], "left")
         .groupBy(*keys)
@@ -233,16 +255,7 @@ def split_in_order(
         ))).alias("__cuts"))
     )
 
-    def step(found: Column, x: Column) -> Column:
-        begun = F.element_at(F.concat(F.array(F.lit(0).cast("bigint")), found), -1)
-        lowest = F.greatest(begun + 1, x["i"] - back)
-        h = F.array_max(F.filter(x["hs"], lambda p: (p >= lowest) & (p > begun + min_lines)))
-        b = F.array_max(F.filter(x["bs"], lambda p: (p >= lowest) & (p + 1 > begun + min_lines)))
-        return F.concat(found, F.array(F.coalesce(h, b + 1, x["i"])))
-
-    starts = cuts.select(
-        *keys, F.aggregate("__cuts", F.array().cast("array<bigint>"), step).alias("__starts")
-    )
+    starts = cuts.select(*keys, _cut_starts("__cuts", back, min_lines).alias("__starts"))
     ends = dense.groupBy(*keys).agg(
         F.count("*").alias("__n"), F.coalesce(F.max("__page"), F.lit(0)).alias("__max")
     )

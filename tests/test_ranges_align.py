@@ -134,3 +134,15 @@ def test_random_revisions(spark, options):
 def test_compared():
     assert compared(list("abc"), list("axc")) == [(0, 0, "same"), (1, 1, "changed"), (2, 2, "same")]
     assert compared([], list("a")) == [(None, 0, "added")] and compared(list("a"), []) == [(0, None, "removed")]
+
+
+def test_many_cuts_in_linear_time():
+    import time
+
+    from corpusprep.operators.packing import cut_starts
+
+    cuts = [{"i": 10 * k, "hs": [10 * k - 2], "bs": [10 * k - 5]} for k in range(1, 200_001)]
+    began = time.time()
+    found = cut_starts(cuts, 120, 3)
+    assert time.time() - began < 5 and found == [10 * k - 2 for k in range(1, 200_001)]
+    assert cut_starts([{"i": 2, "hs": [1], "bs": []}, {"i": 9, "hs": [], "bs": [3, 4]}, {"i": 9, "hs": [], "bs": []}], 120, 3) == [2, 9, 9]
