@@ -25,6 +25,9 @@ from corpusprep.llm.bpe import encoder
 from corpusprep.llm.common import as_bytes, gather, map_slices, spans_of
 
 
+DECODE_IDS = 1 << 17
+
+
 def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
     """``(block, numbers, sizes, ids)``: the words of blocks, each distinct word encoded once.
 
@@ -88,6 +91,17 @@ def encode(
 
 
 def _texts_of(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The pieces of ``ids[ends[i]:ends[i + 1]]`` end to end, as valid UTF-8; a bounded number of ids at a time, or one text."""
+    out: list[bytes] = []
+    start = 0
+    while start < len(ends) - 1:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + DECODE_IDS, side="right")) - 1)
+        out += _some_texts(ids[ends[start]:ends[stop]], ends[start:stop + 1] - ends[start], flat, offsets)
+        start = stop
+    return out
+
+
+def _some_texts(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     """The pieces of ``ids[ends[i]:ends[i + 1]]`` end to end, as valid UTF-8."""
     shown, sizes = gather(flat, offsets, ids.astype(np.int64))
     cuts = spans_of(sizes)[ends]
