@@ -343,11 +343,13 @@ SECOND = rf"^([N-Zn-z][A-Za-z]*)(?:$|{NO_WORD})"
 
 def pair_glossary(docs: DataFrame) -> DataFrame:
     """Every pair of neighbouring words that begin with a-m and n-z, as a phrase."""
-    words = F.split("text", " ", -1)
-    pairs = F.transform(words, lambda w, i: F.struct(
-        F.lower(F.regexp_extract(w, FIRST, 1)).alias("a"),
-        F.lower(F.regexp_extract(F.coalesce(F.get(words, i + 1), F.lit("")), SECOND, 1)).alias("b")))
-    return docs.select(F.inline(F.filter(pairs, lambda p: (p["a"] != "") & (p["b"] != "")))).distinct().select(
+    # A text is split once: within a function over its words it would be split anew for each of them.
+    split = tx.evaluated(docs, [], {"words": F.split("text", " ", -1)})
+    after = F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0)))
+    words = split.select(F.inline(F.arrays_zip(F.col("words").alias("a"), after.alias("b"))))
+    first = words.select(F.lower(F.regexp_extract("a", FIRST, 1)).alias("a"), "b").filter("a <> ''")
+    pairs = first.select("a", F.lower(F.regexp_extract(F.coalesce("b", F.lit("")), SECOND, 1)).alias("b")).filter("b <> ''")
+    return pairs.distinct().select(
         F.concat_ws(" ", "a", "b").alias("source"), F.concat_ws("_", "b", "a").alias("put"))
 
 

@@ -128,6 +128,32 @@ def test_runs_and_order(spark):
     assert one == many == want
 
 
+def test_joined_equals_shared(spark, monkeypatch):
+    """Entries that call for others, adjoin them, hold no word or have one form in lower case."""
+    from corpusprep.operators import glossary as gl
+
+    rng = random.Random(4)
+    piece = lambda a, b: "".join(rng.choice("abBé_- .,´") for _ in range(rng.randrange(a, b)))
+    rows = [(piece(1, 7), rng.choice([piece(0, 6), None])) for _ in range(300)]
+    rows += [("x", "a b"), ("a", "x y"), ("--", "..."), ("a b a b", "x"), ("-", ""), ("", "never")]
+    texts = ["", None, *(piece(1, 60) + " x a b a b" for _ in range(60))]
+    table = spark.createDataFrame(rows, model.GLOSSARY)
+    # Blocks of any size, so that the entries of one are not those of another.
+    monkeypatch.setattr(gl, "BLOCK_BYTES", 400)
+    one, many = (
+        [r["rewritten"] for r in rewrite_by_table(docs(spark, *texts), table, run_bytes=b).orderBy("doc_id").collect()]
+        for b in (None, 500))
+    assert one == many and sum(a != b for a, b in zip(one, texts)) > 50
+
+
+def test_a_long_glossary_is_not_shared(spark):
+    """However long it is, a text passes through as many Python functions; they were one for each run before."""
+    rows = [(f"a{i} z", f"{i}") for i in range(2000)]
+    done = rewrite_by_table(docs(spark, "a1 z a1999 z"), spark.createDataFrame(rows, model.GLOSSARY), run_bytes=1000)
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") <= 1
+    assert done.first()["rewritten"] == "1 1999"
+
+
 def test_replacements_are_subject_to_later_entries():
     glossary = Glossary([("big red dog", "red dog"), ("red dog", "dog"), ("dog", "cat")])
     assert glossary.rewrite("Big Red Dog, RED DOG, dog") == "Cat, CAT, cat"
