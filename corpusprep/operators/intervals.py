@@ -28,7 +28,9 @@ def nodes_of(first: Column, last: Column) -> Column:
             F.when((low < high) & (low.bitwiseAND(F.lit(1)) == 1), own(low)),
             F.when((low < high) & (high.bitwiseAND(F.lit(1)) == 1), own(high - 1)))
 
-    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at)))
+    # No interval is wider than the range.
+    widest = F.ceil(F.log2(F.greatest(last - first + 2, F.lit(1)).cast("double"))).cast("int")
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.least(widest, F.lit(LEVELS))), at)))
 
 
 def in_ranges(
@@ -37,22 +39,25 @@ def in_ranges(
 ) -> DataFrame:
     """Each row with every range ``[first, last]`` of its keys that holds its number.
 
-    A range is cut into dyadic intervals, a row asks for the intervals it lies in, one per level in use: the
-    join is on equality, finds each pair once and needs no test afterwards. Intervals that hold many rows
-    are salted. Rows without a number or key, and empty ranges, match nothing. Numbers are below ``2**61``.
+    A range is cut into dyadic intervals, a number asks for the intervals it lies in, one per level in use: the
+    join is on equality, finds each pair once and needs no test afterwards. Rows with equal numbers and keys
+    ask once, only ranges of keys that are asked for are cut, and numbers that many rows have are salted.
+    Rows without a number or key, and empty ranges, match nothing. Numbers are below ``2**61``.
     """
     keys = list(keys)
     low, high = F.col(first).cast("bigint"), F.col(last).cast("bigint")
-    cut = ranges.select("*", F.inline(nodes_of(low, high)).alias("__level", "__node"))
-    levels = sorted(r["__level"] for r in cut.select("__level").distinct().collect())
     at = F.col(number).cast("bigint")
+    points = rows.filter(at.isNotNull()).select(*keys, at.alias("__at")).distinct()
+    wanted = ranges.join(points.select(*keys).distinct(), keys, "left_semi")
+    cut = wanted.select("*", F.inline(nodes_of(low, high)).alias("__level", "__node"))
+    levels = sorted(r["__level"] for r in cut.select("__level").distinct().collect())
     if not levels:
-        return rows.join(cut.drop("__level", "__node"), keys, "inner").limit(0)
+        return rows.join(ranges, keys, "inner").limit(0)
     asked = F.array(*[
-        F.struct(F.lit(v).alias("__level"), F.shiftright(at, v).alias("__node")) for v in levels])
-    asking = rows.filter(at.isNotNull()).select("*", F.inline(asked))
-    found = lookup(asking, cut, [*keys, "__level", "__node"], row_id, "inner", **skew)
-    return found.drop("__level", "__node")
+        F.struct(F.lit(v).alias("__level"), F.shiftright("__at", v).alias("__node")) for v in levels])
+    asking = points.select("*", F.inline(asked))
+    found = lookup(asking, cut, [*keys, "__level", "__node"], [*keys, "__at"], "inner", **skew).drop("__level", "__node")
+    return lookup(rows.filter(at.isNotNull()).withColumn("__at", at), found, [*keys, "__at"], row_id, "inner", **skew).drop("__at")
 
 
 def past_end(rows: DataFrame, ranges: DataFrame, number: str, keys: Sequence[str], last: str = "last") -> DataFrame:
