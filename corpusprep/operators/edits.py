@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
+from corpusprep.functions.batches import pieces
 
 RUN_BYTES = 16 << 20
 HITS = "array<struct<ord:int,n:int>>"
@@ -134,10 +135,11 @@ def _by_automaton(docs: DataFrame, edits: list[Edit], text: Column) -> Column:
     def edit(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = shared.value
         for batch in batches:
-            done = [None if t is None else run.apply(t) for t in batch.to_pylist()]
-            yield pa.array([
-                {"text": None, "hits": []} if d is None else
-                {"text": d[0], "hits": [{"ord": o, "n": n} for o, n in d[1]]} for d in done], kind)
+            for piece in pieces(batch):
+                done = [None if t is None else run.apply(t) for t in piece.to_pylist()]
+                yield pa.array([
+                    {"text": None, "hits": []} if d is None else
+                    {"text": d[0], "hits": [{"ord": o, "n": n} for o, n in d[1]]} for d in done], kind)
 
     return edit(text)
 

@@ -4,9 +4,11 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 
 from corpusprep import model
+from corpusprep.functions.batches import pieces
 from corpusprep.operators.edits import Edit, EditRun, apply_edits, edit_counts
 from corpusprep.operators.glossary import Glossary, cased, lowered, rewrite_by_table
 from corpusprep.operators.rules import glossary_rewrite
@@ -154,6 +156,14 @@ def test_a_long_glossary_is_not_shared(spark):
     assert done.first()["rewritten"] == "1 1999"
 
 
+def test_texts_are_taken_in_pieces():
+    texts = pa.array(["a" * 10, None, "b" * 100, "", "c" * 10, "d"])
+    parts = [p.to_pylist() for p in pieces(texts, 20)]
+    assert sum(parts, []) == texts.to_pylist() and len(parts) > 2
+    assert all(sum(len(t or "") for t in p[1:]) <= 20 for p in parts)
+    assert [p.to_pylist() for p in pieces(texts[:0])] == [[]]
+
+
 def test_replacements_are_subject_to_later_entries():
     glossary = Glossary([("big red dog", "red dog"), ("red dog", "dog"), ("dog", "cat")])
     assert glossary.rewrite("Big Red Dog, RED DOG, dog") == "Cat, CAT, cat"
