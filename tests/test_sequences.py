@@ -120,6 +120,15 @@ def test_merge_and_remove_ranges(spark, bits):
     assert {tuple(r) for r in left.collect()} == set(blocks) - removed
 
 
+def test_merged_shares_are_bounded(spark, monkeypatch):
+    """The number of partitions follows the size of the ranges; before, it was fixed and merged again."""
+    monkeypatch.setattr(sq, "PART_ROWS", 100)
+    rows = lambda n: spark.createDataFrame([(i % 40, 7 * i, 7 * i + i % 9, "ab"[i % 2]) for i in range(n)], "doc long, s long, e long, label string")
+    few, many = (sq.merge_ranges(rows(n), ["doc"], 0) for n in (50, 4000))
+    assert many.rdd.getNumPartitions() == 41 and few.rdd.getNumPartitions() <= 4
+    assert many.agg(F.sum("n_ranges")).first()[0] == 4000
+
+
 @pytest.mark.parametrize("bits", BITS)
 def test_pack_batches(spark, bits):
     rng = random.Random(6)
