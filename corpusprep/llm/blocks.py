@@ -15,6 +15,7 @@ others.
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from itertools import chain, count
 
@@ -75,14 +76,13 @@ class Block:
     """Words, documents as numbers and, for texts to learn from, counts of words and of neighbours."""
 
     def __init__(self):
-        self.index: dict = {}
+        # A word gets the next number when it is first asked for.
+        self.index: dict = defaultdict(count().__next__)
         self.filled = 0
         self.pieces: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
         self.learned: list[tuple[np.ndarray, np.ndarray]] = []
 
     def number(self, lists: list[list]) -> np.ndarray:
-        fresh = set().union(*lists).difference(self.index)
-        self.index.update(zip(fresh, count(len(self.index))))
         total = sum(map(len, lists))
         return np.fromiter(map(self.index.__getitem__, chain.from_iterable(lists)), np.uint32, total)
 

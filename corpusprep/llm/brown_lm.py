@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from corpusprep.llm.blocks import (
     buckets_for, by_number, documents_of, meet, neighbours, numbered, pack, pack_words, pairs_of, pieces_of, placed,
     unpack, unpack_words, width, words_of)
-from corpusprep.llm.common import as_bytes, remainder, short_lived_shuffles
+from corpusprep.llm.common import as_bytes, gather, remainder, short_lived_shuffles
 from corpusprep.session import materialise
 
 HEAD = 1000
@@ -48,6 +48,8 @@ BANDS = 40
 ROUNDS = 8
 TURNS = 3
 SLICE_WORDS = 4096
+SLICE_ROWS = 256
+SHORT = 8
 PARTS = 64
 FEW = 6
 SMALL = 16
@@ -191,10 +193,16 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """The distinct keys in order, and the sum of counts of each."""
     if not len(keys):
         return keys, counts
-    order = np.argsort(keys)
-    keys = keys[order]
+    bits = int(counts.max()).bit_length()
+    if int(keys.max()).bit_length() + bits < 64:
+        # Both fit into one number: it is sorted as such, which is much faster than sorting places.
+        both = np.sort(keys << bits | counts)
+        keys, counts = both >> bits, both & ((1 << bits) - 1)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts[order], first)
+    return keys[first], np.add.reduceat(counts, first)
 
 
 def _pair_counts(pairs: DataFrame, known: DataFrame, kinds: int) -> np.ndarray:
@@ -222,11 +230,13 @@ PACKED = "bucket int, part long, word binary, code binary, n binary"
 
 def _to_buckets(left: pa.Table, bucket: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.Table:
     """Counts of a block by word and code, packed for the words' buckets."""
+    # Narrow numbers are sorted by their digits.
+    bucket = bucket.astype(np.min_scalar_type(int(bucket.max(initial=0))))
     order = np.argsort(bucket, kind="stable")
     there, first = np.unique(bucket[order], return_index=True)
     cut = lambda x: pa.array([pack(p) for p in np.split(x[order], first[1:])] if len(there) else [], pa.binary())
     part = left.column("block")[0].as_py() if left.num_rows else 0
-    return pa.table({"bucket": pa.array(there, pa.int32()), "part": pa.array([part] * len(there), pa.int64()),
+    return pa.table({"bucket": pa.array(there.astype(np.int32)), "part": pa.array([part] * len(there), pa.int64()),
                      "word": cut(word), "code": cut(code), "n": cut(n)})
 
 
@@ -270,7 +280,7 @@ def _beside(pairs: DataFrame, known: DataFrame, kinds: int) -> DataFrame:
             np.concatenate([a * codes + np.where(same, 2 * kinds, of[b]), (b * codes + kinds + of[a])[~same]]),
             np.concatenate([n, n[~same]]))
         word = keys // codes
-        return _to_buckets(left, bucket[word], at[word], keys % codes, n)
+        return _to_buckets(left, bucket[word], at[word], keys - word * codes, n)
 
     return _gathered(meet(pairs, known, "block", count, PACKED), pairs, codes)
 
@@ -280,11 +290,23 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(1)).sum() - _xlogx(table.sum(0)).sum())
 
 
-def gains(table: np.ndarray, own: np.ndarray, n: np.ndarray, word: np.ndarray, code: np.ndarray, count: np.ndarray):
+def small_steps(table: np.ndarray) -> list[list[np.ndarray]]:
+    """For each side and each count up to ``SMALL``: what class ``d`` beside a word adds to its gain in each class."""
+    f = _xlogx(table)
+    return [[np.ascontiguousarray((_xlogx(cells + v) - logs).T) for v in range(1, SMALL + 1)]
+            for cells, logs in ((table, f), (table.T, f.T))]
+
+
+def gains(
+    table: np.ndarray, own: np.ndarray, n: np.ndarray, word: np.ndarray, code: np.ndarray, count: np.ndarray,
+    steps: list[list[np.ndarray]] | None = None,
+):
     """Gain in likelihood of each word in each class, over the word in none.
 
-    ``word, code, count`` are the words' neighbours, in order of word.
+    ``word, code, count`` are the words' neighbours, in order of word and code; ``steps`` are the table's
+    ``small_steps``, where they are there.
     """
+    steps = steps or small_steps(table)
     kinds, words = len(table), len(own)
     f, size = _xlogx(table), table.sum(1)
     out = np.zeros((words, kinds))
@@ -297,23 +319,24 @@ def gains(table: np.ndarray, own: np.ndarray, n: np.ndarray, word: np.ndarray, c
     left[word[is_left], code[is_left] - kinds] = count[is_left]
     self_[word[is_self]] = count[is_self]
     seat = np.arange(words)
-    for side, other, cells, logs in ((right, left, table, f), (left, right, table.T, f.T)):
-        w, d = np.nonzero(side)
-        c = side[w, d]
+    for there, offset, other, cells, across, logs, small in (
+            (is_right, 0, left, table, np.ascontiguousarray(table.T), np.ascontiguousarray(f.T), steps[0]),
+            (is_left, kinds, right, table.T, table, f, steps[1])):
+        w, d, c = word[there], code[there] - offset, count[there]
         # cells[b, d] grows by c when the word joins class b; the word's own class is apart.
         apart = d == own[w]
         for v in range(1, SMALL + 1):
             hit = np.flatnonzero((c == v) & ~apart)
             if len(hit):
-                _add_rows(out, w[hit], (_xlogx(cells + v) - logs).T, d[hit])
+                _add_rows(out, w[hit], small[v - 1], d[hit])
         many = np.flatnonzero((c > SMALL) & ~apart)
         for start in range(0, len(many), SLICE_WORDS):
             hit = many[start:start + SLICE_WORDS]
-            step = _xlogx(cells.T[d[hit]] + c[hit, None]) - logs.T[d[hit]]
+            step = _xlogx(across[d[hit]] + c[hit, None]) - logs[d[hit]]
             _add_rows(out, w[hit], step, np.arange(len(hit)))
         # Here the word's own occurrences are in the cells.
         hit = np.flatnonzero(apart)
-        base = np.maximum(cells.T[d[hit]] - other[w[hit]], 0)
+        base = np.maximum(across[d[hit]] - other[w[hit]], 0)
         _add_rows(out, w[hit], _xlogx(base + c[hit, None]) - _xlogx(base), np.arange(len(hit)))
         value = cells[own[w], d]
         mine += np.bincount(w, np.where(apart, 0, _xlogx(value) - _xlogx(value - c)), words)
@@ -332,14 +355,30 @@ def gains(table: np.ndarray, own: np.ndarray, n: np.ndarray, word: np.ndarray, c
 
 
 def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, index: np.ndarray) -> None:
-    """``out[at] += rows[index]`` for rising ``at``."""
+    """``out[at] += rows[index]`` for rising ``at``.
+
+    Most runs of an ``at`` are short. Those of a length are added up together, whole rows at a time and in the
+    order of ``np.add.reduceat``, which walks each column of each run by itself.
+    """
     if not len(at):
         return
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    for cut in range(0, len(first), SLICE_WORDS):
-        starts = first[cut:cut + SLICE_WORDS]
-        end = first[cut + SLICE_WORDS] if cut + SLICE_WORDS < len(first) else len(at)
-        out[at[starts]] += np.add.reduceat(rows[index[starts[0]:end]], starts - starts[0], axis=0)
+    sizes = np.diff(first, append=len(at))
+    for size in range(1, SHORT + 1):
+        starts = first[sizes == size]
+        for cut in range(0, len(starts), SLICE_ROWS):
+            some = starts[cut:cut + SLICE_ROWS]
+            sums = rows[index[some + (size > 1)]]
+            for i in range(2, size):
+                sums += rows[index[some + i]]
+            if size > 1:
+                sums += rows[index[some]]
+            out[at[some]] += sums
+    long = np.flatnonzero(sizes > SHORT)
+    for cut in range(0, len(long), SLICE_ROWS):
+        some = long[cut:cut + SLICE_ROWS]
+        entries, each = gather(index, np.append(first, len(at)), some)
+        out[at[first[some]]] += np.add.reduceat(rows[entries], np.cumsum(each) - each, axis=0)
 
 
 def _alike(own: np.ndarray, n: np.ndarray, word: np.ndarray, code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -377,7 +416,8 @@ def _moved(classed: DataFrame, pairs: DataFrame, index: DataFrame, table: np.nda
         own = own - 1
         word, code, count = _unpacked(left)
         keys, count = _summed(word * codes + code, count)
-        word, code = keys // codes, keys % codes
+        word = keys // codes
+        code = keys - word * codes
         # Words with the same class and the same few neighbours have the same gains: one of them is asked.
         alike, first = _alike(own, n, word, code, count)
         place = np.full(len(own), -1)
@@ -385,11 +425,12 @@ def _moved(classed: DataFrame, pairs: DataFrame, index: DataFrame, table: np.nda
         of_first = place[word]
         word, code, count = of_first[of_first >= 0], code[of_first >= 0], count[of_first >= 0]
         best = own[first].copy()
+        steps = small_steps(shared.value)
         for start in range(0, len(first), SLICE_WORDS):
             some = first[start:start + SLICE_WORDS]
             a, b = np.searchsorted(word, [start, start + SLICE_WORDS])
             gain = gains(
-                shared.value, own[some], n[some].astype(np.float64), word[a:b] - start, code[a:b], count[a:b].astype(np.float64))
+                shared.value, own[some], n[some].astype(np.float64), word[a:b] - start, code[a:b], count[a:b].astype(np.float64), steps)
             to, at = gain.argmax(1), np.arange(len(gain))
             better = gain[at, to] > gain[at, own[some]] + 1e-9
             best[start:start + SLICE_WORDS] = np.where(better, to, own[some])

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 
 import corpora
 import numpy as np
@@ -253,6 +254,51 @@ def test_rare_words_are_exchanged(spark, sizes):
     assert kind("x") == kind("y")
 
 
+def test_rows_are_added_as_fast_as_they_are_read():
+    # Short runs: one sum per row, not one per entry of a row.
+    rng = np.random.default_rng(5)
+    at = np.sort(rng.integers(0, 4000, 16000))
+    at = np.concatenate([at, np.full(300, 4000), np.full(9, 4001), [4003]])
+    rows, index = rng.random((175, 175)), rng.integers(0, 175, len(at))
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    start = rng.random((4004, 175))
+
+    def plain(out):
+        out[at[first]] += np.add.reduceat(rows[index], first, axis=0)
+
+    def best(fn):
+        took = []
+        for _ in range(5):
+            out, begin = start.copy(), time.process_time()
+            fn(out)
+            took.append(time.process_time() - begin)
+        return out, min(took)
+
+    (want, slow), (got, fast) = best(plain), best(lambda out: brown_lm._add_rows(out, at, rows, index))
+    assert np.allclose(got, want, rtol=1e-14, atol=0)
+    assert fast < 0.6 * slow
+    brown_lm._add_rows(got, at[:0], rows, index[:0])
+
+
+def test_counts_are_summed_beyond_one_number():
+    # With small counts a key and its count are sorted as one number; with these they do not fit into one.
+    keys, counts = np.array([5, 3, 5, 1 << 40]), np.array([1, 2, 1 << 50, 4])
+    for some in (slice(0, 2), slice(0, 4)):
+        want = collections.Counter()
+        for k, n in zip(keys[some].tolist(), counts[some].tolist()):
+            want[k] += n
+        got = brown_lm._summed(keys[some], counts[some])
+        assert [*zip(*(x.tolist() for x in got))] == sorted(want.items())
+
+
+def test_words_are_numbered_as_they_come():
+    from corpusprep.llm import blocks
+
+    block = blocks.Block()
+    assert block.number([[b"a", b"b", b"a"], [], [b"c"]]).tolist() == [0, 1, 0, 2]
+    assert block.number([[b"d", b"b"]]).tolist() == [3, 1] and list(block.index) == [b"a", b"b", b"c", b"d"]
+
+
 def test_words_alike():
     rng = np.random.default_rng(7)
     words = 300
